@@ -63,3 +63,8 @@ def _checkpoint_base(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique path under the shared checkpoint folder."""
     return f"{_checkpoint_base(spark)}/tw-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``checkpoint()`` has a shared folder; returns it."""
+    return _checkpoint_base(spark)
