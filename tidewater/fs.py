@@ -65,3 +65,17 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> bool:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs_and_path(spark, path)
     fs.mkdirs(p)
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename ``src`` to ``dst`` (a directory rename is atomic on HDFS and POSIX)."""
+    fs, s = _fs_and_path(spark, src)
+    _, d = _fs_and_path(spark, dst)
+    fs.mkdirs(d.getParent())
+    return bool(fs.rename(s, d))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
