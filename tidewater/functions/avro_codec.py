@@ -1,0 +1,228 @@
+"""Avro binary encoding (spec 1.x) for single message bodies.
+
+Used inside Arrow-batched tasks only when Spark's ``from_avro``/``to_avro``
+(the spark-avro package) are not loaded. Decoding resolves a writer schema
+against a reader schema: reader fields the writer lacks take their defaults,
+writer fields the reader lacks are skipped.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import struct
+from typing import Any
+
+from tidewater.functions.avro_types import non_null_branches, parse_avro, resolve
+
+_EPOCH = dt.datetime(1970, 1, 1)
+_EPOCH_UTC = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+_DATE0 = dt.date(1970, 1, 1)
+
+
+# ---------------------------------------------------------------- encode
+
+def _zigzag(n: int, out: bytearray) -> None:
+    n = (n << 1) ^ (n >> 63)
+    n &= (1 << 64) - 1
+    while n & ~0x7F:
+        out.append((n & 0x7F) | 0x80)
+        n >>= 7
+    out.append(n)
+
+
+def encode(datum: Any, schema, named: dict, out: bytearray) -> None:
+    s = resolve(parse_avro(schema), named)
+    if isinstance(s, list):
+        if datum is None:
+            _zigzag(s.index("null"), out)
+            return
+        branches = non_null_branches(s)
+        idx = 0
+        if len(branches) > 1 and isinstance(datum, dict) and all(k.startswith("member") for k in datum):
+            idx = next(i for i in range(len(branches)) if datum.get(f"member{i}") is not None)
+            datum = datum[f"member{idx}"]
+        _zigzag(s.index(branches[idx]), out)
+        encode(datum, branches[idx], named, out)
+        return
+    t = s if isinstance(s, str) else s["type"]
+    logical = None if isinstance(s, str) else s.get("logicalType")
+    if t == "null":
+        return
+    if t == "boolean":
+        out.append(1 if datum else 0)
+    elif t in ("int", "long"):
+        if logical in ("timestamp-millis", "timestamp-micros", "local-timestamp-millis", "local-timestamp-micros"):
+            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
+            if datum.tzinfo is None and base is _EPOCH_UTC:
+                datum = datum.replace(tzinfo=dt.timezone.utc)
+            delta = datum - base
+            us = (delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds
+            datum = us // 1000 if logical.endswith("millis") else us
+        elif logical == "date":
+            datum = (datum - _DATE0).days
+        _zigzag(int(datum), out)
+    elif t == "float":
+        out += struct.pack("<f", datum)
+    elif t == "double":
+        out += struct.pack("<d", datum)
+    elif t in ("string", "bytes"):
+        raw = datum.encode("utf-8") if isinstance(datum, str) else bytes(datum)
+        _zigzag(len(raw), out)
+        out += raw
+    elif t == "fixed":
+        out += bytes(datum)
+    elif t == "enum":
+        _zigzag(s["symbols"].index(datum), out)
+    elif t == "record":
+        get = datum.get if isinstance(datum, dict) else (lambda k, d=datum: getattr(d, k))
+        for f in s["fields"]:
+            encode(get(f["name"]), f["type"], named, out)
+    elif t == "array":
+        if datum:
+            _zigzag(len(datum), out)
+            for item in datum:
+                encode(item, s["items"], named, out)
+        _zigzag(0, out)
+    elif t == "map":
+        items = list(datum.items()) if isinstance(datum, dict) else list(datum or [])
+        if items:
+            _zigzag(len(items), out)
+            for k, v in items:
+                encode(k, "string", named, out)
+                encode(v, s["values"], named, out)
+        _zigzag(0, out)
+    else:
+        raise ValueError(f"cannot encode Avro type {t!r}")
+
+
+# ---------------------------------------------------------------- decode
+
+class _Reader:
+    __slots__ = ("buf", "pos")
+
+    def __init__(self, buf: bytes):
+        self.buf, self.pos = buf, 0
+
+    def long(self) -> int:
+        shift = result = 0
+        while True:
+            b = self.buf[self.pos]
+            self.pos += 1
+            result |= (b & 0x7F) << shift
+            if not b & 0x80:
+                return (result >> 1) ^ -(result & 1)
+            shift += 7
+
+    def take(self, n: int) -> bytes:
+        out = self.buf[self.pos:self.pos + n]
+        self.pos += n
+        return out
+
+
+def _read(r: _Reader, w, rd, named_w: dict, named_r: dict) -> Any:
+    """Read a value written with ``w``; shape it as reader schema ``rd``."""
+    w = resolve(parse_avro(w), named_w)
+    rd = resolve(parse_avro(rd), named_r)
+    if isinstance(w, list):
+        branch = w[r.long()]
+        if branch == "null":
+            return None
+        if isinstance(rd, list):
+            rb = non_null_branches(rd)
+            if len(rb) > 1 and _as_struct(rb, named_r):
+                pos = _match_branch(branch, rb, named_w, named_r)
+                val = _read(r, branch, rb[pos], named_w, named_r)
+                return {f"member{i}": (val if i == pos else None) for i in range(len(rb))}
+            rd = rb[_match_branch(branch, rb, named_w, named_r)] if len(rb) > 1 else rb[0]
+        return _read(r, branch, rd, named_w, named_r)
+    if isinstance(rd, list):
+        rb = non_null_branches(rd)
+        rd = rb[_match_branch(w, rb, named_w, named_r)] if len(rb) > 1 else rb[0]
+    t = w if isinstance(w, str) else w["type"]
+    logical = None if isinstance(w, str) else w.get("logicalType")
+    if t == "null":
+        return None
+    if t == "boolean":
+        return r.take(1) != b"\x00"
+    if t in ("int", "long"):
+        n = r.long()
+        if logical in ("timestamp-millis", "local-timestamp-millis"):
+            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
+            return base + dt.timedelta(milliseconds=n)
+        if logical in ("timestamp-micros", "local-timestamp-micros"):
+            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
+            return base + dt.timedelta(microseconds=n)
+        if logical == "date":
+            return _DATE0 + dt.timedelta(days=n)
+        return n
+    if t == "float":
+        return struct.unpack("<f", r.take(4))[0]
+    if t == "double":
+        return struct.unpack("<d", r.take(8))[0]
+    if t == "string":
+        return r.take(r.long()).decode("utf-8")
+    if t == "bytes":
+        return r.take(r.long())
+    if t == "fixed":
+        return r.take(int(w["size"]))
+    if t == "enum":
+        return w["symbols"][r.long()]
+    if t == "record":
+        rfields = {f["name"]: f for f in rd["fields"]} if isinstance(rd, dict) and rd.get("type") == "record" else {}
+        got = {}
+        for f in w["fields"]:
+            target = rfields.get(f["name"])
+            val = _read(r, f["type"], target["type"] if target else f["type"], named_w, named_r)
+            if target is not None:
+                got[f["name"]] = val
+        for name, f in rfields.items():
+            if name not in got:
+                got[name] = f.get("default")
+        return got
+    if t == "array":
+        out = []
+        ritems = rd["items"] if isinstance(rd, dict) else w["items"]
+        while True:
+            n = r.long()
+            if n == 0:
+                return out
+            if n < 0:
+                n = -n
+                r.long()
+            out.extend(_read(r, w["items"], ritems, named_w, named_r) for _ in range(n))
+    if t == "map":
+        out = []
+        rvals = rd["values"] if isinstance(rd, dict) else w["values"]
+        while True:
+            n = r.long()
+            if n == 0:
+                return out
+            if n < 0:
+                n = -n
+                r.long()
+            for _ in range(n):
+                k = r.take(r.long()).decode("utf-8")
+                out.append((k, _read(r, w["values"], rvals, named_w, named_r)))
+    raise ValueError(f"cannot decode Avro type {t!r}")
+
+
+def _kind(s, named) -> str:
+    s = resolve(s, named)
+    return s if isinstance(s, str) else (s.get("name") or s["type"])
+
+
+def _match_branch(w, branches: list, named_w: dict, named_r: dict) -> int:
+    wk = _kind(w, named_w)
+    for i, b in enumerate(branches):
+        if _kind(b, named_r) == wk:
+            return i
+    return 0
+
+
+def _as_struct(branches: list, named: dict) -> bool:
+    kinds = {resolve(b, named) if isinstance(b, str) else None for b in branches}
+    return not (kinds <= {"int", "long"} or kinds <= {"float", "double"})
+
+
+def decode(buf: bytes, writer, reader, named_w: dict, named_r: dict) -> Any:
+    return _read(_Reader(buf), writer, reader, named_w, named_r)

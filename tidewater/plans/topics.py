@@ -94,3 +94,96 @@ def payload_as_json(spark, sf):
     spec = events_topic(spark, sf, name="events-payload")
     good, _ = decode_json(read_topic(spark, spec), EVENTS_DDL)
     return good.select("key", F.to_json(F.struct(*EVENT_COLS), {"ignoreNullFields": "false"}).alias("payload"))
+
+
+# ---------------------------------------------------------------- Avro wire format
+
+# The events record as an Avro schema (NTZ timestamps as local micros).
+EVENTS_AVRO = {
+    "type": "record", "name": "event", "namespace": "tidewater.events",
+    "fields": [
+        {"name": "event_id", "type": "long"},
+        {"name": "ts", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
+        {"name": "user_id", "type": "long"},
+        {"name": "event_type", "type": "string"},
+        {"name": "value", "type": "double"},
+        {"name": "props", "type": ["null", "string"]},
+    ],
+}
+# The first pageviews version (before fields with defaults were added).
+PAGEVIEWS_V1 = {
+    "type": "record", "name": "pageviews", "namespace": "examples.pageviews",
+    "fields": [{"name": "viewtime", "type": "long"}, {"name": "userid", "type": "string"},
+               {"name": "pageid", "type": "string"}],
+}
+
+
+def _registry(spark):
+    import json as _json
+
+    from tidewater.plans.avro_fixtures import PAGEVIEWS_SCHEMA
+    from tidewater.sources.registry import registry_table
+    return registry_table(spark, [
+        ("events-avro-value", 1, 7, _json.dumps(EVENTS_AVRO)),
+        ("pageviews-avro-value", 1, 4, _json.dumps(PAGEVIEWS_V1)),
+        ("pageviews-avro-value", 2, 5, _json.dumps(PAGEVIEWS_SCHEMA)),
+    ])
+
+
+def _avro_events_topic(spark, sf, name):
+    from tidewater.operators.avro import encode_avro
+    ev = table(spark, sf, "events")
+    enc = encode_avro(ev, EVENTS_AVRO, schema_id=7, out_col="_value", keep=EVENT_COLS)
+    spec = TopicSpec(name, path=scratch_path(spark, f"topic-{name}"))
+    publish(to_topic(enc, name, F.col("_value"), key=F.col("event_id").cast("string"),
+                     timestamp=F.col("ts"), order_by=["event_id"]), spec, 0)
+    return spec
+
+
+@plan("decode_avro_topic", "T1 S11 F1 W4", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+""")
+def decode_avro_topic(spark, sf):
+    from tidewater.operators.avro import decode_avro
+    from tidewater.sources.registry import latest_schema, schemas_by_id
+    reg = _registry(spark)
+    spec = _avro_events_topic(spark, sf, "events-avro")
+    _, reader = latest_schema(reg, "events-avro-value")
+    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "events-avro-value"),
+                      keep=["partition", "offset"])
+    return out.where(F.col("_avro_error").isNull()).select(*EVENT_COLS)
+
+
+@plan("decode_avro_evolved", "T1 T4 S11 G7", """
+SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
+       'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'null' AS address, 'null' AS added_column, 42 AS added_column2
+FROM events
+""")
+def decode_avro_evolved(spark, sf):
+    """Messages written with pageviews v1 (id 4), read with the latest version:
+    fields added later take their declared defaults."""
+    from tidewater.operators.avro import decode_avro, encode_avro
+    from tidewater.operators.synth import pageviews
+    from tidewater.sources.registry import latest_schema, schemas_by_id
+    reg = _registry(spark)
+    rows = pageviews(table(spark, sf, "events").select(F.col("event_id").alias("id")))
+    enc = encode_avro(rows, PAGEVIEWS_V1, schema_id=4, out_col="_value", keep=["viewtime"])
+    spec = TopicSpec("pageviews-avro", path=scratch_path(spark, "topic-pageviews-avro"))
+    publish(to_topic(enc, spec.name, F.col("_value"), key=F.col("viewtime").cast("string"),
+                     order_by=["viewtime"]), spec, 0)
+    _, reader = latest_schema(reg, "pageviews-avro-value")
+    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "pageviews-avro-value"))
+    return out.drop("_avro_error")
+
+
+@plan("payload_as_json_avro", "T2 T1 F11")
+def payload_as_json_avro(spark, sf):
+    from tidewater.operators.avro import decode_avro, payload_json
+    from tidewater.sources.registry import latest_schema, schemas_by_id
+    reg = _registry(spark)
+    spec = _avro_events_topic(spark, sf, "events-avro-json")
+    _, reader = latest_schema(reg, "events-avro-value")
+    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "events-avro-value"),
+                      keep=["key", "timestamp", "offset", "partition"])
+    return out.select(F.col("key").cast("string").alias("key"), "timestamp", "offset", "partition",
+                      payload_json(out, EVENT_COLS).alias("payload"))
