@@ -1,0 +1,86 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tidewater.functions.columns import epoch_ms_to_timestamp, render_row, split_path, strip_suffix
+from tidewater.functions.indexing import with_row_index
+from tidewater.operators import timebuckets as tb
+
+LOG_COLS = ["Time", "Line", "tsNs", "id", "Tempo", "app", "component", "container", "filename", "job",
+            "namespace", "node_name", "pod", "prodeng", "stream"]
+
+
+def _ms(s):
+    return int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def log_rows(spark):
+    """Failure log lines: a burst of exactly 3 in 15 min, one of 2, a bucket edge,
+    an empty hour and a null pod."""
+    times = [("2024-04-05 10:01:00", "web-abcdefgh"), ("2024-04-05 10:05:00", "web-abcdefgh"),
+             ("2024-04-05 10:14:59", "web-abcdefgh"),                       # burst of 3 in [10:00, 10:15)
+             ("2024-04-05 10:15:00", "web-abcdefgh"),                       # bucket edge: next bucket
+             ("2024-04-05 10:20:00", "db-12345678"), ("2024-04-05 10:21:00", "db-12345678"),  # only 2
+             ("2024-04-05 12:30:00", "db-12345678"),                        # 11:00 hour is empty
+             ("2024-04-05 12:31:00", None)]
+    rows = [(_ms(t), "line", 0, str(i), "", "app", "c", "k", "f", "j", "ns", "node", pod, "p", "stderr")
+            for i, (t, pod) in enumerate(times)]
+    df = spark.createDataFrame(rows, LOG_COLS)
+    return df.withColumn("datetime", epoch_ms_to_timestamp("Time")) \
+             .withColumn("pod_name", strip_suffix("pod", 9))
+
+
+def test_zero_filled_hourly_histogram(spark):
+    h = {r["bucket_start"].hour: r["events"] for r in tb.time_histogram(log_rows(spark), "datetime", "1 hour").collect()}
+    assert h == {10: 6, 11: 0, 12: 2}
+
+
+def test_bursts_of_three_in_15_minutes(spark):
+    got = [(r["pod_name"], r["bucket_start"].strftime("%H:%M"), r["events"])
+           for r in tb.bursts(log_rows(spark), "pod_name", "datetime", "15 minutes", 3).collect()]
+    assert got == [("web", "10:00", 3)]
+
+
+def test_suffix_strip_matches_python_slicing(spark):
+    vals = ["web-abcdefgh", "short", "", None, "x" * 9, "y" * 10]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(strip_suffix("s", 9)).collect()]
+    assert got == [v[:-9] if v is not None else None for v in vals]
+
+
+def test_burst_calendar_pivot_has_nulls_for_absent(spark):
+    df = log_rows(spark).where(F.col("pod_name").isNotNull())
+    cal = tb.burst_calendar(df, "pod_name", "datetime", ["db", "web"], width="15 minutes", min_events=2).collect()
+    assert len(cal) == 1 and cal[0]["web"] == 1 and cal[0]["db"] == 1
+    cal = tb.burst_calendar(df, "pod_name", "datetime", ["db", "web"], width="15 minutes", min_events=3).collect()
+    assert cal[0]["web"] == 1 and cal[0]["db"] is None
+
+
+def test_top_keys_breaks_ties_by_key(spark):
+    df = spark.createDataFrame([(k,) for k in "aabbccd"], ["k"])
+    assert [r["k"] for r in tb.top_keys(df, "k", 2).collect()] == ["a", "b"]
+
+
+def test_tumble_sum(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 10), "a", 10.0),
+                                (dt.datetime(2024, 1, 1, 0, 0, 50), "a", 20.0),
+                                (dt.datetime(2024, 1, 1, 0, 1, 0), "a", 5.0)], "t timestamp_ntz, k string, v double")
+    got = sorted((r["window_end"].strftime("%H:%M"), r["window_sales"])
+                 for r in tb.tumble_sum(df, "t", "k", "v", "60 seconds", "0.85", decimal_scale=2).collect())
+    assert got == [("00:01", 25.5), ("00:02", 4.25)]
+
+
+def test_split_path_and_render(spark):
+    df = spark.createDataFrame([("bucket/LA-1/docs/2024-08-24T10:00:00/x.json",)], ["key"])
+    row = split_path(df, "key", {"loan_application_id": 1, "decision_timestamp": 3}, drop="key").first()
+    assert row.asDict() == {"loan_application_id": "LA-1", "decision_timestamp": "2024-08-24T10:00:00"}
+    out = spark.createDataFrame([(1, "a", None)], "x int, y string, z string").select(render_row("x", "y", "z")).first()[0]
+    assert out == "1 | a"
+
+
+def test_row_index_matches_row_number(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 5000, 1, 7).withColumn("g", (F.col("id") * 7919 % 3).cast("int"))
+    a = with_row_index(df, "ix", ["id"], ["g"])
+    b = df.withColumn("ix", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -106,9 +106,11 @@ def decode_avro(df: DataFrame, reader_schema, writer_schemas: dict[int, str] | N
     named_w = {k: named_types(v) for k, v in writers.items()}
     src = df.select(*keep, body.alias("_body"),
                     (wire_schema_id(value_col) if wire else F.lit(None).cast("int")).alias("_sid"))
-    out_schema = T.StructType([src.schema[c] for c in keep] + list(st.fields)
+    # Top-level fields are nullable: an undecodable body yields nulls.
+    fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in st.fields]
+    out_schema = T.StructType([src.schema[c] for c in keep] + fields
                               + [T.StructField("_avro_error", T.StringType())])
-    arrow_fields = _arrow_schema(T.StructType(list(st.fields)))
+    arrow_fields = _arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator):
         import pyarrow as pa

@@ -28,25 +28,29 @@ def _walk(prefix: str, expr: Column, dtype: T.DataType, sep: str, scalars: list,
 
 
 def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.DataType]], table: str,
-          out: dict[str, DataFrame], sep: str, keep_empty: bool) -> None:
+          out: dict[str, DataFrame], sep: str, keep_empty: bool, strip: str = "") -> None:
     scalars: list = []
     nested: list = []
     for name, expr, dtype in columns:
         _walk(name, expr, dtype, sep, scalars, nested)
     out[table] = frame.select(*[F.col(k) for k in keys], *[e.alias(n) for n, e in scalars])
     for name, expr, dtype in nested:
-        child = f"{table}{sep}{name}"
-        idx = f"{name}{sep}index"
+        # Inside a child table, names carry the list's prefix; child tables and
+        # their index columns are named by the nested list's own path.
+        short = name[len(strip):] if strip and name.startswith(strip) else name
+        child = f"{table}{sep}{short}"
         if isinstance(dtype, T.ArrayType):
+            idx = f"{short}{sep}index"
             gen = F.posexplode_outer(expr) if keep_empty else F.posexplode(expr)
             exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_elem"))
-            elem_type = dtype.elementType
-            _emit(exploded, keys + [idx], [(name, F.col("_elem"), elem_type)], child, out, sep, keep_empty)
+            _emit(exploded, keys + [idx], [(short, F.col("_elem"), dtype.elementType)], child, out, sep,
+                  keep_empty, short + sep)
         else:
+            idx = f"{short}{sep}key"
             gen = F.explode_outer(expr) if keep_empty else F.explode(expr)
-            exploded = frame.select(*[F.col(k) for k in keys], gen.alias(f"{name}{sep}key", "_val"))
-            _emit(exploded, keys + [f"{name}{sep}key"], [(name, F.col("_val"), dtype.valueType)],
-                  child, out, sep, keep_empty)
+            exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_val"))
+            _emit(exploded, keys + [idx], [(short, F.col("_val"), dtype.valueType)], child, out, sep,
+                  keep_empty, short + sep)
 
 
 def relationalize(df: DataFrame, key: str | list[str], name: str, sep: str = "_",

@@ -120,7 +120,11 @@ class _Gen:
                 ftype = resolve(parse_avro(f["type"]), self.named)
                 if self.qualify and ns and isinstance(ftype, dict) and ftype.get("type") == "record":
                     name = f"{ns}.{name}"
-                fields.append(self.gen(f["type"], f"{path}.{f['name']}", extra, ns).alias(name))
+                ftype_in = f["type"]
+                bounds = {k: f[k] for k in ("min_value", "max_value") if k in f}
+                if bounds and isinstance(ftype, str):
+                    ftype_in = {"type": ftype, **bounds}  # range given on the field instead of the type
+                fields.append(self.gen(ftype_in, f"{path}.{f['name']}", extra, ns).alias(name))
             return F.struct(*fields)
         if t == "array":
             lo, hi = ARRAY_LENGTH
