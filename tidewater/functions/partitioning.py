@@ -1,0 +1,19 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Round-robin a small-but-CPU-heavy input over all cores.
+
+    Used before stages whose cost is far larger than their input (synthesis from
+    ids, Python codecs): a single small file would otherwise run in one task.
+    Large inputs already have at least this many partitions and pass through
+    unchanged (the check only plans, it runs no job). Streams pass through.
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

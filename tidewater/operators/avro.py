@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.avro_types import named_types, parse_avro, record_schema
 from tidewater.functions.columns import wire_body, wire_schema_id
+from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.operators.decode import with_wire_header
 
 _AVAILABLE: dict[int, bool] = {}
@@ -58,7 +59,7 @@ def encode_avro(df: DataFrame, schema, schema_id: int | None = None, out_col: st
     from tidewater.functions.avro_codec import encode
     named = named_types(s)
     header = bytes([0]) + int(schema_id).to_bytes(4, "big") if schema_id is not None else b""
-    src = df.select(*keep, *[F.col(f"`{c}`") for c in fields if c not in keep])
+    src = spread_for_cpu(df.select(*keep, *[F.col(f"`{c}`") for c in fields if c not in keep]))
     out_schema = T.StructType([src.schema[c] for c in keep] + [T.StructField(out_col, T.BinaryType())])
 
     def run(batches: Iterator):
@@ -104,8 +105,8 @@ def decode_avro(df: DataFrame, reader_schema, writer_schemas: dict[int, str] | N
     named_r = named_types(rs)
     writers = {int(k): parse_avro(v) for k, v in (writer_schemas or {}).items()}
     named_w = {k: named_types(v) for k, v in writers.items()}
-    src = df.select(*keep, body.alias("_body"),
-                    (wire_schema_id(value_col) if wire else F.lit(None).cast("int")).alias("_sid"))
+    src = spread_for_cpu(df.select(*keep, body.alias("_body"),
+                                   (wire_schema_id(value_col) if wire else F.lit(None).cast("int")).alias("_sid")))
     # Top-level fields are nullable: an undecodable body yields nulls.
     fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in st.fields]
     out_schema = T.StructType([src.schema[c] for c in keep] + fields

@@ -9,6 +9,7 @@ after a lost executor (``rand``/``uuid`` would not be).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidewater.contracts.checks import ALIASES
 from tidewater.contracts.schema import Contract, spark_type
+from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.functions.avro_types import (collapsed_union_type, named_types, non_null_branches,
                                             parse_avro, resolve)
 
@@ -29,10 +31,12 @@ ARRAY_LENGTH = (1, 2)
 MAP_SIZE = 3
 STRING_LETTERS = "abcdef"
 STRING_LENGTH = 10
-ALPHANUMERIC = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+ALPHANUMERIC = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 _POS = (1 << 63) - 1
 _FRAC = 1 << 53
+_DIGITS36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PER_HASH = 10   # 36**10 < 2**53: ten digits per hash
 
 
 class _Gen:
@@ -42,7 +46,10 @@ class _Gen:
         self.null_fraction, self.qualify, self.named = null_fraction, qualify_names, named
 
     def h(self, path: str, extra: list) -> Column:
-        return F.xxhash64(F.lit(self.seed), F.lit(path), self.rid, *extra).bitwiseAND(F.lit(_POS))
+        # The (seed, path) pair is folded into one stable 64-bit literal on the driver,
+        # so each leaf hashes only longs.
+        salt = int.from_bytes(hashlib.blake2b(f"{self.seed}|{path}".encode(), digest_size=8).digest(), "big", signed=True)
+        return F.xxhash64(F.lit(salt), self.rid, *extra).bitwiseAND(F.lit(_POS))
 
     def unit(self, path: str, extra: list) -> Column:
         return self.h(path, extra).bitwiseAND(F.lit(_FRAC - 1)).cast("double") / F.lit(float(_FRAC))
@@ -53,11 +60,24 @@ class _Gen:
             return self.h(path, extra) + F.lit(lo)
         return F.lit(lo) + F.pmod(self.h(path, extra), F.lit(span))
 
-    def chars(self, alphabet: str, n: int | Column, path: str, extra: list) -> Column:
-        count = F.lit(n) if isinstance(n, int) else n
-        return F.array_join(F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda i: F.substring(F.lit(alphabet), (F.pmod(self.h(path, extra + [i]), F.lit(len(alphabet))) + 1).cast("int"), 1)), "")
+    def chars(self, alphabet: str, n: int | Column, path: str, extra: list, max_len: int | None = None) -> Column:
+        """``n`` characters of ``alphabet`` (at most 36 symbols): each hash gives ten
+        base-len(alphabet) digits via ``conv``, mapped onto the alphabet with
+        ``translate``. A few expression nodes per string keeps nested schemas
+        inside whole-stage codegen's method size limit."""
+        base = len(alphabet)
+        if base > len(_DIGITS36):
+            raise ValueError("alphabet longer than 36 symbols")
+        total = n if isinstance(n, int) else int(max_len)
+        pieces = []
+        for j in range((total + _PER_HASH - 1) // _PER_HASH):
+            r = F.pmod(self.h(path, extra + [F.lit(j)]), F.lit(base ** _PER_HASH))
+            pieces.append(F.lpad(F.conv(r.cast("string"), 10, base), _PER_HASH, "0"))
+        if not pieces:
+            return F.lit("")
+        digits = pieces[0] if len(pieces) == 1 else F.concat(*pieces)
+        text = F.translate(digits, _DIGITS36[:base], alphabet)
+        return F.substring(text, 1, total) if isinstance(n, int) else F.substring(text, 1, n.cast("int"))
 
     def uuid(self, path: str, extra: list) -> Column:
         hx = F.sha2(F.concat_ws("|", F.lit(str(self.seed)), F.lit(path), self.rid.cast("string"),
@@ -129,13 +149,17 @@ class _Gen:
         if t == "array":
             lo, hi = ARRAY_LENGTH
             n = self.int_in(lo, hi, path + "#len", extra)
+            if hi <= 16:
+                # Short arrays: build the longest array and slice it (no lambda, codegen).
+                items = [self.gen(s["items"], path + "[]", extra + [F.lit(i)], namespace) for i in range(hi)]
+                return F.slice(F.array(*items), 1, n.cast("int"))
             return F.transform(F.sequence(F.lit(0), n - 1),
                                lambda i: self.gen(s["items"], path + "[]", extra + [i], namespace))
         if t == "map":
-            keys = [f"key{i}" for i in range(MAP_SIZE)]
-            return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                                     F.array(*[self.gen(s["values"], path + "{}", extra + [F.lit(i)], namespace)
-                                               for i in range(MAP_SIZE)]))
+            kv = []
+            for i in range(MAP_SIZE):
+                kv += [F.lit(f"key{i}"), self.gen(s["values"], path + "{}", extra + [F.lit(i)], namespace)]
+            return F.create_map(*kv)
         if t == "enum":
             syms = s["symbols"]
             return F.element_at(F.array(*[F.lit(x) for x in syms]),
@@ -147,7 +171,7 @@ class _Gen:
 
 def _ids(spark: SparkSession, n: int | None, ids: DataFrame | None, id_col: str) -> DataFrame:
     if ids is not None:
-        return ids.select(F.col(id_col).cast("bigint").alias("_id"))
+        return spread_for_cpu(ids.select(F.col(id_col).cast("bigint").alias("_id")))
     return spark.range(int(n)).select(F.col("id").alias("_id"))
 
 
@@ -246,7 +270,7 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
         body = F.when(F.length(sid) >= body_min, sid).otherwise(F.lpad(sid, max(body_min, 1), "0"))
     else:
         n = g.int_in(body_min, body_max, name + "#len", [])
-        body = g.chars(STRING_LETTERS, n, name, [])
+        body = g.chars(STRING_LETTERS, n, name, [], max_len=body_max)
     if any(k in checks for k in ("str_matches", "str_contains", "notin")):
         raise NotImplementedError(f"cannot synthesize {name}: pattern checks need an isin list")
     return F.concat(F.lit(prefix), body, F.lit(suffix))

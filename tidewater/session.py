@@ -27,6 +27,9 @@ def build_session(master: str = "local[*]", partitions: int = 8, app: str = "tid
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # A whole-stage method above the JIT's 8000-bytecode limit would run
+        # interpreted; past that size, fall back to per-operator codegen.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
