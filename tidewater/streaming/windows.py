@@ -32,3 +32,18 @@ def tumble_sum_stream(stream: DataFrame, ts: str | None, key: str, value: str, w
     return (timed.groupBy(F.window("_t", width).alias("_w"), key)
             .agg(agg.cast("double").alias(out_col))
             .select(key, end.alias("window_end"), out_col))
+
+
+def stream_to_topic(stream: DataFrame, spec, checkpoint: str, key: str | None = None,
+                    available_now: bool = True, processing_time: str | None = None):
+    """Continuous topic -> aggregate -> topic: each micro-batch is published as
+    one atomic topic batch keyed by its batch id (replays are no-ops)."""
+    from tidewater.sinks.topics import json_value, publish, to_topic
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        k = F.col(key).cast("string") if key else None
+        publish(to_topic(batch, spec.name, json_value(batch), key=k), spec, batch_id)
+
+    w = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
+    return w.start()
