@@ -57,7 +57,7 @@ def burst_calendar(spark, sf):
                              width="1 hour", min_events=3)
 
 
-@plan("top_users", "A1 O1 O3", """
+@plan("top_users", "A1 O1 O3 O4", """
 SELECT * FROM (SELECT user_id, count(*) AS events FROM events GROUP BY 1
                ORDER BY events DESC, user_id LIMIT 25) ORDER BY user_id
 """)

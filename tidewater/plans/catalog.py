@@ -44,7 +44,7 @@ def avro_files(spark, sf):
     return read_avro_files(spark, path, reader)
 
 
-@plan("lake_sql", "S6 T6 C1 C4", """
+@plan("lake_sql", "S6 T6 C1 C4 F2", """
 SELECT event_type, count(*) AS events, max(ts) AS last_ts FROM events WHERE value > 100 GROUP BY 1
 """)
 def lake_sql(spark, sf):
@@ -106,3 +106,15 @@ def relationalize_csv(spark, sf):
     back = spark.read.option("header", True).schema("conv_id bigint, turns_index int, turns_turn bigint, "
                                                     "turns_role string").csv(paths["conversations_turns"])
     return back.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+
+
+@plan("value_only_stream", "S5 W3 W5 A8")
+def value_only_stream(spark, sf):
+    """Pass-through stream of message values as text (no watermark, no state)."""
+    from tidewater.sources.topics import value_stream
+    from tidewater.streaming.runner import run_available
+    topic = TopicSpec("events", path=scratch_path(spark, "topic-values"))
+    ev = table(spark, sf, "events")
+    publish(to_topic(ev, topic.name, json_value(ev), key=F.col("event_id").cast("string"), order_by=["event_id"]),
+            topic, 0)
+    return run_available(value_stream(read_topic(spark, topic, stream=True)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tidewater.contracts import Check, Column, Contract, validate
+from tidewater.contracts import ContractModel, Field, typed
 from tidewater.operators.decode import conform_json
 from tidewater.operators.synth import fake_people, pageviews, synthesize, synthesize_contract
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
@@ -30,28 +32,28 @@ def synth_rows(spark, sf):
     return out
 
 
-CITY_CONTRACT = Contract(name="cities", columns={
-    "state": Column("str", Check.isin(["FL", "CA"])),
-    "city": Column("str", Check.str_startswith("City_"), unique=True),
-    "price": Column("int64", Check.in_range(5, 20)),
-    "opened": Column("datetime64[ns]", Check.in_range("2010-01-01 00:00:00", "2012-01-01 00:00:00")),
-    "score": Column("float64", [Check.gt(0.0), Check.lt(1.0)]),
-})
+class CityModel(ContractModel):
+    """The same contract, declared class-style (validated on construction by ``typed``)."""
+    state: str = Field(isin=["FL", "CA"])
+    city: str = Field(str_startswith="City_", unique=True)
+    price: int = Field(in_range={"min_value": 5, "max_value": 20})
+    opened: dt.datetime = Field(in_range={"min_value": "2010-01-01 00:00:00", "max_value": "2012-01-01 00:00:00"})
+    score: float = Field(gt=0.0, lt=1.0)
 
 
-@plan("synth_contract", "G6 G8 V1")
+@plan("synth_contract", "G6 G8 V1 V20")
 def synth_contract(spark, sf):
     """Contract-conforming rows, one per customer id, checked by the same contract;
     plus fake people keyed by the same ids."""
     ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    rows = validate(CITY_CONTRACT, synthesize_contract(spark, CITY_CONTRACT, ids=ids, seed=3))
+    rows = typed(synthesize_contract(spark, CityModel.to_contract(), ids=ids, seed=3), CityModel)
     people = fake_people(spark, ids=ids, seed=3)
     return rows.select("state", "city", "price", "opened", "score").unionByName(
         people.select(F.col("state"), F.col("city"), F.lit(None).cast("bigint").alias("price"),
                       F.lit(None).cast("timestamp_ntz").alias("opened"), F.lit(None).cast("double").alias("score")))
 
 
-@plan("pageviews", "G7 K9 T4", """
+@plan("pageviews", "G7 K9 T4 F13", """
 SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
        'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'Address_' || CAST(event_id AS VARCHAR) AS address,
        'null' AS added_column, 42 AS added_column2

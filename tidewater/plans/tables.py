@@ -84,7 +84,7 @@ def upsert_events_latest(spark, sf):
     return read_table(spark, spec.path)
 
 
-@plan("append_topic", "K1 K5 K6 S2", """
+@plan("append_topic", "K1 K5 K6 S2 W5", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events
 """)
 def append_topic(spark, sf):
