@@ -39,7 +39,7 @@ class TableSpec:
     key: tuple[str, ...] = ()
     precombine: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    buckets: int = 16
+    buckets: int = 16   # size to ~table bytes / 512 MB on a cluster
     options: dict = field(default_factory=dict)
 
 
@@ -124,9 +124,11 @@ def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
     else:
         both = merged_in
     rank = F.struct(*[F.col(c) for c in spec.precombine], F.col("_src"))
-    # Hash-partitioning on the bucket satisfies the (bucket, key) grouping, so the
-    # merge needs this one shuffle and each bucket is written by a single task.
-    merged = (both.repartition("_bucket")
+    # Range-partitioning on the bucket gives about one touched bucket per task and
+    # satisfies the (bucket, key) grouping, so the merge needs this one shuffle and
+    # each bucket is rewritten by a single task. Size ``buckets`` so that one bucket
+    # is a few hundred MB: the merge runs with one task per touched bucket.
+    merged = (both.repartitionByRange(max(len(touched), 1), "_bucket")
               .groupBy("_bucket", *spec.key).agg(F.max_by(F.struct(*cols), rank).alias("_row"))
               .select("_row.*", "_bucket"))
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{spec.path}/data/v={version}")
