@@ -27,9 +27,15 @@ def validate_stream(stream: DataFrame, contract: Contract, valid_path: str, quar
     check_checkpoint(valid_path, checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        good, bad = validate(contract, batch, "quarantine", order_by=order_by)
-        good.write.mode("append").parquet(f"{valid_path}/batch={batch_id}")
-        bad.write.mode("append").parquet(f"{quarantine_path}/batch={batch_id}")
+        # Two writes read the same micro-batch: cache it once (a lost block is
+        # recomputed from the replayable source batch).
+        batch.persist()
+        try:
+            good, bad = validate(contract, batch, "quarantine", order_by=order_by)
+            good.write.mode("overwrite").parquet(f"{valid_path}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
