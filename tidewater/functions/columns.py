@@ -38,15 +38,24 @@ def _regex_literal(sep: str) -> str:
     return "".join("\\" + ch if ch in special else ch for ch in sep)
 
 
-def epoch_ms_to_timestamp(col: str | Column, ntz: bool = True) -> Column:
-    """Epoch milliseconds to a timestamp (NTZ by default, wall clock in UTC)."""
-    ts = F.timestamp_millis(_c(col).cast("bigint"))
-    return ts.cast("timestamp_ntz") if ntz else ts
+_NTZ_EPOCH = "1970-01-01 00:00:00"
 
 
-def timestamp_to_epoch_ms(col: str | Column) -> Column:
-    """Timestamp (NTZ read as UTC wall clock, or LTZ) to epoch milliseconds."""
-    return F.unix_millis(_c(col).cast("timestamp"))
+def epoch_ms_to_timestamp(col: str | Column, ntz: bool = True) -> Column:
+    """Epoch milliseconds to a timestamp: NTZ (UTC wall clock) by default, computed
+    by NTZ arithmetic so the session time zone does not matter; else LTZ."""
+    ms = _c(col).cast("bigint")
+    if ntz:
+        return F.timestamp_add("MILLISECOND", ms, F.lit(_NTZ_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_millis(ms)
+
+
+def timestamp_to_epoch_ms(col: str | Column, ntz: bool = True) -> Column:
+    """Timestamp to epoch milliseconds (truncating): an NTZ value is read as a UTC
+    wall clock without consulting the session zone; ``ntz=False`` for LTZ."""
+    if ntz:
+        return F.timestamp_diff("MILLISECOND", F.lit(_NTZ_EPOCH).cast("timestamp_ntz"), _c(col))
+    return F.unix_millis(_c(col))
 
 
 def render_row(*cols: str | Column, sep: str = " | ") -> Column:
