@@ -231,16 +231,23 @@ def duplicate_rows(df: DataFrame, cols: list[str], how: str = "all", order_by: s
 
 
 def _row_flags(contract: Contract, comp: Compiled, order_by: str | None, row_checks_only: bool):
+    """(frame, ok, reasons): ``ok`` is true for rows passing every row (and unique)
+    check; ``reasons`` lists the failed checks. Callers filter on ``ok`` first and
+    build the reasons array only for failing rows."""
     df = comp.df
-    reasons = [F.when(~ok, F.lit(f"{c}:{k}")) for c, k, ok in comp.row_rules]
+    rules = [(f"{c}:{k}", ok) for c, k, ok in comp.row_rules]
     if not row_checks_only:
         for cols in comp.unique_sets:
             df, dup = _dup_flags(df, cols, contract.report_duplicates, order_by)
-            flag = f"_dup_{len(reasons)}"
+            flag = f"_dup_{len(rules)}"
             df = df.withColumn(flag, dup).drop(*[c for c in df.columns if c.startswith("_u_")])
-            reasons.append(F.when(F.col(flag), F.lit(f"{','.join(cols)}:unique")))
-    arr = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    return df.withColumn("_reasons", arr)
+            rules.append((f"{','.join(cols)}:unique", ~F.col(flag)))
+    ok = F.lit(True)
+    for _, rule_ok in rules:
+        ok = ok & rule_ok
+    reasons = (F.array_compact(F.array(*[F.when(~rule_ok, F.lit(label)) for label, rule_ok in rules]))
+               if rules else F.array().cast("array<string>"))
+    return df, ok, reasons
 
 
 def _raise_on_structural(comp: Compiled) -> None:
@@ -300,14 +307,14 @@ def validate(contract: Contract, df: DataFrame, mode: str = "raise", index_colum
     _raise_on_structural(comp)
     if not row_checks_only:
         _raise_on_aggregates(comp)
-    flagged = _row_flags(contract, comp, order_by, row_checks_only)
+    flagged, ok, reasons = _row_flags(contract, comp, order_by, row_checks_only)
     keep = [F.col(f"`{c}`") for c in _final_columns(comp)]
-    valid = flagged.where(F.size("_reasons") == 0).select(*keep)
+    valid = flagged.where(ok).select(*keep)
     if mode == "drop":
         return valid
     orig = [F.coalesce(F.col(f"`_orig_{c}`").cast("string"), F.col(f"`{c}`").cast("string")).alias(c)
             if f"_orig_{c}" in flagged.columns else F.col(f"`{c}`") for c in _final_columns(comp)]
-    bad = flagged.where(F.size("_reasons") > 0).select(*orig, "_reasons")
+    bad = flagged.where(~ok).select(*orig, reasons.alias("_reasons"))
     return valid, bad
 
 
