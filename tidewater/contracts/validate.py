@@ -20,6 +20,7 @@ from tidewater.contracts.checks import Check, aggregate_predicate, element_predi
 from tidewater.contracts.schema import ColumnSpec, Contract, IndexSpec, dtype_matches, spark_type
 
 DATAFRAME = "<dataframe>"
+_SEP = "\u0001"
 REPORT_SCHEMA = T.StructType([T.StructField("column", T.StringType(), False),
                               T.StructField("check", T.StringType(), False),
                               T.StructField("failures", T.LongType(), False)])
@@ -245,7 +246,9 @@ def _row_flags(contract: Contract, comp: Compiled, order_by: str | None, row_che
     ok = F.lit(True)
     for _, rule_ok in rules:
         ok = ok & rule_ok
-    reasons = (F.array_compact(F.array(*[F.when(~rule_ok, F.lit(label)) for label, rule_ok in rules]))
+    # concat_ws skips nulls and, unlike array_compact (a lambda), stays in codegen;
+    # it is only evaluated on failing rows, which have at least one reason.
+    reasons = (F.split(F.concat_ws(_SEP, *[F.when(~rule_ok, F.lit(label)) for label, rule_ok in rules]), _SEP)
                if rules else F.array().cast("array<string>"))
     return df, ok, reasons
 
