@@ -112,3 +112,13 @@ SELECT n_nationkey, concat_ws(' | ', n_nationkey, n_name, n_regionkey) AS line F
 def render_rows(spark, sf):
     nation = table(spark, sf, "nation")
     return nation.select("n_nationkey", render_row("n_nationkey", "n_name", "n_regionkey").alias("line"))
+
+
+@plan("daily_value_sum", "A5 F8", """
+SELECT event_type, date_trunc('day', ts) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM events GROUP BY 1, 2
+""")
+def daily_value_sum(spark, sf):
+    ev = table(spark, sf, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    out = tb.daily_sum(ev, "event_type", "ts", "value")
+    return out.withColumn("value", F.col("value").cast("double"))

@@ -234,3 +234,20 @@ def contract_model(spark, sf):
     contract = Contract.from_yaml(CustomerModel.to_yaml())
     contract = contract.add_columns({"c_nationkey": Column("int32", Check.in_range(0, 24))})
     return validate(contract, table(spark, sf, "customer"), "report")
+
+
+@plan("validate_drop_lineitem", "V16 V1 A1", """
+SELECT l_returnflag, l_linestatus, count(*) AS lines,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM lineitem
+WHERE l_quantity >= 1 AND l_quantity <= 50 AND l_discount >= 0.0 AND l_discount <= 0.1 AND l_tax <= 0.06
+  AND l_extendedprice > 1000.0 AND l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1999-12-31'
+  AND l_returnflag IN ('A', 'N', 'R') AND l_linestatus IN ('F', 'O') AND l_linenumber BETWEEN 1 AND 7
+GROUP BY 1, 2
+""")
+def validate_drop_lineitem(spark, sf):
+    """Drop invalid rows (lazy filter, no extra job) and aggregate what remains."""
+    valid = validate(LINEITEM_CONTRACT.with_options(drop_invalid_rows=True), table(spark, sf, "lineitem"))
+    return valid.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"))
