@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.contracts.checks import Check, aggregate_predicate, element_predicate
+from tidewater.contracts.checks import aggregate_predicate, element_predicate
 from tidewater.contracts.schema import ColumnSpec, Contract, IndexSpec, dtype_matches, spark_type
 
 DATAFRAME = "<dataframe>"
