@@ -134,3 +134,18 @@ def test_avro_timestamps_and_types(spark):
     back = decode_avro(encode_avro(df, s), s, wire=False).drop("_avro_error")
     got = back.selectExpr("t", "u", "f", "m['a'] AS a").collect()
     assert got == df.selectExpr("t", "u", "f", "m['a'] AS a").collect()
+
+
+def test_kafka_options_mapping():
+    from tidewater.sources.topics import _kafka_options
+    spec = TopicSpec("pageviews-avro", bootstrap_servers="localhost:9092", max_per_trigger=20,
+                     group_id_prefix="ingest", options={"failOnDataLoss": "false"})
+    assert _kafka_options(spec) == {
+        "kafka.bootstrap.servers": "localhost:9092", "subscribe": "pageviews-avro", "startingOffsets": "earliest",
+        "includeHeaders": "true", "maxOffsetsPerTrigger": "20", "groupIdPrefix": "ingest",
+        "kafka.isolation.level": "read_committed", "failOnDataLoss": "false"}
+
+
+def test_missing_kafka_connector_is_explained(spark):
+    with pytest.raises(RuntimeError, match="file-backed"):
+        read_topic(spark, TopicSpec("t", bootstrap_servers="localhost:9092"))

@@ -59,7 +59,14 @@ def read_topic(spark: SparkSession, spec: TopicSpec, stream: bool = False) -> Da
     """
     if spec.path is None:
         reader = spark.readStream if stream else spark.read
-        return reader.format("kafka").options(**_kafka_options(spec)).load()
+        try:
+            return reader.format("kafka").options(**_kafka_options(spec)).load()
+        except Exception as e:  # noqa: BLE001 - re-raised with the remedy
+            if "kafka" in str(e).lower() and ("find data source" in str(e).lower()
+                                              or "DATA_SOURCE_NOT_FOUND" in str(e)):
+                raise RuntimeError("the Kafka connector is not on the classpath; add the "
+                                   "spark-sql-kafka package or use a file-backed TopicSpec(path=...)") from e
+            raise
     if stream:
         reader = spark.readStream.schema(T.StructType(TOPIC_SCHEMA.fields + [T.StructField("batch", T.LongType())]))
         if spec.max_per_trigger:
