@@ -174,3 +174,9 @@ VALID = {"column1": [1, 4, 0, 10, 9], "column2": [-1.3, -1.4, -2.9, -10.1, -20.4
          "column3": ["value_1", "value_2", "value_3", "value_2", "value_1"]}
 INVALID = {"column1": [1, 4, 0, 10, 9], "column2": [6.0, -1.4, -2.9, 10.1, -20.4],
            "column3": ["value_1", "value_2", "value_3", "value_2", "value_1"]}
+
+# schema.json plus the column added by add_columns (as serialized after the addition).
+COLUMN4 = {"title": None, "description": None, "dtype": "int64", "nullable": False,
+           "checks": {"greater_than_or_equal_to": 0}, "unique": False, "coerce": False, "required": True,
+           "regex": False}
+SCHEMA_WITH_COLUMN4_JSON = dict(SCHEMA_JSON, columns=dict(SCHEMA_JSON["columns"], column4=COLUMN4))

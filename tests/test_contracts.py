@@ -265,3 +265,12 @@ def test_timestamp_bounds_compare_as_timestamps(spark):
     rep = validate(c, df, "report").where("check = 'in_range'").first()
     assert rep["failures"] == 1
     assert not math.isnan(rep["failures"])
+
+
+def test_add_columns_serializes_like_schema_with_column4():
+    from tests.fixtures.contracts import SCHEMA_WITH_COLUMN4_JSON
+    c = Contract.from_dict(SCHEMA_JSON).add_columns({"column4": Column(int, Check.ge(0))})
+    assert c.to_dict() == SCHEMA_WITH_COLUMN4_JSON
+    assert Contract.from_dict(SCHEMA_WITH_COLUMN4_JSON).to_dict() == SCHEMA_WITH_COLUMN4_JSON
+    # the source contract is unchanged (contracts are immutable)
+    assert "column4" not in Contract.from_dict(SCHEMA_JSON).columns
