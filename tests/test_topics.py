@@ -149,3 +149,15 @@ def test_kafka_options_mapping():
 def test_missing_kafka_connector_is_explained(spark):
     with pytest.raises(RuntimeError, match="file-backed"):
         read_topic(spark, TopicSpec("t", bootstrap_servers="localhost:9092"))
+
+
+@pytest.mark.parametrize("name", sorted(AVRO_SCHEMAS))
+def test_compiled_decoder_matches_reference_decoder(spark, name):
+    from tidewater.functions.avro_codec import compile_decoder
+    from tidewater.operators.synth import synthesize
+    s = AVRO_SCHEMAS[name]
+    named = named_types(s)
+    for row in synthesize(spark, s, n=20, seed=4).collect():
+        buf = bytearray()
+        encode(row.asDict(recursive=True), s, named, buf)
+        assert compile_decoder(s, s, named, named)(bytes(buf)) == decode(bytes(buf), s, s, named, named)

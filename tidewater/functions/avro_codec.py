@@ -41,6 +41,8 @@ def encode(datum: Any, schema, named: dict, out: bytearray) -> None:
         if len(branches) > 1 and isinstance(datum, dict) and all(k.startswith("member") for k in datum):
             idx = next(i for i in range(len(branches)) if datum.get(f"member{i}") is not None)
             datum = datum[f"member{idx}"]
+        elif len(branches) > 1:
+            idx = _pick_branch(datum, branches, named)
         _zigzag(s.index(branches[idx]), out)
         encode(datum, branches[idx], named, out)
         return
@@ -95,6 +97,20 @@ def encode(datum: Any, schema, named: dict, out: bytearray) -> None:
         raise ValueError(f"cannot encode Avro type {t!r}")
 
 
+# Union branch preference per Python type (widest first).
+_PREFERRED = {bool: ("boolean",), int: ("long", "int", "double", "float"), float: ("double", "float"),
+              str: ("string", "enum"), bytes: ("bytes", "fixed"), bytearray: ("bytes", "fixed"),
+              dict: ("record", "map"), list: ("array",), tuple: ("array",)}
+
+
+def _pick_branch(datum, branches: list, named: dict) -> int:
+    kinds = [(b if isinstance(b, str) else b.get("type")) for b in (resolve(x, named) for x in branches)]
+    for want in _PREFERRED.get(type(datum), ()):
+        if want in kinds:
+            return kinds.index(want)
+    return 0
+
+
 # ---------------------------------------------------------------- decode
 
 class _Reader:
@@ -226,3 +242,130 @@ def _as_struct(branches: list, named: dict) -> bool:
 
 def decode(buf: bytes, writer, reader, named_w: dict, named_r: dict) -> Any:
     return _read(_Reader(buf), writer, reader, named_w, named_r)
+
+
+# ---------------------------------------------------------------- compiled decoders
+
+def compile_decoder(writer, reader, named_w: dict, named_r: dict):
+    """A function ``bytes -> value`` for one (writer, reader) pair.
+
+    Schema resolution (branch matching, defaults, skipped fields) is done once
+    here instead of once per value, which is what makes per-record decoding in a
+    task cheap enough.
+    """
+    fn = _compile(writer, reader, named_w, named_r)
+
+    def decode_one(buf: bytes):
+        return fn(_Reader(buf))
+
+    return decode_one
+
+
+def _compile(w, rd, named_w: dict, named_r: dict):  # noqa: C901 - one branch per Avro type
+    w = resolve(parse_avro(w), named_w)
+    rd = resolve(parse_avro(rd), named_r)
+    if isinstance(w, list):
+        rb = non_null_branches(rd) if isinstance(rd, list) else None
+        as_struct = rb is not None and len(rb) > 1 and _as_struct(rb, named_r)
+        fns = []
+        for branch in w:
+            if branch == "null":
+                fns.append(None)
+                continue
+            if rb is None:
+                target = rd
+            else:
+                pos = _match_branch(branch, rb, named_w, named_r) if len(rb) > 1 else 0
+                target = rb[pos]
+            inner = _compile(branch, target, named_w, named_r)
+            if as_struct:
+                names = [f"member{i}" for i in range(len(rb))]
+
+                def member(r, inner=inner, pos=pos, names=names):
+                    val = inner(r)
+                    return {n: (val if i == pos else None) for i, n in enumerate(names)}
+                fns.append(member)
+            else:
+                fns.append(inner)
+
+        def union(r, fns=fns):
+            f = fns[r.long()]
+            return None if f is None else f(r)
+        return union
+    if isinstance(rd, list):
+        rb = non_null_branches(rd)
+        rd = rb[_match_branch(w, rb, named_w, named_r)] if len(rb) > 1 else rb[0]
+    t = w if isinstance(w, str) else w["type"]
+    logical = None if isinstance(w, str) else w.get("logicalType")
+    if t == "null":
+        return lambda r: None
+    if t == "boolean":
+        return lambda r: r.take(1) != b"\x00"
+    if t in ("int", "long"):
+        if logical in ("timestamp-millis", "local-timestamp-millis", "timestamp-micros", "local-timestamp-micros"):
+            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
+            unit = "milliseconds" if logical.endswith("millis") else "microseconds"
+            return lambda r: base + dt.timedelta(**{unit: r.long()})
+        if logical == "date":
+            return lambda r: _DATE0 + dt.timedelta(days=r.long())
+        return lambda r: r.long()
+    if t == "float":
+        unpack_f = struct.Struct("<f").unpack
+        return lambda r: unpack_f(r.take(4))[0]
+    if t == "double":
+        unpack_d = struct.Struct("<d").unpack
+        return lambda r: unpack_d(r.take(8))[0]
+    if t == "string":
+        return lambda r: r.take(r.long()).decode("utf-8")
+    if t == "bytes":
+        return lambda r: r.take(r.long())
+    if t == "fixed":
+        size = int(w["size"])
+        return lambda r: r.take(size)
+    if t == "enum":
+        symbols = list(w["symbols"])
+        return lambda r: symbols[r.long()]
+    if t == "record":
+        rfields = ({f["name"]: f for f in rd["fields"]}
+                   if isinstance(rd, dict) and rd.get("type") == "record" else {})
+        steps = []
+        for f in w["fields"]:
+            target = rfields.get(f["name"])
+            steps.append((f["name"] if target is not None else None,
+                          _compile(f["type"], target["type"] if target else f["type"], named_w, named_r)))
+        written = {f["name"] for f in w["fields"]}
+        defaults = [(name, f.get("default")) for name, f in rfields.items() if name not in written]
+
+        def record(r, steps=steps, defaults=defaults):
+            got = {}
+            for name, fn in steps:
+                val = fn(r)
+                if name is not None:
+                    got[name] = val
+            for name, default in defaults:
+                got[name] = default
+            return got
+        return record
+    if t in ("array", "map"):
+        is_map = t == "map"
+        sub_w = w["values"] if is_map else w["items"]
+        sub_r = (rd["values"] if is_map else rd["items"]) if isinstance(rd, dict) else sub_w
+        item = _compile(sub_w, sub_r, named_w, named_r)
+
+        def blocks(r, item=item, is_map=is_map):
+            out = []
+            while True:
+                n = r.long()
+                if n == 0:
+                    return out
+                if n < 0:
+                    n = -n
+                    r.long()
+                for _ in range(n):
+                    if is_map:
+                        k = r.take(r.long()).decode("utf-8")
+                        out.append((k, item(r)))
+                    else:
+                        out.append(item(r))
+        return blocks
+    raise ValueError(f"cannot decode Avro type {t!r}")

@@ -101,7 +101,7 @@ def decode_avro(df: DataFrame, reader_schema, writer_schemas: dict[int, str] | N
             *keep, *[F.col(f"_r.`{f.name}`").alias(f.name) for f in st.fields],
             F.when(F.col("_r").isNull(), F.lit("malformed")).alias("_avro_error"))
 
-    from tidewater.functions.avro_codec import decode
+    from tidewater.functions.avro_codec import compile_decoder
     named_r = named_types(rs)
     writers = {int(k): parse_avro(v) for k, v in (writer_schemas or {}).items()}
     named_w = {k: named_types(v) for k, v in writers.items()}
@@ -116,14 +116,18 @@ def decode_avro(df: DataFrame, reader_schema, writer_schemas: dict[int, str] | N
     def run(batches: Iterator):
         import pyarrow as pa
         struct_type = pa.struct(list(arrow_fields))
+        decoders = {}   # writer schema id -> compiled decoder, built once per task
         for batch in batches:
             bodies = batch.column("_body").to_pylist()
             sids = batch.column("_sid").to_pylist()
             recs, errs = [], []
             for b, sid in zip(bodies, sids):
-                w = writers.get(sid, rs) if sid is not None else rs
+                dec = decoders.get(sid)
+                if dec is None:
+                    w = writers.get(sid, rs) if sid is not None else rs
+                    dec = decoders[sid] = compile_decoder(w, rs, named_w.get(sid, named_r), named_r)
                 try:
-                    recs.append(None if b is None else decode(b, w, rs, named_w.get(sid, named_r), named_r))
+                    recs.append(None if b is None else dec(b))
                     errs.append(None if b is not None else "null value")
                 except Exception as e:  # noqa: BLE001 - a bad record must not stop the stream
                     recs.append(None)
