@@ -118,3 +118,15 @@ def test_read_topic_table_registers_view(spark):
     spark.range(3).write.parquet(f"{base}/pageviews_avro")
     read_topic_table(spark, base, "pageviews-avro")
     assert spark.sql("SELECT count(*) FROM pageviews_avro").first()[0] == 3
+
+
+def test_stream_bursts_equal_batch_on_closed_buckets(spark):
+    from tidewater.streaming.windows import bursts_stream
+    ev, topic = _topic_with_events(spark, [0, 1])
+    good, _ = decode_json(read_topic(spark, topic, stream=True), DDL, meta=[], key_as_string=False)
+    streamed = run_available(bursts_stream(good.drop("key"), "user_id", "ts", "1 hour", 2))
+    batch = tb.bursts(ev, "user_id", "ts", "1 hour", 2, sort=False)
+    cutoff = ev.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
+    closed = batch.where(F.col("bucket_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(cutoff))
+    assert streamed.count() > 0
+    assert streamed.exceptAll(closed).count() == 0 and closed.exceptAll(streamed).count() == 0

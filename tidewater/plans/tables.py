@@ -208,3 +208,19 @@ def union_bag(spark, sf):
     ev.where(~F.col("event_type").isin("click", "error")).write.options(header=True, **JSON_OPTIONS).csv(b)
     return (spark.read.schema(EVENTS_DDL).options(header=True, enforceSchema=True, **JSON_OPTIONS)
             .csv([a, b]))
+
+
+@plan("user_bursts_stream", "A4 A3 T7 W1", """
+SELECT user_id, time_bucket(INTERVAL '1 hour', ts) AS bucket_start, count(*) AS events, 1 AS fail_event
+FROM events GROUP BY 1, 2
+HAVING count(*) >= 2
+   AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES
+""")
+def user_bursts_stream(spark, sf):
+    """Bursts (>= 2 events per user and hour) detected on the event stream."""
+    from tidewater.streaming.windows import bursts_stream
+    topic = TopicSpec("events", path=scratch_path(spark, "topic-events"))
+    _publish_events(spark, sf, topic, 0, True)
+    _publish_events(spark, sf, topic, 1, False)
+    return run_available(bursts_stream(_events_stream(spark, topic), "user_id", "ts", "1 hour", 2,
+                                       delay="10 minutes"))

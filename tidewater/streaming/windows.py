@@ -47,3 +47,17 @@ def stream_to_topic(stream: DataFrame, spec, checkpoint: str, key: str | None =
     w = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     return w.start()
+
+
+def bursts_stream(stream: DataFrame, key: str, ts: str, width: str, min_events: int,
+                  delay: str = "10 minutes", count_col: str = "events") -> DataFrame:
+    """Streaming burst detection: buckets where a key has at least ``min_events``
+    rows, emitted once the bucket closes (append mode). Same result as the batch
+    ``bursts`` on every bucket ending at or before max(ts) - delay."""
+    ntz = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    timed = stream.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", delay)
+    start = F.col("_w.start").cast("timestamp_ntz") if ntz else F.col("_w.start")
+    return (timed.groupBy(key, F.window("_t", width).alias("_w"))
+            .agg(F.count(F.lit(1)).alias(count_col))
+            .where(F.col(count_col) >= min_events)
+            .select(key, start.alias("bucket_start"), count_col, F.lit(1).alias("fail_event")))
