@@ -48,6 +48,13 @@ def encode_avro(df: DataFrame, schema, schema_id: int | None = None, out_col: st
     s = parse_avro(schema)
     fields = [f["name"] for f in s["fields"]]
     spark = df.sparkSession
+    # Fields the rows lack take their declared defaults (filled on write).
+    declared = record_schema(s)
+    missing = [f for f in s["fields"] if f["name"] not in df.columns]
+    for f in missing:
+        if "default" not in f:
+            raise ValueError(f"field {f['name']!r} is missing and has no default")
+        df = df.withColumn(f["name"], F.lit(f["default"]).cast(declared[f["name"]].dataType))
     if use_builtin is None:
         use_builtin = avro_functions_available(spark)
     if use_builtin:

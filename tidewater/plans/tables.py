@@ -11,7 +11,7 @@ from tidewater.plans.topics import EVENT_COLS, EVENTS_DDL
 from tidewater.session import scratch_path
 from tidewater.sinks.tables import (TableSpec, append_stream, hourly_files, read_table, upsert,
                                     upsert_stream)
-from tidewater.sinks.topics import JSON_OPTIONS, json_value, publish, to_topic
+from tidewater.sinks.topics import JSON_OPTIONS, hashed_uuid, json_value, publish, to_topic
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.operators.decode import decode_json
 from tidewater.streaming.ingest import IngestSpec, run_ingest
@@ -113,7 +113,7 @@ def ingest_job(spark, sf):
     topic = TopicSpec("pageviews-json", path=scratch_path(spark, "topic-ingest"))
     _publish_events(spark, sf, topic, 0, None)
     target = TableSpec("pageviews_json", scratch_path(spark, "ingest-table"))
-    spec = IngestSpec(source=topic, schema=EVENTS_DDL, target=target, checkpoint=scratch_path(spark, "ckpt-ingest"),
+    spec = IngestSpec(source=topic, target=target, checkpoint=scratch_path(spark, "ckpt-ingest"), schema=EVENTS_DDL,
                       required=("event_id",))
     run_ingest(spark, spec).awaitTermination()
     return spark.read.parquet(target.path).select("key", *EVENT_COLS)
@@ -224,3 +224,31 @@ def user_bursts_stream(spark, sf):
     _publish_events(spark, sf, topic, 1, False)
     return run_available(bursts_stream(_events_stream(spark, topic), "user_id", "ts", "1 hour", 2,
                                        delay="10 minutes"))
+
+
+@plan("ingest_avro_job", "K7 T1 S11 W4 K9 T4", """
+SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
+       'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'Address_' || CAST(event_id AS VARCHAR) AS address,
+       'null' AS added_column, 42 AS added_column2
+FROM events
+""")
+def ingest_avro_job(spark, sf):
+    """Pageviews produced as wire-format Avro with the latest schema (fields the
+    producer lacks filled with defaults on write), ingested by the config-driven
+    job with offsets on every row."""
+    from tidewater.operators.avro import encode_avro
+    from tidewater.operators.synth import pageviews
+    from tidewater.plans.avro_fixtures import PAGEVIEWS_SCHEMA
+    from tidewater.plans.topics import _registry
+    reg = _registry(spark)
+    rows = pageviews(table(spark, sf, "events").select(F.col("event_id").alias("id")))  # has column/column2 extras
+    enc = encode_avro(rows, PAGEVIEWS_SCHEMA, schema_id=5, out_col="_value", keep=["viewtime", "userid"])
+    topic = TopicSpec("pageviews-avro", path=scratch_path(spark, "topic-pv-avro"))
+    publish(to_topic(enc, topic.name, F.col("_value"), key=hashed_uuid("userid"), order_by=["viewtime"]), topic, 0)
+    target = TableSpec("pageviews_avro", scratch_path(spark, "ingest-avro"))
+    run_ingest(spark, IngestSpec(source=topic, target=target, checkpoint=scratch_path(spark, "ckpt-ingest-avro"),
+                                 value_format="avro", registry=reg, required=("viewtime",))).awaitTermination()
+    out = spark.read.parquet(target.path)
+    if not {"partition", "offset", "_topic_timestamp"} <= set(out.columns):
+        raise RuntimeError("ingest lost the source offsets")
+    return out.select("viewtime", "userid", "pageid", "address", "added_column", "added_column2")

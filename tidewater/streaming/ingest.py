@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.decode import decode_json
@@ -15,24 +15,46 @@ from tidewater.sources.topics import TopicSpec, read_topic
 @dataclass(frozen=True)
 class IngestSpec:
     source: TopicSpec
-    schema: str                      # DDL of the decoded value
     target: TableSpec
     checkpoint: str
+    schema: str | None = None        # DDL of a JSON value
     operation: str = "insert"        # insert (append) | upsert (needs target.key/precombine)
-    value_format: str = "json"       # json | avro (wire format, needs a decoder, see README)
+    value_format: str = "json"       # json | avro (wire format: header + body)
+    registry: DataFrame | None = None  # avro: (subject, version, id, schema) table
+    subject: str | None = None       # avro: default "<topic>-value"
     offsets_on_rows: bool = True     # keep partition, offset, timestamp on every row
     required: tuple[str, ...] = ()
     dead_letter_path: str | None = None
     available_now: bool = True
 
 
+def _decode(spark: SparkSession, raw: DataFrame, spec: IngestSpec, meta: list[str]):
+    if spec.value_format == "json":
+        return decode_json(raw, spec.schema, required=list(spec.required), meta=meta)
+    if spec.value_format != "avro":
+        raise ValueError(f"unknown value_format {spec.value_format!r}")
+    if spec.registry is None:
+        raise ValueError("avro ingest needs a registry table")
+    from tidewater.operators.avro import decode_avro
+    from tidewater.sources.registry import latest_schema, schemas_by_id, subject_for_topic
+    subject = spec.subject or subject_for_topic(spec.source.name)
+    _, reader = latest_schema(spec.registry, subject)          # once per query, on the driver
+    keyed = raw.withColumn("key", F.col("key").cast("string"))
+    out = decode_avro(keyed, reader, schemas_by_id(spec.registry, subject), keep=["key", *meta, "value"])
+    missing = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in spec.required]
+    reason = F.coalesce(F.col("_avro_error"), *missing)
+    flagged = out.withColumn("_reason", reason)
+    fields = [c for c in out.columns if c not in ("key", "value", "_avro_error", *meta)]
+    good = flagged.where(F.col("_reason").isNull()).select("key", *meta, *fields)
+    bad = flagged.where(F.col("_reason").isNotNull()).select("key", *meta, "value", F.col("_reason").alias("reason"))
+    return good, bad
+
+
 def run_ingest(spark: SparkSession, spec: IngestSpec):
     """Start the ingest stream; returns the StreamingQuery (or queries with dead letters)."""
     raw = read_topic(spark, spec.source, stream=True)
-    if spec.value_format != "json":
-        raise NotImplementedError("only JSON payloads are decoded on this build; see README")
     meta = ["partition", "offset", "timestamp"] if spec.offsets_on_rows else []
-    good, bad = decode_json(raw, spec.schema, required=list(spec.required), meta=meta)
+    good, bad = _decode(spark, raw, spec, meta)
     if spec.offsets_on_rows:
         good = good.withColumnRenamed("timestamp", "_topic_timestamp")
     if spec.operation == "upsert":
