@@ -130,3 +130,16 @@ def test_stream_bursts_equal_batch_on_closed_buckets(spark):
     closed = batch.where(F.col("bucket_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(cutoff))
     assert streamed.count() > 0
     assert streamed.exceptAll(closed).count() == 0 and closed.exceptAll(streamed).count() == 0
+
+
+def test_processing_time_tumble_in_complete_mode(spark):
+    """Processing time is fixed per micro-batch: one batch lands in one window per key."""
+    ev, topic = _topic_with_events(spark, [0, 1])
+    good, _ = decode_json(read_topic(spark, topic, stream=True), DDL, meta=[], key_as_string=False)
+    agg = tumble_sum_stream(good.drop("key"), None, "event_type", "value", "60 seconds", "0.85",
+                            decimal_scale=2)
+    out = run_available(agg, output_mode="complete").groupBy("event_type").agg(F.sum("window_sales").alias("s"))
+    want = tb.tumble_sum(ev.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")), "ts", "event_type",
+                         "value", "1 day", "0.85", decimal_scale=2)
+    got = {r["event_type"]: round(r["s"], 4) for r in out.collect()}
+    assert got == {r["event_type"]: round(r["window_sales"], 4) for r in want.collect()}

@@ -18,10 +18,20 @@ def run_available(stream: DataFrame, path: str | None = None, checkpoint: str |
     spark = stream.sparkSession
     path = path or scratch_path(spark, "stream-out")
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
-    w = (stream.writeStream.format(fmt).outputMode(output_mode).option("path", path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    if output_mode == "append":
+        w = (stream.writeStream.format(fmt).outputMode("append").option("path", path)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+    else:
+        # File sinks only append; a complete/update result table is rewritten by
+        # each micro-batch, so the folder holds the latest full result.
+        def each(batch: DataFrame, _batch_id: int) -> None:
+            out = batch.write.mode("overwrite").format(fmt)
+            (out.partitionBy(*partition_by) if partition_by else out).save(path)
+
+        w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+             .foreachBatch(each).trigger(availableNow=True))
     q = w.start()
     q.awaitTermination(timeout_s)
     if q.isActive:
