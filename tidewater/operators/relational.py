@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import ensure_checkpoint_dir
+
 
 def _walk(prefix: str, expr: Column, dtype: T.DataType, sep: str, scalars: list, nested: list) -> None:
     if isinstance(dtype, T.StructType):
@@ -54,12 +56,17 @@ def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.
 
 
 def relationalize(df: DataFrame, key: str | list[str], name: str, sep: str = "_",
-                  keep_empty: bool = True) -> dict[str, DataFrame]:
+                  keep_empty: bool = True, materialize: bool = False) -> dict[str, DataFrame]:
     """Split a nested frame into ``{name: parent, name_list: child, ...}``.
 
     ``keep_empty`` keeps one all-null child row for a null or empty list (as an
-    outer explode does); ``False`` drops those rows.
+    outer explode does); ``False`` drops those rows. ``materialize`` writes the
+    nested input once (reliable checkpoint) so writing several output tables does
+    not recompute it (e.g. a join or grouping that built the nesting).
     """
+    if materialize and not df.isStreaming:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     keys = [key] if isinstance(key, str) else list(key)
     cols = [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in keys]
     out: dict[str, DataFrame] = {}

@@ -102,7 +102,7 @@ def relationalize_csv(spark, sf):
     conv = table(spark, sf, "conversations")
     nested = conv.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role")).alias("turns"))
     base = scratch_path(spark, "objects-csv")
-    paths = write_tables(relationalize(nested, "conv_id", "conversations"), base)
+    paths = write_tables(relationalize(nested, "conv_id", "conversations", materialize=True), base)
     back = spark.read.option("header", True).schema("conv_id bigint, turns_index int, turns_turn bigint, "
                                                     "turns_role string").csv(paths["conversations_turns"])
     return back.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
