@@ -143,3 +143,11 @@ def test_processing_time_tumble_in_complete_mode(spark):
                          "value", "1 day", "0.85", decimal_scale=2)
     got = {r["event_type"]: round(r["s"], 4) for r in out.collect()}
     assert got == {r["event_type"]: round(r["window_sales"], 4) for r in want.collect()}
+
+
+def test_upsert_additive_schema_evolution(spark):
+    spec = TableSpec("evolve", scratch_path(spark, "evolve"), key=("k",), precombine=("v",), buckets=4)
+    upsert(spark.createDataFrame([(i, 0) for i in range(20)], "k long, v int"), spec, 0)
+    upsert(spark.createDataFrame([(3, 1, "x")], "k long, v int, note string"), spec, 1)
+    rows = {r["k"]: (r["v"], r["note"]) for r in read_table(spark, spec.path).collect()}
+    assert len(rows) == 20 and rows[3] == (1, "x") and rows[4] == (0, None)

@@ -151,9 +151,11 @@ def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
     merged_in = incoming.withColumn("_src", F.lit(1))
     old_paths = _bucket_paths(spec.path, current, touched) if current else []
     if old_paths:
-        existing = (spark.read.parquet(*old_paths).select(*cols)
+        old = spark.read.option("mergeSchema", True).parquet(*old_paths)
+        # Columns added by this batch are null in older rows (additive evolution).
+        existing = (old.select(*[c for c in cols if c in old.columns])
                     .withColumn("_bucket", _bucket_col(spec.key, spec.buckets)).withColumn("_src", F.lit(0)))
-        both = existing.unionByName(merged_in)
+        both = existing.unionByName(merged_in, allowMissingColumns=True)
     else:
         both = merged_in
     rank = F.struct(*[F.col(c) for c in spec.precombine], F.col("_src"))
@@ -168,8 +170,10 @@ def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
     buckets = dict(current["buckets"]) if current else {}
     for b in touched:
         buckets[str(b)] = version
+    known = current["columns"] if current else []
+    columns = cols + [c for c in known if c not in cols]
     manifest = {"version": version, "batch_id": batch_id, "buckets": buckets, "bucket_count": spec.buckets,
-                "key": list(spec.key), "precombine": list(spec.precombine), "columns": cols}
+                "key": list(spec.key), "precombine": list(spec.precombine), "columns": columns}
     if not fs.write_text_atomic(spark, f"{_manifest_dir(spec)}/{version}.json", json.dumps(manifest)):
         raise RuntimeError(f"concurrent commit of version {version} on {spec.path}")
     fs.delete(spark, staging)
@@ -194,7 +198,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     paths = _bucket_paths(path, manifest, sorted(int(b) for b in manifest["buckets"]))
     if not paths:
         return spark.createDataFrame([], spark.read.parquet(f"{path}/data").drop("_bucket").schema)
-    return spark.read.parquet(*paths).select(*manifest["columns"])
+    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in manifest["columns"]])
 
 
 def read_topic_table(spark: SparkSession, base: str, topic: str, fmt: str = "parquet", view: bool = True) -> DataFrame:
