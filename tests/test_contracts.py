@@ -274,3 +274,18 @@ def test_add_columns_serializes_like_schema_with_column4():
     assert Contract.from_dict(SCHEMA_WITH_COLUMN4_JSON).to_dict() == SCHEMA_WITH_COLUMN4_JSON
     # the source contract is unchanged (contracts are immutable)
     assert "column4" not in Contract.from_dict(SCHEMA_JSON).columns
+
+
+def test_optional_fields_are_nullable(spark):
+    from typing import Optional
+
+    class Person(ContractModel):
+        name: str = Field(str_startswith="P")
+        age: Optional[int] = Field(ge=0)
+        city: str | None = Field()
+
+    c = Person.to_contract()
+    assert c.columns["age"].nullable and c.columns["city"].nullable and not c.columns["name"].nullable
+    assert c.columns["age"].dtype == "int64"
+    df = spark.createDataFrame([("Pia", None, None), ("Pat", 3, "x")], "name string, age long, city string")
+    assert Person.validate(df).count() == 2

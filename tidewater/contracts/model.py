@@ -12,7 +12,8 @@ and validates in one step (validate on construction).
 from __future__ import annotations
 
 import datetime as dt
-from typing import Any, get_type_hints
+import types
+from typing import Any, Union, get_args, get_origin, get_type_hints
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,10 @@ class ContractModel:
                 checks.append(Check.in_range(**kw.pop("in_range")))
             if "str_length" in kw:
                 checks.append(Check.str_length(**kw.pop("str_length")))
+            args = [a for a in get_args(hint) if a is not type(None)]
+            if get_origin(hint) in (Union, types.UnionType) and len(args) == 1:
+                hint = args[0]                     # Optional[X]: X, nullable
+                kw.setdefault("nullable", True)
             columns[name] = ColumnSpec(dtype=_HINTS.get(hint, hint), checks=tuple(checks), **kw)
         opts = {k: v for k, v in vars(cls.Config).items() if not k.startswith("_")}
         opts.setdefault("name", cls.__name__)
