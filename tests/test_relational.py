@@ -62,3 +62,10 @@ def test_ddl_text(spark):
     assert ddl_for(df, "decision_results") == (
         'CREATE TABLE IF NOT EXISTS "public"."decision_results" (\n    "id" BIGINT,\n'
         '    "name" VARCHAR,\n    "w" DOUBLE PRECISION\n);')
+
+
+def test_choice_inference_refuses_data_keys(spark):
+    import pytest
+    df = spark.createDataFrame([(f'{{"user_{i}": {i}}}',) for i in range(50)], ["j"])
+    with pytest.raises(ValueError, match="map"):
+        infer_json_types(df, "j", max_shapes=10)

@@ -134,18 +134,23 @@ def _type_paths(path: str, type_str: str, acc: dict[str, set[str]]) -> None:
     acc.setdefault(path, set()).add(kind)
 
 
-def infer_json_types(df: DataFrame, col: str) -> dict[str, set[str]]:
+def infer_json_types(df: DataFrame, col: str, max_shapes: int = 100_000) -> dict[str, set[str]]:
     """Per dotted path (``a.b``), the set of JSON kinds seen (int, float, str, bool, array).
 
     One job: top-level fields are exploded and grouped by (key, value type), so
-    the driver receives one row per distinct (path, type) — bounded by the schema
-    size, not the row count.
+    the driver receives one row per distinct (key, type) — bounded by the schema
+    size, not the row count. Documents that use data values as object keys (a map
+    written as an object) have no fixed schema; more than ``max_shapes`` distinct
+    shapes raises instead of pulling them all to the driver.
     """
     spark = df.sparkSession
     parsed = df.select(F.try_parse_json(F.col(col)).alias("_v"))
     shapes = spark.sql(
         "SELECT e.key AS k, schema_of_variant(e.value) AS t FROM {src}, LATERAL variant_explode(_v) AS e "
-        "GROUP BY 1, 2", src=parsed).collect()
+        "GROUP BY 1, 2", src=parsed).limit(max_shapes + 1).collect()
+    if len(shapes) > max_shapes:
+        raise ValueError(f"more than {max_shapes} distinct top-level (key, type) shapes in {col!r}: "
+                         "keys look like data; read that object as a map instead")
     acc: dict[str, set[str]] = {}
     for row in shapes:
         _type_paths(row["k"], row["t"] or "VOID", acc)
