@@ -84,3 +84,11 @@ def test_row_index_matches_row_number(spark):
     a = with_row_index(df, "ix", ["id"], ["g"])
     b = df.withColumn("ix", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_histogram_grid_spans_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(tb, "GRID_BLOCK", 7)
+    h = tb.time_histogram(log_rows(spark), "datetime", "1 minute").collect()
+    assert len(h) == 151   # 10:01 .. 12:31 inclusive
+    assert sum(r["events"] for r in h) == 8
+    assert len({r["bucket_start"] for r in h}) == len(h)

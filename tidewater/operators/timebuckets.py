@@ -31,16 +31,27 @@ def bucket_counts(df: DataFrame, ts: str, width: str, keys: list[str] | None = N
         *keys, F.col("_w.start").alias("bucket_start"), count_col)
 
 
+GRID_BLOCK = 100_000  # buckets generated per grid row
+
+
 def time_histogram(df: DataFrame, ts: str, width: str, count_col: str = "events") -> DataFrame:
     """Zero-filled histogram: every bucket between the first and last observed one.
 
-    The grid comes from ``sequence(min, max, width)`` over the (small) bucket
-    counts, is unioned in with zero counts and summed: no join, and the only
-    shuffle of source rows is the partial-aggregated count.
+    The grid is unioned in with zero counts and summed: no join, and the only
+    shuffle of source rows is the partial-aggregated count. The grid is built in
+    two levels — block starts ``sequence(min, max, width * GRID_BLOCK)``, spread
+    over the cluster, then the buckets of each block — so a fine width over a
+    long span is generated in parallel rather than as one huge array in one task.
     """
     counts = bucket_counts(df, ts, width, count_col=count_col)
-    grid = (counts.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"))
-            .select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {width}"))).alias("bucket_start"))
+    step = F.expr(f"INTERVAL {width}")
+    block = step * F.lit(GRID_BLOCK)
+    spark = df.sparkSession
+    blocks = (counts.agg(F.min("bucket_start").alias("lo"), F.max("bucket_start").alias("hi"))
+              .select("hi", F.explode(F.sequence("lo", "hi", block)).alias("b"))
+              .repartition(spark.sparkContext.defaultParallelism))
+    grid = (blocks.select(F.explode(F.sequence("b", F.least("hi", F.col("b") + block - step), step))
+                          .alias("bucket_start"))
             .withColumn(count_col, F.lit(0).cast("bigint")))
     return (counts.unionByName(grid)
             .groupBy("bucket_start").agg(F.sum(count_col).cast("bigint").alias(count_col)))
