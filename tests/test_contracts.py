@@ -289,3 +289,9 @@ def test_optional_fields_are_nullable(spark):
     assert c.columns["age"].dtype == "int64"
     df = spark.createDataFrame([("Pia", None, None), ("Pat", 3, "x")], "name string, age long, city string")
     assert Person.validate(df).count() == 2
+
+
+def test_contract_methods(spark):
+    df = frame(spark, VALID)
+    assert INLINE(df).count() == 5 and INLINE.validate(df).count() == 5
+    assert INLINE.report(frame(spark, INVALID)).where("failures > 0").count() == 1

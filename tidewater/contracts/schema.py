@@ -146,6 +146,19 @@ class Contract:
         if isinstance(self.unique, str):
             object.__setattr__(self, "unique", (self.unique,))
 
+    # --- validation ------------------------------------------------------
+    def validate(self, df, mode: str = "raise", **kw):
+        """``contract.validate(df)``; see ``tidewater.contracts.validate``."""
+        from tidewater.contracts.validate import validate
+        return validate(self, df, mode, **kw)
+
+    def __call__(self, df, **kw):
+        """``contract(df)``: validate in the default (raise) mode."""
+        return self.validate(df, **kw)
+
+    def report(self, df, **kw):
+        return self.validate(df, "report", **kw)
+
     # --- evolution -------------------------------------------------------
     def add_columns(self, extra: dict[str, ColumnSpec]) -> Contract:
         return replace(self, columns={**self.columns, **extra})
