@@ -135,93 +135,6 @@ class _Reader:
         return out
 
 
-def _read(r: _Reader, w, rd, named_w: dict, named_r: dict) -> Any:
-    """Read a value written with ``w``; shape it as reader schema ``rd``."""
-    w = resolve(parse_avro(w), named_w)
-    rd = resolve(parse_avro(rd), named_r)
-    if isinstance(w, list):
-        branch = w[r.long()]
-        if branch == "null":
-            return None
-        if isinstance(rd, list):
-            rb = non_null_branches(rd)
-            if len(rb) > 1 and _as_struct(rb, named_r):
-                pos = _match_branch(branch, rb, named_w, named_r)
-                val = _read(r, branch, rb[pos], named_w, named_r)
-                return {f"member{i}": (val if i == pos else None) for i in range(len(rb))}
-            rd = rb[_match_branch(branch, rb, named_w, named_r)] if len(rb) > 1 else rb[0]
-        return _read(r, branch, rd, named_w, named_r)
-    if isinstance(rd, list):
-        rb = non_null_branches(rd)
-        rd = rb[_match_branch(w, rb, named_w, named_r)] if len(rb) > 1 else rb[0]
-    t = w if isinstance(w, str) else w["type"]
-    logical = None if isinstance(w, str) else w.get("logicalType")
-    if t == "null":
-        return None
-    if t == "boolean":
-        return r.take(1) != b"\x00"
-    if t in ("int", "long"):
-        n = r.long()
-        if logical in ("timestamp-millis", "local-timestamp-millis"):
-            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
-            return base + dt.timedelta(milliseconds=n)
-        if logical in ("timestamp-micros", "local-timestamp-micros"):
-            base = _EPOCH if logical.startswith("local") else _EPOCH_UTC
-            return base + dt.timedelta(microseconds=n)
-        if logical == "date":
-            return _DATE0 + dt.timedelta(days=n)
-        return n
-    if t == "float":
-        return struct.unpack("<f", r.take(4))[0]
-    if t == "double":
-        return struct.unpack("<d", r.take(8))[0]
-    if t == "string":
-        return r.take(r.long()).decode("utf-8")
-    if t == "bytes":
-        return r.take(r.long())
-    if t == "fixed":
-        return r.take(int(w["size"]))
-    if t == "enum":
-        return w["symbols"][r.long()]
-    if t == "record":
-        rfields = {f["name"]: f for f in rd["fields"]} if isinstance(rd, dict) and rd.get("type") == "record" else {}
-        got = {}
-        for f in w["fields"]:
-            target = rfields.get(f["name"])
-            val = _read(r, f["type"], target["type"] if target else f["type"], named_w, named_r)
-            if target is not None:
-                got[f["name"]] = val
-        for name, f in rfields.items():
-            if name not in got:
-                got[name] = f.get("default")
-        return got
-    if t == "array":
-        out = []
-        ritems = rd["items"] if isinstance(rd, dict) else w["items"]
-        while True:
-            n = r.long()
-            if n == 0:
-                return out
-            if n < 0:
-                n = -n
-                r.long()
-            out.extend(_read(r, w["items"], ritems, named_w, named_r) for _ in range(n))
-    if t == "map":
-        out = []
-        rvals = rd["values"] if isinstance(rd, dict) else w["values"]
-        while True:
-            n = r.long()
-            if n == 0:
-                return out
-            if n < 0:
-                n = -n
-                r.long()
-            for _ in range(n):
-                k = r.take(r.long()).decode("utf-8")
-                out.append((k, _read(r, w["values"], rvals, named_w, named_r)))
-    raise ValueError(f"cannot decode Avro type {t!r}")
-
-
 def _kind(s, named) -> str:
     s = resolve(s, named)
     return s if isinstance(s, str) else (s.get("name") or s["type"])
@@ -241,7 +154,8 @@ def _as_struct(branches: list, named: dict) -> bool:
 
 
 def decode(buf: bytes, writer, reader, named_w: dict, named_r: dict) -> Any:
-    return _read(_Reader(buf), writer, reader, named_w, named_r)
+    """Decode one body (compiles the schema pair; use ``compile_decoder`` in loops)."""
+    return compile_decoder(writer, reader, named_w, named_r)(buf)
 
 
 # ---------------------------------------------------------------- compiled decoders
