@@ -252,3 +252,27 @@ def ingest_avro_job(spark, sf):
     if not {"partition", "offset", "_topic_timestamp"} <= set(out.columns):
         raise RuntimeError("ingest lost the source offsets")
     return out.select("viewtime", "userid", "pageid", "address", "added_column", "added_column2")
+
+
+@plan("ingest_validated", "K7 V23 V16 T10", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE value <= 400.0 AND event_type <> 'error'
+""")
+def ingest_validated(spark, sf):
+    """Ingest with a contract: valid rows reach the table, the rest the quarantine."""
+    topic = TopicSpec("events-json", path=scratch_path(spark, "topic-ingest-v"))
+    _publish_events(spark, sf, topic, 0, None)
+    target = TableSpec("events_json", scratch_path(spark, "ingest-valid"))
+    quarantine = scratch_path(spark, "ingest-quarantine")
+    contract = Contract(columns={
+        "value": Column("float64", Check.le(400.0)),
+        "event_type": Column("str", Check.isin(["click", "purchase", "signup", "view"]))})
+    queries = run_ingest(spark, IngestSpec(source=topic, target=target, schema=EVENTS_DDL,
+                                           checkpoint=scratch_path(spark, "ckpt-ingest-v"), contract=contract,
+                                           quarantine_path=quarantine, offsets_on_rows=False))
+    for q in queries:
+        q.awaitTermination()
+    n_bad = spark.read.parquet(quarantine).count()
+    valid = spark.read.parquet(target.path)
+    if n_bad + valid.count() != table(spark, sf, "events").count():
+        raise RuntimeError("ingest lost rows between table and quarantine")
+    return valid.select(*EVENT_COLS)

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.contracts.schema import Contract
 from tidewater.operators.decode import decode_json
 from tidewater.sinks.tables import TableSpec, append_stream, upsert_stream
 from tidewater.sources.topics import TopicSpec, read_topic
+from tidewater.streaming.validate import split_stream
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,8 @@ class IngestSpec:
     offsets_on_rows: bool = True     # keep partition, offset, timestamp on every row
     required: tuple[str, ...] = ()
     dead_letter_path: str | None = None
+    contract: Contract | None = None   # row checks inline; failing rows -> quarantine_path
+    quarantine_path: str | None = None
     available_now: bool = True
 
 
@@ -51,12 +55,19 @@ def _decode(spark: SparkSession, raw: DataFrame, spec: IngestSpec, meta: list[st
 
 
 def run_ingest(spark: SparkSession, spec: IngestSpec):
-    """Start the ingest stream; returns the StreamingQuery (or queries with dead letters)."""
+    """Start the ingest stream(s): the table query, plus quarantine and dead-letter
+    queries when configured (returned as a tuple then)."""
     raw = read_topic(spark, spec.source, stream=True)
     meta = ["partition", "offset", "timestamp"] if spec.offsets_on_rows else []
     good, bad = _decode(spark, raw, spec, meta)
     if spec.offsets_on_rows:
         good = good.withColumnRenamed("timestamp", "_topic_timestamp")
+    extra = []
+    if spec.contract is not None:
+        good, quarantined = split_stream(good, spec.contract)
+        if spec.quarantine_path:
+            extra.append(append_stream(quarantined, TableSpec(f"{spec.target.name}_quarantine", spec.quarantine_path),
+                                       spec.checkpoint.rstrip("/") + "_quarantine", spec.available_now))
     if spec.operation == "upsert":
         q = upsert_stream(good, spec.target, spec.checkpoint, spec.available_now)
     elif spec.operation == "insert":
@@ -64,8 +75,7 @@ def run_ingest(spark: SparkSession, spec: IngestSpec):
     else:
         raise ValueError(f"unknown operation {spec.operation!r}")
     if spec.dead_letter_path:
-        dl = append_stream(bad.withColumn("_at", F.current_timestamp()),
-                           TableSpec(f"{spec.target.name}_dead_letter", spec.dead_letter_path),
-                           spec.checkpoint.rstrip("/") + "_dead_letter", spec.available_now)
-        return q, dl
-    return q
+        extra.append(append_stream(bad.withColumn("_at", F.current_timestamp()),
+                                   TableSpec(f"{spec.target.name}_dead_letter", spec.dead_letter_path),
+                                   spec.checkpoint.rstrip("/") + "_dead_letter", spec.available_now))
+    return (q, *extra) if extra else q
