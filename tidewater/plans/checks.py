@@ -25,6 +25,7 @@ LINEITEM_CONTRACT = Contract(name="lineitem", columns={
 
 
 @plan("validate_report_lineitem", "V1 V3 V8 V9 V10", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
 SELECT * FROM (
   SELECT 'l_orderkey' AS "column", 'not_nullable' AS "check", count_if(l_orderkey IS NULL) AS failures FROM lineitem
   UNION ALL SELECT 'l_linenumber', 'not_nullable', count_if(l_linenumber IS NULL) FROM lineitem
@@ -45,6 +46,7 @@ SELECT * FROM (
   UNION ALL SELECT 'l_shipdate', 'not_nullable', count_if(l_shipdate IS NULL) FROM lineitem
   UNION ALL SELECT 'l_shipdate', 'in_range', count_if(NOT (l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1999-12-31')) FROM lineitem
 )
+)
 """)
 def validate_report_lineitem(spark, sf):
     return validate(LINEITEM_CONTRACT, table(spark, sf, "lineitem"), "report")
@@ -105,6 +107,7 @@ def validate_coerce(spark, sf):
 
 
 @plan("validate_custom", "V11 V12 V13 F5 F6", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
 SELECT 'c_name' AS "column", 'not_nullable' AS "check", count_if(c_name IS NULL) AS failures FROM customer
 UNION ALL SELECT 'c_name', 'str_startswith', count_if(NOT starts_with(c_name, 'Customer#')) FROM customer
 UNION ALL SELECT 'c_name', 'two_parts', CASE WHEN max(len(string_split(c_name, '#'))) = 2 THEN 0 ELSE 1 END FROM customer
@@ -113,6 +116,7 @@ UNION ALL SELECT '<dataframe>', 'machinery_in_credit', count_if(c_mktsegment = '
 UNION ALL SELECT 'p_name', 'not_nullable', count_if(p_name IS NULL) FROM part
 UNION ALL SELECT 'p_name', 'two_words', count_if(len(string_split(p_name, ' ')) <> 2) FROM part
 UNION ALL SELECT '<dataframe>', 'price_covers_size', count_if(NOT (p_retailprice >= 900 + p_size)) FROM part
+)
 """)
 def validate_custom(spark, sf):
     customer_contract = Contract(
@@ -143,6 +147,7 @@ STRUCTURE_CONTRACT = Contract(
 
 
 @plan("validate_structure", "V4 V5 V6 V14 V17", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
 SELECT * FROM (VALUES ('c_phone', 'column_in_dataframe', 1), ('c_mktsegment', 'column_in_schema', 1),
                       ('c_nationkey', 'dtype(''bigint'')', 1),
                       ('c_custkey,c_name,c_nationkey,c_acctbal', 'column_ordered', 1)) t("column", "check", failures)
@@ -154,6 +159,7 @@ UNION ALL SELECT 'c_name', 'not_nullable', count_if(c_name IS NULL) FROM custome
 UNION ALL SELECT 'c_name', 'str_length', count_if(NOT (length(c_name) >= 18 AND length(c_name) <= 18)) FROM customer
 UNION ALL SELECT 'c_acctbal', 'not_nullable', count_if(c_acctbal IS NULL OR isnan(c_acctbal)) FROM customer
 UNION ALL SELECT 'c_acctbal', 'greater_than_or_equal_to', count_if(c_acctbal < 0) FROM customer
+)
 """)
 def validate_structure(spark, sf):
     return validate(STRUCTURE_CONTRACT, table(spark, sf, "customer"), "report")
@@ -165,11 +171,13 @@ ROW_NUMBER_CONTRACT = Contract(
 
 
 @plan("validate_row_number", "V22", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
 WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders)
 SELECT 'o_orderkey' AS "column", 'not_nullable' AS "check", count_if(o_orderkey IS NULL) AS failures FROM r
 UNION ALL SELECT 'row_index', 'not_nullable', count_if(row_index IS NULL) FROM r
 UNION ALL SELECT 'row_index', 'greater_than_or_equal_to', count_if(row_index < 0) FROM r
 UNION ALL SELECT 'row_index', 'less_than_or_equal_to', count_if(row_index > 9999) FROM r
+)
 """)
 def validate_row_number(spark, sf):
     orders = with_row_index(table(spark, sf, "orders").select("o_orderkey"), "row_index", ["o_orderkey"])
@@ -190,7 +198,7 @@ OPEN_SHARE_WRITER = Contract(name="open_share_writer", strict="filter", columns=
 
 
 @plan("contract_pipeline", "V21 T5 K14", """
-SELECT o_custkey, count(*) AS n_orders, count_if(o_orderstatus = 'O') AS n_open,
+SELECT o_custkey, count(*) AS n_orders, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS n_open,
        count_if(o_orderstatus = 'O') / count(*) * 100 AS open_percentage
 FROM orders GROUP BY o_custkey
 """)
@@ -217,6 +225,7 @@ class CustomerModel(ContractModel):
 
 
 @plan("contract_model", "V18 V19 V20", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
 SELECT 'c_custkey' AS "column", 'not_nullable' AS "check", count_if(c_custkey IS NULL) AS failures FROM customer
 UNION ALL SELECT 'c_custkey', 'greater_than_or_equal_to', count_if(c_custkey < 0) FROM customer
 UNION ALL SELECT 'c_name', 'not_nullable', count_if(c_name IS NULL) FROM customer
@@ -228,6 +237,7 @@ UNION ALL SELECT 'c_mktsegment', 'isin', count_if(c_mktsegment NOT IN ('AUTOMOBI
 UNION ALL SELECT 'c_nationkey', 'not_nullable', count_if(c_nationkey IS NULL) FROM customer
 UNION ALL SELECT 'c_nationkey', 'in_range', count_if(NOT (c_nationkey >= 0 AND c_nationkey <= 24)) FROM customer
 UNION ALL SELECT 'c_custkey', 'unique', coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM customer GROUP BY c_custkey HAVING count(*) > 1)
+)
 """)
 def contract_model(spark, sf):
     # Class-style declaration -> YAML -> contract, then evolve it with one more column.

@@ -42,9 +42,9 @@ _ITEM_COLS = ", ".join(f"l.{c} AS items_{c}" for c in LINE_FIELDS)
 
 @plan("relationalize_items", "R1 F12 U2", f"""
 SELECT o.o_orderkey,
-       CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE
+       CAST(CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE
          row_number() OVER (PARTITION BY o.o_orderkey ORDER BY {', '.join('l.' + c for c in LINE_FIELDS)}) - 1
-       END AS items_index,
+       END AS INTEGER) AS items_index,
        {_ITEM_COLS}
 FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 """)
@@ -53,7 +53,7 @@ def relationalize_items(spark, sf):
 
 
 @plan("relationalize_turns", "R1 F12", """
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turns_index,
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS turns_index,
        turn AS turns_turn, role AS turns_role, text AS turns_text
 FROM conversations
 """)

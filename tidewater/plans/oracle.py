@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -19,11 +20,14 @@ def duckdb_views(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("TIDEWATER_EXACT_FLOATS") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else float(f"{v:.10g}")
+        return "NaN" if math.isnan(v) else (v if EXACT else float(f"{v:.10g}"))
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.10g}")
+        return float(v) if EXACT else float(f"{float(v):.10g}")
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
