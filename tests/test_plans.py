@@ -25,6 +25,12 @@ def test_entry_runs(spark):
     assert df.count() > 0 and df.columns == ["user_id", "bucket_start", "events", "fail_event"]
 
 
+# Spark simple type -> DuckDB result type of the same values.
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+              "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+              "boolean": "BOOLEAN", "float": "FLOAT", "date": "DATE", "binary": "BLOB"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -35,3 +41,6 @@ def test_plan_matches_oracle(spark, duck, name):
     rel = duck.sql(SQL[name])
     diff = compare(df.columns, rows, rel.columns, rel.fetchall())
     assert diff is None, diff
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    mismatched = [(c, t, duck_types[c]) for c, t in df.dtypes if DUCK_TYPES.get(t, t) != duck_types[c]]
+    assert not mismatched, mismatched
