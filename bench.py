@@ -41,14 +41,21 @@ def main():
     results = {}
     for name in names:
         build = PLANS[name].build
-        run_once(spark, build, sf)  # warm-up
-        times = [run_once(spark, build, sf) for _ in range(runs)]
+        try:
+            run_once(spark, build, sf)  # warm-up
+            times = [run_once(spark, build, sf) for _ in range(runs)]
+        except Exception as e:  # noqa: BLE001 - report the failure, keep benchmarking
+            results[name] = None
+            print(f"{name}: FAILED {type(e).__name__}: {str(e)[:300]}", file=sys.stderr)
+            continue
         results[name] = round(statistics.median(times), 3)
         print(f"{name}: {results[name]}s {[round(t, 3) for t in times]}", file=sys.stderr)
-    headline = round(sum(results[n] for n in HEADLINE), 3)
+    done = [n for n in HEADLINE if results.get(n) is not None]
+    headline = round(sum(results[n] for n in done), 3) if len(done) == len(HEADLINE) else None
     print(json.dumps({"metric": "headline_total_median_sec", "value": headline, "unit": "sec",
                       "queries": results, "sf": os.path.basename(sf).replace("sf", ""),
-                      "cpus": cpus, "total_all_sec": round(sum(results.values()), 3)}))
+                      "cpus": cpus,
+                      "total_all_sec": round(sum(v for v in results.values() if v is not None), 3)}))
 
 
 if __name__ == "__main__":
