@@ -5,8 +5,8 @@ hot partition key, pulls every row of the group into one task. Here the frame
 is range-sorted (sampled bounds split even one huge group across many tasks),
 each task's rows get their in-partition position from
 ``monotonically_increasing_id``, and a table of per-(task, group) counts —
-one row per task and group, so bounded by the partition count, not the data —
-turns positions into global numbers with a prefix sum.
+one row per task and group present in it — turns positions into global
+numbers with a prefix sum.
 
 The sorted, tagged frame is written once with a reliable ``checkpoint()`` to
 the shared checkpoint folder: the count branch and the numbering branch must
@@ -43,6 +43,8 @@ def with_row_index(df: DataFrame, name: str, order_by: list[str], partition_by:
     cond = ordered["_ix_task"] == runs["_ix_task"]
     for g in groups:
         cond = cond & ordered[g].eqNullSafe(runs[f"_ix_g_{g}"])
-    out = ordered.join(F.broadcast(runs), cond, "inner")
+    # One row per (task, group): tiny for few groups, and AQE then broadcasts it from
+    # measured run-time size; a high-cardinality grouping stays a shuffled join.
+    out = ordered.join(runs, cond, "inner")
     idx = F.col("_ix_base") + F.col("_ix_local") - F.col("_ix_first") + F.lit(start)
     return out.select(*[ordered[c] for c in df.columns], idx.cast("bigint").alias(name))
