@@ -262,7 +262,8 @@ def _raise_on_structural(comp: Compiled) -> None:
 def _raise_on_aggregates(comp: Compiled) -> None:
     if not comp.agg_rules:
         return
-    row = comp.df.agg(*[F.coalesce(ok, F.lit(True)).alias(f"_a{i}") for i, (_, _, ok) in enumerate(comp.agg_rules)]).first()
+    checks = [F.coalesce(ok, F.lit(True)).alias(f"_a{i}") for i, (_, _, ok) in enumerate(comp.agg_rules)]
+    row = comp.df.agg(*checks).first()
     bad = [(c, k, 1, []) for i, (c, k, _) in enumerate(comp.agg_rules) if not row[f"_a{i}"]]
     if bad:
         raise ContractError("aggregate checks failed: " + "; ".join(f"{c}: {k}" for c, k, _, _ in bad), bad)

@@ -41,7 +41,8 @@ def decode_json(df: DataFrame, schema: T.StructType | str, required: list[str] |
                         *missing)
     flagged = parsed.withColumn("_reason", reason)
     head = [c for c in flagged.columns if c not in ("_raw", "_r", "_reason")]
-    good = flagged.where(F.col("_reason").isNull()).select(*head, *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields])
+    fields = [F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields]
+    good = flagged.where(F.col("_reason").isNull()).select(*head, *fields)
     bad = flagged.where(F.col("_reason").isNotNull()).select(*head, F.col("_raw").alias("value"),
                                                                F.col("_reason").alias("reason"))
     return good, bad

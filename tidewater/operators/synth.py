@@ -48,7 +48,8 @@ class _Gen:
     def h(self, path: str, extra: list) -> Column:
         # The (seed, path) pair is folded into one stable 64-bit literal on the driver,
         # so each leaf hashes only longs.
-        salt = int.from_bytes(hashlib.blake2b(f"{self.seed}|{path}".encode(), digest_size=8).digest(), "big", signed=True)
+        digest = hashlib.blake2b(f"{self.seed}|{path}".encode(), digest_size=8).digest()
+        salt = int.from_bytes(digest, "big", signed=True)
         return F.xxhash64(F.lit(salt), self.rid, *extra).bitwiseAND(F.lit(_POS))
 
     def unit(self, path: str, extra: list) -> Column:
