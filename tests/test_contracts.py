@@ -295,3 +295,19 @@ def test_contract_methods(spark):
     df = frame(spark, VALID)
     assert INLINE(df).count() == 5 and INLINE.validate(df).count() == 5
     assert INLINE.report(frame(spark, INVALID)).where("failures > 0").count() == 1
+
+
+def test_guarded_write_single_pass(spark):
+    from tidewater.contracts import guarded_write
+    good_path, bad_path, dup_path = (scratch_path(spark, n) for n in ("g", "b", "d"))
+    guarded_write(frame(spark, VALID), INLINE, good_path)
+    assert spark.read.parquet(good_path).count() == 5
+    with pytest.raises(ContractError, match="less_than failed for 2 rows"):
+        guarded_write(frame(spark, INVALID), INLINE, bad_path)
+    assert not os.path.exists(bad_path.replace("file:", ""))
+    uniq = INLINE.update_column("column1", unique=True)
+    with pytest.raises(ContractError, match="unique"):
+        guarded_write(frame(spark, dict(VALID, column1=[1, 1, 0, 10, 9])), uniq, dup_path)
+    assert not os.path.exists(dup_path.replace("file:", ""))
+    leftovers = [n for n in os.listdir(os.path.dirname(dup_path.replace("file:", ""))) if "_staging_" in n]
+    assert leftovers == []

@@ -323,6 +323,61 @@ def validate(contract: Contract, df: DataFrame, mode: str = "raise", index_colum
 
 
 def validated_write(df: DataFrame, contract: Contract, write, **kw):
-    """Write only when the contract passes (K14). ``write`` gets the validated frame."""
+    """Write only when the contract passes (K14). ``write`` gets the validated frame.
+
+    Validates first (one pass over the checked columns), then calls ``write``;
+    ``guarded_write`` does the same in a single pass for file outputs."""
     checked = validate(contract, df, "raise", **kw)
     return write(checked)
+
+
+def guarded_write(df: DataFrame, contract: Contract, path: str, fmt: str = "parquet",
+                  partition_by: list[str] | None = None, index_column: str | None = None, **options) -> None:
+    """Write ``df`` to a new ``path`` only if it passes ``contract``, in one pass.
+
+    Row and aggregate checks are counted with ``observe()`` while the data is
+    written to a staging folder; ``unique`` sets are then checked on the staged
+    files, reading only their key columns. The staged folder is renamed into
+    place (atomic on HDFS/POSIX) when everything passes, else deleted and
+    ContractError is raised — nothing is ever visible at ``path`` on failure.
+    """
+    from pyspark.sql import Observation
+
+    from tidewater import fs
+
+    spark = df.sparkSession
+    if fs.exists(spark, path):
+        raise FileExistsError(path)
+    comp = compile_contract(contract, df, index_column)
+    _raise_on_structural(comp)
+    labels = [(c, k) for c, k, _ in comp.row_rules] + [(c, k) for c, k, _ in comp.agg_rules]
+    metrics = [F.count_if(~ok).alias(f"_m{i}") for i, (_, _, ok) in enumerate(comp.row_rules)]
+    base = len(metrics)
+    metrics += [F.when(F.coalesce(ok, F.lit(True)), 0).otherwise(1).alias(f"_m{base + i}")
+                for i, (_, _, ok) in enumerate(comp.agg_rules)]
+    out = comp.df.select(*[F.col(f"`{c}`") for c in _final_columns(comp)])
+    obs = Observation("contract")
+    observed = out.observe(obs, *metrics) if metrics else out
+    # A hidden sibling (leading underscore: Spark readers of the parent skip it),
+    # on the same file system so the final rename is atomic.
+    parent, _, leaf = path.rstrip("/").rpartition("/")
+    staging = f"{parent}/_staging_{leaf}_{id(obs):x}"
+    w = observed.write.format(fmt).options(**options)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(staging)
+    got = obs.get if metrics else {}
+    failures = [(c, k, int(got[f"_m{i}"]), []) for i, (c, k) in enumerate(labels) if got.get(f"_m{i}")]
+    if comp.unique_sets:
+        staged = spark.read.format(fmt).load(staging)
+        for cols in comp.unique_sets:
+            n = _unique_failures(staged, cols, contract.report_duplicates).first()["failures"]
+            if n:
+                failures.append((",".join(cols), "unique", int(n), []))
+    if failures:
+        fs.delete(spark, staging)
+        raise ContractError("contract failed, nothing written: " +
+                            "; ".join(f"{c}: {k} failed for {n} rows" for c, k, n, _ in failures), failures)
+    if not fs.rename(spark, staging, path):
+        fs.delete(spark, staging)
+        raise RuntimeError(f"could not publish {path}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.contracts import Check, Column, Contract, validated_write
+from tidewater.contracts import Check, Column, Contract, guarded_write
 from tidewater.plans.registry import plan, table
 from tidewater.plans.topics import EVENT_COLS, EVENTS_DDL
 from tidewater.session import scratch_path
@@ -154,9 +154,10 @@ ORDERS_WRITE_CONTRACT = Contract(name="orders_out", columns={
 @plan("guarded_write", "K14 V1", """
 SELECT * FROM orders
 """)
-def guarded_write(spark, sf):
+def guarded_write_plan(spark, sf):
+    """Single-pass guarded write: checks observed while staging, then published."""
     path = scratch_path(spark, "orders-guarded")
-    validated_write(table(spark, sf, "orders"), ORDERS_WRITE_CONTRACT, lambda d: d.write.parquet(path))
+    guarded_write(table(spark, sf, "orders"), ORDERS_WRITE_CONTRACT, path)
     return spark.read.parquet(path)
 
 
