@@ -150,8 +150,10 @@ def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
     touched = sorted(r[0] for r in incoming.select("_bucket").distinct().collect())
     merged_in = incoming.withColumn("_src", F.lit(1))
     old_paths = _bucket_paths(spec.path, current, touched) if current else []
+    evolved = bool(current and (current.get("evolved") or set(cols) != set(current["columns"])))
     if old_paths:
-        old = spark.read.option("mergeSchema", True).parquet(*old_paths)
+        # Footers are merged only once the table's columns have changed.
+        old = spark.read.option("mergeSchema", evolved).parquet(*old_paths)
         # Columns added by this batch are null in older rows (additive evolution).
         existing = (old.select(*[c for c in cols if c in old.columns])
                     .withColumn("_bucket", _bucket_col(spec.key, spec.buckets)).withColumn("_src", F.lit(0)))
@@ -173,7 +175,8 @@ def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
     known = current["columns"] if current else []
     columns = cols + [c for c in known if c not in cols]
     manifest = {"version": version, "batch_id": batch_id, "buckets": buckets, "bucket_count": spec.buckets,
-                "key": list(spec.key), "precombine": list(spec.precombine), "columns": columns}
+                "key": list(spec.key), "precombine": list(spec.precombine), "columns": columns,
+                "evolved": evolved}
     if not fs.write_text_atomic(spark, f"{_manifest_dir(spec)}/{version}.json", json.dumps(manifest)):
         raise RuntimeError(f"concurrent commit of version {version} on {spec.path}")
     fs.delete(spark, staging)
@@ -198,7 +201,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     paths = _bucket_paths(path, manifest, sorted(int(b) for b in manifest["buckets"]))
     if not paths:
         return spark.createDataFrame([], spark.read.parquet(f"{path}/data").drop("_bucket").schema)
-    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    df = spark.read.option("mergeSchema", bool(manifest.get("evolved"))).parquet(*paths)
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in manifest["columns"]])
 
 
