@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +167,21 @@ def test_codec_is_stable_on_generated_records(spark, name):
         again = bytearray()
         encode(dec(bytes(first)), s, named, again)
         assert again == first
+
+
+def test_codec_runs_on_workers_without_the_package_on_their_path(tmp_path):
+    """Python workers started outside the repository must still decode (code shipped by value)."""
+    import subprocess
+    import textwrap
+    script = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+        from pyspark.sql import SparkSession
+        from tidewater.operators.avro import decode_avro, encode_avro
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate())
+        s = {{"type": "record", "name": "r", "fields": [{{"name": "a", "type": "long"}}]}}
+        enc = encode_avro(spark.range(5).withColumnRenamed("id", "a"), s, schema_id=1)
+        print("ROWS", decode_avro(enc, s, {{1: __import__("json").dumps(s)}}).where("_avro_error IS NULL").count())
+    """)
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ROWS 5" in out.stdout, out.stderr[-2000:]

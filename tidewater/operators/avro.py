@@ -15,11 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import cloudpickle
+
+from tidewater.functions import avro_codec, avro_types
 from tidewater.functions.avro_types import named_types, parse_avro, record_schema
 from tidewater.functions.columns import wire_body, wire_schema_id
 from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.operators.decode import with_wire_header
 
+# The codec runs inside Python workers; ship its code with the task so executors
+# need no installed copy of this package.
+cloudpickle.register_pickle_by_value(avro_codec)
+cloudpickle.register_pickle_by_value(avro_types)
+
 _AVAILABLE: dict[int, bool] = {}
 
 
