@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidewater.contracts import ContractModel, Field, typed
+from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.operators.decode import conform_json
 from tidewater.operators.synth import fake_people, pageviews, synthesize, synthesize_contract
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
@@ -20,7 +21,8 @@ from tidewater.functions.avro_types import field_defaults
 @plan("synth_rows", "G1 G2 G3 G4 G5 K13 F14")
 def synth_rows(spark, sf):
     """One generated record per order id for each of the eight schemas, as JSON."""
-    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    # Spread once: the eight branches share this exchange instead of one each.
+    ids = spread_for_cpu(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")))
     parts = []
     for name, schema in AVRO_SCHEMAS.items():
         rows = synthesize(spark, schema, ids=ids, seed=42, keep_id=True)
