@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm.jaccard_join import jaccard_components
+from tidewater.llm.substring_dedup import substring_dedup
 
 SQL: dict[str, str] = {}
 
@@ -13,8 +15,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op6_substring_dedup, op7_ngram_jaccard_join)}
