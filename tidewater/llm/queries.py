@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.jaccard_join import jaccard_components
 from tidewater.llm.substring_dedup import substring_dedup
+from tidewater.llm.toxicity import fit as fit_toxicity, toxicity
 
 SQL: dict[str, str] = {}
 
@@ -15,6 +16,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: labelled documents that a model may learn from; the others are held out
+LEARN = "crc32(cast(doc_id as string)) % 5 <> 0"
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    index = fit_toxicity(docs, labels.where(LEARN).select("doc_id", "toxic"))
+    return toxicity(docs, index).select("doc_id", F.expr(f"not ({LEARN})").alias("held_out"), "score",
+                                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -24,4 +36,4 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_substring_dedup, op7_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op6_substring_dedup, op7_ngram_jaccard_join)}

@@ -23,6 +23,7 @@ _LOWER[65:91] += 32
 _CODES_LOWER = _CODES[_LOWER]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_NOT_ALNUM = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _MIX = [U64(int(x) | 1) for x in _rng.integers(1, 2**63, 64)]
 
 
@@ -73,11 +74,11 @@ class Chunk:
 
     __slots__ = ("first", "last", "data", "bounds", "hashes", "starts", "ends", "text_starts")
 
-    def __init__(self, first, last, data, text_starts, lower):
+    def __init__(self, first, last, data, text_starts, lower, alnum):
         self.first, self.last, self.data, self.text_starts = first, last, data, text_starts
         n = len(data)
         space = np.ones(n + 2, bool)
-        space[1:-1] = _SPACE[data]
+        space[1:-1] = (_NOT_ALNUM if alnum else _SPACE)[data]
         edges = text_starts[1:-1]
         begins = ~space[1:-1] & space[:-2]
         begins[edges[edges < n]] = ~space[1:-1][edges[edges < n]]
@@ -100,8 +101,11 @@ def binary(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary()).fill_null(b"")
 
 
-def chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
-    """Chunks of a string column; null counts as empty."""
+def chunks(column: pa.Array, lower: bool = False, alnum: bool = False) -> Iterator[Chunk]:
+    """Chunks of a string column; null counts as empty.
+
+    lower: A-Z count as a-z; alnum: all ASCII but letters and digits separates words.
+    """
     column = binary(column)
     if not len(column):
         return
@@ -111,7 +115,7 @@ def chunks(column: pa.Array, lower: bool = False) -> Iterator[Chunk]:
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1)
         j = min(j, n)
-        yield Chunk(i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower)
+        yield Chunk(i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower, alnum)
         i = j
 
 
