@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.jaccard_join import jaccard_components
+from tidewater.llm.quality_rules import fit as fit_rules, quality_rules
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.toxicity import fit as fit_toxicity, toxicity
 
@@ -36,4 +37,9 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op6_substring_dedup, op7_ngram_jaccard_join)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_rules(docs, fit_rules(docs, labels.where(LEARN).select("doc_id", "quality")))
+
+
+QUERIES = {f.__name__: f for f in (op3_toxicity, op6_substring_dedup, op7_ngram_jaccard_join, op8_quality_rules)}
