@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.co_training import fit as fit_quality, quality_classifier
 from tidewater.llm.jaccard_join import jaccard_components
 from tidewater.llm.quality_rules import fit as fit_rules, quality_rules
 from tidewater.llm.substring_dedup import substring_dedup
@@ -28,6 +29,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_classifier(docs, fit_quality(docs, labels.where(LEARN).select("doc_id", "quality")))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -42,4 +48,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, fit_rules(docs, labels.where(LEARN).select("doc_id", "quality")))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op6_substring_dedup, op7_ngram_jaccard_join, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_quality_classifier, op6_substring_dedup, op7_ngram_jaccard_join, op8_quality_rules)}
