@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tidewater.llm.best_fit import best_fit_packing
 from tidewater.llm.bpe import decode, encode
 from tidewater.llm.co_training import fit as fit_quality, quality_classifier
+from tidewater.llm.fingerprints import edited_fingerprints
 from tidewater.llm.jaccard_join import jaccard_components
 from tidewater.llm.quality_rules import fit as fit_rules, quality_rules
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.token_output import packed_tokens
 from tidewater.llm.toxicity import fit as fit_toxicity, toxicity
+from tidewater.llm.url_query import SQL as URL_SQL, captures_filtered
 
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; every executor has the package that names it."""
@@ -24,13 +26,17 @@ def tokenizer_path(name: str) -> str:
 #: labelled documents that a model may learn from; the others are held out
 LEARN = "crc32(cast(doc_id as string)) % 5 <> 0"
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_url_filter": URL_SQL}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captures_filtered(_table(spark, sf_dir, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -75,6 +81,10 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_toxicity, op4_quality_classifier, op5_bpe, op6_substring_dedup, op7_ngram_jaccard_join,
-    op8_quality_rules, op9_token_output)}
+    op1_url_filter, op2_best_fit_packing, op3_toxicity, op4_quality_classifier, op5_bpe, op6_substring_dedup, op7_ngram_jaccard_join,
+    op8_quality_rules, op9_token_output, op10_fingerprints)}
