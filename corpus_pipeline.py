@@ -1,27 +1,71 @@
-"""Corpus pipeline: documents through filtering, deduplication and packing stages."""
+"""Corpus pipeline: quality, toxicity, near duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept.  All but the last return the
+columns of documents; the last returns the packed pieces.  ``run`` writes each stage's result to the shared folder
+and hands the reread table on.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm import co_training, toxicity
+from tidewater.llm.best_fit import best_fit_packing
 from tidewater.llm.exchange import materialized
 from tidewater.llm.jaccard_join import jaccard_components
+from tidewater.llm.queries import LEARN, tokenizer_path
+from tidewater.llm.substring_dedup import substring_dedup
+
+
+def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where(LEARN).select("doc_id", column)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier takes for good quality."""
+    model = co_training.fit(docs, _labels(spark, sf_dir, "quality"))
+    return co_training.good_documents(docs, model)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is less likely than not."""
+    index = toxicity.fit(docs, _labels(spark, sf_dir, "toxic"))
+    return toxicity.clean_documents(docs, index)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays: the one with the least doc_id."""
-    groups = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(docs.columns)
+    """Of each group of linked documents the one of least doc_id; repeated rows of one doc_id become one."""
+    stay = jaccard_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that start earlier in the corpus; texts that lose nothing stay as they are.
+
+    A text that loses words becomes those left, joined by one space; n_chars follows.
+    """
+    parsed = substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept")
+    out = docs.join(parsed, F.col("doc_id") == F.col("_id"), "left")
+    text = F.coalesce("kept", "text")
+    new = {"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept"))}
+    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their sequences."""
+    return best_fit_packing(docs, tokenizer_path("word_bpe_49k.json"))
 
 
-STAGES = [("ngram_jaccard_join", near_duplicates)]
+STAGES = [("quality_classifier", quality_classifier), ("toxicity", toxicity_filter),
+          ("ngram_jaccard_join", near_duplicates), ("substring_dedup", substring_dedup_stage), ("best_fit_packing", pack)]
 
+#: classifiers, components and packing aren't expressible in SQL; the tests hold the stages against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again by the next."""
+    """The last stage's rows over documents."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
         docs = materialized(spark, stage(spark, docs, sf_dir), f"stage-{name}")

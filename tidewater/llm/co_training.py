@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.features import DIMS, char_grams, joined, sample_ids, share, word_grams
+from tidewater.llm.features import DIMS, char_grams, joined, kept_rows, sample_ids, share, word_grams
 from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
 from tidewater.llm.words import Chunk, chunks
 
@@ -102,10 +102,14 @@ def _sampled(batches):
                 names=["doc_id", "label", "tf", "tv", "mf", "mv"])
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _inputs(docs: DataFrame, id_col: str, text_col: str) -> list:
     """doc_id, text and the metadata columns as text; a column that docs lack is null."""
     fields = [(F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c) for c in FIELDS]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *fields)
+    return [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *fields]
+
+
+def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(*_inputs(docs, id_col, text_col))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 4000, rounds: int = ROUNDS,
@@ -214,3 +218,15 @@ def quality_classifier(docs: DataFrame, model: CoModel, threshold: float = 0.5,
     value of its own.  Repeated rows stay; other columns aren't read.
     """
     return _prepared(docs, id_col, text_col).mapInArrow(partial(_score, model=model, threshold=threshold), SCORED)
+
+
+def good_documents(docs: DataFrame, model: CoModel, threshold: float = 0.5, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, that quality_classifier keeps; nothing is shuffled."""
+    rows = docs.select("*", *[c.alias(f"_in{i}") for i, c in enumerate(_inputs(docs, id_col, text_col))])
+    score = partial(_score, model=model, threshold=threshold)
+    return rows.mapInArrow(partial(kept_rows, columns=len(docs.columns), score=score, keep=_kept), docs.schema)
+
+
+def _kept(scored):
+    return scored.column(4)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +48,13 @@ def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def sample_ids(ids: DataFrame, most: int) -> DataFrame:
     """At most `most` rows of (doc_id, ...), those of least hash: the same rows whatever the partitions."""
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def kept_rows(batches, columns: int, score, keep) -> Iterator[pa.RecordBatch]:
+    """The first `columns` columns of the rows that keep(scored batch) marks; score reads the columns after them."""
+    for batch in batches:
+        rest = pa.RecordBatch.from_arrays(batch.columns[columns:], names=[f"c{i}" for i in range(batch.num_columns - columns)])
+        masks = [keep(x) for x in score([rest])]
+        if masks:
+            own = pa.RecordBatch.from_arrays(batch.columns[:columns], names=batch.schema.names[:columns])
+            yield own.filter(pa.concat_arrays(masks))
