@@ -36,8 +36,9 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one of least doc_id; repeated rows of one doc_id become one."""
-    stay = jaccard_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    stay = jaccard_components(docs).where("doc_id <=> component_id").select("doc_id").distinct()
+    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +46,11 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A text that loses words becomes those left, joined by one space; n_chars follows.
     """
-    parsed = substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept")
-    out = docs.join(parsed, F.col("doc_id") == F.col("_id"), "left")
-    text = F.coalesce("kept", "text")
-    new = {"text": text, "n_chars": F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept"))}
-    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in docs.columns])
+    parsed = substring_dedup(docs).where("n_removed > 0").select("doc_id", "kept")
+    both = docs.alias("d").join(parsed.alias("p"), F.col("d.doc_id") == F.col("p.doc_id"), "left")
+    lost = F.col("p.kept").isNotNull()
+    new = {"text": F.coalesce("p.kept", "d.text"), "n_chars": F.when(lost, F.length("p.kept")).otherwise(F.col("d.n_chars"))}
+    return both.select(*[new.get(c, F.col(f"d.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.features import DIMS, char_grams, joined, kept_rows, sample_ids, share, word_grams
+from tidewater.llm.features import DIMS, char_grams, fresh, joined, kept_rows, sample_ids, share, word_grams
 from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
 from tidewater.llm.words import Chunk, chunks
 
@@ -223,7 +223,8 @@ def quality_classifier(docs: DataFrame, model: CoModel, threshold: float = 0.5,
 def good_documents(docs: DataFrame, model: CoModel, threshold: float = 0.5, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that quality_classifier keeps; nothing is shuffled."""
-    rows = docs.select("*", *[c.alias(f"_in{i}") for i, c in enumerate(_inputs(docs, id_col, text_col))])
+    inputs = _inputs(docs, id_col, text_col)
+    rows = docs.select("*", *[c.alias(name) for c, name in zip(inputs, fresh(docs.columns, len(inputs)))])
     score = partial(_score, model=model, threshold=threshold)
     return rows.mapInArrow(partial(kept_rows, columns=len(docs.columns), score=score, keep=_kept), docs.schema)
 

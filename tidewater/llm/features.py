@@ -50,6 +50,14 @@ def sample_ids(ids: DataFrame, most: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def fresh(columns: list[str], n: int) -> list[str]:
+    """n column names that none of columns has."""
+    taken, stem = {c.lower() for c in columns}, "_in"
+    while any(c.startswith(stem) for c in taken):
+        stem += "_"
+    return [f"{stem}{i}" for i in range(n)]
+
+
 def kept_rows(batches, columns: int, score, keep) -> Iterator[pa.RecordBatch]:
     """The first `columns` columns of the rows that keep(scored batch) marks; score reads the columns after them."""
     for batch in batches:

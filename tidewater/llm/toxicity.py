@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.exchange import materialized
-from tidewater.llm.features import kept_rows
+from tidewater.llm.features import fresh, kept_rows
 from tidewater.llm.linear import platt, sigmoid
 from tidewater.llm.words import chunks, grams
 
@@ -236,7 +236,8 @@ def toxicity(docs: DataFrame, index: BlockMaxIndex, k: int = NEIGHBOURS, id_col:
 def clean_documents(docs: DataFrame, index: BlockMaxIndex, threshold: float = 0.5, k: int = NEIGHBOURS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that score below threshold; nothing is shuffled."""
-    rows = docs.select("*", F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    a, b = fresh(docs.columns, 2)
+    rows = docs.select("*", F.col(id_col).alias(a), F.col(text_col).cast("string").alias(b))
     keep = partial(_below, threshold=threshold)
     return rows.mapInArrow(partial(kept_rows, columns=len(docs.columns), score=partial(_score, index=index, k=k), keep=keep),
                            docs.schema)
