@@ -13,9 +13,11 @@ from the sizes and list lengths of all sets.  Shingles held by one set only can'
 count for prefix lengths but are never keys.
 
 Sets equal in all shingles are one class from the start.  Within a key, every set is first compared with one
-hub; verified links merge components, and only pairs from different components go on to the next round
-with another hub, until few are left and these are compared pair by pair.  Links are exact: no pair that
-may link stays uncompared unless both sides are connected already.
+hub; verified links merge components, and only keys with several components go on to the next round with another
+hub.  What is left is compared in full: short lists pair by pair; long lists, which mostly are the same
+group of near copies again and again, as clusters of overlapping lists, each cluster once, block against
+block by one matrix product, so that no pair is ever a row.  Links are exact: no pair that may link stays
+uncompared unless both sides are connected already.
 """
 
 from __future__ import annotations
@@ -33,8 +35,10 @@ from tidewater.llm.exchange import (BLOB, BLOB_ARROW, bucket_of, buckets_for, co
 from tidewater.llm.heavy import heavy_table, int64, local_heavy, member
 from tidewater.llm.words import U64, mix, shingle_set
 
-HUB_ROUNDS = 4  # at most; pairs in long lists are left to the last, pairwise step otherwise
-PAIRWISE = 8  # pairs per posting up to which that step costs less than another round
+HUB_ROUNDS = 2
+SHORT = 16  # longest list that is compared pair by pair
+BLOCK_SETS = 200  # of a cluster, that meet another block at a time
+COLUMNS = 4096  # of the matrix product at a time
 KEPT = 7  # bytes of a shingle hash that travel; its bucket stands for the eighth
 POSTING, HEADER, HEAVY = 0, 1, 2
 
@@ -201,50 +205,130 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         F.col("common") * den >= num * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def _may_link(num: int, den: int):
+    """Of a pair (x, y) under one key: sizes near enough, not connected yet, and meant by this kind of key."""
+    return ((F.col("nx") * den >= F.col("ny") * num) & (F.col("ny") * den >= F.col("nx") * num)
+            & (F.col("lx") != F.col("ly")) & (F.col("hx") | F.col("hy") | F.col("other_key").isNotNull()))
+
+
+_X = {"sig": "x", "n": "nx", "label": "lx", "heavy": "hx"}
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _hub_pairs(posts: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """Each set with the hub of its key: another one each turn, and one for each step of sizes, as sizes far apart can't link."""
+    stepped = posts.withColumn("step", F.floor(F.log(den / num, F.col("n")) + F.lit(turn / HUB_ROUNDS)))
+    hubs = stepped.groupBy("key", "other_key", "step").agg(
+        F.min_by(F.struct("sig", "n", "label", "heavy"), F.xxhash64("sig", F.lit(turn))).alias("hub"),
+        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    hubs = hubs.select(F.col("key").alias("k"), F.col("other_key").alias("ok"), F.col("step").alias("st"),
+                       F.col("hub.sig").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.label").alias("ly"),
+                       F.col("hub.heavy").alias("hy"))
+    met = stepped.withColumnsRenamed(_X).join(hubs, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))
+                                              & (F.col("step") == F.col("st")) & _may_link(num, den))
+    return _once(met)
+
+
+def _short_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of short lists."""
+    y = posts.select(F.col("key").alias("k"), F.col("other_key").alias("ok"), F.col("sig").alias("y"),
+                     F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("heavy").alias("hy"))
+    return _once(posts.withColumnsRenamed(_X).join(y, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))
+                                                   & (F.col("x") < F.col("y")) & _may_link(num, den)))
+
+
+def _block_links(key, table, num, den):
+    """Links between two blocks of a cluster that join different components, as few as join them."""
+    first, second = key[1].as_py(), key[2].as_py()
+    block = np.array(table["block"])
+    table = table.take(pa.array(np.argsort(block, kind="stable")))
+    block, sig, label, n = (np.array(table[c]) for c in ("block", "sig", "label", "n"))
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if (label == label[0]).all():
+        return empty
+    a = np.arange(len(sig)) if first == second else np.flatnonzero(block == first)
+    b = a if first == second else np.flatnonzero(block == second)
+    lists = table["shared"].combine_chunks()
+    row = np.repeat(np.arange(len(sig)), np.diff(np.asarray(lists.offsets)))
+    _, col, held = np.unique(np.asarray(lists.flatten()), return_inverse=True, return_counts=True)
+    row, col = row[held[col] > 1], col[held[col] > 1]
+    _, col = np.unique(col, return_inverse=True)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    common = np.zeros((len(a), len(b)), np.float32)
+    for c in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        i, j = np.searchsorted(col, (c, c + COLUMNS))
+        has = np.zeros((len(sig), COLUMNS), np.float32)
+        has[row[i:j], col[i:j] - c] = 1
+        common += has[a] @ has[b].T
+    common = common.astype(np.int64)
+    ok = (common * den >= num * (n[a][:, None] + n[b][None, :] - common)) & (label[a][:, None] != label[b][None, :])
+    root, out = {x: x for x in label.tolist()}, []
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in zip(*np.nonzero(ok)):
+        x, y = find(int(label[a[i]])), find(int(label[b[j]]))
+        if x != y:
+            root[x] = y
+            out.append((a[i], b[j]))
+    if not out:
+        return empty
+    i, j = (sig[np.array(x)] for x in zip(*out))
+    return pa.table({"a": np.minimum(i, j), "b": np.maximum(i, j)})
+
+
+def _cluster_links(posts: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between the sets of long lists that are in different components so far.
+
+    Sets whose long lists overlap are one cluster.  A cluster is dealt to blocks, and every two blocks of it
+    meet once; a set travels once for each block of its cluster.
+    """
+    hub = posts.groupBy("key", "other_key").agg(F.min("sig").alias("hub")).select(
+        F.col("key").alias("k"), F.col("other_key").alias("ok"), "hub")
+    stars = posts.join(hub, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))).where(
+        "sig <> hub").select(F.col("sig").alias("a"), F.col("hub").alias("b")).distinct()
+    cluster = components(stars).select(F.col("node").alias("sig"), F.col("label").alias("cluster"))
+    sizes = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
+    labels = posts.select("sig", "label").distinct()
+    member = cluster.join(sizes, "cluster").join(labels, "sig").join(sets.select("sig", "n", "shared"), "sig")
+    member = member.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+    met = member.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sig", "label",
+        F.col("n").cast("bigint").alias("n"), "shared")
+    return met.groupBy("cluster", "i", "j").applyInArrow(partial(_block_links, num=num, den=den), "a bigint, b bigint")
+
+
 def links(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """(node, label) of all sets that link with another, label being the same for connected ones."""
     spark = sets.sparkSession
     light = boundary(sets)
     posts = materialized(spark, _postings(sets, light, num, den), "postings").withColumn("label", F.col("sig"))
-    near = lambda x, y: (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
-    found, labels, turn = None, None, 0
-    while True:
+    found, labels = None, None
+    for turn in range(HUB_ROUNDS + 1):
         open_keys = posts.groupBy("key", "other_key").agg(
-            F.count(F.lit(1)).cast("double").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        cost = open_keys.agg(F.sum("c").alias("posts"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs")).first()
-        if not cost["posts"]:
+            F.count(F.lit(1)).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(
+            F.col("key").alias("k"), F.col("other_key").alias("ok"), "c")
+        posts = materialized(spark, posts.join(
+            open_keys, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))).drop("k", "ok"), "postings")
+        if posts.isEmpty():
             break
-        last = turn == HUB_ROUNDS or cost["pairs"] <= PAIRWISE * cost["posts"]
-        if last:
-            y = posts.select(F.col("key").alias("k"), F.col("other_key").alias("ok"), F.col("sig").alias("y"),
-                             F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("heavy").alias("hy"))
-            pairs = posts.withColumnsRenamed({"sig": "x", "n": "nx", "label": "lx"}).join(
-                y, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))
-                & (F.col("x") < F.col("y")) & (F.col("lx") != F.col("ly")) & near("nx", "ny"))
+        if turn < HUB_ROUNDS:
+            new = _linked(_hub_pairs(posts, turn, num, den), sets, num, den)
         else:
-            # another hub each time; sizes far apart can't link, so each step of sizes has a hub of its own
-            stepped = posts.withColumn("step", F.floor(F.log(den / num, F.col("n")) + F.lit(turn / HUB_ROUNDS)))
-            hubs = stepped.groupBy("key", "other_key", "step").agg(
-                F.min_by(F.struct("sig", "n", "label", "heavy"), F.xxhash64("sig", F.lit(turn))).alias("hub"),
-                F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-            hubs = hubs.select(F.col("key").alias("k"), F.col("other_key").alias("ok"), F.col("step").alias("st"), "hub")
-            met = stepped.join(hubs, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))
-                               & (F.col("step") == F.col("st")))
-            pairs = met.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), "heavy",
-                               F.col("hub.sig").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.label").alias("ly"),
-                               F.col("hub.heavy").alias("hy"), "other_key")
-        pairs = pairs.where((F.col("lx") != F.col("ly")) & near("nx", "ny")
-                            & (F.col("heavy") | F.col("hy") | F.col("other_key").isNotNull()))
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        new = materialized(spark, _linked(pairs, sets, num, den), "found")
+            short = _linked(_short_pairs(posts.where(F.col("c") <= SHORT), num, den), sets, num, den)
+            new = short.union(_cluster_links(posts.where(F.col("c") > SHORT), sets, num, den))
+        new = materialized(spark, new, "found")
         found = new if found is None else found.union(new)
         labels = components(found)
-        if last:
-            break
-        turn += 1
-        posts = posts.drop("label").join(labels.toDF("sig", "label"), "sig", "left").withColumn(
+        posts = posts.drop("label", "c").join(labels.toDF("sig", "label"), "sig", "left").withColumn(
             "label", F.coalesce("label", "sig"))
-        posts = materialized(spark, posts, "postings")
     if labels is None:
         return spark.createDataFrame([], "node bigint, label bigint")
     return labels
