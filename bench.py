@@ -1,7 +1,7 @@
 """Benchmark the headline plans.
 
 Runs each plan at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
-local[$BENCH_CPUS] (default 4): one warm-up, then the median of three timed runs.
+local[$BENCH_CPUS] (default 8): one warm-up, then the median of three timed runs.
 A run executes the whole plan through the no-op sink (nothing is collected to
 the driver). Prints ONE JSON line.
 """
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = ["tumble_sum_batch", "burst_calendar", "validate_report_lineitem", "relationalize_orders",
             "upsert_orders", "decode_json_topic", "synth_rows"]
 EXTRA = ["user_bursts_day", "relationalize_items", "validate_unique", "validate_quarantine",
-         "choice_types", "decode_avro_topic", "tumble_sum_stream"]
+         "choice_types", "decode_wire_json", "tumble_sum_stream"]
 
 
 def run_once(spark, build, sf):
@@ -30,7 +30,7 @@ def run_once(spark, build, sf):
 
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = int(os.environ.get("BENCH_CPUS", "4"))
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     from tidewater.plans import PLANS
     from tidewater.session import build_session

@@ -311,3 +311,77 @@ def test_guarded_write_single_pass(spark):
     assert not os.path.exists(dup_path.replace("file:", ""))
     leftovers = [n for n in os.listdir(os.path.dirname(dup_path.replace("file:", ""))) if "_staging_" in n]
     assert leftovers == []
+
+
+def split_counts(contract, df, **kw):
+    valid, bad = validate(contract, df, "quarantine", **kw)
+    return valid.count(), bad.count()
+
+
+def test_no_row_vanishes_from_both_outputs(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 500.0)], "k long, v double")
+    c = Contract(columns={"v": Column("float64", Check("less_than", 100.0, ignore_na=False), nullable=True)})
+    assert split_counts(c, df) == (1, 2)
+    assert validate(c, df, "report").where("check = 'less_than'").first()["failures"] == 2
+    assert validate(c.with_options(drop_invalid_rows=True), df).count() == 1
+
+
+@pytest.mark.parametrize("how, bad", [("all", 4), ("exclude_first", 3), ("exclude_last", 3)])
+def test_duplicates_with_null_order_values(spark, how, bad):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("a", 3), ("a", None), ("b", None)], "k string, o int")
+    c = Contract(report_duplicates=how, unique=("k",), columns={"k": Column("str")})
+    assert split_counts(c, df, order_by="o") == (5 - bad, bad)
+
+
+def test_duplicate_reports_at_once(spark):
+    from tidewater.contracts import duplicate_reports, duplicate_rows
+    df = spark.createDataFrame([(i, i % 3) for i in range(8)], "o int, k int")
+    at_once = duplicate_reports(df, ["k"], "o")
+    for how in ("all", "exclude_first", "exclude_last"):
+        want = duplicate_rows(df, ["k"], how, order_by="o")
+        got = at_once.where(f"report = '{how}'").drop("report")
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_wrong_dtype_does_not_abort_the_report(spark):
+    df = spark.createDataFrame([("abc",), ("5",)], "v string")
+    rep = {r["check"]: r["failures"] for r in validate(Contract(columns={"v": Column("int64", Check.lt(3))}), df, "report").collect()}
+    assert rep == {"dtype('bigint')": 1, "not_nullable": 0, "less_than": 1}
+
+
+def test_required_pattern_without_a_match(spark):
+    df = spark.createDataFrame([(1,)], "v int")
+    c = Contract(columns={"x_.*": Column("int64", regex=True)})
+    assert [(r["column"], r["check"]) for r in validate(c, df, "report").collect()] == [("x_.*", "column_in_dataframe")]
+    optional = Contract(columns={"x_.*": Column("int64", regex=True, required=False)})
+    assert validate(optional, df).count() == 1
+
+
+def test_saving_keeps_everything_or_refuses(tmp_path):
+    c = Contract(drop_invalid_rows=True, metadata={"owner": "x"}, columns={
+        "a": Column("int64", [Check.ne(7), Check.ne(9), Check("ge", 1, ignore_na=False)], default=3, metadata={"unit": "m"})})
+    for back in (Contract.from_json(c.to_json()), Contract.from_yaml(c.to_yaml())):
+        assert back == c
+    with pytest.raises(ValueError, match="can't be saved"):
+        Contract(columns={"a": Column("int64", Check.custom(lambda x: x > 0, "positive"))}).to_json()
+
+
+def test_contract_files_through_the_session(spark):
+    path = f"{scratch_path(spark, 'saved')}.yaml"
+    INLINE_LIKE = Contract(name="n", columns={"a": Column("int64", Check.ge(0))})
+    INLINE_LIKE.to_yaml(path)
+    assert Contract.from_yaml(path) == INLINE_LIKE
+
+
+def test_pandas_on_spark_frames(spark):
+    import pyspark.pandas as ps
+
+    class Cities(ContractModel):
+        city: str = Field(str_startswith="C")
+        price: int = Field(in_range={"min_value": 5, "max_value": 20})
+
+    frame_ = ps.DataFrame({"city": ["Cork", "Cadiz"], "price": [8, 12]})
+    assert typed(frame_, Cities).count() == 2
+    assert Cities.validate(frame_).columns == ["city", "price"]
+    with pytest.raises(ContractError):
+        Cities.validate(ps.DataFrame({"city": ["Cork"], "price": [99]}))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import (convert_json, ddl_for, infer_json_types, relationalize,
-                                            resolve_choices)
+from tidewater.operators.relational import (ELEMENT, convert_json, ddl_for, infer_json_types, json_tables,
+                                            relationalize, resolve_choices)
 
 NESTED = """
 {"id": 1, "s3_reference": {"bucket": "b", "key": "x/LA-1/d/2024-08-24"}, "tags": ["a", "b"],
@@ -48,9 +48,9 @@ def test_choice_types_resolution(spark):
             ('{"a": null, "e": true}',), ("not json",)]
     df = spark.createDataFrame(rows, ["j"])
     types = infer_json_types(df, "j")
-    assert types == {"a": {"int", "float"}, "b": {"int", "str"}, "c.d": {"int", "float"}, "e": {"bool"}}
+    assert types == {("a",): {"int", "float"}, ("b",): {"int", "str"}, ("c", "d"): {"int", "float"}, ("e",): {"bool"}}
     resolved = resolve_choices(types)
-    assert [c for c, _, _ in resolved["b"]] == ["b_int", "b_str"] and resolved["a"] == [("a", "double", "float")]
+    assert [c for c, _, _ in resolved[("b",)]] == ["b_int", "b_str"] and resolved[("a",)] == [("a", "double", "float")]
     out = convert_json(df, "j", resolved).collect()
     assert [r["a"] for r in out] == [1.0, 1.5, None, None]
     assert [(r["b_int"], r["b_str"]) for r in out] == [(None, "x"), (2, None), (None, None), (None, None)]
@@ -64,8 +64,37 @@ def test_ddl_text(spark):
         '    "name" VARCHAR,\n    "w" DOUBLE PRECISION\n);')
 
 
-def test_choice_inference_refuses_data_keys(spark):
-    import pytest
+def test_many_keys_are_all_inferred(spark):
     df = spark.createDataFrame([(f'{{"user_{i}": {i}}}',) for i in range(50)], ["j"])
-    with pytest.raises(ValueError, match="map"):
-        infer_json_types(df, "j", max_shapes=10)
+    assert len(infer_json_types(df, "j")) == 50
+
+
+DOCS = [(1, '{"a.b": 1, "c:d": {"e,f": "x", "g": [1, 2]}, "l": [{"n.o": 1, "t": [true]}, {"n.o": 2.5}], "m": {}}'),
+        (2, '{"a.b": "s", "l": [], "it\'s": 3, "x": null}'), (3, "not"), (4, "[1]"), (5, '{"l": 7}'), (6, None)]
+
+
+def test_paths_are_segments_whatever_keys_hold(spark):
+    df = spark.createDataFrame(DOCS, "id int, j string")
+    types = infer_json_types(df, "j")
+    assert types[("a.b",)] == {"int", "str"} and types[("c:d", "e,f")] == {"str"} and types[("x",)] == set()
+    assert types[("l",)] == {"array", "int"} and types[("l", ELEMENT, "n.o")] == {"int", "float"}
+    assert types[("l", ELEMENT, "t", ELEMENT)] == {"bool"} and types[()] == {"array"}
+    rows = {r["id"]: r for r in convert_json(df, "j", resolve_choices(types), ["id"]).collect()}
+    assert (rows[1]["a.b_int"], rows[2]["a.b_str"], rows[2]["it's"], rows[1]["c:d_e,f"]) == (1, "s", 3, "x")
+
+
+def test_arrays_become_child_tables(spark):
+    df = spark.createDataFrame(DOCS, "id int, j string")
+    tables = json_tables(df, "j", "id", "doc")
+    assert set(tables) == {"doc", "doc_list", "doc_l", "doc_l_t", "doc_c:d_g"}
+    assert tables["doc"].count() == 6 and {r["id"]: r["l"] for r in tables["doc"].collect() if r["l"]} == {5: 7}
+    assert sorted(map(tuple, tables["doc_l"].collect())) == [(1, 0, 1.0), (1, 1, 2.5)]
+    assert list(map(tuple, tables["doc_l_t"].collect())) == [(1, 0, 0, True)]
+    assert sorted(map(tuple, tables["doc_c:d_g"].collect())) == [(1, 0, 1), (1, 1, 2)]
+    assert list(map(tuple, tables["doc_list"].collect())) == [(4, 0, 1)]
+
+
+def test_names_that_meet_are_told_apart(spark):
+    df = spark.createDataFrame([('{"a_b": 1, "a": {"b": 2}, "A_B": 3}',)], ["j"])
+    out = convert_json(df, "j", resolve_choices(infer_json_types(df, "j")))
+    assert len({c.lower() for c in out.columns}) == 3 and sorted(out.first()) == [1, 2, 3]

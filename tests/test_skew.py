@@ -7,7 +7,7 @@ from tidewater.contracts import duplicate_rows
 from tidewater.functions.indexing import with_row_index
 from tidewater.operators import timebuckets as tb
 from tidewater.session import scratch_path
-from tidewater.sinks.tables import TableSpec, read_table, upsert
+from tidewater.sinks.tables import hourly_files, newest_per_key
 
 
 def skewed(spark, n=30000):
@@ -37,15 +37,24 @@ def test_duplicate_report_under_a_hot_key(spark):
     assert got.count() == ref.count() and got.exceptAll(ref).count() == 0
 
 
-def test_upsert_keeps_newest_of_a_hot_key(spark):
+def test_newest_per_key_of_a_hot_key(spark):
     df = skewed(spark).withColumnRenamed("id", "v")
-    spec = TableSpec("hot", scratch_path(spark, "hot"), key=("k",), precombine=("v",), buckets=4)
-    upsert(df, spec, 0)
-    got = {r["k"]: r["v"] for r in read_table(spark, spec.path).collect()}
+    newest = newest_per_key(df, None, ["k"], ["v"])
+    assert "partial_max_by" in newest._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: r["v"] for r in newest.collect()}
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.max("v").alias("m")).collect()}
     assert got == want
 
 
+def test_a_hot_hour_is_written_by_several_tasks(spark):
+    rows = spark.range(20000).select(F.timestamp_seconds(F.lit(3600 * 500) + F.col("id") % 3600).cast("timestamp_ntz").alias("ts"))
+    path = scratch_path(spark, "hot-hour")
+    hourly_files(rows, path, "ts", fmt="parquet")
+    back = spark.read.parquet(path)
+    assert back.count() == 20000 and back.select("hour").distinct().count() == 1
+    assert back.select(F.input_file_name()).distinct().count() > 2
+
+
 def test_bursts_spread_a_hot_key_over_buckets(spark):
     df = skewed(spark).select("k", F.timestamp_seconds(F.col("sec")).cast("timestamp_ntz").alias("ts"))
     b = tb.bursts(df, "k", "ts", "15 minutes", 3, sort=False)

@@ -1,19 +1,21 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater import fs
-from tidewater.contracts import Check, Column, Contract
+from tidewater.contracts import Check, Column, Contract, ContractError
 from tidewater.operators.decode import decode_json, json_topic_table
 from tidewater.operators.relational import relationalize
 from tidewater.session import scratch_path
 from tidewater.sinks.files import write_tables
-from tidewater.sinks.tables import hourly_files_stream
-from tidewater.sinks.topics import json_value, publish, to_topic
+from tidewater.sinks.tables import TableSpec, hourly_files_stream
+from tidewater.sinks.topics import json_value, to_topic, write_topic
 from tidewater.sources.files import read_objects, read_positional_csv
 from tidewater.sources.topics import TopicSpec, read_topic
-from tidewater.streaming.runner import run_available
-from tidewater.streaming.validate import split_stream
+from tidewater.streaming.ingest import DISCARD, IngestSpec, run_ingest
+from tidewater.streaming.runner import run_available, write_batch
+from tidewater.streaming.validate import split_stream, validate_stream
 from tidewater.streaming.windows import stream_to_topic, tumble_sum_stream
 
 from tests.conftest import SF_SMALL
@@ -24,8 +26,7 @@ DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, val
 def _topic(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     spec = TopicSpec("events", path=scratch_path(spark, "topic"))
-    publish(to_topic(ev, "events", json_value(ev), key=F.col("event_id").cast("string"), order_by=["event_id"]),
-            spec, 0)
+    write_topic(to_topic(ev, "events", json_value(ev), key=F.col("event_id").cast("string")), spec)
     return ev, spec
 
 
@@ -104,3 +105,78 @@ def test_positional_csv(spark):
             fh.write("h1,h2\n" + f"{i},x{i}\n")
     df = read_positional_csv(spark, [f"{base}/part0.csv", f"{base}/part1.csv"], ["Time", "Line"])
     assert df.columns == ["Time", "Line"] and sorted(r["Line"] for r in df.collect()) == ["x0", "x1"]
+
+
+def test_ddl_is_replaced_with_its_table(spark):
+    base = scratch_path(spark, "tables")
+    write_tables({"t": spark.createDataFrame([(1,)], "a int")}, base)
+    write_tables({"t": spark.createDataFrame([(1, "x")], "a int, b string")}, base, mode="overwrite")
+    assert '"b" VARCHAR' in fs.read_text(spark, f"{base}/DDL_t.sql")
+
+
+def test_a_new_checkpoint_adds_to_old_output(spark):
+    """Both runs' valid and quarantined rows stay; a unique key accepted before is refused in the second run."""
+    contract = Contract(columns={"event_id": Column("int64", unique=True), "value": Column("float64", Check.le(100.0))})
+    ev, spec = _topic(spark)
+    valid, bad = scratch_path(spark, "valid"), scratch_path(spark, "bad")
+    for run in (1, 2):
+        validate_stream(_stream(spark, spec), contract, valid, bad, scratch_path(spark, "ckpt")).awaitTermination()
+        good, n = spark.read.parquet(valid), ev.where("value <= 100").count()
+        assert good.count() == good.select("event_id").distinct().count() == n
+        assert spark.read.parquet(bad).count() == run * (ev.count() - n) + (run - 1) * n
+
+
+def test_a_replayed_batch_replaces_itself(spark):
+    path = scratch_path(spark, "out")
+    for n in (5, 3):
+        write_batch(spark.range(n), path, "q", 0)
+    write_batch(spark.range(2), path, "other", 0)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_aggregate_checks_are_refused_on_streams(spark):
+    _, spec = _topic(spark)
+    whole = Contract(columns={"event_type": Column("str", Check.unique_values_eq(["click"]))})
+    unique = Contract(columns={"event_id": Column("int64", unique=True)})
+    paths = [scratch_path(spark, n) for n in "vqc"]
+    with pytest.raises(ContractError, match="aggregate"):
+        validate_stream(_stream(spark, spec), whole, *paths)
+    for c in (whole, unique):
+        with pytest.raises(ContractError, match="inline"):
+            split_stream(_stream(spark, spec), c)
+
+
+def _spec(spark, source, **kw):
+    return IngestSpec(**{"source": source, "target": TableSpec("t", scratch_path(spark, "table")), "schema": DDL,
+                         "checkpoint": scratch_path(spark, "ckpt"), "dead_letter_path": DISCARD, **kw})
+
+
+def test_ingest_discards_nothing_unsaid(spark):
+    contract = Contract(columns={"value": Column("float64", Check.le(100.0))})
+    whole = Contract(columns={"value": Column("float64", Check.custom(lambda c: F.max(c) < 9, "top", aggregate=True))})
+    source = TopicSpec("t", path="/nowhere")
+    for kw, error in (({"dead_letter_path": ""}, ValueError), ({"contract": contract}, ValueError),
+                      ({"contract": whole, "quarantine_path": DISCARD}, ContractError), ({"operation": "upsert"}, ValueError),
+                      ({"operation": "odd"}, ValueError)):
+        with pytest.raises(error):
+            run_ingest(spark, _spec(spark, source, **kw))
+
+
+def test_ingest_decodes_once_and_keeps_all(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    source = TopicSpec("events", path=scratch_path(spark, "topic"))
+    value = F.when(F.col("event_id") % 10 == 0, F.lit("{cut")).otherwise(json_value(ev))
+    write_topic(to_topic(ev, "events", value, key=F.col("event_id").cast("string")), source)
+    bad, dead = scratch_path(spark, "bad"), scratch_path(spark, "dead")
+    spec = _spec(spark, source, dead_letter_path=dead, quarantine_path=bad,
+                 contract=Contract(columns={"value": Column("float64", Check.le(100.0))}))
+    for _ in range(2):  # the second run finds nothing new
+        run_ingest(spark, spec).awaitTermination()
+    counts = [spark.read.parquet(p).count() for p in (spec.target.path, bad, dead)]
+    want = [ev.where(c).count() for c in ("event_id % 10 <> 0 and value <= 100", "event_id % 10 <> 0 and value > 100", "event_id % 10 = 0")]
+    assert counts == want
+
+
+def test_run_available_has_no_time_limit_unless_given(spark):
+    import inspect
+    assert inspect.signature(run_available).parameters["timeout_s"].default is None

@@ -101,3 +101,31 @@ def test_pageviews_and_people(spark):
         (102, "User_2", "Page_2", "Address_2")]
     people = fake_people(spark, 10)
     assert people.count() == 10 and people.select("uuid").distinct().count() == 10
+
+
+def test_unique_beyond_its_range_fails_instead_of_breaking_the_contract(spark):
+    narrow = Contract(columns={"v": Column("int64", Check.in_range(5, 9), unique=True)})
+    assert {r["v"] for r in synthesize_contract(spark, narrow, n=5).collect()} == {5, 6, 7, 8, 9}
+    choice = Contract(columns={"v": Column("str", Check.isin(["a", "b"]), unique=True)})
+    assert {r["v"] for r in synthesize_contract(spark, choice, n=2).collect()} == {"a", "b"}
+    for contract, n in ((narrow, 6), (choice, 3)):
+        with pytest.raises(Exception, match="possible values"):
+            synthesize_contract(spark, contract, n=n).collect()
+
+
+def test_fixed_bytes_use_the_whole_alphabet(spark):
+    import string
+    schema = {"type": "record", "name": "r", "fields": [{"name": "f", "type": {"type": "fixed", "name": "F", "size": 16}}]}
+    rows = [bytes(r["f"]).decode() for r in synthesize(spark, schema, n=400, seed=1).collect()]
+    assert all(len(x) == 16 for x in rows) and set("".join(rows)) == set(string.ascii_letters + string.digits)
+    assert len(set(rows)) == 400
+
+
+def test_records_of_many_schemas_are_those_of_each(spark):
+    from tidewater.operators.synth import synthesize_many
+    ids = spark.range(20)
+    some = {k: AVRO_SCHEMAS[k] for k in ("user_specific", "fake-heavily-nested")}
+    many = synthesize_many(ids, some, seed=4)
+    for name, schema in some.items():
+        one = synthesize(spark, schema, ids=ids, seed=4)
+        assert sorted(map(str, many.select(f"`{name}`.*").collect())) == sorted(map(str, one.collect()))

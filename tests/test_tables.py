@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.decode import decode_json
 from tidewater.session import scratch_path
-from tidewater.sinks.tables import (TableSpec, append_stream, check_checkpoint, latest_manifest, read_table,
-                                    read_topic_table, upsert, upsert_stream)
-from tidewater.sinks.topics import json_value, publish, to_topic
+from tidewater.sinks.tables import (TableSpec, append_stream, check_checkpoint, latest_stream, merge, newest_per_key,
+                                    read_topic_table)
+from tidewater.sinks.topics import json_value, to_topic, write_topic
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.streaming.runner import run_available
 from tidewater.streaming.windows import tumble_sum_stream
@@ -22,31 +22,39 @@ def people(spark, rows):
     return spark.createDataFrame(rows, "uuid string, first_name string, city string, state string, v int")
 
 
-def test_upsert_precombine_and_replay(spark):
-    spec = TableSpec("people", scratch_path(spark, "people"), key=("uuid",), precombine=("v",), buckets=4)
-    assert upsert(people(spark, [("a", "Ada", "Miami", "FL", 1), ("b", "Ben", "Reno", "NV", 1),
-                                 ("a", "Ada", "Tampa", "FL", 2)]), spec, batch_id=0)
-    assert {r["uuid"]: r["city"] for r in read_table(spark, spec.path).collect()} == {"a": "Tampa", "b": "Reno"}
+def cities(df):
+    return {r["uuid"]: r["city"] for r in df.collect()}
+
+
+def test_newest_per_key_and_replay(spark):
+    first = newest_per_key(people(spark, [("a", "Ada", "Miami", "FL", 1), ("b", "Ben", "Reno", "NV", 1),
+                                          ("a", "Ada", "Tampa", "FL", 2)]), None, ["uuid"], ["v"])
+    assert cities(first) == {"a": "Tampa", "b": "Reno"}
     # older precombine loses, equal precombine: incoming wins, new key inserted
-    assert upsert(people(spark, [("a", "Ada", "Old", "FL", 1), ("b", "Ben", "Salem", "OR", 1),
-                                 ("c", "Cleo", "Austin", "TX", 0)]), spec, batch_id=1)
-    got = {r["uuid"]: r["city"] for r in read_table(spark, spec.path).collect()}
-    assert got == {"a": "Tampa", "b": "Salem", "c": "Austin"}
-    # replayed batch id is skipped
-    assert upsert(people(spark, [("a", "Ada", "Zzz", "FL", 9)]), spec, batch_id=1) is False
-    assert read_table(spark, spec.path).where("uuid = 'a'").first()["city"] == "Tampa"
-    m = latest_manifest(spark, spec)
-    assert m["version"] == 1 and m["batch_id"] == 1
-
-
-def test_upsert_rewrites_only_touched_buckets(spark):
-    spec = TableSpec("nums", scratch_path(spark, "nums"), key=("k",), precombine=("v",), buckets=8)
-    upsert(spark.range(100).selectExpr("id AS k", "0 AS v"), spec, 0)
-    upsert(spark.createDataFrame([(5, 1)], "k long, v int"), spec, 1)
-    m = latest_manifest(spark, spec)
-    assert sorted(set(m["buckets"].values())) == [0, 1]
-    assert list(m["buckets"].values()).count(1) == 1
-    assert read_table(spark, spec.path).count() == 100
+    batch = people(spark, [("a", "Ada", "Old", "FL", 1), ("b", "Ben", "Salem", "OR", 1), ("c", "Cleo", "Austin", "TX", 0)])
+    second = newest_per_key(first, batch, ["uuid"], ["v"])
+    assert cities(second) == {"a": "Tampa", "b": "Salem", "c": "Austin"}
+    assert cities(newest_per_key(second, batch, ["uuid"], ["v"])) == cities(second)
+
+
+def test_newest_per_key_keeps_columns_and_null_keys(spark):
+    old = spark.createDataFrame([(1, 0, "x"), (2, 0, "y"), (None, 0, "z")], "k long, v int, note string")
+    new = spark.createDataFrame([(3, 1, True), (None, 2, False)], "k long, v int, flag boolean")
+    got = sorted(map(tuple, newest_per_key(old, new, ["k"], ["v"]).collect()), key=str)
+    assert got == sorted([(1, 0, "x", None), (2, 0, "y", None), (3, 1, None, True), (None, 2, None, False)], key=str)
+
+
+def test_ties_within_a_batch_go_by_source_position(spark):
+    rows = spark.createDataFrame([("a", 1, 0, 7, "late"), ("a", 1, 0, 3, "early")], "k string, v int, partition int, offset long, x string")
+    assert newest_per_key(rows, None, ["k"], ["v", "partition", "offset"]).first()["x"] == "late"
+
+
+def test_merge_is_for_lake_formats(spark):
+    df = people(spark, [("a", "Ada", "Miami", "FL", 1)])
+    with pytest.raises(ValueError, match="keyed merge"):
+        merge(df, TableSpec("t", "/t", key=("uuid",), precombine=("v",)))
+    with pytest.raises(ValueError, match="precombine"):
+        merge(df, TableSpec("t", "/t", "delta", key=("uuid",)))
 
 
 def test_checkpoint_outside_table():
@@ -61,32 +69,30 @@ def _topic_with_events(spark, batches):
     split = F.lit("2024-01-15").cast("timestamp_ntz")
     parts = {0: ev.where(F.col("ts") < split), 1: ev.where(F.col("ts") >= split)}
     for b in batches:
-        publish(to_topic(parts[b], "events", json_value(parts[b]), key=F.col("event_id").cast("string"),
-                         order_by=["event_id"]), spec, b)
+        write_topic(to_topic(parts[b], "events", json_value(parts[b]), key=F.col("event_id").cast("string")), spec)
     return ev, spec
 
 
 DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def test_stream_upsert_equals_batch_upsert(spark):
+def test_latest_stream_over_restarts_equals_batch(spark):
+    """Update mode over two loads and an idle run: every key is there, not only those of the last micro-batch."""
     ev, topic = _topic_with_events(spark, [0])
-    spec = TableSpec("latest", scratch_path(spark, "latest"), key=("user_id",), precombine=("ts", "event_id"))
-    ckpt = scratch_path(spark, "ckpt")
-    for batch in (None, 1, None):  # third run: nothing new
-        if batch is not None:
-            split = F.lit("2024-01-15").cast("timestamp_ntz")
-            late = ev.where(F.col("ts") >= split)
-            publish(to_topic(late, "events", json_value(late), key=F.col("event_id").cast("string"),
-                             order_by=["event_id"]), topic, batch)
+    path, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "ckpt")
+    split = F.lit("2024-01-15").cast("timestamp_ntz")
+    for late in (False, True, False):
+        if late:
+            part = ev.where(F.col("ts") >= split)
+            write_topic(to_topic(part, "events", json_value(part), key=F.col("event_id").cast("string")), topic)
         good, _ = decode_json(read_topic(spark, topic, stream=True), DDL, meta=[], key_as_string=False)
-        good = good.drop("key")
-        upsert_stream(good, spec, ckpt).awaitTermination()
-    batch_spec = TableSpec("latest_b", scratch_path(spark, "latest_b"), key=("user_id",), precombine=("ts", "event_id"))
-    upsert(ev, batch_spec, 0)
-    a, b = read_table(spark, spec.path), read_table(spark, batch_spec.path)
-    assert a.count() == ev.select("user_id").distinct().count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        out = run_available(latest_stream(good.drop("key"), ["user_id"], ["ts", "event_id"]), path, ckpt,
+                            output_mode="update", keys=["user_id"])
+    want = newest_per_key(ev, None, ["user_id"], ["ts", "event_id"])
+    out = out.select(want.columns)
+    assert out.count() == want.count() and out.exceptAll(want).count() == 0
+    with pytest.raises(ValueError, match="keys"):
+        run_available(good, output_mode="update")
 
 
 def test_stream_append_twice_on_one_checkpoint(spark):
@@ -143,11 +149,3 @@ def test_processing_time_tumble_in_complete_mode(spark):
                          "value", "1 day", "0.85", decimal_scale=2)
     got = {r["event_type"]: round(r["s"], 4) for r in out.collect()}
     assert got == {r["event_type"]: round(r["window_sales"], 4) for r in want.collect()}
-
-
-def test_upsert_additive_schema_evolution(spark):
-    spec = TableSpec("evolve", scratch_path(spark, "evolve"), key=("k",), precombine=("v",), buckets=4)
-    upsert(spark.createDataFrame([(i, 0) for i in range(20)], "k long, v int"), spec, 0)
-    upsert(spark.createDataFrame([(3, 1, "x")], "k long, v int, note string"), spec, 1)
-    rows = {r["k"]: (r["v"], r["note"]) for r in read_table(spark, spec.path).collect()}
-    assert len(rows) == 20 and rows[3] == (1, "x") and rows[4] == (0, None)

@@ -92,3 +92,12 @@ def test_histogram_grid_spans_many_blocks(spark, monkeypatch):
     assert len(h) == 151   # 10:01 .. 12:31 inclusive
     assert sum(r["events"] for r in h) == 8
     assert len({r["bucket_start"] for r in h}) == len(h)
+
+
+def test_calendar_of_observed_keys(spark):
+    rows = [("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2024, 1, 1, 6)), ("odd key", dt.datetime(2024, 1, 2)), (None, dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz").withColumn("n", F.lit(1))
+    got = {r["day"].day: r for r in tb.calendar(df, "k", "ts", "n").collect()}
+    assert got[1].asDict().keys() == {"day", "a", "b", "odd key"}
+    assert (got[1]["a"], got[1]["b"], got[1]["odd key"], got[2]["odd key"]) == (1, 1, None, 1)
+    assert tb.burst_calendar(df, "k", "ts", min_events=1).columns == ["day", "a", "b", "odd key"]

@@ -3,8 +3,8 @@
 from tidewater.contracts.checks import Check
 from tidewater.contracts.model import ContractModel, Field, typed
 from tidewater.contracts.schema import Column, ColumnSpec, Contract, IndexSpec
-from tidewater.contracts.validate import (ContractError, duplicate_rows, guarded_write, report, validate,
-                                          validated_write)
+from tidewater.contracts.validate import (ContractError, duplicate_reports, duplicate_rows, guarded_write, report,
+                                          validate, validated_write)
 
 __all__ = ["Check", "Column", "ColumnSpec", "Contract", "ContractError", "ContractModel", "Field",
-           "IndexSpec", "duplicate_rows", "guarded_write", "report", "typed", "validate", "validated_write"]
+           "IndexSpec", "duplicate_reports", "duplicate_rows", "guarded_write", "report", "typed", "validate", "validated_write"]

@@ -161,12 +161,21 @@ def aggregate_predicate(check: Check, c: Column) -> Column:
 
 
 def checks_from_serial(serial) -> list[Check]:
-    """``{"isin": [...], "in_range": {...}}`` (or null) to Check objects, order kept."""
+    """Check objects, order kept, from ``{"isin": [...], "in_range": {...}}`` (or null), or from the list form
+    ``[{"check": name, "args": ..., "ignore_na": false}, ...]``."""
     if not serial:
         return []
-    return [Check(name, args) for name, args in serial.items()]
+    if isinstance(serial, dict):
+        return [Check(name, args) for name, args in serial.items()]
+    return [Check(d["check"], d.get("args"), ignore_na=d.get("ignore_na", True)) for d in serial]
 
 
 def checks_to_serial(checks: list[Check]):
-    out = {c.name: c.to_serial() for c in checks if c.fn is None}
-    return out or None
+    """A mapping by name where that says all; the list form for repeated names and checks that see nulls."""
+    custom = [c.name for c in checks if c.fn is not None]
+    if custom:
+        raise ValueError(f"checks that are functions can't be saved: {custom}")
+    names = [c.name for c in checks]
+    if len(set(names)) == len(names) and all(c.ignore_na for c in checks):
+        return {c.name: c.to_serial() for c in checks} or None
+    return [{"check": c.name, "args": c.to_serial()} | ({} if c.ignore_na else {"ignore_na": False}) for c in checks]

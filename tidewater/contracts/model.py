@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.contracts.checks import Check
 from tidewater.contracts.schema import ColumnSpec, Contract
+from tidewater.contracts.validate import spark_frame
 
 _HINTS = {int: "int64", float: "float64", str: "str", bool: "bool", dt.datetime: "datetime64[ns]",
           dt.date: "date"}
@@ -81,7 +82,8 @@ class ContractModel:
 
 
 def typed(data, model: type[ContractModel], spark: SparkSession | None = None) -> DataFrame:
-    """Build a DataFrame (from a DataFrame, a dict of lists or a list of rows) and validate it."""
+    """Build a DataFrame (from a Spark or pandas-on-Spark frame, a dict of lists or a list of rows) and validate it."""
+    data = spark_frame(data)
     if not isinstance(data, DataFrame):
         spark = spark or SparkSession.getActiveSession()
         contract = model.to_contract()

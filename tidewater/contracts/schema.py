@@ -6,8 +6,10 @@ import json
 from dataclasses import dataclass, field, replace
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from tidewater import fs
 from tidewater.contracts.checks import Check, checks_from_serial, checks_to_serial
 
 SCHEMA_VERSION = "0.18.0"
@@ -54,6 +56,29 @@ def dtype_matches(expected: T.DataType | None, actual: T.DataType) -> bool:
     return expected == actual
 
 
+def _set(**values) -> dict:
+    """The values that say something: options at their default aren't written."""
+    return {k: v for k, v in values.items() if v is not None}
+
+
+def _read_text(path: str) -> str:
+    """Through the session's file systems, so that a shared path works from any driver; plain without a session."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        with open(path, encoding="utf-8") as fh:
+            return fh.read()
+    return fs.read_text(spark, path)
+
+
+def _write_text(path: str, text: str) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(text)
+    else:
+        fs.write_text(spark, path, text)
+
+
 @dataclass(frozen=True)
 class ColumnSpec:
     dtype: Any = None
@@ -76,7 +101,7 @@ class ColumnSpec:
         return {"title": self.title, "description": self.description, "dtype": dtype_name(self.dtype),
                 "nullable": self.nullable, "checks": checks_to_serial(list(self.checks)),
                 "unique": self.unique, "coerce": self.coerce, "required": self.required,
-                "regex": self.regex}
+                "regex": self.regex, **_set(default=self.default, metadata=self.metadata)}
 
     @staticmethod
     def from_serial(d: dict) -> ColumnSpec:
@@ -84,7 +109,8 @@ class ColumnSpec:
                           nullable=bool(d.get("nullable", False)), unique=bool(d.get("unique", False)),
                           coerce=bool(d.get("coerce", False)), required=bool(d.get("required", True)),
                           regex=bool(d.get("regex", False)), title=d.get("title"),
-                          description=d.get("description"), default=d.get("default"))
+                          description=d.get("description"), default=d.get("default"),
+                          metadata=d.get("metadata"))
 
 
 def Column(dtype=None, checks=None, **kw) -> ColumnSpec:  # noqa: N802 - mirrors the declaration style
@@ -186,6 +212,7 @@ class Contract:
             "unique_column_names": self.unique_column_names,
             "add_missing_columns": self.add_missing_columns,
             "title": self.title, "description": self.description,
+            **_set(metadata=self.metadata, drop_invalid_rows=self.drop_invalid_rows or None),
         }
 
     @staticmethod
@@ -202,32 +229,31 @@ class Contract:
             report_duplicates=d.get("report_duplicates") or "all",
             unique_column_names=bool(d.get("unique_column_names", False)),
             add_missing_columns=bool(d.get("add_missing_columns", False)),
-            title=d.get("title"), description=d.get("description"))
+            title=d.get("title"), description=d.get("description"), metadata=d.get("metadata"),
+            drop_invalid_rows=bool(d.get("drop_invalid_rows", False)))
 
     def to_json(self, path: str | None = None, indent: int | None = 4) -> str:
         text = json.dumps(self.to_dict(), indent=indent)
         if path:
-            with open(path, "w") as fh:
-                fh.write(text)
+            _write_text(path, text)
         return text
 
     @staticmethod
     def from_json(source: str) -> Contract:
-        text = source if source.lstrip().startswith("{") else open(source).read()
+        text = source if source.lstrip().startswith("{") else _read_text(source)
         return Contract.from_dict(json.loads(text))
 
     def to_yaml(self, path: str | None = None) -> str:
         import yaml
         text = yaml.safe_dump(self.to_dict(), sort_keys=False)
         if path:
-            with open(path, "w") as fh:
-                fh.write(text)
+            _write_text(path, text)
         return text
 
     @staticmethod
     def from_yaml(source: str) -> Contract:
         import yaml
-        text = source if "\n" in source else open(source).read()
+        text = source if "\n" in source else _read_text(source)
         return Contract.from_dict(yaml.safe_load(text))
 
     def struct_type(self) -> T.StructType:

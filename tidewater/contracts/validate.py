@@ -10,6 +10,7 @@ row checks: they return lazy filters, so they also work on streams.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -78,6 +79,9 @@ def _column_rules(out: Compiled, name: str, spec: ColumnSpec | IndexSpec, contra
             out.structural.append((name, f"dtype('{want.simpleString()}')", 1))
     if not spec.nullable:
         out.row_rules.append((name, "not_nullable", ~_null_test(c, dt)))
+    if want is not None and not dtype_matches(want, dt):
+        # Checks see the values as the declared type; what can't be read so is the dtype failure's matter.
+        c, dt = c.try_cast(want), want
     for chk in spec.checks:
         if chk.is_aggregate:
             out.agg_rules.append((name, chk.label, aggregate_predicate(chk, c)))
@@ -85,6 +89,8 @@ def _column_rules(out: Compiled, name: str, spec: ColumnSpec | IndexSpec, contra
         ok = element_predicate(chk, c, dt)
         if chk.ignore_na:
             ok = F.when(_null_test(c, dt), F.lit(True)).otherwise(F.coalesce(ok, F.lit(True)))
+        else:
+            ok = F.coalesce(ok, F.lit(False))  # an undecided check that doesn't ignore nulls has failed
         out.row_rules.append((name, chk.label, ok))
     if spec.unique:
         out.unique_sets.append([name])
@@ -102,9 +108,11 @@ def compile_contract(contract: Contract, df: DataFrame, index_column: str | None
     specs: dict[str, ColumnSpec] = {}
     for key, spec in contract.columns.items():
         if spec.regex:
-            for n in names:
-                if re.fullmatch(key, n):
-                    specs.setdefault(n, spec)
+            matched = [n for n in names if re.fullmatch(key, n)]
+            for n in matched:
+                specs.setdefault(n, spec)
+            if spec.required and not matched:
+                out.structural.append((key, "column_in_dataframe", 1))
         else:
             specs[key] = spec
 
@@ -161,6 +169,15 @@ def compile_contract(contract: Contract, df: DataFrame, index_column: str | None
     return out
 
 
+def set_checks(contract: Contract) -> tuple[list[list[str]], list[str]]:
+    """(unique sets, labels of aggregate checks): the checks that need more than one row."""
+    unique = [[name] for name, spec in contract.columns.items() if spec.unique]
+    unique += [list(contract.unique)] if contract.unique else []
+    specs = [*contract.columns.items(), *((i.name or "index", i) for i in contract.index)]
+    aggregates = [f"{name}:{c.label}" for name, spec in specs for c in spec.checks if c.is_aggregate]
+    return unique, aggregates + [f"{DATAFRAME}:{c.label}" for c in contract.checks if c.is_aggregate]
+
+
 def _unique_failures(df: DataFrame, cols: list[str], how: str) -> DataFrame:
     n = F.col("_n")
     counted = (df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
@@ -198,14 +215,12 @@ def _q(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _dup_flags(df: DataFrame, cols: list[str], how: str, order_by: str | None) -> tuple[DataFrame, Column]:
-    """Flag rows in duplicate groups without a window over the (possibly hot) key.
+def _with_groups(df: DataFrame, cols: list[str], order_by: str | None) -> DataFrame:
+    """Rows with their duplicate group's size and first / last order value (null for rows without duplicates).
 
-    Group sizes and first/last order values come from a partial aggregate; the
-    flags join back on the key, where AQE can split a skewed key's partition.
+    These come from a partial aggregate instead of a window over the (possibly hot) key, and join back on the key,
+    where AQE can split a skewed key's partition.
     """
-    if how != "all" and order_by is None:
-        raise ValueError(f"report_duplicates={how} needs order_by= to define first/last")
     aggs = [F.count(F.lit(1)).alias("_u_n")]
     if order_by:
         aggs += [F.min(order_by).alias("_u_first"), F.max(order_by).alias("_u_last")]
@@ -216,19 +231,31 @@ def _dup_flags(df: DataFrame, cols: list[str], how: str, order_by: str | None) -
     for c in cols:
         e = df[c].eqNullSafe(keyed[f"_u_{c}"])
         cond = e if cond is None else cond & e
-    joined = df.join(keyed, cond, "left")
+    return df.join(keyed, cond, "left")
+
+
+def _is_duplicate(how: str, order_by: str | None) -> Column:
+    """Never null: a row without an order value is neither the first nor the last of its group."""
+    if how != "all" and order_by is None:
+        raise ValueError(f"report_duplicates={how} needs order_by= to define first/last")
     dup = F.col("_u_n").isNotNull()
     if how == "exclude_first":
-        dup = dup & (F.col(order_by) != F.col("_u_first"))
+        dup = dup & F.coalesce(F.col(order_by) != F.col("_u_first"), F.lit(True))
     elif how == "exclude_last":
-        dup = dup & (F.col(order_by) != F.col("_u_last"))
-    return joined, dup
+        dup = dup & F.coalesce(F.col(order_by) != F.col("_u_last"), F.lit(True))
+    return dup
 
 
 def duplicate_rows(df: DataFrame, cols: list[str], how: str = "all", order_by: str | None = None) -> DataFrame:
     """The rows a ``unique`` check reports under ``report_duplicates=how``."""
-    joined, dup = _dup_flags(df, cols, how, order_by)
-    return joined.where(dup).select(*df.columns)
+    return _with_groups(df, cols, order_by).where(_is_duplicate(how, order_by)).select(*df.columns)
+
+
+def duplicate_reports(df: DataFrame, cols: list[str], order_by: str,
+                      how: tuple[str, ...] = ("all", "exclude_first", "exclude_last")) -> DataFrame:
+    """The rows of several reports at once, each with its ``report`` name, from one aggregate and one join."""
+    reports = F.array_compact(F.array(*[F.when(_is_duplicate(h, order_by), F.lit(h)) for h in how]))
+    return _with_groups(df, cols, order_by).select(F.explode(reports).alias("report"), *df.columns)
 
 
 def _row_flags(contract: Contract, comp: Compiled, order_by: str | None, row_checks_only: bool):
@@ -239,7 +266,7 @@ def _row_flags(contract: Contract, comp: Compiled, order_by: str | None, row_che
     rules = [(f"{c}:{k}", ok) for c, k, ok in comp.row_rules]
     if not row_checks_only:
         for cols in comp.unique_sets:
-            df, dup = _dup_flags(df, cols, contract.report_duplicates, order_by)
+            df, dup = _with_groups(df, cols, order_by), _is_duplicate(contract.report_duplicates, order_by)
             flag = f"_dup_{len(rules)}"
             df = df.withColumn(flag, dup).drop(*[c for c in df.columns if c.startswith("_u_")])
             rules.append((f"{','.join(cols)}:unique", ~F.col(flag)))
@@ -273,6 +300,11 @@ def _final_columns(comp: Compiled) -> list[str]:
     return [c for c in comp.df.columns if not c.startswith("_orig_") and not c.startswith("_dup_")]
 
 
+def spark_frame(df) -> DataFrame:
+    """The Spark frame of a pandas-on-Spark frame; other frames as they are."""
+    return df.to_spark() if not isinstance(df, DataFrame) and hasattr(df, "to_spark") else df
+
+
 def validate(contract: Contract, df: DataFrame, mode: str = "raise", index_column: str | None = None,
              order_by: str | None = None, row_checks_only: bool = False, examples: int = 5):
     """Validate ``df``.
@@ -283,9 +315,9 @@ def validate(contract: Contract, df: DataFrame, mode: str = "raise", index_colum
     * ``drop``: the rows passing every row and unique check (``drop_invalid_rows``).
     * ``quarantine``: ``(valid, quarantine)``; quarantine rows carry ``_reasons``.
 
-    ``row_checks_only`` skips unique and aggregate checks (streams validate those
-    per micro-batch instead).
+    ``row_checks_only`` skips unique and aggregate checks. A pandas-on-Spark frame is taken as its Spark frame.
     """
+    df = spark_frame(df)
     if contract.drop_invalid_rows and mode == "raise":
         mode = "drop"
     comp = compile_contract(contract, df, index_column)
@@ -335,11 +367,10 @@ def guarded_write(df: DataFrame, contract: Contract, path: str, fmt: str = "parq
                   partition_by: list[str] | None = None, index_column: str | None = None, **options) -> None:
     """Write ``df`` to a new ``path`` only if it passes ``contract``, in one pass.
 
-    Row and aggregate checks are counted with ``observe()`` while the data is
-    written to a staging folder; ``unique`` sets are then checked on the staged
-    files, reading only their key columns. The staged folder is renamed into
-    place (atomic on HDFS/POSIX) when everything passes, else deleted and
-    ContractError is raised — nothing is ever visible at ``path`` on failure.
+    Row and aggregate checks are counted with ``observe()`` while the data is written to a staging folder;
+    ``unique`` sets are then checked on the staged files, reading only their key columns. If everything passes,
+    Spark writes the staged rows to ``path`` with its own commit protocol, so no rename has to be atomic;
+    else ContractError is raised and nothing is ever visible at ``path``. Staged files are deleted either way.
     """
     from pyspark.sql import Observation
 
@@ -358,18 +389,14 @@ def guarded_write(df: DataFrame, contract: Contract, path: str, fmt: str = "parq
     out = comp.df.select(*[F.col(f"`{c}`") for c in _final_columns(comp)])
     obs = Observation("contract")
     observed = out.observe(obs, *metrics) if metrics else out
-    # A hidden sibling (leading underscore: Spark readers of the parent skip it),
-    # on the same file system so the final rename is atomic.
+    # A hidden sibling: Spark readers of the parent skip a leading underscore.
     parent, _, leaf = path.rstrip("/").rpartition("/")
-    staging = f"{parent}/_staging_{leaf}_{id(obs):x}"
-    w = observed.write.format(fmt).options(**options)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(staging)
+    staging = f"{parent}/_staging_{leaf}_{uuid.uuid4().hex[:12]}"
+    observed.write.parquet(staging)
     got = obs.get if metrics else {}
     failures = [(c, k, int(got[f"_m{i}"]), []) for i, (c, k) in enumerate(labels) if got.get(f"_m{i}")]
     if comp.unique_sets:
-        staged = spark.read.format(fmt).load(staging)
+        staged = spark.read.parquet(staging)
         for cols in comp.unique_sets:
             n = _unique_failures(staged, cols, contract.report_duplicates).first()["failures"]
             if n:
@@ -378,6 +405,10 @@ def guarded_write(df: DataFrame, contract: Contract, path: str, fmt: str = "parq
         fs.delete(spark, staging)
         raise ContractError("contract failed, nothing written: " +
                             "; ".join(f"{c}: {k} failed for {n} rows" for c, k, n, _ in failures), failures)
-    if not fs.rename(spark, staging, path):
+    w = spark.read.schema(out.schema).parquet(staging).write.format(fmt).options(**options)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    try:
+        w.save(path)
+    finally:
         fs.delete(spark, staging)
-        raise RuntimeError(f"could not publish {path}")

@@ -39,40 +39,14 @@ def read_text(spark: SparkSession, path: str) -> str:
     return bytes(data).decode("utf-8")
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> bool:
-    """Write to a hidden temp name, then rename into place.
-
-    Returns False when ``path`` already exists (another writer committed first);
-    the rename is the commit point, atomic on HDFS and POSIX file systems.
-    """
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, replacing what was there."""
     fs, p = _fs_and_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "_tmp." + p.getName())
-    out = fs.create(tmp, True)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(tmp, False)
-        return False
-    ok = bool(fs.rename(tmp, p))
-    if not ok:
-        fs.delete(tmp, False)
-    return ok
-
-
-def mkdirs(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_and_path(spark, path)
-    fs.mkdirs(p)
-
-
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Rename ``src`` to ``dst`` (a directory rename is atomic on HDFS and POSIX)."""
-    fs, s = _fs_and_path(spark, src)
-    _, d = _fs_and_path(spark, dst)
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,159 +1,53 @@
-"""Avro payloads on topics: wire-format encode/decode and payload-as-JSON.
-
-When the spark-avro package is loaded, ``to_avro``/``from_avro`` do the work in
-the JVM. Otherwise the bodies are encoded/decoded by a small Avro codec inside
-``mapInArrow`` tasks (Arrow batches in and out, no per-row JVM round trip);
-Spark still partitions and schedules that work.
-"""
+"""Avro payloads on topics, through Spark's own ``from_avro`` / ``to_avro`` (the spark-avro package must be loaded)."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from pyspark import cloudpickle
 
-from tidewater.functions import avro_codec, avro_types
-from tidewater.functions.avro_types import named_types, parse_avro, record_schema
-from tidewater.functions.columns import wire_body, wire_schema_id
-from tidewater.functions.partitioning import spread_for_cpu
+from tidewater.functions.avro_types import parse_avro, record_schema
+from tidewater.functions.columns import wire_body, wire_magic_ok, wire_schema_id
 from tidewater.operators.decode import with_wire_header
 
-# The codec runs inside Python workers; ship its code with the task so executors
-# need no installed copy of this package.
-cloudpickle.register_pickle_by_value(avro_codec)
-cloudpickle.register_pickle_by_value(avro_types)
-
-_AVAILABLE: dict[int, bool] = {}
-
-
-def avro_functions_available(spark: SparkSession) -> bool:
-    key = id(spark.sparkContext)
-    if key not in _AVAILABLE:
-        try:
-            from pyspark.sql.avro.functions import to_avro
-            spark.range(1).select(to_avro(F.col("id"))).schema  # analysis fails without the package
-            _AVAILABLE[key] = True
-        except Exception:  # noqa: BLE001 - any failure means "not loaded"
-            _AVAILABLE[key] = False
-    return _AVAILABLE[key]
-
-
-def _arrow_schema(st: T.StructType):
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return to_arrow_schema(st, timestamp_utc=True)
-
 
 def encode_avro(df: DataFrame, schema, schema_id: int | None = None, out_col: str = "value",
-                keep: list[str] | None = None, use_builtin: bool | None = None) -> DataFrame:
+                keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns plus ``out_col``: each row's record fields as an Avro body,
-    with the 5-byte wire header when ``schema_id`` is given."""
-    keep = list(keep or [])
+    with the 5-byte wire header when ``schema_id`` is given. Fields the rows lack take their declared defaults."""
+    from pyspark.sql.avro.functions import to_avro
+
     s = parse_avro(schema)
-    fields = [f["name"] for f in s["fields"]]
-    spark = df.sparkSession
-    # Fields the rows lack take their declared defaults (filled on write).
     declared = record_schema(s)
-    missing = [f for f in s["fields"] if f["name"] not in df.columns]
-    for f in missing:
-        if "default" not in f:
-            raise ValueError(f"field {f['name']!r} is missing and has no default")
-        df = df.withColumn(f["name"], F.lit(f["default"]).cast(declared[f["name"]].dataType))
-    if use_builtin is None:
-        use_builtin = avro_functions_available(spark)
-    if use_builtin:
-        from pyspark.sql.avro.functions import to_avro
-        body = to_avro(F.struct(*[F.col(f"`{c}`") for c in fields]), json.dumps(s))
-        val = with_wire_header(body, schema_id) if schema_id is not None else body
-        return df.select(*keep, val.alias(out_col))
-
-    from tidewater.functions.avro_codec import encode
-    named = named_types(s)
-    header = bytes([0]) + int(schema_id).to_bytes(4, "big") if schema_id is not None else b""
-    src = spread_for_cpu(df.select(*keep, *[F.col(f"`{c}`") for c in fields if c not in keep]))
-    out_schema = T.StructType([src.schema[c] for c in keep] + [T.StructField(out_col, T.BinaryType())])
-
-    def run(batches: Iterator):
-        import pyarrow as pa
-        for batch in batches:
-            rows = batch.to_pylist()
-            bodies = []
-            for row in rows:
-                buf = bytearray(header)
-                encode(row, s, named, buf)
-                bodies.append(bytes(buf))
-            arrays = [batch.column(c) for c in keep] + [pa.array(bodies, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + [out_col])
+    for f in s["fields"]:
+        if f["name"] not in df.columns:
+            if "default" not in f:
+                raise ValueError(f"field {f['name']!r} is missing and has no default")
+            df = df.withColumn(f["name"], F.lit(f["default"]).cast(declared[f["name"]].dataType))
+    body = to_avro(F.struct(*[F.col(f"`{f['name']}`") for f in s["fields"]]), json.dumps(s))
+    return df.select(*(keep or []), (with_wire_header(body, schema_id) if schema_id is not None else body).alias(out_col))
 
-    return src.mapInArrow(run, out_schema)
 
+def decode_avro(df: DataFrame, reader_schema, schema_id: int | None = None, keep: list[str] | None = None,
+                value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(good, dead letters) of records whose Avro body was written with ``reader_schema``.
 
-def decode_avro(df: DataFrame, reader_schema, writer_schemas: dict[int, str] | None = None,
-                value_col: str = "value", wire: bool = True, keep: list[str] | None = None,
-                use_builtin: bool | None = None) -> DataFrame:
-    """Decode Avro bodies into the reader schema's columns (plus ``keep`` columns).
-
-    With ``wire`` the 5-byte header is stripped and its schema id selects the
-    writer schema from ``writer_schemas`` (fields the writer lacks take the
-    reader's defaults). A body that fails to decode gives null fields and an
-    ``_avro_error`` message; the stream goes on.
+    With ``schema_id`` the value has the wire header, which must name that id: a body of another writer schema is
+    never read with this one. PERMISSIVE decoding makes a malformed body null, and it goes to the dead letters.
     """
-    keep = list(keep or [])
-    rs = parse_avro(reader_schema)
-    st = record_schema(rs)
-    spark = df.sparkSession
-    if use_builtin is None:
-        use_builtin = avro_functions_available(spark) and not writer_schemas
-    body = wire_body(value_col) if wire else F.col(value_col)
-    if use_builtin:
-        from pyspark.sql.avro.functions import from_avro
-        rec = from_avro(body, json.dumps(rs), {"mode": "PERMISSIVE"})
-        return df.select(*keep, rec.alias("_r")).select(
-            *keep, *[F.col(f"_r.`{f.name}`").alias(f.name) for f in st.fields],
-            F.when(F.col("_r").isNull(), F.lit("malformed")).alias("_avro_error"))
-
-    from tidewater.functions.avro_codec import compile_decoder
-    named_r = named_types(rs)
-    writers = {int(k): parse_avro(v) for k, v in (writer_schemas or {}).items()}
-    named_w = {k: named_types(v) for k, v in writers.items()}
-    src = spread_for_cpu(df.select(*keep, body.alias("_body"),
-                                   (wire_schema_id(value_col) if wire else F.lit(None).cast("int")).alias("_sid")))
-    # Top-level fields are nullable: an undecodable body yields nulls.
-    fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in st.fields]
-    out_schema = T.StructType([src.schema[c] for c in keep] + fields
-                              + [T.StructField("_avro_error", T.StringType())])
-    arrow_fields = _arrow_schema(T.StructType(fields))
-
-    def run(batches: Iterator):
-        import pyarrow as pa
-        struct_type = pa.struct(list(arrow_fields))
-        decoders = {}   # writer schema id -> compiled decoder, built once per task
-        for batch in batches:
-            bodies = batch.column("_body").to_pylist()
-            sids = batch.column("_sid").to_pylist()
-            recs, errs = [], []
-            for b, sid in zip(bodies, sids):
-                dec = decoders.get(sid)
-                if dec is None:
-                    w = writers.get(sid, rs) if sid is not None else rs
-                    dec = decoders[sid] = compile_decoder(w, rs, named_w.get(sid, named_r), named_r)
-                try:
-                    recs.append(None if b is None else dec(b))
-                    errs.append(None if b is not None else "null value")
-                except Exception as e:  # noqa: BLE001 - a bad record must not stop the stream
-                    recs.append(None)
-                    errs.append(f"malformed: {type(e).__name__}")
-            arr = pa.array(recs, type=struct_type)
-            cols = [batch.column(c) for c in keep] + arr.flatten() + [pa.array(errs, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in st.fields] + ["_avro_error"])
+    from pyspark.sql.avro.functions import from_avro
 
-    return src.mapInArrow(run, out_schema)
+    wire = schema_id is not None
+    body = wire_body(value) if wire else F.col(value)
+    right_id = (wire_magic_ok(value) & (wire_schema_id(value) == schema_id)) if wire else F.lit(True)
+    parsed = df.withColumn("_ok_id", F.coalesce(right_id, F.lit(False))).withColumn(
+        "_r", F.when(F.col("_ok_id"), from_avro(body, json.dumps(parse_avro(reader_schema)), {"mode": "PERMISSIVE"})))
+    reason = F.when(~F.col("_ok_id"), F.lit("header")).when(F.col("_r").isNull(), F.lit("malformed"))
+    good = parsed.where(F.col("_r").isNotNull()).select(*(keep or []), "_r.*")
+    return good, parsed.where(F.col("_r").isNull()).select(*(keep or []), value, reason.alias("reason"))
 
 
-def payload_json(df: DataFrame, columns: list[str]) -> Column:
-    """Decoded record as JSON text, null fields kept (as a JSON dump would)."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+def payload_json(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """The decoded payload as JSON text, nulls kept."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in (columns or df.columns)]), {"ignoreNullFields": "false"})

@@ -9,12 +9,11 @@ shuffle; persist the input first if many tables are written from it.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.decode import json_path
 from tidewater.session import ensure_checkpoint_dir
 
 
@@ -94,67 +93,49 @@ def ddl_for(df: DataFrame, table: str, schema: str = "public") -> str:
 
 # ---------------------------------------------------------------- JSON choice types
 
-_SCALAR_KIND = {"BIGINT": "int", "INT": "int", "SMALLINT": "int", "TINYINT": "int", "DOUBLE": "float",
-                "FLOAT": "float", "DECIMAL": "float", "STRING": "str", "BOOLEAN": "bool",
-                "DATE": "str", "TIMESTAMP": "str", "TIMESTAMP_NTZ": "str", "BINARY": "str"}
 # How each resolved kind is read out of a VARIANT.
 KIND_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean", "array": "string"}
 
+ELEMENT = None  # the path segment of an array's elements; every other segment is a key, whatever it holds
+Path = tuple[str | None, ...]
+_PATHS = "array<struct<element: boolean, key: string>>"
 
-def _split_top(s: str) -> list[str]:
-    parts, depth, cur = [], 0, ""
-    for ch in s:
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        if ch == "," and depth == 0:
-            parts.append(cur.strip())
-            cur = ""
-        else:
-            cur += ch
-    if cur.strip():
-        parts.append(cur.strip())
-    return parts
-
-
-def _type_paths(path: str, type_str: str, acc: dict[str, set[str]]) -> None:
-    """Parse a ``schema_of_variant`` string into {path: {kind}} (objects recurse)."""
-    t = type_str.strip()
-    if t.startswith("OBJECT<"):
-        for part in _split_top(t[len("OBJECT<"):-1]):
-            fname, ftype = part.split(":", 1)
-            fname = fname.strip().strip("`")
-            _type_paths(f"{path}.{fname}" if path else fname, ftype, acc)
-        return
-    if t == "VOID":
-        acc.setdefault(path, set())
-        return
-    kind = "array" if t.startswith("ARRAY") else _SCALAR_KIND.get(re.split(r"[(<]", t)[0], "str")
-    acc.setdefault(path, set()).add(kind)
-
-
-def infer_json_types(df: DataFrame, col: str, max_shapes: int = 100_000) -> dict[str, set[str]]:
-    """Per dotted path (``a.b``), the set of JSON kinds seen (int, float, str, bool, array).
-
-    One job: top-level fields are exploded and grouped by (key, value type), so
-    the driver receives one row per distinct (key, type) — bounded by the schema
-    size, not the row count. Documents that use data values as object keys (a map
-    written as an object) have no fixed schema; more than ``max_shapes`` distinct
-    shapes raises instead of pulling them all to the driver.
+
+def _kind(v: Column) -> Column:
+    """object, array, int, float, bool, str, or null for a JSON null."""
+    t = F.schema_of_variant(v)
+    return (F.when(t == "VOID", F.lit(None)).when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array")
+            .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int").when(t == "BOOLEAN", "bool")
+            .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "float").otherwise("str"))
+
+
+def infer_json_types(df: DataFrame, col: str) -> dict[Path, set[str]]:
+    """Per path, the set of JSON kinds seen (int, float, str, bool, array); objects are only their fields.
+
+    One aggregate per nesting level: the fields of objects and the elements of arrays are exploded and their paths
+    and kinds made distinct on the cluster. The driver receives one row per path and kind, which is the schema
+    that any columns made from it have anyway.
     """
     spark = df.sparkSession
-    parsed = df.select(F.try_parse_json(F.col(col)).alias("_v"))
-    shapes = spark.sql(
-        "SELECT e.key AS k, schema_of_variant(e.value) AS t FROM {src}, LATERAL variant_explode(_v) AS e "
-        "GROUP BY 1, 2", src=parsed).limit(max_shapes + 1).collect()
-    if len(shapes) > max_shapes:
-        raise ValueError(f"more than {max_shapes} distinct top-level (key, type) shapes in {col!r}: "
-                         "keys look like data; read that object as a map instead")
-    acc: dict[str, set[str]] = {}
-    for row in shapes:
-        _type_paths(row["k"], row["t"] or "VOID", acc)
-    return acc
+    level = df.select(F.array().cast(_PATHS).alias("p"), F.try_parse_json(F.col(col)).alias("v"))
+    kinds: dict[Path, set[str]] = {}
+    while True:
+        level = spark.sql(
+            "SELECT concat(p, array(named_struct('element', e.key IS NULL, 'key', coalesce(e.key, '')))) AS p, e.value AS v "
+            "FROM {src}, LATERAL variant_explode(v) AS e", src=level)
+        seen = level.select("p", _kind(F.col("v")).alias("kind")).distinct().collect()
+        for row in seen:
+            path = tuple(ELEMENT if s["element"] else s["key"] for s in row["p"])
+            kinds.setdefault(path, set()).update({row["kind"]} - {None})
+        nested = {r["kind"] for r in seen} & {"object", "array"}
+        if not nested:
+            break
+        level = level.where(_kind(F.col("v")).isin(*nested))
+    if any(p[0] is ELEMENT for p in kinds):
+        kinds[()] = {"array"}  # documents that are arrays themselves
+    # an object is its fields, unless it never has any
+    parents = {p[:-1] for p in kinds if p and p[-1] is not ELEMENT}
+    return {p: k - {"object"} for p, k in kinds.items() if not (k <= {"object"} and (p in parents or "object" in k))}
 
 
 def choice_label(kinds: set[str]) -> str:
@@ -165,52 +146,80 @@ def choice_label(kinds: set[str]) -> str:
 DEFAULT_RULES = {frozenset({"float", "int"}): "float"}
 
 
-def resolve_choices(types: dict[str, set[str]], rules: dict | None = None,
-                    sep: str = "_") -> dict[str, list[tuple[str, str, str]]]:
+def resolve_choices(types: dict[Path, set[str]], rules: dict | None = None,
+                    sep: str = "_") -> dict[Path, list[tuple[str, str, str]]]:
     """{path: [(out_column, spark_type, kind)]}: a rule collapses a choice to one column,
-    an unresolved choice splits into ``{path}_{kind}`` columns, a single kind stays."""
+    an unresolved choice splits into ``{path}_{kind}`` columns, a single kind stays. Paths inside arrays are left to
+    ``json_tables``. Paths that would share a column name are told apart by a number."""
     rules = DEFAULT_RULES if rules is None else rules
-    out: dict[str, list[tuple[str, str]]] = {}
-    for path, kinds in types.items():
-        kinds = set(kinds) or {"str"}
-        name = path.replace(".", sep)
-        if len(kinds) == 1:
-            kind = next(iter(kinds))
-            out[path] = [(name, KIND_TYPES[kind], kind)]
-        elif frozenset(kinds) in rules:
-            kind = rules[frozenset(kinds)]
-            out[path] = [(name, KIND_TYPES[kind], kind)]
+    out: dict[Path, list[tuple[str, str, str]]] = {}
+    taken: set[str] = set()
+
+    def fresh(name: str) -> str:
+        n, unique = 1, name
+        while unique.lower() in taken:
+            n += 1
+            unique = f"{name}{sep}{n}"
+        taken.add(unique.lower())
+        return unique
+
+    for path in sorted(p for p in types if p and ELEMENT not in p):
+        kinds = set(types[path]) or {"str"}
+        name = sep.join(path)
+        if len(kinds) == 1 or frozenset(kinds) in rules:
+            kind = next(iter(kinds)) if len(kinds) == 1 else rules[frozenset(kinds)]
+            out[path] = [(fresh(name), KIND_TYPES[kind], kind)]
         else:
-            out[path] = [(f"{name}{sep}{k}", KIND_TYPES[k], k) for k in sorted(kinds)]
+            out[path] = [(fresh(f"{name}{sep}{k}"), KIND_TYPES[k], k) for k in sorted(kinds)]
     return out
 
 
-def _kind_test(v: Column, kind: str) -> Column:
-    t = F.schema_of_variant(v)
-    if kind == "int":
-        return t == "BIGINT"
-    if kind == "float":
-        return t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
-    if kind == "bool":
-        return t == "BOOLEAN"
-    if kind == "array":
-        return t.startswith("ARRAY")
-    return t == "STRING"
-
-
-def convert_json(df: DataFrame, col: str, resolved: dict[str, list[tuple[str, str, str]]],
-                 keep: list[str] | None = None) -> DataFrame:
-    """Typed columns out of a JSON text column, following ``resolve_choices``."""
-    keep = keep or []
-    frame = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"))
+def _typed(frame: DataFrame, resolved: dict[Path, list[tuple[str, str, str]]], keep: list[str]) -> DataFrame:
+    """Typed columns out of the variant ``_v``."""
     cols = []
     for path, outs in resolved.items():
-        jpath = "$" + "".join(f"['{seg}']" for seg in path.split("."))
-        v = F.try_variant_get(F.col("_v"), jpath, "variant")
-        if len(outs) == 1:
-            name, typ, _ = outs[0]
-            cols.append(F.try_variant_get(F.col("_v"), jpath, typ).alias(name))
-        else:
-            for name, typ, kind in outs:
-                cols.append(F.when(_kind_test(v, kind), F.try_variant_get(F.col("_v"), jpath, typ)).alias(name))
-    return frame.select(*keep, *cols)
+        where = json_path(list(path))
+        v = F.try_variant_get(F.col("_v"), where, "variant")
+        for name, typ, kind in outs:
+            value = F.try_variant_get(F.col("_v"), where, typ)
+            cols.append((value if len(outs) == 1 else F.when(_kind(v) == kind, value)).alias(name))
+    return frame.select(*[F.col(f"`{k}`") for k in keep], *cols)
+
+
+def convert_json(df: DataFrame, col: str, resolved: dict[Path, list[tuple[str, str, str]]],
+                 keep: list[str] | None = None) -> DataFrame:
+    """Typed columns out of a JSON text column, following ``resolve_choices``; an array is its JSON text."""
+    keep = keep or []
+    return _typed(df.select(*keep, F.try_parse_json(F.col(col)).alias("_v")), resolved, keep)
+
+
+def json_tables(df: DataFrame, col: str, key: str | list[str], name: str, sep: str = "_", rules: dict | None = None,
+                types: dict[Path, set[str]] | None = None) -> dict[str, DataFrame]:
+    """Raw JSON documents as linked tables: ``{name: documents, name_list: its elements, ...}``.
+
+    Objects become columns named by their path, mixed kinds are resolved as ``resolve_choices`` does, and every
+    array, at any depth, becomes a child table with the parent's keys, the element's position ``{list}_index`` and
+    its columns. No shuffle beyond the inference of the types (pass ``types`` to skip it).
+    """
+    types = infer_json_types(df, col) if types is None else types
+    keys = [key] if isinstance(key, str) else list(key)
+    out: dict[str, DataFrame] = {}
+
+    def build(frame: DataFrame, keys: list[str], table: str, base: Path, prefix: str) -> None:
+        own = {p[len(base):]: k for p, k in types.items() if p[: len(base)] == base}
+        scalars = {p: k - {"array"} for p, k in own.items() if ELEMENT not in p and (k - {"array"} or not k)}
+        plain = resolve_choices({(prefix, *p) if prefix else p: k for p, k in scalars.items()}, rules, sep)
+        out[table] = _typed(frame, {p[1:] if prefix else p: c for p, c in plain.items()}, keys)
+        for p, kinds in own.items():
+            if ELEMENT in p or "array" not in kinds:
+                continue
+            short = sep.join(p) or (f"{prefix}{sep}list" if prefix else "list")
+            index = f"{short}{sep}index"
+            listed = frame.select(*[F.col(f"`{k}`") for k in keys], F.try_variant_get("_v", json_path(list(p)), "variant").alias("_l"))
+            listed = listed.where(_kind(F.col("_l")) == "array")
+            elements = df.sparkSession.sql(f"SELECT {', '.join(f's.`{k}`' for k in keys)}, e.pos AS `{index}`, e.value AS _v "
+                                           "FROM {src} AS s, LATERAL variant_explode(s._l) AS e", src=listed)
+            build(elements, [*keys, index], f"{table}{sep}{short}", (*base, *p, ELEMENT), short)
+
+    build(df.select(*[F.col(f"`{k}`") for k in keys], F.try_parse_json(F.col(col)).alias("_v")), keys, name, (), "")
+    return out

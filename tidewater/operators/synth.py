@@ -9,6 +9,7 @@ after a lost executor (``rand``/``uuid`` would not be).
 from __future__ import annotations
 
 import datetime as dt
+import string
 import hashlib
 from typing import Any
 
@@ -18,7 +19,6 @@ from pyspark.sql import types as T
 
 from tidewater.contracts.checks import ALIASES
 from tidewater.contracts.schema import Contract, spark_type
-from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.functions.avro_types import (collapsed_union_type, named_types, non_null_branches,
                                             parse_avro, resolve)
 
@@ -31,7 +31,7 @@ ARRAY_LENGTH = (1, 2)
 MAP_SIZE = 3
 STRING_LETTERS = "abcdef"
 STRING_LENGTH = 10
-ALPHANUMERIC = "abcdefghijklmnopqrstuvwxyz0123456789"
+ALPHANUMERIC = string.ascii_letters + string.digits
 
 _POS = (1 << 63) - 1
 _FRAC = 1 << 53
@@ -62,22 +62,25 @@ class _Gen:
         return F.lit(lo) + F.pmod(self.h(path, extra), F.lit(span))
 
     def chars(self, alphabet: str, n: int | Column, path: str, extra: list, max_len: int | None = None) -> Column:
-        """``n`` characters of ``alphabet`` (at most 36 symbols): each hash gives ten
-        base-len(alphabet) digits via ``conv``, mapped onto the alphabet with
-        ``translate``. A few expression nodes per string keeps nested schemas
-        inside whole-stage codegen's method size limit."""
+        """``n`` characters of ``alphabet``: each hash gives ten places of numbers below len(alphabet).
+
+        Up to 36 symbols these are digits of one number, by ``conv``, mapped onto the alphabet with ``translate``:
+        a few expression nodes per string, which keeps nested schemas inside one compiled method. A larger
+        alphabet is indexed by each number.
+        """
         base = len(alphabet)
-        if base > len(_DIGITS36):
-            raise ValueError("alphabet longer than 36 symbols")
         total = n if isinstance(n, int) else int(max_len)
         pieces = []
         for j in range((total + _PER_HASH - 1) // _PER_HASH):
             r = F.pmod(self.h(path, extra + [F.lit(j)]), F.lit(base ** _PER_HASH))
-            pieces.append(F.lpad(F.conv(r.cast("string"), 10, base), _PER_HASH, "0"))
+            if base <= len(_DIGITS36):
+                pieces.append(F.translate(F.lpad(F.conv(r.cast("string"), 10, base), _PER_HASH, "0"), _DIGITS36[:base], alphabet))
+            else:
+                places = [F.pmod(F.floor(r / F.lit(base ** i)) if i else r, F.lit(base)) for i in range(_PER_HASH)]
+                pieces.append(F.concat(*[F.substring(F.lit(alphabet), (p + 1).cast("int"), F.lit(1)) for p in places]))
         if not pieces:
             return F.lit("")
-        digits = pieces[0] if len(pieces) == 1 else F.concat(*pieces)
-        text = F.translate(digits, _DIGITS36[:base], alphabet)
+        text = pieces[0] if len(pieces) == 1 else F.concat(*pieces)
         return F.substring(text, 1, total) if isinstance(n, int) else F.substring(text, 1, n.cast("int"))
 
     def uuid(self, path: str, extra: list) -> Column:
@@ -150,12 +153,9 @@ class _Gen:
         if t == "array":
             lo, hi = ARRAY_LENGTH
             n = self.int_in(lo, hi, path + "#len", extra)
-            if hi <= 16:
-                # Short arrays: build the longest array and slice it (no lambda, codegen).
-                items = [self.gen(s["items"], path + "[]", extra + [F.lit(i)], namespace) for i in range(hi)]
-                return F.slice(F.array(*items), 1, n.cast("int"))
-            return F.transform(F.sequence(F.lit(0), n - 1),
-                               lambda i: self.gen(s["items"], path + "[]", extra + [i], namespace))
+            # The longest array, sliced: no lambda, so it stays in generated code.
+            items = [self.gen(s["items"], path + "[]", extra + [F.lit(i)], namespace) for i in range(hi)]
+            return F.slice(F.array(*items), 1, n.cast("int"))
         if t == "map":
             kv = []
             for i in range(MAP_SIZE):
@@ -170,9 +170,58 @@ class _Gen:
         return self.primitive(s, path, extra)
 
 
+def conforms(value: Column, schema, named: dict | None = None) -> Column:
+    """True where a value is one that the Avro schema describes, within the default or declared ranges."""
+    s = parse_avro(schema)
+    named = named_types(s) if named is None else named
+    s = resolve(s, named)
+    if isinstance(s, list):
+        branches = non_null_branches(s)
+        if len(branches) == 1:
+            return conforms(value, branches[0], named)
+        if collapsed_union_type(branches, named) is not None:
+            fits = [conforms(value, b, named) for b in branches]
+        else:
+            members = [value.getField(f"member{i}") for i in range(len(branches))]
+            given = sum(m.isNotNull().cast("int") for m in members)
+            fits = [(given == 1) & m.isNotNull() & conforms(m, b, named) for m, b in zip(members, branches)]
+        ok = fits[0]
+        for f in fits[1:]:
+            ok = F.coalesce(ok, F.lit(False)) | F.coalesce(f, F.lit(False))
+        return ok
+    t = s if isinstance(s, str) else s["type"]
+    props = {} if isinstance(s, str) else s
+    if t == "record":
+        ok = value.isNotNull()
+        for f in s["fields"]:
+            bounds = {k: f[k] for k in ("min_value", "max_value") if k in f}
+            kind = resolve(parse_avro(f["type"]), named)
+            kind = {"type": kind, **bounds} if bounds and isinstance(kind, str) else f["type"]
+            ok = ok & conforms(value.getField(f["name"]), kind, named)
+        return F.coalesce(ok, F.lit(False))
+    if t == "array":
+        return F.size(value).between(*ARRAY_LENGTH) & F.forall(value, lambda x: conforms(x, s["items"], named))
+    if t == "map":
+        return (F.size(value) == MAP_SIZE) & F.forall(F.map_values(value), lambda x: conforms(x, s["values"], named))
+    if t == "enum":
+        return value.isin(*s["symbols"])
+    if t == "fixed":
+        return value.cast("string").rlike(f"^[A-Za-z0-9]{{{int(s['size'])}}}$")
+    if t == "boolean":
+        return value.isNotNull()
+    if t == "string":
+        pattern = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$" if props.get("logicalType") == "uuid" \
+            else f"^[{STRING_LETTERS}]{{{STRING_LENGTH}}}$"
+        return value.rlike(pattern)
+    if props.get("logicalType"):
+        return value.isNotNull()
+    lo, hi = {"int": INT_RANGE, "long": LONG_RANGE, "float": FLOAT_RANGE, "double": DOUBLE_RANGE}[t]
+    return value.cast("double").between(float(props.get("min_value", lo)), float(props.get("max_value", hi)))
+
+
 def _ids(spark: SparkSession, n: int | None, ids: DataFrame | None, id_col: str) -> DataFrame:
     if ids is not None:
-        return spread_for_cpu(ids.select(F.col(id_col).cast("bigint").alias("_id")))
+        return ids.select(F.col(id_col).cast("bigint").alias("_id"))
     return spark.range(int(n)).select(F.col("id").alias("_id"))
 
 
@@ -202,6 +251,18 @@ def synthesize(spark: SparkSession, schema, n: int | None = None, seed: int = 0,
     return out
 
 
+def synthesize_many(ids: DataFrame, schemas: dict[str, Any], seed: int = 0, id_col: str = "id",
+                    base_ts: dt.datetime | None = None) -> DataFrame:
+    """The ids and, per schema, its record as a struct column: the records of ``synthesize`` from one pass over the ids."""
+    base = ids.select(F.col(id_col).cast("bigint").alias("_id"))
+    cols = []
+    for name, schema in schemas.items():
+        s = parse_avro(schema)
+        g = _Gen(seed, F.col("_id"), _base_ms(base_ts), 0.0, False, named_types(s))
+        cols.append(g.gen(s, s.get("name", "root"), [], s.get("namespace")).alias(name))
+    return base.select(F.col("_id").alias(id_col), *cols)
+
+
 # ---------------------------------------------------------------- from a contract
 
 def _bounds(checks) -> tuple[Any, Any, bool, bool]:
@@ -223,12 +284,18 @@ def _bounds(checks) -> tuple[Any, Any, bool, bool]:
     return lo, hi, lo_open, hi_open
 
 
+def _within(rid: Column, last: int, name: str) -> Column:
+    """The row id as a distinct choice 0..last; more rows than choices can't be unique and fail the query."""
+    stop = F.raise_error(F.lit(f"column {name!r} is unique and has only {last + 1} possible values; more ids were given"))
+    return F.when((rid >= 0) & (rid <= last), rid).otherwise(stop.cast("bigint"))
+
+
 def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
     checks = {ALIASES.get(c.name, c.name): c for c in spec.checks}
     if "isin" in checks:
         vals = list(checks["isin"].args)
-        if spec.unique and len(vals) > 1:
-            pick = F.pmod(g.rid, F.lit(len(vals)))
+        if spec.unique:
+            pick = _within(g.rid, len(vals) - 1, name)
         else:
             pick = F.pmod(g.h(name, []), F.lit(len(vals)))
         return F.element_at(F.array(*[F.lit(v) for v in vals]), (pick + 1).cast("int")).cast(dtype)
@@ -239,7 +306,7 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
             lo_i = int(float(lo)) + 1
         hi_i = int(hi) - (1 if hi_open and float(hi).is_integer() else 0) if hi is not None else lo_i + 999
         if spec.unique:
-            return (F.lit(lo_i) + g.rid).cast(dtype)
+            return (F.lit(lo_i) + (g.rid if hi is None else _within(g.rid, hi_i - lo_i, name))).cast(dtype)
         return g.int_in(lo_i, hi_i, name, []).cast(dtype)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         lo_f = float(lo) if lo is not None else 0.0

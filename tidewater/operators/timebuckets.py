@@ -73,24 +73,31 @@ def daily_sum(df: DataFrame, key: str, ts: str, value: str, width: str = "1 day"
             .select(key, F.col("_w.start").alias("day"), value))
 
 
-def calendar(df: DataFrame, key: str, ts: str, value: str, keys: list[str],
+def observed_keys(df: DataFrame, key: str) -> list:
+    """The distinct non-null values of a key, in order: one job, and as many values as a pivot has columns."""
+    return [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).collect()]
+
+
+def calendar(df: DataFrame, key: str, ts: str, value: str, keys: list[str] | None = None,
              width: str = "1 day") -> DataFrame:
     """Pivot day x key of ``sum(value)``; absent (day, key) cells are null.
 
-    With the key list given, the pivot is written as one conditional aggregate
-    per key: a single (partially aggregated) shuffle on the day, where
+    Without ``keys`` every observed key is a column, found by one distinct job. The pivot is written as one
+    conditional aggregate per key: a single (partially aggregated) shuffle on the day, where
     ``groupBy().pivot()`` would aggregate by (day, key) first and shuffle twice.
     """
+    keys = observed_keys(df, key) if keys is None else keys
     return (df.groupBy(F.window(_c(ts), width).start.alias("day"))
-            .agg(*[F.sum(F.when(F.col(key) == F.lit(k), F.col(value))).alias(k) for k in keys]))
+            .agg(*[F.sum(F.when(F.col(key) == F.lit(k), F.col(value))).alias(str(k)) for k in keys]))
 
 
-def burst_calendar(df: DataFrame, key: str, ts: str, keys: list[str], width: str = "1 hour",
+def burst_calendar(df: DataFrame, key: str, ts: str, keys: list[str] | None = None, width: str = "1 hour",
                    min_events: int = 3, day: str = "1 day") -> DataFrame:
-    """Bursts per key, summed per day and pivoted to one column per key."""
+    """Bursts per key, summed per day and pivoted to one column per key (default: every key observed in df)."""
+    keys = observed_keys(df, key) if keys is None else keys
     b = bursts(df, key, ts, width, min_events, sort=False)
     out = calendar(b, key, "bucket_start", "fail_event", keys, day)
-    return out.select("day", *[F.col(k).cast("bigint").alias(k) for k in keys])
+    return out.select("day", *[F.col(f"`{k}`").cast("bigint").alias(str(k)) for k in keys])
 
 
 def top_keys(df: DataFrame, key: str, k: int, count_col: str = "events") -> DataFrame:

@@ -8,10 +8,7 @@ from tidewater.functions.columns import (epoch_ms_to_timestamp, path_segment, re
                                           strip_suffix, timestamp_to_epoch_ms)
 from tidewater.operators import timebuckets as tb
 from tidewater.plans.registry import plan, table
-
-# The event types present in the test data, in natural order.
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
+from tidewater.session import scratch_path
 
 @plan("user_bursts_day", "A3 A4 T7 O2", """
 SELECT user_id, time_bucket(INTERVAL '1 day', ts) AS bucket_start, count(*) AS events, 1 AS fail_event
@@ -53,8 +50,7 @@ SELECT date_trunc('day', h) AS day,
 FROM b GROUP BY 1
 """)
 def burst_calendar(spark, sf):
-    return tb.burst_calendar(table(spark, sf, "events"), "event_type", "ts", EVENT_TYPES,
-                             width="1 hour", min_events=3)
+    return tb.burst_calendar(table(spark, sf, "events"), "event_type", "ts", width="1 hour", min_events=3)
 
 
 @plan("top_users", "A1 O1 O3 O4", """
@@ -65,6 +61,28 @@ def top_users(spark, sf):
     return tb.top_keys(table(spark, sf, "events"), "user_id", 25)
 
 
+@plan("top_users_ranked", "O1 O2 O3", """
+SELECT user_id, events, CAST(row_number() OVER (ORDER BY events DESC, user_id) AS INTEGER) AS position
+FROM (SELECT user_id, count(*) AS events FROM events GROUP BY 1 ORDER BY events DESC, user_id LIMIT 25)
+""")
+def top_users_ranked(spark, sf):
+    """The sorted report written as one ordered CSV and read back with each line's position in the file."""
+    path = scratch_path(spark, "top-users-csv")
+    top = tb.top_keys(table(spark, sf, "events"), "user_id", 25).orderBy(F.desc("events"), "user_id")
+    top.coalesce(1).write.option("header", True).csv(path)  # 25 rows
+    back = spark.read.option("header", True).schema("user_id bigint, events bigint").csv(path)
+    return back.withColumn("position", (F.monotonically_increasing_id() + 1).cast("int"))
+
+
+@plan("value_sums", "A7 A8", """
+SELECT event_type, count(*) AS events, sum(value) * 0.85 AS scaled FROM events GROUP BY 1
+""")
+def value_sums(spark, sf):
+    """The plain double path of the scaled sum, with the row count."""
+    return table(spark, sf, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), (F.sum("value") * F.lit(0.85)).alias("scaled"))
+
+
 @plan("tumble_sum_batch", "W1 A7 F9 F10", """
 SELECT event_type, time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end,
        CAST(sum(CAST(value AS DECIMAL(18,2))) * 0.85 AS DOUBLE) AS window_sales

@@ -7,28 +7,39 @@ from pyspark.sql import functions as F
 from tidewater.operators.decode import decode_json
 from tidewater.operators.relational import relationalize
 from tidewater.plans.registry import plan, table
-from tidewater.plans.topics import EVENT_COLS, EVENTS_AVRO, EVENTS_DDL
+from tidewater.plans.topics import EVENT_COLS, EVENTS_DDL, event_records
 from tidewater.session import scratch_path
 from tidewater.sinks.files import write_tables
 from tidewater.sinks.tables import read_topic_table
-from tidewater.sinks.topics import json_value, publish, to_topic
+from tidewater.sinks.topics import JSON_OPTIONS, write_topic
 from tidewater.sources.files import read_avro_files, read_objects, write_avro_files
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.streaming.windows import stream_to_topic, tumble_sum_stream
 
 
-@plan("object_dispatch", "S9 S8 A1", """
-SELECT event_type AS object, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-FROM events GROUP BY 1
+# The events record as an Avro schema (NTZ timestamps as local micros).
+EVENTS_AVRO = {
+    "type": "record", "name": "event", "namespace": "tidewater.events",
+    "fields": [
+        {"name": "event_id", "type": "long"},
+        {"name": "ts", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
+        {"name": "user_id", "type": "long"},
+        {"name": "event_type", "type": "string"},
+        {"name": "value", "type": "double"},
+        {"name": "props", "type": ["null", "string"]},
+    ],
+}
+
+
+@plan("object_dispatch", "S9 S8", """
+SELECT event_type AS object, event_id, ts, user_id, value, props FROM events
 """)
 def object_dispatch(spark, sf):
     """A folder of many objects (one folder of JSON-lines files per event type),
     read in one pass and tagged with the object name."""
     path = scratch_path(spark, "objects")
-    table(spark, sf, "events").write.partitionBy("event_type").json(path)
-    df = read_objects(spark, path, "json", schema=EVENTS_DDL.replace(", event_type string", ""), object_from="dir")
-    return df.groupBy("object").agg(
-        F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+    table(spark, sf, "events").write.partitionBy("event_type").options(**JSON_OPTIONS).json(path)
+    return read_objects(spark, path, "json", schema=EVENTS_DDL.replace(", event_type string", ""), object_from="dir", **JSON_OPTIONS)
 
 
 @plan("avro_files", "S12 T4 K13", """
@@ -44,7 +55,17 @@ def avro_files(spark, sf):
     return read_avro_files(spark, path, reader)
 
 
-@plan("lake_sql", "S6 T6 C1 C4 F2", """
+@plan("schema_listing", "C4 C1", """
+SELECT name, type FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('user_id', 'bigint'), ('event_type', 'string'),
+  ('value', 'double'), ('props', 'string')) t(name, type)
+""")
+def schema_listing(spark, sf):
+    """The schema of a registered view, as SQL lists it."""
+    table(spark, sf, "events").createOrReplaceTempView("events_listed")
+    return spark.sql("DESCRIBE TABLE events_listed").select(F.col("col_name").alias("name"), F.col("data_type").alias("type"))
+
+
+@plan("lake_sql", "S6 T6 C1 F2", """
 SELECT event_type, count(*) AS events, max(ts) AS last_ts FROM events WHERE value > 100 GROUP BY 1
 """)
 def lake_sql(spark, sf):
@@ -81,9 +102,7 @@ HAVING time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds'
 """)
 def topic_roundtrip_stream(spark, sf):
     source = TopicSpec("sales-in", path=scratch_path(spark, "topic-sales-in"))
-    ev = table(spark, sf, "events")
-    publish(to_topic(ev, source.name, json_value(ev), key=F.col("event_id").cast("string"), order_by=["event_id"]),
-            source, 0)
+    write_topic(event_records(table(spark, sf, "events"), source.name), source)
     rows, _ = decode_json(read_topic(spark, source, stream=True), EVENTS_DDL, meta=[])
     sales = tumble_sum_stream(rows.select(*EVENT_COLS), "ts", "event_type", "value", "60 seconds", "0.85",
                               delay="10 minutes", decimal_scale=2)
@@ -95,26 +114,27 @@ def topic_roundtrip_stream(spark, sf):
 
 
 @plan("relationalize_csv", "R5 R6 R1", """
-SELECT conv_id, count(*) AS turns FROM conversations GROUP BY 1
+SELECT conv_id, turn, CAST(pos - 1 AS INTEGER) AS words_index, word AS words FROM (
+  SELECT conv_id, turn, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (
+    SELECT conv_id, turn, regexp_split_to_array(text, '[ \n\r\t]+') AS w FROM conversations)) WHERE word <> ''
 """)
 def relationalize_csv(spark, sf):
-    """Relationalized tables written as CSV + DDL per object, read back."""
-    conv = table(spark, sf, "conversations")
-    nested = conv.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role")).alias("turns"))
-    base = scratch_path(spark, "objects-csv")
-    paths = write_tables(relationalize(nested, "conv_id", "conversations", materialize=True), base)
-    back = spark.read.option("header", True).schema("conv_id bigint, turns_index int, turns_turn bigint, "
-                                                    "turns_role string").csv(paths["conversations_turns"])
-    return back.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    """Turns with their words, relationalized, written as CSV + DDL per object, read back by the written DDL's columns."""
+    nested = table(spark, sf, "conversations").select("conv_id", "turn", F.split("text", "[ \\n\\r\\t]+").alias("words"))
+    paths = write_tables(relationalize(nested, ["conv_id", "turn"], "conversations"), scratch_path(spark, "objects-csv"))
+    back = spark.read.option("header", True).schema("conv_id bigint, turn bigint, words_index int, words string").option(
+        "quote", '"').option("escape", '"').csv(paths["conversations_words"])
+    return back.where("words <> ''")
 
 
-@plan("value_only_stream", "S5 W3 W5 A8")
+@plan("value_only_stream", "S5 W3 W5", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+""")
 def value_only_stream(spark, sf):
-    """Pass-through stream of message values as text (no watermark, no state)."""
+    """Pass-through stream of message values as text (no watermark, no state), and what the texts say."""
     from tidewater.sources.topics import value_stream
     from tidewater.streaming.runner import run_available
     topic = TopicSpec("events", path=scratch_path(spark, "topic-values"))
-    ev = table(spark, sf, "events")
-    publish(to_topic(ev, topic.name, json_value(ev), key=F.col("event_id").cast("string"), order_by=["event_id"]),
-            topic, 0)
-    return run_available(value_stream(read_topic(spark, topic, stream=True)))
+    write_topic(event_records(table(spark, sf, "events"), topic.name), topic)
+    texts = run_available(value_stream(read_topic(spark, topic, stream=True)))
+    return texts.select(F.from_json("value", EVENTS_DDL).alias("r")).select("r.*")

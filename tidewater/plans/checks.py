@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.contracts import Check, Column, Contract, ContractModel, Field, duplicate_rows, validate
+from tidewater.contracts import Check, Column, Contract, ContractModel, Field, duplicate_reports, guarded_write, validate
 from tidewater.contracts.schema import IndexSpec
 from tidewater.functions.indexing import with_row_index
 from tidewater.plans.registry import plan, table
@@ -61,10 +61,7 @@ UNION ALL SELECT 'exclude_last', o_orderkey, o_custkey FROM c WHERE n > 1 AND rn
 """)
 def validate_unique(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    parts = [duplicate_rows(orders, ["o_custkey"], how, order_by="o_orderkey")
-             .select(F.lit(how).alias("report"), "o_orderkey", "o_custkey")
-             for how in ("all", "exclude_first", "exclude_last")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return duplicate_reports(orders, ["o_custkey"], "o_orderkey")
 
 
 @plan("validate_quarantine", "V16 V1", """
@@ -85,6 +82,29 @@ def validate_quarantine(spark, sf):
     return bad.withColumn("reasons", F.concat_ws(",", "_reasons")).drop("_reasons")
 
 
+NULLS_CONTRACT = Contract(name="nulls", report_duplicates="exclude_first", unique=("user_id",), columns={
+    "event_id": Column("int64"),
+    "score": Column("float64", Check("less_than_or_equal_to", 400.0, ignore_na=False), nullable=True),
+})
+
+
+@plan("validate_quarantine_nulls", "V16 V7 V3", """
+WITH e AS (SELECT event_id, user_id, CASE WHEN event_type = 'signup' THEN NULL ELSE value END AS score,
+                  CASE WHEN event_type = 'click' THEN NULL ELSE event_id END AS seq FROM events),
+g AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n, min(seq) OVER (PARTITION BY user_id) AS lo FROM e)
+SELECT event_id, user_id, score, seq, concat_ws(',', CASE WHEN score IS NULL OR score > 400.0 THEN 'score:less_than_or_equal_to' END,
+         CASE WHEN n > 1 AND (seq IS NULL OR lo IS NULL OR seq <> lo) THEN 'user_id:unique' END) AS reasons FROM g
+""")
+def validate_quarantine_nulls(spark, sf):
+    """Valid and quarantined rows together are the input: nulls that a check sees, null order values and all."""
+    ev = table(spark, sf, "events")
+    rows = ev.select("event_id", "user_id", F.when(F.col("event_type") != "signup", F.col("value")).alias("score"),
+                     F.when(F.col("event_type") != "click", F.col("event_id")).alias("seq"))
+    good, bad = validate(NULLS_CONTRACT, rows, "quarantine", order_by="seq")
+    return good.withColumn("reasons", F.lit("")).unionByName(
+        bad.withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons"))
+
+
 COERCE_CONTRACT = Contract(coerce=True, columns={
     "event_id": Column("int64"),
     "k": Column("int16", Check.ge(0)),
@@ -165,6 +185,64 @@ def validate_structure(spark, sf):
     return validate(STRUCTURE_CONTRACT, table(spark, sf, "customer"), "report")
 
 
+@plan("validate_wrong_dtype", "V2 V1 V14", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
+SELECT * FROM (VALUES ('n_name', 'dtype(''bigint'')', 1), ('x_.*', 'column_in_dataframe', 1)) t("column", "check", failures)
+UNION ALL SELECT 'n_name', 'not_nullable', count_if(n_name IS NULL) FROM nation
+UNION ALL SELECT 'n_name', 'greater_than_or_equal_to', coalesce(count_if(TRY_CAST(n_name AS BIGINT) < 0), 0) FROM nation
+UNION ALL SELECT 'n_regionkey', 'not_nullable', count_if(n_regionkey IS NULL) FROM nation
+UNION ALL SELECT 'n_regionkey', 'less_than', count_if(n_regionkey >= 3) FROM nation)
+""")
+def validate_wrong_dtype(spark, sf):
+    """A text column declared a number is one failure and the report goes on; so is a required pattern without a match."""
+    contract = Contract(columns={"n_name": Column("int64", Check.ge(0)), "n_regionkey": Column(checks=Check.lt(3)),
+                                 "x_.*": Column("int64", regex=True)})
+    return validate(contract, table(spark, sf, "nation"), "report")
+
+
+@plan("validate_dtype_override", "V17 V18", """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey, 'geography' AS owner,
+       'key' AS kind FROM nation
+""")
+def validate_dtype_override(spark, sf):
+    """One dtype for the whole frame, which overrides the columns' own, and metadata that a saved contract keeps."""
+    contract = Contract(dtype="str", coerce=True, strict="filter", metadata={"owner": "geography"}, columns={
+        "n_nationkey": Column("int64", metadata={"kind": "key"}), "n_name": Column("str"), "n_regionkey": Column("int32")})
+    contract = Contract.from_yaml(contract.to_yaml())
+    out = validate(contract, table(spark, sf, "nation"))
+    return out.withColumns({"owner": F.lit(contract.metadata["owner"]),
+                            "kind": F.lit(contract.columns["n_nationkey"].metadata["kind"])})
+
+
+@plan("validate_add_missing", "V15 V5", """
+SELECT r_regionkey, r_name, 'none' AS remark, CAST(NULL AS DOUBLE) AS area, CAST(7 AS BIGINT) AS grade FROM region
+""")
+def validate_add_missing(spark, sf):
+    """Declared columns that the frame lacks are added with their default or null; undeclared ones are filtered out."""
+    contract = Contract(add_missing_columns=True, strict="filter", columns={
+        "r_regionkey": Column(), "r_name": Column("str"), "remark": Column("str", default="none"),
+        "area": Column("float64", nullable=True), "grade": Column("int64", Check.ge(0), default=7)})
+    return validate(contract, table(spark, sf, "region").withColumn("undeclared", F.lit(1)))
+
+
+@plan("contract_saved", "V18 V2", """
+SELECT "column", "check", CAST(failures AS BIGINT) AS failures FROM (
+SELECT 'p_size' AS "column", 'not_nullable' AS "check", count_if(p_size IS NULL) AS failures FROM part
+UNION ALL SELECT 'p_size', 'not_equal_to', count_if(p_size = 7) FROM part
+UNION ALL SELECT 'p_size', 'not_equal_to', count_if(p_size = 9) FROM part
+UNION ALL SELECT 'half', 'greater_than', count_if(p_size % 2 = 1 OR p_size < 4) FROM part)
+""")
+def contract_saved(spark, sf):
+    """Two checks of one name and one that sees nulls, after a round trip through a JSON file on the shared folder."""
+    contract = Contract(name="part", columns={
+        "p_size": Column(checks=[Check.ne(7), Check.ne(9)]),
+        "half": Column("int64", Check("greater_than", 1, ignore_na=False), nullable=True)})
+    path = f"{scratch_path(spark, 'contract')}.json"
+    contract.to_json(path)
+    halves = table(spark, sf, "part").withColumn("half", F.when(F.col("p_size") % 2 == 0, F.expr("p_size div 2")))
+    return validate(Contract.from_json(path), halves, "report")
+
+
 ROW_NUMBER_CONTRACT = Contract(
     columns={"o_orderkey": Column("int64")},
     index=(IndexSpec("int64", (Check.ge(0), Check.le(9999))),))
@@ -203,14 +281,13 @@ SELECT o_custkey, count(*) AS n_orders, CAST(count_if(o_orderstatus = 'O') AS BI
 FROM orders GROUP BY o_custkey
 """)
 def contract_pipeline(spark, sf):
-    from tidewater.contracts import validated_write
     orders = validate(ORDERS_READER, table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
     derived = (orders.groupBy("o_custkey")
                .agg(F.count(F.lit(1)).alias("n_orders"),
                     F.count_if(F.col("o_orderstatus") == "O").alias("n_open"))
                .withColumn("open_percentage", F.col("n_open") / F.col("n_orders") * 100))
     path = scratch_path(spark, "open_share")
-    validated_write(derived, OPEN_SHARE_WRITER, lambda d: d.write.parquet(path))
+    guarded_write(derived, OPEN_SHARE_WRITER, path)
     return spark.read.parquet(path)
 
 

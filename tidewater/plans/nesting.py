@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import (convert_json, infer_json_types, relationalize,
+from tidewater.operators.relational import (convert_json, infer_json_types, json_tables, relationalize,
                                             resolve_choices)
 from tidewater.plans.registry import plan, table
 
@@ -99,3 +99,37 @@ def json_objects(spark, sf):
     resolved = resolve_choices(infer_json_types(docs, "props"))
     flat = convert_json(docs, "props", resolved, keep=["event_id"])
     return relationalize(flat, "event_id", "props")["props"]
+
+
+def _turn_documents(spark, sf):
+    """One JSON document per turn: an array of its words, and keys that hold '.', ':' and ','."""
+    conv = table(spark, sf, "conversations")
+    words = F.transform(F.split("text", " "), lambda w, i: F.struct(
+        i.alias("n.o"), w.alias("w,ord"), F.array(F.length(w), F.length(w) % 7).alias("si:zes")))
+    body = F.to_json(F.struct("conv_id", F.struct(F.col("turn").alias("no:"), F.col("role").alias("ro.le")).alias("of,turn"),
+                              words.alias("words")))
+    return conv.select("conv_id", "turn", body.alias("body"))
+
+
+@plan("json_documents", "R2 R3 S8", """
+SELECT conv_id, turn, turn AS "of,turn_no:", role AS "of,turn_ro.le", conv_id AS conv_id_2 FROM conversations
+""")
+def json_documents(spark, sf):
+    docs = _turn_documents(spark, sf)
+    out = json_tables(docs, "body", ["conv_id", "turn"], "turns")["turns"]
+    return out.toDF(*["conv_id_2" if i and c == "conv_id" else c for i, c in enumerate(out.columns)])
+
+
+@plan("json_document_lists", "R2 U2 F12", """
+SELECT conv_id, turn, CAST(pos - 1 AS INTEGER) AS words_index, CAST(k AS INTEGER) AS sizes_index,
+       CASE WHEN k = 0 THEN CAST(length(word) AS BIGINT) ELSE length(word) % 7 END AS size, pos - 1 AS n_o, word AS w_ord
+FROM (SELECT conv_id, turn, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (
+        SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations)), (VALUES (0), (1)) v(k)
+""")
+def json_document_lists(spark, sf):
+    """The words and, one level deeper, their sizes: two child tables, joined again on their keys."""
+    tables = json_tables(_turn_documents(spark, sf), "body", ["conv_id", "turn"], "turns")
+    words, sizes = tables["turns_words"], tables["turns_words_si:zes"]
+    both = sizes.join(words, ["conv_id", "turn", "words_index"])
+    return both.select("conv_id", "turn", "words_index", F.col("`si:zes_index`").alias("sizes_index"), F.col("`si:zes`").alias("size"),
+                       F.col("`words_n.o`").alias("n_o"), F.col("`words_w,ord`").alias("w_ord"))

@@ -7,31 +7,57 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidewater.contracts import ContractModel, Field, typed
-from tidewater.functions.partitioning import spread_for_cpu
 from tidewater.operators.decode import conform_json
-from tidewater.operators.synth import fake_people, pageviews, synthesize, synthesize_contract
+from tidewater.operators.synth import (PEOPLE_SCHEMA, conforms, fake_people, pageviews, synthesize, synthesize_contract,
+                                       synthesize_many)
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
-from tidewater.sinks.topics import hashed_uuid, json_value, publish, to_topic
+from tidewater.sinks.topics import hashed_uuid, json_value, to_topic, write_topic
 from tidewater.sources.topics import TopicSpec, read_topic
-from tidewater.functions.avro_types import field_defaults
+from tidewater.functions.avro_types import field_defaults, named_types
 
 
-@plan("synth_rows", "G1 G2 G3 G4 G5 K13 F14")
+_SYNTH_SQL = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS \"schema\", '{f['name']}' AS field, count(*) AS \"rows\", CAST(0 AS BIGINT) AS nulls, "
+    f"count(*) AS conforming FROM orders" for name, schema in AVRO_SCHEMAS.items() for f in schema["fields"])
+
+
+@plan("synth_rows", "G1 G2 G3 G5 K13 F14", _SYNTH_SQL)
 def synth_rows(spark, sf):
-    """One generated record per order id for each of the eight schemas, as JSON."""
-    # Spread once: the eight branches share this exchange instead of one each.
-    ids = spread_for_cpu(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")))
-    parts = []
+    """One generated record per order id for each of the eight schemas, rendered as JSON (bytes as base64), read
+    again and held against its schema field by field. The ids are read once; all counts are one aggregate."""
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    # CPU per row is far above the input's size, so rows go round all cores
+    ids = ids.repartition(2 * spark.sparkContext.defaultParallelism)
+    counts, labels = [], []
+    records = synthesize_many(ids, AVRO_SCHEMAS, seed=42)
     for name, schema in AVRO_SCHEMAS.items():
-        rows = synthesize(spark, schema, ids=ids, seed=42, keep_id=True)
-        payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "id"]))
-        parts.append(rows.select(F.lit(name).alias("schema"), "id", payload.alias("payload")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        named = named_types(schema)
+        records = records.withColumn(name, F.from_json(F.to_json(F.col(f"`{name}`")), records.schema[name].dataType))
+        for f in schema["fields"]:
+            value = F.col(f"`{name}`").getField(f["name"])
+            bounds = {k: f[k] for k in ("min_value", "max_value") if k in f}
+            kind = {"type": f["type"], **bounds} if bounds and isinstance(f["type"], str) else f["type"]
+            counts.append(F.struct(F.count(F.lit(1)).alias("rows"), F.count_if(value.isNull()).alias("nulls"),
+                                   F.count_if(conforms(value, kind, named)).alias("conforming")))
+            labels.append((name, f["name"]))
+    rows = F.array(*[F.struct(F.lit(n).alias("schema"), F.lit(f).alias("field"), c.alias("c")) for (n, f), c in zip(labels, counts)])
+    return records.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.schema", "r.field", "r.c.*")
+
+
+@plan("synth_qualified", "G4 G1", """
+SELECT name, n FROM (VALUES ('com.example.address'), ('age')) t(name) CROSS JOIN (SELECT count(*) AS n FROM orders)
+""")
+def synth_qualified(spark, sf):
+    """Field names of a schema with a nested record, qualified by the enclosing namespace, as its JSON records carry them."""
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    schema = {"type": "record", "name": "Person", "namespace": "com.example", "fields": [
+        {"name": "address", "type": {"type": "record", "name": "Address", "fields": [{"name": "street", "type": "string"}]}},
+        {"name": "age", "type": "int"}]}
+    rows = synthesize(spark, schema, ids=ids, seed=42, qualify_names=True)
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+    return rows.select(F.explode(F.json_object_keys(text)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
 class CityModel(ContractModel):
@@ -43,31 +69,46 @@ class CityModel(ContractModel):
     score: float = Field(gt=0.0, lt=1.0)
 
 
-@plan("synth_contract", "G6 G8 V1 V20")
+@plan("synth_contract", "G6 G8 V1 V20", """
+SELECT kind, field, n AS "rows", n AS conforming, CASE WHEN field IN ('city', 'uuid') AND NOT (kind = 'person' AND field = 'city') THEN n END AS "distinct"
+FROM (VALUES ('city', 'state'), ('city', 'city'), ('city', 'price'), ('city', 'opened'), ('city', 'score'),
+             ('person', 'uuid'), ('person', 'first_name'), ('person', 'city'), ('person', 'state')) t(kind, field)
+CROSS JOIN (SELECT count(*) AS n FROM customer)
+""")
 def synth_contract(spark, sf):
-    """Contract-conforming rows, one per customer id, checked by the same contract;
-    plus fake people keyed by the same ids."""
+    """Contract-conforming rows and fake people, one per customer id, each field held against its rule."""
     ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
     rows = typed(synthesize_contract(spark, CityModel.to_contract(), ids=ids, seed=3), CityModel)
     people = fake_people(spark, ids=ids, seed=3)
-    return rows.select("state", "city", "price", "opened", "score").unionByName(
-        people.select(F.col("state"), F.col("city"), F.lit(None).cast("bigint").alias("price"),
-                      F.lit(None).cast("timestamp_ntz").alias("opened"), F.lit(None).cast("double").alias("score")))
+    rules = {"city": (rows, {
+        "state": F.col("state").isin("FL", "CA"), "city": F.col("city").startswith("City_"), "price": F.col("price").between(5, 20),
+        "opened": F.col("opened").between("2010-01-01 00:00:00", "2012-01-01 00:00:00"),
+        "score": (F.col("score") > 0) & (F.col("score") < 1)}),
+        "person": (people, {f["name"]: conforms(F.col(f["name"]), f["type"]) for f in PEOPLE_SCHEMA["fields"]})}
+    unique = {("city", "city"), ("person", "uuid")}
+    parts = []
+    for kind, (frame, checks) in rules.items():
+        cells = [F.struct(F.lit(kind).alias("kind"), F.lit(f).alias("field"), F.count(F.lit(1)).alias("rows"),
+                          F.count_if(ok).alias("conforming"),
+                          (F.count_distinct(f) if (kind, f) in unique else F.lit(None).cast("bigint")).alias("distinct"))
+                 for f, ok in checks.items()]
+        parts.append(frame.agg(F.array(*cells).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+    return parts[0].unionByName(parts[1])
 
 
 @plan("pageviews", "G7 K9 T4 F13", """
 SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
        'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'Address_' || CAST(event_id AS VARCHAR) AS address,
-       'null' AS added_column, 42 AS added_column2
+       'null' AS added_column, 42 AS added_column2, TRUE AS key_is_uuid
 FROM events
 """)
 def pageviews_plan(spark, sf):
     ids = table(spark, sf, "events").select(F.col("event_id").alias("id"))
     rows = pageviews(ids)
     topic = TopicSpec("pageviews", path=scratch_path(spark, "topic-pageviews"))
-    recs = to_topic(rows, topic.name, json_value(rows), key=hashed_uuid("userid"), order_by=["viewtime"])
-    publish(recs, topic, 0)
+    write_topic(to_topic(rows, topic.name, json_value(rows), key=hashed_uuid("userid")), topic)
     reader = ", ".join(f"{f['name']} {'bigint' if f['type'] == 'long' else f['type']}"
                        for f in PAGEVIEWS_SCHEMA["fields"])
-    values = read_topic(spark, topic).select(F.col("value").cast("string").alias("value"))
-    return conform_json(values, "value", reader, field_defaults(PAGEVIEWS_SCHEMA))
+    records = read_topic(spark, topic).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    good, _ = conform_json(records, "value", reader, field_defaults(PAGEVIEWS_SCHEMA), keep=["key"])
+    return good.withColumn("key_is_uuid", F.col("key").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).drop("key")

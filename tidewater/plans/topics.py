@@ -1,37 +1,47 @@
-"""Topic plans: publish the test tables to file-backed topics and decode them."""
+"""Topic plans: the test tables as Parquet topics in the topic record schema, and their decoding."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.columns import wire_body
 from tidewater.operators import timebuckets as tb
-from tidewater.operators.decode import conform_json, decode_json, json_topic_table
+from tidewater.operators.decode import conform_json, decode_json, json_topic_table, with_wire_header
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
-from tidewater.sinks.topics import json_value, publish, to_topic
+from tidewater.sinks.topics import json_value, to_topic, write_topic
+from tidewater.sources.registry import registry_table, with_schema
 from tidewater.sources.topics import TopicSpec, read_topic
 
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
+def event_records(ev, name, value=None):
+    """Events as records of a topic with three partitions; the event's id is its offset."""
+    return to_topic(ev, name, value if value is not None else json_value(ev), key=F.col("event_id").cast("string"),
+                    timestamp=F.col("ts"), partition=F.col("event_id") % 3, offset=F.col("event_id"))
+
+
 def events_topic(spark, sf, value=None, name="events-json"):
-    """Publish ``events`` as one committed batch of a keyed JSON topic."""
-    ev = table(spark, sf, "events")
+    """``events`` written as a keyed JSON topic."""
     spec = TopicSpec(name, path=scratch_path(spark, f"topic-{name}"))
-    recs = to_topic(ev, name, value if value is not None else json_value(ev),
-                    key=F.col("event_id").cast("string"), timestamp=F.col("ts"), order_by=["event_id"])
-    publish(recs, spec, 0)
+    write_topic(event_records(table(spark, sf, "events"), name, value), spec)
     return spec
 
 
-@plan("decode_json_topic", "K9 S1 T9 T3 W4", """
-SELECT CAST(event_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, props FROM events
+# Source columns of a decoded record, as the oracles compare them.
+SOURCE = ["partition", "offset", "timestamp"]
+SOURCE_SQL = 'CAST(event_id % 3 AS INTEGER) AS "partition", event_id AS "offset"'
+
+
+@plan("decode_json_topic", "K9 S1 T9 T3 W4", f"""
+SELECT CAST(event_id AS VARCHAR) AS key, {SOURCE_SQL}, ts AS "timestamp", event_id, ts, user_id, event_type, value, props FROM events
 """)
 def decode_json_topic(spark, sf):
     spec = events_topic(spark, sf)
     good, _ = decode_json(read_topic(spark, spec), EVENTS_DDL, required=["event_id", "user_id"])
-    return good.select("key", *EVENT_COLS)
+    return good.select("key", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), *EVENT_COLS)
 
 
 @plan("decode_json_dead_letter", "T10 T9", """
@@ -57,19 +67,68 @@ PAGEVIEW_READER = ("event_id bigint, event_type string, user_id bigint, address
 PAGEVIEW_DEFAULTS = {"address": "null", "added_column": "null", "added_column2": 42}
 
 
-@plan("default_fill", "T4 V15", """
+@plan("default_fill", "T4 T10", """
 SELECT event_id, event_type, user_id, CASE WHEN event_type = 'signup' THEN NULL ELSE 'null' END AS address,
-       'null' AS added_column, 42 AS added_column2
-FROM events
+       'null' AS added_column, 42 AS added_column2, 'good' AS outcome
+FROM events WHERE event_type <> 'error'
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'dead letter' FROM events WHERE event_type = 'error'
 """)
 def default_fill(spark, sf):
+    """Absent fields take their defaults, explicit nulls stay, cut bodies become dead letters and take none."""
     ev = table(spark, sf, "events")
     v1 = F.to_json(F.struct("event_id", "event_type", "user_id"))
     with_null = F.to_json(F.struct("event_id", "event_type", "user_id", F.lit(None).cast("string").alias("address")),
                           {"ignoreNullFields": "false"})
-    spec = events_topic(spark, sf, F.when(F.col("event_type") == "signup", with_null).otherwise(v1), "events-v1")
+    cut = F.expr("substring(to_json(struct(event_id, event_type, user_id)), 1, 12)")
+    value = F.when(F.col("event_type") == "signup", with_null).when(F.col("event_type") == "error", cut).otherwise(v1)
+    spec = events_topic(spark, sf, value, "events-v1")
     recs = read_topic(spark, spec).withColumn("value", F.col("value").cast("string"))
-    return conform_json(recs, "value", PAGEVIEW_READER, PAGEVIEW_DEFAULTS)
+    good, bad = conform_json(recs, "value", PAGEVIEW_READER, PAGEVIEW_DEFAULTS)
+    return good.withColumn("outcome", F.lit("good")).unionByName(
+        bad.select(F.lit("dead letter").alias("outcome")), allowMissingColumns=True)
+
+
+REGISTRY_ROWS = [("events-json-value", 1, 7, '{"version": 1}'), ("events-json-value", 2, 9, '{"version": 2}'),
+                 ("other-value", 1, 11, "{}")]
+
+
+@plan("decode_wire_json", "T9 S11 F1 T10", """
+SELECT CAST(event_id AS VARCHAR) AS key, CASE event_type WHEN 'error' THEN 'header' WHEN 'signup' THEN 'unknown schema id'
+         WHEN 'purchase' THEN 'malformed' END AS reason,
+       CASE WHEN event_type IN ('click', 'view') THEN user_id END AS user_id,
+       CASE WHEN event_type IN ('click', 'view') THEN value END AS value
+FROM events
+""")
+def decode_wire_json(spark, sf):
+    """Framed JSON values: good headers of two registered versions, a wrong magic byte, an unknown id, a cut body."""
+    body = json_value(table(spark, sf, "events")).cast("binary")
+    kind = F.col("event_type")
+    value = (F.when(kind == "error", F.concat(F.unhex(F.lit("0100000007")), body))
+             .when(kind == "signup", with_wire_header(body, 8))
+             .when(kind == "purchase", with_wire_header(F.substring(body, 1, 20), 7))
+             .when(kind == "view", with_wire_header(body, 9)).otherwise(with_wire_header(body, 7)))
+    spec = events_topic(spark, sf, value, "events-wire")
+    registry = registry_table(spark, REGISTRY_ROWS).where("subject = 'events-json-value'")
+    good, bad = decode_json(read_topic(spark, spec), EVENTS_DDL, meta=[], wire=True, registry=registry)
+    return good.select("key", F.lit(None).cast("string").alias("reason"), "user_id", "value").unionByName(
+        bad.select("key", "reason"), allowMissingColumns=True)
+
+
+@plan("registry_lookup", "S11 F1", """
+SELECT CAST(event_id AS VARCHAR) AS key, CASE event_type WHEN 'view' THEN 9 WHEN 'error' THEN 99 ELSE 7 END AS schema_id,
+       CASE event_type WHEN 'view' THEN '{"version": 2}' WHEN 'error' THEN NULL ELSE '{"version": 1}' END AS "schema",
+       octet_length(CAST(event_type AS BLOB)) AS body_bytes
+FROM events
+""")
+def registry_lookup(spark, sf):
+    """Each record with the schema that the id in its header names, and its body's length."""
+    body, kind = F.col("event_type").cast("binary"), F.col("event_type")
+    value = F.when(kind == "view", with_wire_header(body, 9)).when(kind == "error", with_wire_header(body, 99)).otherwise(
+        with_wire_header(body, 7))
+    records = read_topic(spark, events_topic(spark, sf, value, "events-ids"))
+    out = with_schema(records, registry_table(spark, REGISTRY_ROWS), "events-json-value")
+    return out.select(F.col("key").cast("string").alias("key"), "schema_id", "schema",
+                      F.octet_length(wire_body("value")).cast("bigint").alias("body_bytes"))
 
 
 SALES_DDL = "event_type string, window_end timestamp_ntz, window_sales double"
@@ -85,106 +144,21 @@ def topic_roundtrip_agg(spark, sf):
     rows = json_topic_table(read_topic(spark, source), EVENTS_DDL, proctime="proctime")
     sales = tb.tumble_sum(rows, "ts", "event_type", "value", "60 seconds", factor="0.85", decimal_scale=2)
     sink = TopicSpec("sales-out", path=scratch_path(spark, "topic-sales-out"))
-    publish(to_topic(sales, sink.name, json_value(sales), key=F.col("event_type")), sink, 0)
+    write_topic(to_topic(sales, sink.name, json_value(sales), key=F.col("event_type")), sink)
     good, _ = decode_json(read_topic(spark, sink), SALES_DDL, meta=[])
     return good.select("event_type", "window_end", "window_sales")
 
 
-@plan("payload_as_json", "T2 F11")
+@plan("payload_as_json", "T2 F11 X1", """
+SELECT CAST(event_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, NULL AS props, TRUE AS null_kept FROM events
+""")
 def payload_as_json(spark, sf):
+    """The decoded payload as JSON text, nulls kept, and what its text says."""
     spec = events_topic(spark, sf, name="events-payload")
     good, _ = decode_json(read_topic(spark, spec), EVENTS_DDL)
-    return good.select("key", F.to_json(F.struct(*EVENT_COLS), {"ignoreNullFields": "false"}).alias("payload"))
-
-
-# ---------------------------------------------------------------- Avro wire format
-
-# The events record as an Avro schema (NTZ timestamps as local micros).
-EVENTS_AVRO = {
-    "type": "record", "name": "event", "namespace": "tidewater.events",
-    "fields": [
-        {"name": "event_id", "type": "long"},
-        {"name": "ts", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
-        {"name": "user_id", "type": "long"},
-        {"name": "event_type", "type": "string"},
-        {"name": "value", "type": "double"},
-        {"name": "props", "type": ["null", "string"]},
-    ],
-}
-# The first pageviews version (before fields with defaults were added).
-PAGEVIEWS_V1 = {
-    "type": "record", "name": "pageviews", "namespace": "examples.pageviews",
-    "fields": [{"name": "viewtime", "type": "long"}, {"name": "userid", "type": "string"},
-               {"name": "pageid", "type": "string"}],
-}
-
-
-def _registry(spark):
-    import json as _json
-
-    from tidewater.plans.avro_fixtures import PAGEVIEWS_SCHEMA
-    from tidewater.sources.registry import registry_table
-    return registry_table(spark, [
-        ("events-avro-value", 1, 7, _json.dumps(EVENTS_AVRO)),
-        ("pageviews-avro-value", 1, 4, _json.dumps(PAGEVIEWS_V1)),
-        ("pageviews-avro-value", 2, 5, _json.dumps(PAGEVIEWS_SCHEMA)),
-    ])
-
-
-def _avro_events_topic(spark, sf, name):
-    from tidewater.operators.avro import encode_avro
-    ev = table(spark, sf, "events")
-    enc = encode_avro(ev, EVENTS_AVRO, schema_id=7, out_col="_value", keep=EVENT_COLS)
-    spec = TopicSpec(name, path=scratch_path(spark, f"topic-{name}"))
-    publish(to_topic(enc, name, F.col("_value"), key=F.col("event_id").cast("string"),
-                     timestamp=F.col("ts"), order_by=["event_id"]), spec, 0)
-    return spec
-
-
-@plan("decode_avro_topic", "T1 S11 F1 W4", """
-SELECT event_id, ts, user_id, event_type, value, props FROM events
-""")
-def decode_avro_topic(spark, sf):
-    from tidewater.operators.avro import decode_avro
-    from tidewater.sources.registry import latest_schema, schemas_by_id
-    reg = _registry(spark)
-    spec = _avro_events_topic(spark, sf, "events-avro")
-    _, reader = latest_schema(reg, "events-avro-value")
-    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "events-avro-value"),
-                      keep=["partition", "offset"])
-    return out.where(F.col("_avro_error").isNull()).select(*EVENT_COLS)
-
-
-@plan("decode_avro_evolved", "T1 T4 S11 G7", """
-SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
-       'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'null' AS address, 'null' AS added_column, 42 AS added_column2
-FROM events
-""")
-def decode_avro_evolved(spark, sf):
-    """Messages written with pageviews v1 (id 4), read with the latest version:
-    fields added later take their declared defaults."""
-    from tidewater.operators.avro import decode_avro, encode_avro
-    from tidewater.operators.synth import pageviews
-    from tidewater.sources.registry import latest_schema, schemas_by_id
-    reg = _registry(spark)
-    rows = pageviews(table(spark, sf, "events").select(F.col("event_id").alias("id")))
-    enc = encode_avro(rows, PAGEVIEWS_V1, schema_id=4, out_col="_value", keep=["viewtime"])
-    spec = TopicSpec("pageviews-avro", path=scratch_path(spark, "topic-pageviews-avro"))
-    publish(to_topic(enc, spec.name, F.col("_value"), key=F.col("viewtime").cast("string"),
-                     order_by=["viewtime"]), spec, 0)
-    _, reader = latest_schema(reg, "pageviews-avro-value")
-    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "pageviews-avro-value"))
-    return out.drop("_avro_error")
-
-
-@plan("payload_as_json_avro", "T2 T1 F11")
-def payload_as_json_avro(spark, sf):
-    from tidewater.operators.avro import decode_avro, payload_json
-    from tidewater.sources.registry import latest_schema, schemas_by_id
-    reg = _registry(spark)
-    spec = _avro_events_topic(spark, sf, "events-avro-json")
-    _, reader = latest_schema(reg, "events-avro-value")
-    out = decode_avro(read_topic(spark, spec), reader, schemas_by_id(reg, "events-avro-value"),
-                      keep=["key", "timestamp", "offset", "partition"])
-    return out.select(F.col("key").cast("string").alias("key"), "timestamp", "offset", "partition",
-                      payload_json(out, EVENT_COLS).alias("payload"))
+    good = good.withColumn("props", F.lit(None).cast("string"))
+    payload = json_value(good, EVENT_COLS, keep_nulls=True)
+    text = good.select("key", payload.alias("payload"))
+    back = F.from_json("payload", EVENTS_DDL)
+    return text.select("key", back.alias("r"), F.array_contains(F.json_object_keys("payload"), "props").alias("null_kept")).select(
+        "key", "r.*", "null_kept")

@@ -11,7 +11,7 @@ from tidewater.operators.relational import ddl_for
 def write_tables(tables: dict[str, DataFrame], base: str, fmt: str = "csv", ddl_schema: str | None = "public",
                  mode: str = "errorifexists") -> dict[str, str]:
     """Write each table to ``base/<name>`` (CSV with header by default) and its
-    CREATE TABLE text to ``base/DDL_<name>.sql``. Returns name -> path."""
+    CREATE TABLE text, which replaces an older one, to ``base/DDL_<name>.sql``. Returns name -> path."""
     out = {}
     for name, df in tables.items():
         path = f"{base.rstrip('/')}/{name}"
@@ -20,7 +20,7 @@ def write_tables(tables: dict[str, DataFrame], base: str, fmt: str = "csv", ddl_
             w = w.option("header", True)
         w.save(path)
         if ddl_schema is not None:
-            fs.write_text_atomic(df.sparkSession, f"{base.rstrip('/')}/DDL_{name}.sql",
-                                 ddl_for(df, name, ddl_schema))
+            fs.write_text(df.sparkSession, f"{base.rstrip('/')}/DDL_{name}.sql",
+                          ddl_for(df, name, ddl_schema))
         out[name] = path
     return out

@@ -1,34 +1,18 @@
-"""Lake-table writes: append, partitioned, keyed upsert, hour-bucketed files.
-
-Keyed upsert (copy-on-write without a lake-format jar)
------------------------------------------------------
-Layout: ``<path>/data/v=<n>/_bucket=<b>/*.parquet`` plus ``<path>/_manifest/<n>.json``
-mapping every bucket to the version that holds it. An upsert
-
-1. keeps the newest row per key of the batch (``max_by`` over the ordering
-   struct — a partial aggregate, so a hot key is combined map-side),
-2. stages that batch once (reliable; both later steps read the same rows),
-3. reads only the buckets the batch touches, at their manifest versions,
-4. merges old and new per key (incoming wins precombine ties) grouped inside
-   bucket-hash partitions, and writes only those buckets under version n+1,
-5. commits by atomically creating manifest n+1, which records the batch id:
-   a batch id seen before is skipped, so streaming replays are exactly-once.
-
-Readers resolve the newest manifest. Limits: a single writer per table, and a
-file system with atomic create/rename. With Delta, Hudi or Iceberg on the
-classpath, write through that format instead.
+"""Lake-table writes: append, partitioned, keyed merge, hour-bucketed files.
+
+A keyed table lives in a lake format (Delta, Iceberg, Hudi): ``merge`` hands the newest row per key to
+the format's own MERGE or upsert write. ``newest_per_key`` is the same rule on plain frames.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater import fs
+from tidewater.sinks.topics import JSON_OPTIONS
 
 
 @dataclass(frozen=True)
@@ -39,7 +23,6 @@ class TableSpec:
     key: tuple[str, ...] = ()
     precombine: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    buckets: int = 16   # size to ~table bytes / 512 MB on a cluster
     options: dict = field(default_factory=dict)
 
 
@@ -72,143 +55,75 @@ def append_stream(stream: DataFrame, spec: TableSpec, checkpoint: str, available
     return w.start()
 
 
-# ---------------------------------------------------------------- keyed upsert
-
-def _manifest_dir(spec: TableSpec) -> str:
-    return f"{spec.path}/_manifest"
-
-
-def latest_manifest(spark: SparkSession, spec_or_path) -> dict | None:
-    path = spec_or_path.path if isinstance(spec_or_path, TableSpec) else spec_or_path
-    names = [n for n in fs.list_names(spark, f"{path}/_manifest") if n.endswith(".json") and not n.startswith("_")]
-    if not names:
-        return None
-    newest = max(names, key=lambda n: int(n[:-5]))
-    return json.loads(fs.read_text(spark, f"{path}/_manifest/{newest}"))
-
-
-def _bucket_col(key: tuple[str, ...], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
-
-
-def _bucket_paths(spec_path: str, manifest: dict, buckets: list[int]) -> list[str]:
-    return [f"{spec_path}/data/v={manifest['buckets'][str(b)]}/_bucket={b}"
-            for b in buckets if str(b) in manifest["buckets"]]
-
+# ---------------------------------------------------------------- keyed merge
 
 LAKE_FORMATS = ("delta", "iceberg", "hudi")
 
 
-def _newest_per_key(df: DataFrame, spec: TableSpec) -> DataFrame:
-    order = F.struct(*[F.col(c) for c in spec.precombine])
-    return df.groupBy(*spec.key).agg(F.max_by(F.struct(*df.columns), order).alias("_row")).select("_row.*")
+def newest_per_key(old: DataFrame, new: DataFrame | None, key: list[str], precombine: list[str]) -> DataFrame:
+    """One row per key: the one of largest ``precombine``, a row of ``new`` winning a tie with ``old``.
+
+    Columns that one side lacks are null in its rows. Give the source position (partition, offset) as the last
+    precombine columns where rows of one side can tie. A partial aggregate: a hot key is combined map-side, and
+    null keys are one key.
+    """
+    both = old.withColumn("_side", F.lit(0))
+    if new is not None:
+        both = both.unionByName(new.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    columns = [c for c in both.columns if c != "_side"]
+    order = F.struct(*[F.col(f"`{c}`") for c in precombine], F.col("_side"))
+    newest = both.groupBy(*[F.col(f"`{c}`") for c in key]).agg(
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), order).alias("_row"))
+    return newest.select("_row.*")
 
 
-def _upsert_lake_format(df: DataFrame, spec: TableSpec) -> bool:
-    """Delegate to the table format's own upsert (its jar must be on the classpath).
+def merge(df: DataFrame, spec: TableSpec) -> None:
+    """Merge the newest row per key into a lake table through the format itself (its jar must be loaded).
 
-    Delta and Iceberg: ``MERGE INTO`` keeping the larger precombine (incoming wins
-    ties); Hudi: an ``upsert`` write with record key and precombine field.
-    Not exercised on this build (no lake-format jars).
+    Delta and Iceberg: ``MERGE INTO``, the larger precombine winning and the incoming row on ties; Hudi: an
+    ``upsert`` write with record key and precombine field.
     """
-    spark = df.sparkSession
+    if not spec.key or not spec.precombine:
+        raise ValueError("a merge needs key and precombine columns")
+    if spec.format not in LAKE_FORMATS:
+        raise ValueError(f"format {spec.format!r} has no keyed merge; use one of {LAKE_FORMATS}, or newest_per_key on frames")
+    newest = newest_per_key(df, None, list(spec.key), list(spec.precombine))
     if spec.format == "hudi":
-        (df.write.format("hudi").options(**{
+        newest.write.format("hudi").options(**{
             "hoodie.table.name": spec.name, "hoodie.datasource.write.operation": "upsert",
             "hoodie.datasource.write.recordkey.field": ",".join(spec.key),
-            "hoodie.datasource.write.precombine.field": spec.precombine[0], **spec.options})
-         .mode("append").save(spec.path))
-        return True
-    src = f"_tw_src_{uuid.uuid4().hex[:8]}"
-    _newest_per_key(df, spec).createOrReplaceTempView(src)
+            "hoodie.datasource.write.precombine.field": spec.precombine[0], **spec.options}).mode("append").save(spec.path)
+        return
+    source = f"_tw_src_{uuid.uuid4().hex[:8]}"
+    newest.createOrReplaceTempView(source)
     target = f"delta.`{spec.path}`" if spec.format == "delta" else spec.path
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in spec.key)
-    newer = " OR ".join(f"s.`{c}` >= t.`{c}`" for c in spec.precombine[:1])
-    spark.sql(f"MERGE INTO {target} t USING {src} s ON {on} "
-              f"WHEN MATCHED AND ({newer}) THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
-    return True
+    on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in spec.key)
+    order = [", ".join(f"{side}.`{c}`" for c in spec.precombine) for side in "st"]
+    df.sparkSession.sql(f"MERGE INTO {target} t USING {source} s ON {on} WHEN MATCHED AND struct({order[0]}) >= struct({order[1]}) "
+                        "THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
 
 
-def upsert(df: DataFrame, spec: TableSpec, batch_id: int | None = None) -> bool:
-    """Merge ``df`` into the keyed table; returns False if ``batch_id`` was already committed."""
-    if not spec.key or not spec.precombine:
-        raise ValueError("upsert needs key and precombine columns")
-    if spec.format in LAKE_FORMATS:
-        return _upsert_lake_format(df, spec)
-    spark = df.sparkSession
-    current = latest_manifest(spark, spec)
-    if current and batch_id is not None and current.get("batch_id") is not None \
-            and batch_id <= current["batch_id"]:
-        return False
-    version = (current["version"] + 1) if current else 0
-    cols = df.columns
-    newest = _newest_per_key(df, spec).withColumn("_bucket", _bucket_col(spec.key, spec.buckets))
-    staging = f"{spec.path}/_staging/{version}-{uuid.uuid4().hex[:8]}"
-    newest.write.mode("overwrite").parquet(staging)
-    incoming = spark.read.parquet(staging).select(*cols, "_bucket")
-    # Bounded: at most ``buckets`` distinct values.
-    touched = sorted(r[0] for r in incoming.select("_bucket").distinct().collect())
-    merged_in = incoming.withColumn("_src", F.lit(1))
-    old_paths = _bucket_paths(spec.path, current, touched) if current else []
-    evolved = bool(current and (current.get("evolved") or set(cols) != set(current["columns"])))
-    if old_paths:
-        # Footers are merged only once the table's columns have changed.
-        old = spark.read.option("mergeSchema", evolved).parquet(*old_paths)
-        # Columns added by this batch are null in older rows (additive evolution).
-        existing = (old.select(*[c for c in cols if c in old.columns])
-                    .withColumn("_bucket", _bucket_col(spec.key, spec.buckets)).withColumn("_src", F.lit(0)))
-        both = existing.unionByName(merged_in, allowMissingColumns=True)
-    else:
-        both = merged_in
-    rank = F.struct(*[F.col(c) for c in spec.precombine], F.col("_src"))
-    # Range-partitioning on the bucket gives about one touched bucket per task and
-    # satisfies the (bucket, key) grouping, so the merge needs this one shuffle and
-    # each bucket is rewritten by a single task. Size ``buckets`` so that one bucket
-    # is a few hundred MB: the merge runs with one task per touched bucket.
-    merged = (both.repartitionByRange(max(len(touched), 1), "_bucket")
-              .groupBy("_bucket", *spec.key).agg(F.max_by(F.struct(*cols), rank).alias("_row"))
-              .select("_row.*", "_bucket"))
-    merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{spec.path}/data/v={version}")
-    buckets = dict(current["buckets"]) if current else {}
-    for b in touched:
-        buckets[str(b)] = version
-    known = current["columns"] if current else []
-    columns = cols + [c for c in known if c not in cols]
-    manifest = {"version": version, "batch_id": batch_id, "buckets": buckets, "bucket_count": spec.buckets,
-                "key": list(spec.key), "precombine": list(spec.precombine), "columns": columns,
-                "evolved": evolved}
-    if not fs.write_text_atomic(spark, f"{_manifest_dir(spec)}/{version}.json", json.dumps(manifest)):
-        raise RuntimeError(f"concurrent commit of version {version} on {spec.path}")
-    fs.delete(spark, staging)
-    return True
-
-
-def upsert_stream(stream: DataFrame, spec: TableSpec, checkpoint: str, available_now: bool = True,
-                  processing_time: str | None = None):
-    """Streaming keyed upsert: each micro-batch is merged and committed with its batch id."""
+def merge_stream(stream: DataFrame, spec: TableSpec, checkpoint: str, available_now: bool = True,
+                 processing_time: str | None = None):
+    """Streaming keyed merge: each micro-batch goes through ``merge``, which a replay doesn't change."""
     check_checkpoint(spec.path, checkpoint)
-    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: upsert(batch, spec, batch_id))
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _id: merge(batch, spec))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     return w.start()
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Snapshot read: the committed manifest of a keyed table, else a plain load."""
-    manifest = latest_manifest(spark, path)
-    if manifest is None:
-        return spark.read.format(fmt).load(path)
-    paths = _bucket_paths(path, manifest, sorted(int(b) for b in manifest["buckets"]))
-    if not paths:
-        return spark.createDataFrame([], spark.read.parquet(f"{path}/data").drop("_bucket").schema)
-    df = spark.read.option("mergeSchema", bool(manifest.get("evolved"))).parquet(*paths)
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in manifest["columns"]])
+def latest_stream(stream: DataFrame, key: list[str], precombine: list[str]) -> DataFrame:
+    """The newest row per key of a stream, for update or complete mode; the state holds one row per key."""
+    order = F.struct(*[F.col(f"`{c}`") for c in precombine])
+    newest = stream.groupBy(*[F.col(f"`{c}`") for c in key]).agg(
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), order).alias("_row"))
+    return newest.select("_row.*")
 
 
 def read_topic_table(spark: SparkSession, base: str, topic: str, fmt: str = "parquet", view: bool = True) -> DataFrame:
     """Read the lake table named after a topic (``-`` to ``_``) and register a temp view."""
     name = topic.replace("-", "_")
-    df = read_table(spark, f"{base.rstrip('/')}/{name}", fmt)
+    df = spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}")
     if view:
         df.createOrReplaceTempView(name)
     return df
@@ -216,20 +131,24 @@ def read_topic_table(spark: SparkSession, base: str, topic: str, fmt: str = "par
 
 # ---------------------------------------------------------------- rolling files
 
+def _text_options(fmt: str) -> dict:
+    """Timestamps to the microsecond in text formats, whose default keeps milliseconds."""
+    return JSON_OPTIONS if fmt in ("json", "csv") else {}
+
+
 def hourly_files(df: DataFrame, path: str, ts: str, fmt: str = "json", max_records_per_file: int | None = None,
                  prefix_col: str = "hour", cluster: bool = True) -> None:
     """Write rows into ``hour=yyyy-MM-dd--HH`` folders (bucket per event hour).
 
-    ``cluster`` range-partitions on the hour first, so each hour is written by
-    one or a few tasks (sampled bounds split a hot hour) instead of every input
-    task leaving a small file in every hour it touches.
+    ``cluster`` range-partitions on hour and time first, so a task writes one or a few hours and a hot hour is
+    split among several, instead of every input task leaving a small file in every hour it touches.
     """
     out = df.withColumn(prefix_col, F.date_format(F.col(ts), "yyyy-MM-dd--HH"))
     if cluster:
         # An explicit count is not coalesced away by AQE, so hours are written in parallel.
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, prefix_col)
-    w = out.write.mode("append").format(fmt).partitionBy(prefix_col)
+        out = out.repartitionByRange(n, prefix_col, ts)
+    w = out.write.mode("append").format(fmt).options(**_text_options(fmt)).partitionBy(prefix_col)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)
@@ -240,7 +159,7 @@ def hourly_files_stream(stream: DataFrame, path: str, ts: str, checkpoint: str,
     """Streaming variant: hour folders, rolled every trigger (default 30 s)."""
     check_checkpoint(path, checkpoint)
     out = stream.withColumn("hour", F.date_format(F.col(ts), "yyyy-MM-dd--HH"))
-    w = (out.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-         .partitionBy("hour"))
+    w = (out.writeStream.format(fmt).options(**_text_options(fmt)).option("path", path)
+         .option("checkpointLocation", checkpoint).partitionBy("hour"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

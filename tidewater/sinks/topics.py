@@ -1,21 +1,15 @@
-"""Topic sinks: rows to keyed topic records, and all-or-nothing batch publish.
+"""Topic sinks: rows to keyed topic records, written to the broker or as files in the topic schema.
 
-With the Kafka connector present, ``to_topic`` output goes straight to
-``write.format("kafka")`` (at-least-once, per the connector). The file-backed
-topic gives exactly-once, atomic batches: a batch is written to a staging
-folder and published by renaming it to ``batch=<id>``; a batch id already
-present is skipped, so a retried batch is a no-op.
+With bootstrap servers the records go to ``format("kafka")`` (at-least-once, per the connector; the
+broker assigns offsets). A topic with a ``path`` is a folder of Parquet files in the topic record
+schema: batches append to it, streams use Spark's file sink, which is exactly-once per checkpoint.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater import fs
-from tidewater.functions.indexing import with_row_index
 from tidewater.sources.topics import TOPIC_COLUMNS, TopicSpec
 
 
@@ -40,69 +34,31 @@ def json_value(df: DataFrame, columns: list[str] | None = None, keep_nulls: bool
 
 
 def to_topic(df: DataFrame, topic: str, value: Column, key: Column | None = None, partitions: int = 3,
-             timestamp: Column | None = None, order_by: list[str] | None = None,
+             timestamp: Column | None = None, partition: Column | None = None, offset: Column | None = None,
              headers: Column | None = None) -> DataFrame:
-    """Rows to topic records: key, value (binary), partition = pmod(xxhash64(key), n).
+    """Rows to topic records: key, value (binary), partition (default pmod(xxhash64(key), partitions)).
 
-    ``order_by`` (unique) fixes the offset order inside each partition; offsets
-    are assigned without a per-partition window (see ``with_row_index``).
-    Without ``order_by`` offsets are left null for the broker to assign.
+    Offsets belong to the broker: they are null unless the rows themselves carry them (``offset``).
     """
     key = key if key is not None else F.expr("uuid()")
+    headers = headers if headers is not None else F.lit(None).cast("array<struct<key:string,value:binary>>")
     # The key is materialized once, so a random key and its partition agree.
-    keyed = df.select(*(order_by or []), key.cast("string").alias("_k"), value.cast("binary").alias("value"),
-                      (timestamp if timestamp is not None else F.current_timestamp()).cast("timestamp")
-                      .alias("timestamp"),
-                      (headers if headers is not None else F.lit(None).cast("array<struct<key:string,value:binary>>"))
-                      .alias("headers"))
-    rec = keyed.select(
-        *(order_by or []),
-        F.col("_k").cast("binary").alias("key"), "value", F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64("_k"), F.lit(partitions)).cast("int").alias("partition"),
-        "timestamp", F.lit(0).alias("timestampType"), "headers")
-    if order_by:
-        rec = with_row_index(rec, "offset", order_by, ["partition"])
-    else:
-        rec = rec.withColumn("offset", F.lit(None).cast("bigint"))
-    return rec.select(*TOPIC_COLUMNS)
-
+    keyed = df.select("*", key.cast("string").alias("_topic_key"))
+    part = partition if partition is not None else F.pmod(F.xxhash64("_topic_key"), F.lit(partitions))
+    return keyed.select(
+        F.col("_topic_key").cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit(topic).alias("topic"),
+        part.cast("int").alias("partition"), (offset if offset is not None else F.lit(None)).cast("bigint").alias("offset"),
+        (timestamp if timestamp is not None else F.current_timestamp()).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"), headers.alias("headers")).select(*TOPIC_COLUMNS)
 
-def _next_offsets(spark: SparkSession, spec: TopicSpec) -> DataFrame | None:
-    batches = [n for n in fs.list_names(spark, spec.path) if n.startswith("batch=")]
-    if not batches:
-        return None
-    last = max(batches, key=lambda n: int(n.split("=", 1)[1]))
-    prev = spark.read.parquet(f"{spec.path}/{last}").groupBy("partition").agg(
-        (F.max("offset") + 1).alias("_base"))
-    return prev
 
+def _kafka(writer, spec: TopicSpec):
+    return writer.format("kafka").option("kafka.bootstrap.servers", spec.bootstrap_servers).option("topic", spec.name)
 
-def publish(records: DataFrame, spec: TopicSpec, batch_id: int, abort: bool = False) -> bool:
-    """Publish one batch of topic records all-or-nothing.
 
-    Returns False if the batch was already published (exactly-once replay) or
-    ``abort`` is set (the staged files are left unpublished, as an aborted
-    transaction). Offsets continue from the previous batch's end offsets.
-    """
-    spark = records.sparkSession
+def write_topic(records: DataFrame, spec: TopicSpec) -> None:
+    """Append records to the topic."""
     if spec.path is None:
-        records.write.format("kafka").option("kafka.bootstrap.servers", spec.bootstrap_servers) \
-            .option("topic", spec.name).save()
-        return True
-    final = f"{spec.path}/batch={batch_id}"
-    if fs.exists(spark, final):
-        return False
-    base = _next_offsets(spark, spec)
-    if base is not None:
-        # Bounded: one row per topic partition.
-        records = (records.join(F.broadcast(base), "partition", "left")
-                   .withColumn("offset", F.col("offset") + F.coalesce("_base", F.lit(0)))
-                   .select(*TOPIC_COLUMNS))
-    staging = f"{spec.path}/_staging/batch={batch_id}-{uuid.uuid4().hex[:8]}"
-    records.write.mode("overwrite").parquet(staging)
-    if abort:
-        return False
-    if not fs.rename(spark, staging, final):
-        fs.delete(spark, staging)
-        return False
-    return True
+        _kafka(records.select("key", "value", "headers").write, spec).save()
+    else:
+        records.write.mode("append").parquet(spec.path)

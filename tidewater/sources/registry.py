@@ -1,7 +1,7 @@
 """Schema registry as a table: (subject, version, id, schema).
 
-Lookups are DataFrame operations; only the schema text a decoder needs reaches
-the driver, and the id -> schema map is bounded by the registry size (checked).
+Lookups are DataFrame operations: records find their schema by a join on the id in their header, and only the
+one schema text that a reader needs reaches the driver.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.columns import wire_magic_ok, wire_schema_id
+
 REGISTRY_DDL = "subject string, version int, id int, schema string"
 
 
@@ -34,10 +36,9 @@ def latest_schema(registry: DataFrame, subject: str) -> tuple[int, str]:
     return row["id"], row["schema"]
 
 
-def schemas_by_id(registry: DataFrame, subject: str | None = None, max_entries: int = 100_000) -> dict[int, str]:
-    """id -> schema text for decoders (bounded by ``max_entries``, checked)."""
+def with_schema(records: DataFrame, registry: DataFrame, subject: str | None = None, value: str = "value") -> DataFrame:
+    """Records with ``schema_id`` and ``schema``, by the id in their wire header; null for an id that isn't registered."""
     reg = registry if subject is None else registry.where(F.col("subject") == subject)
-    rows = reg.select("id", "schema").limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        raise ValueError(f"registry larger than {max_entries} schemas; decode per subject")
-    return {int(r["id"]): r["schema"] for r in rows}
+    reg = reg.select("id", "schema").dropDuplicates(["id"])
+    tagged = records.withColumn("schema_id", F.when(wire_magic_ok(value), wire_schema_id(value)))
+    return tagged.join(reg, F.col("schema_id") == F.col("id"), "left").drop("id")

@@ -1,6 +1,6 @@
 """Topic sources: a live broker through the Kafka connector when it is on the
-classpath, otherwise a file-backed topic — a directory of committed batches in
-the same record schema, read by the batch or the streaming file source."""
+classpath, or a folder of Parquet files in the same record schema, read by
+Spark's batch or streaming file source."""
 
 from __future__ import annotations
 
@@ -51,12 +51,7 @@ def _kafka_options(spec: TopicSpec) -> dict:
 
 
 def read_topic(spark: SparkSession, spec: TopicSpec, stream: bool = False) -> DataFrame:
-    """The topic as a (streaming) DataFrame in the topic record schema.
-
-    File-backed topics only ever show committed batches: a batch directory
-    appears by one atomic rename, and staging folders start with ``_`` so the
-    file sources skip them.
-    """
+    """The topic as a (streaming) DataFrame in the topic record schema."""
     if spec.path is None:
         reader = spark.readStream if stream else spark.read
         try:
@@ -67,14 +62,10 @@ def read_topic(spark: SparkSession, spec: TopicSpec, stream: bool = False) -> Da
                 raise RuntimeError("the Kafka connector is not on the classpath; add the "
                                    "spark-sql-kafka package or use a file-backed TopicSpec(path=...)") from e
             raise
-    if stream:
-        reader = spark.readStream.schema(T.StructType(TOPIC_SCHEMA.fields + [T.StructField("batch", T.LongType())]))
-        if spec.max_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", spec.max_per_trigger)
-        df = reader.parquet(spec.path)
-    else:
-        df = spark.read.schema(TOPIC_SCHEMA).parquet(spec.path)
-    return df.select(*TOPIC_COLUMNS)
+    reader = (spark.readStream if stream else spark.read).schema(TOPIC_SCHEMA)
+    if stream and spec.max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", spec.max_per_trigger)
+    return reader.parquet(spec.path)
 
 
 def value_stream(df: DataFrame) -> DataFrame:

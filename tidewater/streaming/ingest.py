@@ -1,4 +1,4 @@
-"""One-config ingest job: topic -> decode -> (offsets on rows) -> append or upsert."""
+"""One-config ingest job: topic -> decode -> (offsets on rows) -> contract -> append or merge."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts.schema import Contract
 from tidewater.operators.decode import decode_json
-from tidewater.sinks.tables import TableSpec, append_stream, upsert_stream
+from tidewater.sinks.tables import LAKE_FORMATS, TableSpec, append, check_checkpoint, merge
 from tidewater.sources.topics import TopicSpec, read_topic
-from tidewater.streaming.validate import split_stream
+from tidewater.streaming.runner import query_id, write_batch
+from tidewater.streaming.validate import refuse_aggregates, validate_batch
+
+DISCARD = "discard"  # said instead of a path: these records may go
 
 
 @dataclass(frozen=True)
@@ -19,63 +22,68 @@ class IngestSpec:
     source: TopicSpec
     target: TableSpec
     checkpoint: str
-    schema: str | None = None        # DDL of a JSON value
-    operation: str = "insert"        # insert (append) | upsert (needs target.key/precombine)
-    value_format: str = "json"       # json | avro (wire format: header + body)
-    registry: DataFrame | None = None  # avro: (subject, version, id, schema) table
-    subject: str | None = None       # avro: default "<topic>-value"
+    schema: str                      # DDL of the JSON value
+    dead_letter_path: str            # undecodable records, or DISCARD
+    operation: str = "insert"        # insert (append) | upsert (lake formats; needs target.key / precombine)
+    wire: bool = False               # values have a registry header
+    registry: DataFrame | None = None  # with wire: the known schema ids
     offsets_on_rows: bool = True     # keep partition, offset, timestamp on every row
     required: tuple[str, ...] = ()
-    dead_letter_path: str | None = None
-    contract: Contract | None = None   # row checks inline; failing rows -> quarantine_path
-    quarantine_path: str | None = None
+    contract: Contract | None = None  # row and unique checks; aggregate checks are refused
+    quarantine_path: str | None = None  # rows that fail the contract, or DISCARD; needed with a contract
+    order_by: str | None = None      # for a contract that keeps the first or last of duplicates
     available_now: bool = True
 
 
-def _decode(spark: SparkSession, raw: DataFrame, spec: IngestSpec, meta: list[str]):
-    if spec.value_format == "json":
-        return decode_json(raw, spec.schema, required=list(spec.required), meta=meta)
-    if spec.value_format != "avro":
-        raise ValueError(f"unknown value_format {spec.value_format!r}")
-    if spec.registry is None:
-        raise ValueError("avro ingest needs a registry table")
-    from tidewater.operators.avro import decode_avro
-    from tidewater.sources.registry import latest_schema, schemas_by_id, subject_for_topic
-    subject = spec.subject or subject_for_topic(spec.source.name)
-    _, reader = latest_schema(spec.registry, subject)          # once per query, on the driver
-    keyed = raw.withColumn("key", F.col("key").cast("string"))
-    out = decode_avro(keyed, reader, schemas_by_id(spec.registry, subject), keep=["key", *meta, "value"])
-    missing = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in spec.required]
-    reason = F.coalesce(F.col("_avro_error"), *missing)
-    flagged = out.withColumn("_reason", reason)
-    fields = [c for c in out.columns if c not in ("key", "value", "_avro_error", *meta)]
-    good = flagged.where(F.col("_reason").isNull()).select("key", *meta, *fields)
-    bad = flagged.where(F.col("_reason").isNotNull()).select("key", *meta, "value", F.col("_reason").alias("reason"))
-    return good, bad
+def _check(spec: IngestSpec) -> None:
+    if not spec.dead_letter_path:
+        raise ValueError("dead_letter_path must be a path or DISCARD")
+    if spec.contract is not None:
+        if not spec.quarantine_path:
+            raise ValueError("a contract needs quarantine_path, a path or DISCARD")
+        refuse_aggregates(spec.contract)
+    if spec.operation not in ("insert", "upsert"):
+        raise ValueError(f"unknown operation {spec.operation!r}")
+    if spec.operation == "upsert" and spec.target.format not in LAKE_FORMATS:
+        raise ValueError(f"upsert needs a lake format, one of {LAKE_FORMATS}")
+    for path in (spec.target.path, spec.dead_letter_path, spec.quarantine_path):
+        if path and path != DISCARD:
+            check_checkpoint(path, spec.checkpoint)
 
 
 def run_ingest(spark: SparkSession, spec: IngestSpec):
-    """Start the ingest stream(s): the table query, plus quarantine and dead-letter
-    queries when configured (returned as a tuple then)."""
-    raw = read_topic(spark, spec.source, stream=True)
+    """Start the ingest query. Each micro-batch is decoded once and its good, quarantined and undecodable rows
+    are written from that.
+
+    Parquet outputs are folders ``query_id=.../batch_id=...`` of Spark's own ids, so a replayed batch replaces
+    itself and a query on a new checkpoint adds to what is there.
+    """
+    _check(spec)
     meta = ["partition", "offset", "timestamp"] if spec.offsets_on_rows else []
-    good, bad = _decode(spark, raw, spec, meta)
-    if spec.offsets_on_rows:
-        good = good.withColumnRenamed("timestamp", "_topic_timestamp")
-    extra = []
-    if spec.contract is not None:
-        good, quarantined = split_stream(good, spec.contract)
-        if spec.quarantine_path:
-            extra.append(append_stream(quarantined, TableSpec(f"{spec.target.name}_quarantine", spec.quarantine_path),
-                                       spec.checkpoint.rstrip("/") + "_quarantine", spec.available_now))
-    if spec.operation == "upsert":
-        q = upsert_stream(good, spec.target, spec.checkpoint, spec.available_now)
-    elif spec.operation == "insert":
-        q = append_stream(good, spec.target, spec.checkpoint, spec.available_now)
-    else:
-        raise ValueError(f"unknown operation {spec.operation!r}")
-    if spec.dead_letter_path:
-        extra.append(append_stream(bad.withColumn("_at", F.current_timestamp()),
-                                   TableSpec(f"{spec.target.name}_dead_letter", spec.dead_letter_path),
-                                   spec.checkpoint.rstrip("/") + "_dead_letter", spec.available_now))
-    return (q, *extra) if extra else q
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # replayable: a lost block is read again from the source
+        try:
+            query = query_id(batch.sparkSession, spec.checkpoint)
+            good, bad = decode_json(batch, spec.schema, required=list(spec.required), meta=meta, wire=spec.wire,
+                                    registry=spec.registry)
+            if "timestamp" in good.columns and spec.offsets_on_rows:
+                good = good.withColumnRenamed("timestamp", "_topic_timestamp")
+            if spec.dead_letter_path != DISCARD:
+                write_batch(bad.withColumn("_at", F.current_timestamp()), spec.dead_letter_path, query, batch_id)
+            if spec.contract is not None:
+                good, quarantined = validate_batch(spec.contract, good, spec.target.path, query, batch_id, spec.order_by)
+                if spec.quarantine_path != DISCARD:
+                    write_batch(quarantined, spec.quarantine_path, query, batch_id)
+            if spec.operation == "upsert":
+                merge(good, spec.target)
+            elif spec.target.format in LAKE_FORMATS:
+                append(good, spec.target)
+            else:
+                write_batch(good, spec.target.path, query, batch_id, spec.target.format)
+        finally:
+            batch.unpersist()
+
+    w = read_topic(spark, spec.source, stream=True).writeStream.option("checkpointLocation", spec.checkpoint).foreachBatch(each)
+    w = w.trigger(availableNow=True) if spec.available_now else w.trigger(processingTime="30 seconds")
+    return w.start()

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote into the checkpoint of a started query: the same after a restart, new with a new one."""
+    return json.loads("".join(r[0] for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()))["id"]
+
+
+def write_batch(batch: DataFrame, path: str, query: str, batch_id: int, fmt: str = "parquet") -> None:
+    """One micro-batch of one query as its own folder ``query_id=.../batch_id=...``.
+
+    A replay of the batch replaces exactly what it wrote before; another query, or the same one on a new
+    checkpoint, has another id and never touches it. Readers see query_id and batch_id as columns.
+    """
+    batch.write.mode("overwrite").format(fmt).save(f"{path}/query_id={query}/batch_id={batch_id}")
+
+
 def run_available(stream: DataFrame, path: str | None = None, checkpoint: str | None = None,
                   fmt: str = "parquet", output_mode: str = "append", partition_by: list[str] | None = None,
-                  timeout_s: int = 600) -> DataFrame:
-    """``availableNow`` into a file sink in a fresh shared folder, then a batch read.
+                  keys: list[str] | None = None, timeout_s: int | None = None) -> DataFrame:
+    """``availableNow`` to the end of the input, then a batch read of the result.
 
-    The file sink is exactly-once: rerunning over the same checkpoint adds nothing
-    already committed.
+    append: Spark's file sink, exactly-once per checkpoint. complete: the last micro-batch, which holds the whole
+    result. update: micro-batches hold changed rows only, so ``keys`` must name the result's key and the row of the
+    latest micro-batch counts. ``timeout_s`` stops a stream that takes longer (default: no limit) and raises.
     """
     spark = stream.sparkSession
     path = path or scratch_path(spark, "stream-out")
@@ -24,19 +42,29 @@ def run_available(stream: DataFrame, path: str | None = None, checkpoint: str |
         if partition_by:
             w = w.partitionBy(*partition_by)
     else:
-        # File sinks only append; a complete/update result table is rewritten by
-        # each micro-batch, so the folder holds the latest full result.
-        def each(batch: DataFrame, _batch_id: int) -> None:
-            out = batch.write.mode("overwrite").format(fmt)
-            (out.partitionBy(*partition_by) if partition_by else out).save(path)
+        if output_mode == "update" and not keys:
+            raise ValueError("update mode needs keys=, the columns that name a row of the result")
+
+        def each(batch: DataFrame, batch_id: int) -> None:
+            write_batch(batch, path, query_id(spark, checkpoint), batch_id, fmt)
 
         w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
              .foreachBatch(each).trigger(availableNow=True))
     q = w.start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
+        if q.isActive:
+            q.stop()
+            raise TimeoutError("stream did not finish")
     if q.exception():
         raise q.exception()
-    return spark.read.format(fmt).load(path)
+    if output_mode == "append":
+        return spark.read.format(fmt).load(path)
+    mine = spark.read.format(fmt).option("basePath", path).load(f"{path}/query_id={query_id(spark, checkpoint)}")
+    columns = [c for c in mine.columns if c not in ("query_id", "batch_id")]
+    if output_mode == "complete":
+        return mine.where(F.col("batch_id") == mine.agg(F.max("batch_id")).first()[0]).select(columns)
+    row = F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), "batch_id").alias("_row")
+    return mine.groupBy(*keys).agg(row).select("_row.*")

@@ -1,39 +1,81 @@
 """Contract validation on streams.
 
-Row checks are stateless, so they run inline on the stream (valid and
-quarantine outputs). Checks over a whole frame — ``unique`` sets and aggregate
-checks — run per micro-batch inside ``foreachBatch``.
+Row checks are stateless, so they run inline on the stream (valid and quarantine outputs). ``unique`` sets
+concern the whole stream: ``validate_batch`` checks a micro-batch within itself and against all rows accepted
+before. An aggregate check has no answer before a stream ends, so contracts with one are refused.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewater.contracts.schema import Contract
-from tidewater.contracts.validate import validate
+from tidewater.contracts.validate import ContractError, set_checks, validate
 from tidewater.sinks.tables import check_checkpoint
+from tidewater.streaming.runner import query_id, write_batch
 
 
 def split_stream(stream: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(valid, quarantine) streaming frames from the contract's row checks."""
+    """(valid, quarantine) streaming frames from the contract's row checks; other checks are refused."""
+    unique, aggregates = set_checks(contract)
+    if unique or aggregates:
+        raise ContractError(f"checks over all rows can't run inline on a stream: {unique + aggregates}; use validate_stream")
     return validate(contract, stream, "quarantine", row_checks_only=True)
 
 
+def refuse_aggregates(contract: Contract) -> None:
+    _, aggregates = set_checks(contract)
+    if aggregates:
+        raise ContractError(f"aggregate checks have no answer on a stream: {aggregates}")
+
+
+def _accepted(spark, valid_path: str, query: str, batch_id: int) -> DataFrame | None:
+    """Rows accepted so far, without what an earlier attempt of this very batch wrote."""
+    try:
+        rows = spark.read.option("basePath", valid_path).parquet(valid_path)
+    except AnalysisException:  # nothing was written yet
+        return None
+    if "query_id" not in rows.columns:
+        return rows
+    return rows.where(~((F.col("query_id") == query) & (F.col("batch_id") == batch_id)))
+
+
+def validate_batch(contract: Contract, batch: DataFrame, valid_path: str, query: str, batch_id: int,
+                   order_by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of a micro-batch; a row whose unique key was accepted in an earlier batch is quarantined.
+
+    Only the key columns of the accepted rows are read, joined with the keys of this batch.
+    """
+    good, bad = validate(contract, batch, "quarantine", order_by=order_by)
+    before = _accepted(batch.sparkSession, valid_path, query, batch_id)
+    unique, _ = set_checks(contract)
+    for cols in unique if before is not None else []:
+        on = [F.col(f"g.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in cols]
+        seen = before.select(*[F.col(f"`{c}`") for c in cols]).distinct().alias("s")
+        again = good.alias("g").join(seen, on, "left_semi")
+        bad = bad.unionByName(again.withColumn("_reasons", F.array(F.lit(f"{','.join(cols)}:unique"))))
+        good = good.alias("g").join(seen, on, "left_anti")
+    return good, bad
+
+
 def validate_stream(stream: DataFrame, contract: Contract, valid_path: str, quarantine_path: str,
                     checkpoint: str, order_by: str | None = None, available_now: bool = True,
                     processing_time: str | None = None):
-    """Validate every micro-batch with all checks; append valid rows and
-    quarantined rows (with ``_reasons``) to two tables."""
+    """Validate every micro-batch; valid rows and quarantined rows (with ``_reasons``) go to two tables."""
     check_checkpoint(valid_path, checkpoint)
+    refuse_aggregates(contract)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         # Two writes read the same micro-batch: cache it once (a lost block is
         # recomputed from the replayable source batch).
         batch.persist()
         try:
-            good, bad = validate(contract, batch, "quarantine", order_by=order_by)
-            good.write.mode("overwrite").parquet(f"{valid_path}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            query = query_id(batch.sparkSession, checkpoint)
+            good, bad = validate_batch(contract, batch, valid_path, query, batch_id, order_by)
+            write_batch(bad, quarantine_path, query, batch_id)
+            write_batch(good, valid_path, query, batch_id)
         finally:
             batch.unpersist()
 

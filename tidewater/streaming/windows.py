@@ -14,6 +14,7 @@ def tumble_sum_stream(stream: DataFrame, ts: str | None, key: str, value: str, w
                       decimal_scale: int | None = None, out_col: str = "window_sales") -> DataFrame:
     """Per key and window: (key, window_end, SUM(value) * factor), emitted once the
     window closes (append mode: the watermark max(ts) - delay passes its end).
+    Windows still open when the input ends are never emitted; use update or complete mode for those.
 
     ``ts=None`` uses processing time (``current_timestamp()``, fixed per
     micro-batch). Watermarks need TIMESTAMP, so an NTZ column is cast in and the
@@ -36,15 +37,18 @@ def tumble_sum_stream(stream: DataFrame, ts: str | None, key: str, value: str, w
 
 def stream_to_topic(stream: DataFrame, spec, checkpoint: str, key: str | None = None,
                     available_now: bool = True, processing_time: str | None = None):
-    """Continuous topic -> aggregate -> topic: each micro-batch is published as
-    one atomic topic batch keyed by its batch id (replays are no-ops)."""
-    from tidewater.sinks.topics import json_value, publish, to_topic
+    """Continuous topic -> aggregate -> topic: rows as JSON records, to the broker or to files in the topic schema
+    (Spark's file sink, exactly-once per checkpoint)."""
+    from tidewater.sinks.tables import check_checkpoint
+    from tidewater.sinks.topics import json_value, to_topic
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        k = F.col(key).cast("string") if key else None
-        publish(to_topic(batch, spec.name, json_value(batch), key=k), spec, batch_id)
-
-    w = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
+    records = to_topic(stream, spec.name, json_value(stream), key=F.col(key).cast("string") if key else None)
+    w = records.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if spec.path is None:
+        w = w.format("kafka").option("kafka.bootstrap.servers", spec.bootstrap_servers).option("topic", spec.name)
+    else:
+        check_checkpoint(spec.path, checkpoint)
+        w = w.format("parquet").option("path", spec.path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
     return w.start()
 
