@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.exchange import materialized
+from tidewater.llm.exchange import discard, materialized
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     both = materialized(spark, both, "links")
     labels = both.groupBy("node").agg(F.min("other").alias("other")).select(
         "node", F.least("node", "other").alias("label"))
-    labels = materialized(spark, labels, "labels")
+    held = materialized(spark, labels, "labels")
+    labels = held.select("node", "label")
     while True:
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other")
         near = near.groupBy("node").agg(F.min("label").alias("near"))
@@ -31,6 +32,8 @@ def components(links: DataFrame) -> DataFrame:
             "node", "old", F.least("label", F.coalesce("next", "label")).alias("label"))
         step = materialized(spark, step, "labels")
         changed = step.where("label <> old").limit(1).count()
-        labels = step.select("node", "label")
+        discard(held)
+        held, labels = step, step.select("node", "label")
         if not changed:
+            discard(both)
             return labels

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater import fs
 from tidewater.llm.words import U64, chunks
 from tidewater.session import scratch_path
 
@@ -31,7 +32,14 @@ def materialized(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: survives lost executors, computed once."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    fs.delete(df.sparkSession, df.scratch_path)
 
 
 def text_groups(batches: Iterable[pa.RecordBatch], lower: bool) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
-from tidewater.llm.exchange import (BLOB, BLOB_ARROW, bucket_of, buckets_for, column, dealt, from_low_bytes, low_bytes,
-                                    materialized, text_groups)
+from tidewater.llm.exchange import (BLOB, BLOB_ARROW, bucket_of, buckets_for, column, dealt, discard, from_low_bytes,
+                                    low_bytes, materialized, text_groups)
 from tidewater.llm.heavy import heavy_table, int64, local_heavy, member
 from tidewater.llm.words import U64, mix, shingle_set
 
@@ -309,7 +309,8 @@ def links(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """(node, label) of all sets that link with another, label being the same for connected ones."""
     spark = sets.sparkSession
     light = boundary(sets)
-    posts = materialized(spark, _postings(sets, light, num, den), "postings").withColumn("label", F.col("sig"))
+    held = materialized(spark, _postings(sets, light, num, den), "postings")
+    posts = held.withColumn("label", F.col("sig"))
     found, labels = None, None
     for turn in range(HUB_ROUNDS + 1):
         open_keys = posts.groupBy("key", "other_key").agg(
@@ -317,6 +318,8 @@ def links(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
             F.col("key").alias("k"), F.col("other_key").alias("ok"), "c")
         posts = materialized(spark, posts.join(
             open_keys, (F.col("key") == F.col("k")) & F.col("other_key").eqNullSafe(F.col("ok"))).drop("k", "ok"), "postings")
+        discard(held)
+        held = posts
         if posts.isEmpty():
             break
         if turn < HUB_ROUNDS:
@@ -329,6 +332,7 @@ def links(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
         labels = components(found)
         posts = posts.drop("label", "c").join(labels.toDF("sig", "label"), "sig", "left").withColumn(
             "label", F.coalesce("label", "sig"))
+    discard(held)
     if labels is None:
         return spark.createDataFrame([], "node bigint, label bigint")
     return labels
