@@ -150,7 +150,7 @@ def topic_roundtrip_agg(spark, sf):
 
 
 @plan("payload_as_json", "T2 F11 X1", """
-SELECT CAST(event_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, NULL AS props, TRUE AS null_kept FROM events
+SELECT CAST(event_id AS VARCHAR) AS key, event_id, ts, user_id, event_type, value, CAST(NULL AS VARCHAR) AS props, TRUE AS null_kept FROM events
 """)
 def payload_as_json(spark, sf):
     """The decoded payload as JSON text, nulls kept, and what its text says."""
