@@ -12,7 +12,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", 8)
+def spark(tmp_path_factory):
+    s = build_session("local[4]", 8, scratch_dir=f"file://{tmp_path_factory.mktemp('scratch')}")
     yield s
     s.stop()

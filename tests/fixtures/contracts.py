@@ -1,5 +1,11 @@
-"""Contract files and frames of the validation walkthrough, rebuilt as literals."""
+"""Contract files and frames of the validation walkthrough, rebuilt as literals.
 
+Each is a fixed value: saved contracts and golden outputs must match character by character.
+"""
+
+from tidewater.contracts import Check, Column, Contract
+
+# Fixed values.
 SCHEMA_JSON = {
     "schema_type": "dataframe", "version": "0.18.0",
     "columns": {
@@ -22,6 +28,7 @@ SCHEMA_JSON = {
     "title": None, "description": None,
 }
 
+# Fixed values.
 READER_YAML = """\
 schema_type: dataframe
 version: 0.18.0
@@ -82,22 +89,12 @@ title: null
 description: null
 """
 
-WRITER_EXTRA_YAML = """\
-  tenure_percentage:
-    title: tenure_percentage
-    description: 'Percentage of the persons tenure at the company'
-    dtype: float
-    nullable: false
-    checks:
-      greater_than_or_equal_to: 0.0
-      less_than_or_equal_to: 100.0
-    unique: false
-    coerce: false
-    required: true
-    regex: false
-"""
-WRITER_YAML = READER_YAML.replace("checks: null\nindex:", WRITER_EXTRA_YAML + "checks: null\nindex:", 1)
+# The writer's contract is the reader's with one more column.
+WRITER_YAML = Contract.from_yaml(READER_YAML).add_columns({"tenure_percentage": Column(
+    "float", [Check("greater_than_or_equal_to", 0.0), Check("less_than_or_equal_to", 100.0)], title="tenure_percentage",
+    description="Percentage of the persons tenure at the company")}).to_yaml()
 
+# Fixed values.
 CITIES_YAML = """\
 schema_type: dataframe
 version: 0.18.0
@@ -155,9 +152,11 @@ title: null
 description: null
 """
 
+# Fixed values.
 EMPLOYEES = {"name": ["Alice", "Bob", "Charlie", "Dennis", "Edith"], "age": [25, 32, 29, 19, 22],
              "tenure": [3, 5, 2, 1, 4]}
 # Golden output of the reader -> derive -> writer pipeline.
+# Fixed values.
 EMPLOYEE_TENURE_CSV = """name,age,tenure,tenure_percentage
 Alice,25,3,12.0
 Bob,32,5,15.625
@@ -166,12 +165,15 @@ Dennis,19,1,5.263157894736842
 Edith,22,4,18.181818181818183
 """
 
+# Fixed values.
 CITIES = {"state": ["FL", "FL", "FL", "CA", "CA", "CA"],
           "city": ["Orlando", "Miami", "Tampa", "San Francisco", "Los Angeles", "San Diego"],
           "price": [5, 12, 10, 16, 20, 18]}
 
+# Fixed values.
 VALID = {"column1": [1, 4, 0, 10, 9], "column2": [-1.3, -1.4, -2.9, -10.1, -20.4],
          "column3": ["value_1", "value_2", "value_3", "value_2", "value_1"]}
+# Fixed values.
 INVALID = {"column1": [1, 4, 0, 10, 9], "column2": [6.0, -1.4, -2.9, 10.1, -20.4],
            "column3": ["value_1", "value_2", "value_3", "value_2", "value_1"]}
 

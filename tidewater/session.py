@@ -11,9 +11,11 @@ _LOCAL_SCRATCH: dict[int, str] = {}
 
 
 def build_session(master: str = "local[*]", partitions: int = 8, app: str = "tidewater",
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, scratch_dir: str | None = None) -> SparkSession:
     """A session with the settings the library relies on.
 
+    ``scratch_dir`` (``spark.checkpoint.dir``) is the shared folder for lineage cuts, staging and checkpoints.
+
     AQE re-plans joins and coalesces shuffle partitions at run time, skew-join
     splitting is on, the session zone is pinned to UTC so NTZ<->LTZ casts are
     stable, and the web UI stays off.
@@ -31,6 +33,8 @@ def build_session(master: str = "local[*]", partitions: int = 8, app: str = "tid
         # interpreted; past that size, fall back to per-operator codegen.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
+    if scratch_dir:
+        builder = builder.config("spark.checkpoint.dir", scratch_dir)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
