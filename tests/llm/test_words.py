@@ -35,6 +35,15 @@ def test_long_text_and_many_chunks(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, split)) and len(whole) == len(split) == len(texts)
 
 
+def test_blocks_of_a_long_text(monkeypatch):
+    texts = [" ".join(f"word{i % 977}" for i in range(3000)), "é" * 500 + " x", ""]
+    whole = hashes(texts)
+    many = [W.grams(whole[0], k) for k in (5, 20)]
+    monkeypatch.setattr(W, "BLOCK", 64)
+    assert all((a == b).all() for a, b in zip(whole, hashes(texts)))
+    assert all((a == W.grams(whole[0], k)).all() for a, k in zip(many, (5, 20)))
+
+
 def test_grams_agree_for_equal_runs():
     h = hashes(["a b c d e f g h i j k l m n o p q r s t u v a b c d e f g h i j k l m n o p q r s t"])[0]
     for k in (1, 2, 5, 8, 9, 20):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.words import U64, Chunk, grams, mix
+from tidewater.llm.words import BLOCK, U64, Chunk, grams, mix
 
 DIMS = 1 << 18
 _N = U64(DIMS - 1)
@@ -17,15 +17,17 @@ _N = U64(DIMS - 1)
 
 def char_grams(chunk: Chunk, n: int) -> np.ndarray:
     """Feature of the n bytes from each byte of the chunk on; those across text ends are the caller's to leave out."""
-    d = chunk.data.astype(np.uint64)
-    m = len(d) - n + 1
-    if m <= 0:
-        return np.zeros(0, np.int32)
-    code = d[:m].copy()
-    for j in range(1, n):
-        code |= d[j : j + m] << U64(8 * j)
-    code += U64(n << 60)
-    return ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - 18)).astype(np.int32)
+    m = len(chunk.data) - n + 1
+    out = np.empty(max(m, 0), np.int32)
+    for start in range(0, m, BLOCK):
+        d = chunk.data[start : start + BLOCK + n - 1].astype(np.uint64)
+        k = len(d) - n + 1
+        code = d[:k].copy()
+        for j in range(1, n):
+            code |= d[j : j + k] << U64(8 * j)
+        code += U64(n << 60)
+        out[start : start + k] = ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - 18)).astype(np.int32)
+    return out
 
 
 def word_grams(chunk: Chunk, i: int, n: int) -> np.ndarray:

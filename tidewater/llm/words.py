@@ -39,21 +39,8 @@ def _powers(n: int, base: int) -> np.ndarray:
     return out
 
 
-class _Powers:
-    def __init__(self):
-        self.up = self.down = np.ones(1, U64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
-            up, down = _powers(size, BASE), _powers(size, pow(BASE, -1, 2**64))
-            if size > 4 * CHUNK_BYTES:  # a very long text: not kept
-                return up, down
-            self.up, self.down = up, down
-        return self.up, self.down
-
-
-_POWERS = _Powers()
+BLOCK = CHUNK_BYTES  # bytes hashed at a time, so that a very long text needs no more room than a chunk
+_UP, _DOWN = _powers(BLOCK + 1, BASE), _powers(BLOCK + 1, pow(BASE, -1, 2**64))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -65,6 +52,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def _prefixes(codes: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of code * BASE**place over the bytes before each place of at (two ascending halves)."""
+    out, carry = np.zeros(len(at), U64), 0
+    halves = [(0, len(at) // 2), (len(at) // 2, len(at))]
+    for start in range(0, max(len(data), 1), BLOCK):
+        block = data[start : start + BLOCK]
+        total = np.zeros(len(block) + 1, U64)
+        np.cumsum(codes[block] * _UP[: len(block)], out=total[1:])
+        scale, last = pow(BASE, start, 2**64), start + len(block) == len(data)
+        for i, j in halves:
+            lo, hi = np.searchsorted(at[i:j], [start, start + len(block) + last]) + i
+            out[lo:hi] = U64(carry) + U64(scale) * total[at[lo:hi] - start]
+        carry = (carry + scale * int(total[-1])) % 2**64
+    return out
+
+
+def _down(at: np.ndarray) -> np.ndarray:
+    """BASE**-place of ascending places."""
+    out = np.empty(len(at), U64)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, BLOCK):
+        lo, hi = np.searchsorted(at, [start, start + BLOCK])
+        out[lo:hi] = U64(pow(BASE, -start, 2**64)) * _DOWN[at[lo:hi] - start]
+    return out
+
+
 class Chunk:
     """Words of some consecutive texts of a batch.
 
@@ -86,10 +98,10 @@ class Chunk:
         after[edges[edges > 0] - 1] = True
         self.starts = np.flatnonzero(begins)
         self.ends = np.flatnonzero(~space[1:-1] & after) + 1
-        up, down = _POWERS.get(n + 1)
-        total = np.zeros(n + 1, U64)
-        np.cumsum((_CODES_LOWER if lower else _CODES)[data] * up[:n], out=total[1:])
-        self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U64))
+        codes = _CODES_LOWER if lower else _CODES
+        total, back = _prefixes(codes, data, np.r_[self.starts, self.ends]), _down(self.starts)
+        m = len(self.starts)
+        self.hashes = mix((total[m:] - total[:m]) * back + (self.ends - self.starts).astype(U64))
         self.bounds = np.searchsorted(self.starts, text_starts)
 
     def words(self, i: int) -> np.ndarray:
@@ -129,10 +141,14 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
         for j in range(1, k):
             out += hashes[j : j + m] * _MIX[j]
         return mix(out)
-    up, down = _POWERS.get(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, U64)
-    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
-    return mix((total[k:] - total[:-k]) * down[:m] + U64(k))
+    out = np.empty(m, U64)
+    for start in range(0, m, BLOCK - k):
+        part = hashes[start : start + BLOCK]
+        total = np.zeros(len(part) + 1, U64)
+        np.cumsum(part * _UP[: len(part)], out=total[1:])
+        n = len(part) - k + 1
+        out[start : start + n] = mix((total[k:] - total[:-k]) * _DOWN[:n] + U64(k))
+    return out
 
 
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
