@@ -48,6 +48,7 @@ def _pieces(batches, path, capacity, end_id, with_ids):
             if with_ids:
                 cols, names = [*cols, pa.array(part, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
+    load.cache_clear()  # the worker goes on to other work; it needn't hold this task's words
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 600_000  # distinct words that a worker remembers
+KNOWN_WORDS = 400_000  # distinct words that a worker remembers
 PLAIN = 0x250  # texts of code points below are cut by a pattern here, others by the tokenizer's own cutter
 NONE = np.int32(2**31 - 1)
 

@@ -20,8 +20,8 @@ from tidewater.session import scratch_path
 BLOB = "bucket int, kind int, a binary, b binary, c binary"
 BLOB_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()),
                         ("c", pa.binary())])
-GROUP_WORDS = 2_000_000  # words that a task holds before it deals them out
-BUCKET_POSTINGS = 3_000_000  # postings that a bucket's task holds, about
+GROUP_WORDS = 500_000  # words that a task holds before it deals them out
+BUCKET_POSTINGS = 1_500_000  # postings that a bucket's task holds, about
 
 
 def buckets_for(postings: int) -> int:

@@ -28,7 +28,7 @@ from tidewater.llm.words import U64, binary, chunks, grams, mix
 
 POSTING, SPAN, TEXT = 0, 1, 2
 KEPT = 7
-HOME_BYTES = 32 << 20  # text that a home's task holds, about
+HOME_BYTES = 12 << 20  # text that a home's task holds, about
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id: after all others
 #: windows start .. start + n - 1 of a document have an earlier source, in step from (ref, ref_start)
 SPANS = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("n", "<u4"), ("ref", "<i8"), ("ref_start", "<u4")])
@@ -132,7 +132,7 @@ def _deal(batches, window, buckets, homes):
         ids, raw = _ids(batch.column(0)), binary(batch.column(1))
         tags = np.array([zlib.crc32(x.as_buffer()) for x in raw], np.uint32)
         texts, first, held = [], 0, 0
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(raw):
             if texts and held + len(chunk.hashes) > GROUP_WORDS:
                 if rows := _group(ids[first : chunk.first], tags[first : chunk.first], texts, window, buckets, homes):
                     yield _blobs(rows)

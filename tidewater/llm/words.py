@@ -110,7 +110,9 @@ class Chunk:
 
 
 def binary(column: pa.Array) -> pa.Array:
-    return column.cast(pa.large_binary()).fill_null(b"")
+    """Bytes of a string column; null counts as empty. The text itself isn't copied."""
+    column = column.cast(pa.large_binary())
+    return column.fill_null(b"") if column.null_count else column
 
 
 def chunks(column: pa.Array, lower: bool = False, alnum: bool = False) -> Iterator[Chunk]:
