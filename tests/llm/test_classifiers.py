@@ -10,6 +10,7 @@ from tidewater.llm import co_training as ct, linear, quality_rules as qr, toxici
 from tidewater.llm.queries import LEARN
 
 TABLE = "/root/testdata/sf0.01"
+EMPTY = [(linear.Sparse.from_rows([]), np.zeros(0, int)), linear.Sparse.from_rows([])]
 
 
 @pytest.fixture(scope="module")
@@ -107,7 +108,8 @@ def test_views_exchange_pseudo_labels(monkeypatch):
     truth = [i % 2 for i in range(500)]
     meta = [(np.array([y]), np.ones(1)) for y in truth]
     text = [(np.array([2 + 2 * (rng.randrange(8) if i >= 100 else 0) + y]), np.ones(1)) for i, y in enumerate(truth)]
-    few, many = (ct.co_train([text, meta], label, n) for n in (0, 3))
+    x = [linear.Sparse.from_rows(text).common(1, ct.DIMS), linear.Sparse.from_rows(meta)]
+    few, many = (ct.co_train(x, label, n) for n in (0, 3))
     unseen = [2 + 2 * g + y for g in range(1, 8) for y in (0, 1)]
     apart = [sum(abs(m.text[0][f]) > 1e-3 for f in unseen) for m in (few, many)]
     assert apart[0] == 0 and apart[1] == len(unseen)
@@ -121,8 +123,8 @@ def test_quality_models_without_labels_or_with_one_class(spark, frame):
         assert len(got) == len(ODD_TEXTS) + 2 and len({r.score for r in got}) == 1
         got = qr.quality_rules(odd, qr.fit(odd, labels)).collect()
         assert len(got) == len(ODD_TEXTS) + 2 and len({r.score for r in got}) == 1
-    assert ct.quality_classifier(frame([]), ct.co_train([[], []], np.zeros(0), 1)).collect() == []
-    assert ct.quality_classifier(odd.drop("lang", "source"), ct.co_train([[], []], np.zeros(0), 1)).count() == len(ODD_TEXTS) + 2
+    assert ct.quality_classifier(frame([]), ct.co_train(EMPTY, np.zeros(0), 1)).collect() == []
+    assert ct.quality_classifier(odd.drop("lang", "source"), ct.co_train(EMPTY, np.zeros(0), 1)).count() == len(ODD_TEXTS) + 2
 
 
 def test_quality_rules_on_held_out_labels(table):
@@ -135,7 +137,7 @@ def test_quality_rules_on_held_out_labels(table):
 def test_base_counts_match_brute_force(spark, frame, small_rows):
     rows = [(5000 + i, t) for i, t in enumerate(ODD_TEXTS)] + small_rows
     rows += [(9000, "l one\nl two\nl one\r\n\n \nl one\nl two"), (9001, "a b c d e " * 5), (9002, "é#*%  𝔸|<>&$ x " * 3), (9003, "same " * 30000)]
-    model = qr.fit_rows([], np.zeros(0))
+    model = qr.fit_rows(linear.Sparse.from_rows([]), np.zeros(0, int), np.zeros(0))
     got = {r.doc_id: r for r in qr.quality_rules(frame(rows), model).collect()}
     for i, t in rows:
         want, r = brute.base_counts(t), got[i]
@@ -155,11 +157,23 @@ def test_scores_do_not_depend_on_neighbours_in_the_batch(frame):
     assert all(len(v) == 1 for v in got.values()) and len(got) == 4
 
 
+def test_products_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(np.sort(rng.choice(30, n, replace=False)), rng.normal(size=n)) for n in (0, 3, 9, 0, 0, 30, 1, 0)]
+    dense = np.zeros((len(rows), 30))
+    for i, (f, v) in enumerate(rows):
+        dense[i, f] = v
+    x, w, g = linear.Sparse.from_rows(rows), rng.normal(size=30), rng.normal(size=len(rows))
+    for block in (4, 1 << 19):
+        monkeypatch.setattr(linear, "BLOCK", block)
+        assert np.allclose(x.dot(w), dense @ w, atol=1e-4) and np.allclose(x.back(g, 30), dense.T @ g, atol=1e-4)
+
+
 def test_logistic_fit_and_platt():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 400).astype(float)
     rows = [(np.array([int(v), 2]), np.array([1.0, rng.normal()])) for v in y]
-    w, b = linear.fit_logistic(linear.Sparse(rows), y, np.ones(400), 3)
+    w, b = linear.fit_logistic(linear.Sparse.from_rows(rows), y, np.ones(400), 3)
     assert w[1] > 1 > -1 > w[0]
     score = rng.normal(size=2000)
     label = (rng.random(2000) < linear.sigmoid(2 * score - 1)).astype(int)

@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.features import DIMS, char_grams, fresh, joined, kept_rows, sample_ids, share, word_grams
-from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
+from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid, spread
 from tidewater.llm.words import Chunk, chunks
 
 ROUNDS = 4
 SURE = 0.95  # probability from which a view hands a pseudo-label over
 SHARE_PER_ROUND = 0.1  # of the pool, at most, of each label and view
+LATER_STEPS = 30  # of a fit that goes on from the last round's
 SCALE = 30.0
+LEAST_ROWS = 3  # sampled rows that hold a word or trigram of the model
 META_DIMS = 1 << 12
 FIELDS = ("lang", "source")
 
@@ -95,10 +97,11 @@ def _sampled(batches):
         fields = [batch.column(3 + j).to_pylist() for j in range(len(FIELDS))]
         for chunk in chunks(batch.column(1)):
             rows = _views(chunk, fields)
-            ints, floats = pa.list_(pa.int64()), pa.list_(pa.float64())
+            ints, floats = pa.list_(pa.int32()), pa.list_(pa.float32())
             yield pa.record_batch([
                 batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)),
-                *(pa.array([r[j] for r in rows], floats if j % 2 else ints) for j in range(4))],
+                *(pa.array([r[j].astype(np.float32 if j % 2 else np.int32) for r in rows], floats if j % 2 else ints)
+                  for j in range(4))],
                 names=["doc_id", "label", "tf", "tv", "mf", "mv"])
 
 
@@ -112,7 +115,7 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*_inputs(docs, id_col, text_col))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 4000, rounds: int = ROUNDS,
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_pool: int = 2000, rounds: int = ROUNDS,
         id_col: str = "doc_id", text_col: str = "text") -> CoModel:
     """Model of labels (doc_id, label 0/1; null is none); the pool are documents without a label.
 
@@ -124,16 +127,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
     pool = sample_ids(rows.select("doc_id").join(known, "doc_id", "left_anti").dropna(), max_pool)
     chosen = sample.union(pool.withColumn("label", F.lit(None).cast("int")))  # at most max_labelled + max_pool rows
     rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", *FIELDS)
-    got = rows.mapInArrow(_sampled, "doc_id bigint, label int, tf array<bigint>, tv array<double>, mf array<bigint>, mv array<double>")
+    got = rows.mapInArrow(_sampled, "doc_id bigint, label int, tf array<int>, tv array<float>, mf array<int>, mv array<float>")
     got = got.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     label = got["label"].to_numpy(zero_copy_only=False).astype(float)
-    views = [[(np.asarray(f.values), np.asarray(v.values)) for f, v in zip(got[a], got[b])] for a, b in (("tf", "tv"), ("mf", "mv"))]
-    return co_train(views, label, rounds)
+    x = [Sparse.from_arrow(got["tf"], got["tv"]).common(LEAST_ROWS, DIMS), Sparse.from_arrow(got["mf"], got["mv"])]
+    del got  # the fit needs the room
+    pa.default_memory_pool().release_unused()
+    return co_train(x, label, rounds)
 
 
-def co_train(views: list[list], label: np.ndarray, rounds: int) -> CoModel:
-    """label: 0, 1 or nan for the pool."""
-    dims = (DIMS, META_DIMS)
+def co_train(x: list, label: np.ndarray, rounds: int) -> CoModel:
+    """x: the text view's rows with their features' names, and the metadata view's rows; label: 0, 1 or nan for the pool."""
     has = ~np.isnan(label)
     pos, n = float(np.nansum(label)), int(has.sum())
     if not 0 < pos < n:
@@ -147,15 +151,17 @@ def co_train(views: list[list], label: np.ndarray, rounds: int) -> CoModel:
         learn = has
     else:
         learn = has & ~held
-    target = [np.where(learn, label, np.nan) for _ in views]
-    x = [Sparse(v) for v in views]
+    target = [np.where(learn, label, np.nan) for _ in x]
+    (text, names), meta = x
+    x, dims = [text, meta], (len(names), META_DIMS)
     fitted = [None, None]
     for turn in range(rounds + 1):
         for v in (0, 1):
             use = ~np.isnan(target[v])
-            y = target[v][use]
-            each = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-            fitted[v] = fit_logistic(Sparse([views[v][i] for i in np.flatnonzero(use)]), y, each, dims[v])
+            y = np.where(use, target[v], 0)
+            each = use * np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (use - y).sum()))
+            again = {"start": fitted[v], "rounds": LATER_STEPS, "rate": 0.2} if turn else {}
+            fitted[v] = fit_logistic(x[v], y, each, dims[v], **again)
         if turn == rounds:
             break
         given = [t.copy() for t in target]
@@ -174,11 +180,12 @@ def co_train(views: list[list], label: np.ndarray, rounds: int) -> CoModel:
     for v in (0, 1):
         score = x[v].dot(fitted[v][0]) + fitted[v][1]
         curve = platt(score[held], label[held])
-        fitted[v] = (fitted[v][0].astype(np.float32), fitted[v][1], curve)
+        fitted[v] = (fitted[v][0], fitted[v][1], curve)
         logits.append(np.clip(curve[0] * score + curve[1], -12, 12))
-    both = Sparse([(np.array([0, 1]), np.array(z)) for z in np.c_[logits[0][held], logits[1][held]]])
+    both = Sparse.from_rows([(np.array([0, 1]), np.array(z)) for z in np.c_[logits[0][held], logits[1][held]]])
     w, b = fit_logistic(both, label[held], np.ones(int(held.sum())), 2, l2=1e-3, rounds=200, rate=0.1)
-    return CoModel(fitted[0], fitted[1], (float(w[0]), float(w[1]), b))
+    w0, b0, curve = fitted[0]
+    return CoModel((spread(w0, names, DIMS), b0, curve), fitted[1], (float(w[0]), float(w[1]), b))
 
 
 SCORED = "doc_id bigint, text_score double, meta_score double, score double, kept boolean"

@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 
+BLOCK = 1 << 19
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
@@ -14,51 +17,110 @@ def platt(score: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) ->
     pos, neg = float((y == 1).sum()), float((y == 0).sum())
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     weight = np.ones(len(y)) if weight is None else weight
-    x = np.c_[score, np.ones(len(score))]
-    ab = np.array([1.0, 0.0])
-    for _ in range(50):
+    scale = max(float(np.std(score)), 1e-12)
+    x = np.c_[score / scale, np.ones(len(score))]
+
+    def loss(ab):
+        z = x @ ab
+        return float((weight * (np.logaddexp(0, z) - target * z)).sum())
+
+    ab = np.zeros(2)
+    for _ in range(100):
         p = sigmoid(x @ ab)
-        grad = x.T @ (weight * (p - target)) + 1e-6 * ab
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        grad = x.T @ (weight * (p - target))
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2)
         step = np.linalg.solve(hess, grad)
-        ab -= np.clip(step, -5, 5)
+        now = loss(ab)
+        while loss(ab - step) > now and abs(step).max() > 1e-9:
+            step = step / 2
+        ab = ab - step
         if abs(step).max() < 1e-8:
             break
-    return float(ab[0]), float(ab[1])
+    return float(ab[0] / scale), float(ab[1])
 
 
 class Sparse:
-    """Rows of (feature, value): row i holds at[i]:at[i + 1]."""
+    """Rows of (feature, value), flat: row i holds at[i]:at[i + 1]."""
+
+    def __init__(self, at: np.ndarray, feature: np.ndarray, value: np.ndarray):
+        self.at, self.feature, self.value = np.asarray(at, np.int64), feature, value
+
+    @staticmethod
+    def from_rows(rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        return Sparse(np.r_[0, np.cumsum([len(f) for f, _ in rows], dtype=np.int64)],
+                      np.concatenate([np.asarray(f, np.int32) for f, _ in rows] or [np.zeros(0, np.int32)]),
+                      np.concatenate([np.asarray(v, np.float32) for _, v in rows] or [np.zeros(0, np.float32)]))
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
-        size = np.array([len(f) for f, _ in rows], np.int64)
-        self.at = np.r_[0, np.cumsum(size)]
-        self.feature = np.concatenate([f for f, _ in rows] or [np.zeros(0, np.int64)])
-        self.value = np.concatenate([v for _, v in rows] or [np.zeros(0)])
-        self.row = np.repeat(np.arange(len(rows)), size)
+    @staticmethod
+    def from_arrow(features, values) -> Sparse:
+        """From two list columns of an Arrow table."""
+        features, values = features.combine_chunks(), values.combine_chunks()
+        return Sparse(np.asarray(features.offsets) - features.offsets[0].as_py() if len(features) else np.zeros(1),
+                      np.asarray(features.flatten()), np.asarray(values.flatten()))
 
     def __len__(self):
         return len(self.at) - 1
 
+    def common(self, least: int, dims: int) -> tuple[Sparse, np.ndarray]:
+        """(rows, names): only features that `least` rows or more hold, as others can't carry over to other rows,
+        numbered anew; names gives the old numbers."""
+        names = np.flatnonzero(np.bincount(self.feature, minlength=dims) >= least)
+        number = np.full(dims, -1, np.int32)
+        number[names] = np.arange(len(names))
+        new = number[self.feature]
+        keep = new >= 0
+        return Sparse(np.r_[0, np.cumsum(keep)][self.at], new[keep], self.value[keep]), names
+
+    def _blocks(self):
+        """(rows from, to) that hold about BLOCK features together, so that products need little room."""
+        i = 0
+        while i < len(self):
+            j = max(i + 1, int(np.searchsorted(self.at, self.at[i] + BLOCK, side="right")) - 1)
+            yield i, min(j, len(self))
+            i = j
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.feature] * self.value, minlength=len(self))
+        out = np.zeros(len(self))
+        for i, j in self._blocks():
+            a, b = self.at[i], self.at[j]
+            total = np.cumsum(w[self.feature[a:b]] * self.value[a:b], dtype=np.float64)
+            ends = self.at[i + 1 : j + 1] - a
+            upto = np.where(ends > 0, total[ends - 1] if b > a else 0.0, 0.0)
+            out[i:j] = np.diff(upto, prepend=0.0)
+        return out
 
     def back(self, g: np.ndarray, dims: int) -> np.ndarray:
-        return np.bincount(self.feature, g[self.row] * self.value, minlength=dims)
+        out = np.zeros(dims)
+        for i, j in self._blocks():
+            a, b = self.at[i], self.at[j]
+            each = np.repeat(g[i:j].astype(np.float32), np.diff(self.at[i : j + 1])) * self.value[a:b]
+            out += np.bincount(self.feature[a:b], each, minlength=dims)
+        return out
+
+
+def spread(w: np.ndarray, names: np.ndarray, dims: int) -> np.ndarray:
+    """Weights under the features' old numbers."""
+    out = np.zeros(dims, np.float32)
+    out[names] = w
+    return out
+
 
+def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, l2: float = 1e-5, rounds: int = 80,
+                 rate: float = 0.5, start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
+    """(weights, intercept) by full-batch Adam: no order of rows, no random numbers. Rows of weight 0 don't count.
 
-def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, l2: float = 1e-5, rounds: int = 120,
-                 rate: float = 0.5) -> tuple[np.ndarray, float]:
-    """(weights, intercept) by full-batch Adam: no order of rows, no random numbers."""
-    w, b = np.zeros(dims), 0.0
+    start: a fit of similar rows to go on from.
+    """
+    w, b = (start[0].copy(), start[1]) if start else (np.zeros(dims, np.float32), 0.0)
     m, v, mb, vb = np.zeros(dims), np.zeros(dims), 0.0, 0.0
     weight = weight / max(weight.sum(), 1e-12)
+    y = np.where(weight > 0, y, 0)
     for i in range(1, rounds + 1):
         g = weight * (sigmoid(x.dot(w) + b) - y)
         gw, gb = x.back(g, dims) + l2 * w, g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = rate / (1 + i / 40)
-        w -= step * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)
+        w -= (step * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
         b -= step * (mb / (1 - 0.9**i)) / (np.sqrt(vb / (1 - 0.99**i)) + 1e-8)
     return w, float(b)

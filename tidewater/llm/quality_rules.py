@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.features import DIMS, char_grams, joined, sample_ids, share, word_grams
-from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
+from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid, spread
 from tidewater.llm.words import Chunk, chunks, grams
 
 CHARS, WORDS = (2, 3, 4), (1, 2)
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 THRESHOLD = 0.5
+LEAST_ROWS = 3  # sampled rows that hold a feature of the model
 SCALE = 30.0  # of shares, so that weights of ordinary size matter
 
 _SYMBOL = np.zeros(256, bool)
@@ -55,11 +56,12 @@ def _sampled_features(batches):
             rows = _features(chunk)
             yield pa.record_batch([
                 batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)),
-                pa.array([f for f, _ in rows], pa.list_(pa.int64())), pa.array([v for _, v in rows], pa.list_(pa.float64()))],
+                pa.array([f.astype(np.int32) for f, _ in rows], pa.list_(pa.int32())),
+                pa.array([v.astype(np.float32) for _, v in rows], pa.list_(pa.float32()))],
                 names=["doc_id", "label", "features", "values"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 6000, id_col: str = "doc_id",
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 4000, id_col: str = "doc_id",
         text_col: str = "text") -> NgramModel:
     """Model of labels (doc_id, label 0/1; null is none) over at most max_examples documents.
 
@@ -69,25 +71,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 6000, id_col: st
         F.min("label").cast("int").alias("label")), max_examples)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # at most max_examples rows
-    got = rows.mapInArrow(_sampled_features, "doc_id bigint, label int, features array<bigint>, values array<double>")
+    got = rows.mapInArrow(_sampled_features, "doc_id bigint, label int, features array<int>, values array<float>")
     got = got.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")  # at most max_examples rows
-    return fit_rows([(np.asarray(f.values), np.asarray(v.values)) for f, v in zip(got["features"], got["values"])],
-                    got["label"].to_numpy().astype(float))
+    x, names = Sparse.from_arrow(got["features"], got["values"]).common(LEAST_ROWS, DIMS)
+    y = got["label"].to_numpy().astype(float)
+    del got  # the fit needs the room
+    pa.default_memory_pool().release_unused()
+    return fit_rows(x, names, y)
 
 
-def fit_rows(rows, y: np.ndarray) -> NgramModel:
+def fit_rows(x: Sparse, names: np.ndarray, y: np.ndarray) -> NgramModel:
     pos = float(y.sum())
     if not 0 < pos < len(y):
         return NgramModel(np.zeros(DIMS, np.float32), 0.0, (0.0, float(np.log((pos + 1) / (len(y) - pos + 1)))))
     late = np.arange(len(y)) % 5 == 4  # rows are in doc_id order
-    if len(set(y[~late])) < 2 or len(set(y[late])) < 2:
-        late[:] = True
-    use = ~late if not late.all() else late
-    each = np.where(y == 1, 0.5 / max(1, y[use].sum()), 0.5 / max(1, (1 - y[use]).sum()))
-    x = Sparse([r for r, k in zip(rows, use) if k])
-    w, b = fit_logistic(x, y[use], each[use], DIMS)
-    held = Sparse([r for r, k in zip(rows, late) if k])
-    return NgramModel(w.astype(np.float32), b, platt(held.dot(w) + b, y[late]))
+    use = ~late
+    if len(set(y[use])) < 2 or len(set(y[late])) < 2:
+        use = late = np.ones(len(y), bool)
+    each = use * np.where(y == 1, 0.5 / max(1, y[use].sum()), 0.5 / max(1, (1 - y[use]).sum()))
+    w, b = fit_logistic(x, y, each, len(names))
+    return NgramModel(spread(w, names, DIMS), b, platt((x.dot(w) + b)[late], y[late]))
 
 
 def _score_chunk(chunk: Chunk, model: NgramModel) -> np.ndarray:
@@ -163,14 +166,14 @@ def _judge(batches, model, threshold):
             starts, bounds = chunk.text_starts, chunk.bounds
             words = np.diff(bounds)
             # a byte that doesn't continue a character begins one
-            chars = np.r_[0, np.cumsum((chunk.data & 0xC0) != 0x80)]
-            in_word = np.r_[0, np.cumsum(chars[chunk.ends] - chars[chunk.starts])]
-            symbols = np.r_[0, np.cumsum(_SYMBOL[chunk.data])]
+            chars = np.r_[0, np.cumsum((chunk.data & 0xC0) != 0x80, dtype=np.int32)]
+            in_word = np.r_[0, np.cumsum(chars[chunk.ends] - chars[chunk.starts], dtype=np.int64)]
+            symbols = np.r_[0, np.cumsum(_SYMBOL[chunk.data], dtype=np.int32)]
             repeat = np.array([_repeat_words(chunk.words(i)) for i in range(n)], np.int64)
             failed = (words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * words)
             score = _score_chunk(chunk, model)
             cols = [batch.column(0).slice(chunk.first, n).cast(pa.int64()), words, in_word[bounds[1:]] - in_word[bounds[:-1]],
-                    symbols[starts[1:]] - symbols[starts[:-1]], _line_repeats(chunk), repeat, failed, score,
+                    (symbols[starts[1:]] - symbols[starts[:-1]]).astype(np.int64), _line_repeats(chunk), repeat, failed, score,
                     ~failed & (score >= threshold)]
             yield pa.record_batch([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], names=names)
 
