@@ -119,13 +119,3 @@ def test_fixed_bytes_use_the_whole_alphabet(spark):
     rows = [bytes(r["f"]).decode() for r in synthesize(spark, schema, n=400, seed=1).collect()]
     assert all(len(x) == 16 for x in rows) and set("".join(rows)) == set(string.ascii_letters + string.digits)
     assert len(set(rows)) == 400
-
-
-def test_records_of_many_schemas_are_those_of_each(spark):
-    from tidewater.operators.synth import synthesize_many
-    ids = spark.range(20)
-    some = {k: AVRO_SCHEMAS[k] for k in ("user_specific", "fake-heavily-nested")}
-    many = synthesize_many(ids, some, seed=4)
-    for name, schema in some.items():
-        one = synthesize(spark, schema, ids=ids, seed=4)
-        assert sorted(map(str, many.select(f"`{name}`.*").collect())) == sorted(map(str, one.collect()))

@@ -251,18 +251,6 @@ def synthesize(spark: SparkSession, schema, n: int | None = None, seed: int = 0,
     return out
 
 
-def synthesize_many(ids: DataFrame, schemas: dict[str, Any], seed: int = 0, id_col: str = "id",
-                    base_ts: dt.datetime | None = None) -> DataFrame:
-    """The ids and, per schema, its record as a struct column: the records of ``synthesize`` from one pass over the ids."""
-    base = ids.select(F.col(id_col).cast("bigint").alias("_id"))
-    cols = []
-    for name, schema in schemas.items():
-        s = parse_avro(schema)
-        g = _Gen(seed, F.col("_id"), _base_ms(base_ts), 0.0, False, named_types(s))
-        cols.append(g.gen(s, s.get("name", "root"), [], s.get("namespace")).alias(name))
-    return base.select(F.col("_id").alias(id_col), *cols)
-
-
 # ---------------------------------------------------------------- from a contract
 
 def _bounds(checks) -> tuple[Any, Any, bool, bool]:

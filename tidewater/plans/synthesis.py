@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import ContractModel, Field, typed
 from tidewater.operators.decode import conform_json
-from tidewater.operators.synth import (PEOPLE_SCHEMA, conforms, fake_people, pageviews, synthesize, synthesize_contract,
-                                       synthesize_many)
+from tidewater.operators.synth import PEOPLE_SCHEMA, conforms, fake_people, pageviews, synthesize, synthesize_contract
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
@@ -26,24 +25,27 @@ _SYNTH_SQL = "\nUNION ALL ".join(
 @plan("synth_rows", "G1 G2 G3 G5 K13 F14", _SYNTH_SQL)
 def synth_rows(spark, sf):
     """One generated record per order id for each of the eight schemas, rendered as JSON (bytes as base64), read
-    again and held against its schema field by field. The ids are read once; all counts are one aggregate."""
-    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    # CPU per row is far above the input's size, so rows go round all cores
-    ids = ids.repartition(2 * spark.sparkContext.defaultParallelism)
-    counts, labels = [], []
-    records = synthesize_many(ids, AVRO_SCHEMAS, seed=42)
+    again and held against its schema field by field: one aggregate per schema over ids that are spread once."""
+    # CPU per row is far above the input's size, so ids go round all cores; the eight branches share the exchange
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")).repartition(2 * spark.sparkContext.defaultParallelism)
+    parts = []
     for name, schema in AVRO_SCHEMAS.items():
         named = named_types(schema)
-        records = records.withColumn(name, F.from_json(F.to_json(F.col(f"`{name}`")), records.schema[name].dataType))
+        rows = synthesize(spark, schema, ids=ids, seed=42)
+        back = F.from_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])), rows.schema)
+        cells = []
         for f in schema["fields"]:
-            value = F.col(f"`{name}`").getField(f["name"])
+            value = F.col("r").getField(f["name"])
             bounds = {k: f[k] for k in ("min_value", "max_value") if k in f}
             kind = {"type": f["type"], **bounds} if bounds and isinstance(f["type"], str) else f["type"]
-            counts.append(F.struct(F.count(F.lit(1)).alias("rows"), F.count_if(value.isNull()).alias("nulls"),
-                                   F.count_if(conforms(value, kind, named)).alias("conforming")))
-            labels.append((name, f["name"]))
-    rows = F.array(*[F.struct(F.lit(n).alias("schema"), F.lit(f).alias("field"), c.alias("c")) for (n, f), c in zip(labels, counts)])
-    return records.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.schema", "r.field", "r.c.*")
+            cells.append(F.struct(F.lit(name).alias("schema"), F.lit(f["name"]).alias("field"), F.count(F.lit(1)).alias("rows"),
+                                  F.count_if(value.isNull()).alias("nulls"),
+                                  F.count_if(conforms(value, kind, named)).alias("conforming")))
+        parts.append(rows.select(back.alias("r")).agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @plan("synth_qualified", "G4 G1", """
