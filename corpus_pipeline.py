@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from tidewater.llm import co_training, toxicity
 from tidewater.llm.best_fit import best_fit_packing
 from tidewater.llm.exchange import materialized
+from tidewater.llm.features import fresh
 from tidewater.llm.jaccard_join import jaccard_components
 from tidewater.llm.queries import LEARN, tokenizer_path
-from tidewater.llm.substring_dedup import substring_dedup
+from tidewater.llm.substring_dedup import substring_dedup, text_hash
 
 
 def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
@@ -35,10 +36,17 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one of least doc_id; repeated rows of one doc_id become one."""
-    stay = jaccard_components(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """Of each group of linked documents the one of least doc_id, null being last; rows of equal doc_id and text become one.
+
+    A row's identity is the hash of doc_id and text, so rows of one doc_id, or of none, whose texts don't link all stay.
+    """
+    (name,) = fresh(docs.columns, 1)
+    docs_ = docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.col("text")))
+    groups = jaccard_components(docs_, id_col=name).select(F.col("doc_id").alias("row"), "component_id").distinct()
+    ids = docs_.select(F.col(name).alias("row"), "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    stay = groups.join(ids, "row").groupBy("component_id").agg(first).select(F.col("first.row").alias(name))
+    return docs_.join(stay, name, "left_semi").dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +54,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A text that loses words becomes those left, joined by one space; n_chars follows.
     """
-    parsed = substring_dedup(docs).where("n_removed > 0").select("doc_id", "kept")
-    both = docs.alias("d").join(parsed.alias("p"), F.col("d.doc_id") == F.col("p.doc_id"), "left")
+    parsed = substring_dedup(docs).where("n_removed > 0").select("doc_id", "text_hash", "kept")
+    parsed = parsed.dropDuplicates(["doc_id", "text_hash"])  # repeated rows have equal results
+    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (text_hash(F.col("d.text")) == F.col("p.text_hash"))
+    both = docs.alias("d").join(parsed.alias("p"), same, "left")
     lost = F.col("p.kept").isNotNull()
     new = {"text": F.coalesce("p.kept", "d.text"), "n_chars": F.when(lost, F.length("p.kept")).otherwise(F.col("d.n_chars"))}
     return both.select(*[new.get(c, F.col(f"d.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])

@@ -1,9 +1,11 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tests.llm import brute
 from tests.llm.test_tokens import sequences
+from tidewater.llm import substring_dedup as sd
 from tidewater.llm.exchange import materialized
 
 SMALL = "/root/testdata/sf0.01"
@@ -81,3 +83,26 @@ def test_odd_documents(spark, tmp_path):
         assert docs.columns == frame.columns
     assert ids(docs) == {0, 1, 2, 4}
     assert cp.pack(spark, docs, str(tmp_path)).agg(F.countDistinct("doc_id")).first()[0] == 4
+
+
+def test_texts_of_null_and_repeated_ids(spark, frame):
+    """Texts that don't link all stay, whatever their doc_id; passages repeated between them go; rows don't multiply."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    own = {i: " ".join(f"w{i}_{j}" for j in range(60)) for i in range(6)}
+    rows = [(None, f"{own[0]} {passage}"), (None, f"{own[1]} {passage}"), (None, f"{own[1]} {passage}"), (None, None),
+            (7, own[2]), (7, f"{own[3]} {passage}"), (7, f"{own[3]} {passage}"), (8, own[2]), (None, own[2]), (9, own[4])]
+    kept = cp.near_duplicates(spark, frame(rows), "")
+    assert kept.columns == frame([]).columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    want = [(None, rows[0][1]), (None, rows[1][1]), (None, None), (7, own[2]), (7, rows[5][1]), (9, own[4])]
+    assert got == sorted(want, key=str)
+    cut = [(r.doc_id, r.text) for r in cp.substring_dedup_stage(spark, frame(want), "").collect()]
+    want = [(None, own[0]), (None, own[1]), (None, None), (7, own[2]), (7, rows[5][1]), (9, own[4])]
+    assert sorted(cut, key=str) == sorted(want, key=str)
+    twice = cp.substring_dedup_stage(spark, frame([(7, rows[5][1]), (9, rows[0][1]), (9, rows[0][1])]), "")
+    assert sorted((r.doc_id, r.text) for r in twice.collect()) == [(7, rows[5][1]), (9, own[0]), (9, own[0])]
+
+
+def test_texts_of_one_id_have_several_homes():
+    tags = np.arange(100, dtype=np.uint64) * np.uint64(12345678901)
+    assert len(set(sd._homes_of(np.full(100, sd.LAST), tags, 8).tolist())) == 8
