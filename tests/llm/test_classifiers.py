@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,21 @@ def test_toxicity_scores_evidence_and_odd_texts(spark, frame):
     assert tx.toxicity(frame([]), index).collect() == []
 
 
+def test_every_word_of_the_examples_counts(spark, frame):
+    """A text equal to a toxic example finds it, however few labels there are and however rare its words; idf is all documents'."""
+    toxic = [f"bane{i} scorn{i} venom{i}" for i in range(3)]
+    rows = [*enumerate(toxic), *((10 + i, f"calm{i} plain{i} mild{i} venom2") for i in range(9)), (90, toxic[0]), (91, "venom0 venom0"), (92, "calm5")]
+    index = tx.fit(frame(rows), spark.createDataFrame([(i, int(i < 10)) for i, _ in rows if i < 90], "d bigint, y int"))
+    held = [f"{a}{i}" for i in range(3) for a in ("bane", "scorn", "venom")] + [f"{a}{i}" for i in range(9) for a in ("calm", "plain", "mild")]
+    assert len(index.terms) == len(set(held))
+    got = {r.doc_id: r for r in tx.toxicity(frame(rows), index).collect()}
+    assert got[90].evidence[0].doc_id == 0 and got[90].evidence[0].cosine == pytest.approx(1, abs=1e-5)
+    assert got[91].evidence[0].doc_id == 0 and got[92].evidence[0].doc_id == 15
+    word = [int(np.flatnonzero(index.terms == h)[0]) for h in next(tx.chunks(pa.array(["venom0 bane1 calm1"]))).hashes]
+    df = [sum(w in brute.words(t) for _, t in rows) for w in ("venom0", "bane1", "calm1")]
+    assert df == [3, 1, 1] and index.idf[word[0]] / index.idf[word[1]] == pytest.approx((np.log(16 / 4) + 1) / (np.log(16 / 2) + 1))
+
+
 def test_clean_documents_keep_every_column(spark, frame):
     docs, labels = toy(frame)
     index = tx.fit(docs, spark.createDataFrame(labels, "d bigint, y int"))

@@ -1,11 +1,14 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The examples are a sample of labelled rows of bounded size (``max_examples``, by hash of doc_id).  The terms are
-those words that differ most between the labels (chi-squared, ``max_terms`` at most), where examples with the same
-least shingle count once, so that the words of one much copied text don't pass for a pattern; example and query vectors are (1 + ln tf) * idf of these terms, at length one.  The index
-keeps each term's postings by example and, for each block of examples, the largest weight of the
-term there.  A query adds up these block maxima into a bound for every block and opens blocks from the
-highest bound down until no unopened block can reach the k-th best cosine: the k nearest are exact, with all
+The examples are a sample of labelled rows of bounded size (``max_examples``, by hash of doc_id); every word
+of theirs is a term.  Example and query vectors are (1 + ln tf) * idf * (1 + excess), at length one.  idf is taken from
+all documents; excess is the chi-squared, with Yates' correction, by which a word differs between the labels, above 2 ln(terms),
+which is about the most that chance brings about among so many words; where examples with the
+same least shingle count once, so that the words of one much copied text don't pass for a pattern.  A query's
+other words lengthen its vector as words that no other document has.  The index keeps each term's postings by example;
+terms that many examples hold (HEAVY) are dense rows, with the largest weight of each block of examples.  A query adds up
+its light terms in full; with the block maxima of the heavy ones they bound each example's cosine, and only
+examples that can reach the k-th best are completed: the k nearest are exact, with all
 ties of the k-th.  Their votes weigh by closeness; the vote share becomes a probability by a
 logistic curve fitted on the examples' own votes, each without itself.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import partial
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,7 @@ from tidewater.llm.words import chunks, grams
 
 BLOCK = 64
 NEIGHBOURS = 15
-LEAST_HELD = 5  # different texts that hold a term
+HEAVY = 8  # a term is heavy when one example in so many holds it
 EVIDENCE = 3  # nearest examples reported; votes use all
 
 
@@ -43,14 +47,20 @@ class BlockMaxIndex:
     weight: np.ndarray
     doc: np.ndarray
     label: np.ndarray
+    rare: float = 0.0  # idf of a word that no example has
     curve: tuple[float, float] = (1.0, 0.0)
     unknown: float = 0.0  # share of label 1 among examples without a term
 
     def __post_init__(self):
-        n_blocks = -(-max(1, len(self.doc)) // BLOCK)
-        self.block_max = np.zeros((len(self.terms), n_blocks), np.float32)
-        term = np.repeat(np.arange(len(self.terms)), np.diff(self.at))
-        np.maximum.at(self.block_max, (term, self.example // BLOCK), self.weight)
+        n = len(self.doc)
+        held = np.diff(self.at)
+        heavy = np.flatnonzero(held * HEAVY > n)
+        self.heavy_row = np.full(len(self.terms), -1, np.int32)
+        self.heavy_row[heavy] = np.arange(len(heavy))
+        self.dense = np.zeros((len(heavy), -(-max(1, n) // BLOCK) * BLOCK))
+        for row, t in enumerate(heavy):
+            self.dense[row, self.example[self.at[t] : self.at[t + 1]]] = self.weight[self.at[t] : self.at[t + 1]]
+        self.block_max = self.dense.reshape(len(heavy), self.dense.shape[1] // BLOCK, BLOCK).max(axis=2)
         self.base = float(self.label.mean()) if len(self.label) else 0.0
         self.known = {}
 
@@ -58,36 +68,33 @@ class BlockMaxIndex:
         """(term numbers, weights) of a text's words."""
         if not len(self.terms) or not len(hashes):
             return np.zeros(0, np.int64), np.zeros(0)
-        t = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        t, tf = np.unique(t[self.terms[t] == hashes], return_counts=True)
-        w = (1 + np.log(tf)) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum()) if len(w) else w
+        words, tf = np.unique(hashes, return_counts=True)
+        t = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
+        has = self.terms[t] == words
+        w = (1 + np.log(tf)) * np.where(has, self.idf[t], self.rare)
+        return t[has], w[has] / np.sqrt((w * w).sum()) if has.any() else w[has]
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest and all that tie with the k-th, best first; skip is left out."""
-        bound = w @ self.block_max[t]
-        got_e, got_s, kth = [], [], 0.0
-        lists = [(self.example[self.at[i] : self.at[i + 1]], self.weight[self.at[i] : self.at[i + 1]]) for i in t]
-        best = np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-5:
-                break
-            score = np.zeros(BLOCK)
-            for (e, x), q in zip(lists, w):
-                i, j = np.searchsorted(e, (b * BLOCK, (b + 1) * BLOCK))
-                score[e[i:j] - b * BLOCK] += q * x[i:j]
-            if skip // BLOCK == b:
-                score[skip % BLOCK] = 0
-            score = np.round(score, 6)
-            hit = np.flatnonzero(score > 0)
-            got_e.append(hit + b * BLOCK)
-            got_s.append(score[hit])
-            best = np.sort(np.r_[best, score[hit]])[-k:]
-            kth = best[0] if len(best) == k else 0.0
-        if not got_e:
-            return np.zeros(0, np.int64), np.zeros(0)
-        e, s = np.concatenate(got_e), np.concatenate(got_s)
-        keep = s >= kth
+        n, row = len(self.doc), self.heavy_row[t]
+        light = row < 0
+        size = self.at[t[light] + 1] - self.at[t[light]]
+        at = np.repeat(self.at[t[light]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        score = np.bincount(self.example[at], np.repeat(w[light], size) * self.weight[at], minlength=n).astype(float)
+        if skip >= 0:
+            score[skip] = -np.inf
+        row, w = row[~light], w[~light]
+        if len(row):
+            kth = np.partition(score, n - k)[n - k] if n > k else 0.0
+            bound = score + np.repeat(w @ self.block_max[row], BLOCK)[:n]
+            e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
+            rest = w @ self.dense[np.ix_(row, e)] if len(e) * 4 < n else (w @ self.dense[row])[e]
+            s = np.round(score[e] + rest, 6)
+        else:
+            e = np.flatnonzero(score > 0)
+            s = np.round(score[e], 6)
+        kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0.0
+        keep = (s > 0) & (s >= kth)
         e, s = e[keep], s[keep]
         order = np.lexsort((e, -s))
         return e[order], s[order]
@@ -98,11 +105,11 @@ class BlockMaxIndex:
         return float(((near * self.label[e]).sum() + self.base) / (near.sum() + 1))
 
     def score(self, hashes: np.ndarray, k: int) -> tuple[float, list]:
-        t, w = self.vector(hashes)
-        if not len(t):
-            return self.unknown, []
-        key = (t.tobytes(), w.tobytes())
+        key = blake2b(hashes, digest_size=16).digest()
         if key not in self.known:
+            t, w = self.vector(hashes)
+            if not len(t):
+                return self.unknown, []
             if len(self.known) > 20000:
                 self.known.clear()
             e, s = self.nearest(t, w, k)
@@ -135,17 +142,41 @@ def _terms_of(batches):
                                   names=["doc_id", "label", "origin", "term", "tf"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_terms: int = 2048, k: int = NEIGHBOURS,
-        least: float = 30.0, id_col: str = "doc_id", text_col: str = "text") -> BlockMaxIndex:
+def _documents_with(batches, terms):
+    """(number of the term, texts of the task that hold it); number -1: all texts."""
+    count, texts = np.zeros(len(terms), np.int64), 0
+    for batch in batches:
+        texts += batch.num_rows
+        for chunk in chunks(batch.column(0), lower=True, alnum=True):
+            t = np.minimum(np.searchsorted(terms, chunk.hashes), len(terms) - 1)
+            has = terms[t] == chunk.hashes
+            text = np.repeat(np.arange(chunk.last - chunk.first), np.diff(chunk.bounds))
+            held = np.unique(text[has] * len(terms) + t[has]) % len(terms)
+            count += np.bincount(held, minlength=len(terms))
+    at = np.flatnonzero(count)
+    yield pa.record_batch([pa.array(np.r_[-1, at], pa.int64()), pa.array(np.r_[texts, count[at]], pa.int64())], names=["t", "n"])
+
+
+def _differs(a: np.ndarray, held: np.ndarray, pos: float, m: float) -> np.ndarray:
+    """Chi-squared, with Yates' correction, of terms that `held` of m texts hold, a of the pos texts of label 1 among them."""
+    if not 0 < pos < m:
+        return np.zeros(len(held))
+    off = np.maximum(np.abs(a - held * pos / m) - 0.5, 0)
+    return off**2 * m**3 / (held * np.maximum(m - held, 1) * pos * (m - pos))
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, k: int = NEIGHBOURS, id_col: str = "doc_id",
+        text_col: str = "text") -> BlockMaxIndex:
     """Index over at most max_examples labelled documents; labels: (doc_id, label), null labels count as none.
 
-    A doc_id labelled more than once counts once, with its largest label.  Terms: chi-squared of at least `least`.
+    A doc_id labelled more than once counts once, with its largest label.  Every word of the examples is a term, so the
+    index is as large as their texts.
     """
     spark = docs.sparkSession
     sample = labels.toDF("doc_id", "label").dropna().groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # at most max_examples rows
+    every = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = every.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # at most max_examples rows
     terms = materialized(spark, rows.mapInArrow(_terms_of, "doc_id bigint, label int, origin bigint, term bigint, tf bigint"), "terms")
     examples = rows.select("doc_id", "label").distinct().toArrow()  # at most max_examples rows
     doc, label = examples.column("doc_id").to_numpy(), examples.column("label").to_numpy()
@@ -155,24 +186,27 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     each = terms.groupBy("origin", "term").agg(F.max("label").alias("label"))
     total = each.groupBy("origin").agg(F.max("label").alias("label")).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).first()
-    m, pos = float(total["n"]), float(total["pos"])
-    a, b = F.col("a").cast("double"), F.col("held").cast("double") - F.col("a")
-    chi = m * F.pow(a * (m - pos - b) - b * (pos - a), 2) / (F.col("held").cast("double") * (m - F.col("held")) * pos * (m - pos))
-    held = each.groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("held")).where(
-        (F.col("held") >= LEAST_HELD) & (F.col("held") < m) & F.lit(0 < pos < m)).withColumn("chi", chi)
-    chosen = held.where(F.col("chi") >= least).orderBy(F.desc("chi"), "term").limit(max_terms).select("term")
-    chosen = terms.join(F.broadcast(chosen), "term").select("doc_id", "term").distinct().groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"))
-    vocabulary = chosen.toArrow()  # at most max_terms rows
+    vocabulary = each.groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("held")).toArrow()  # words of the examples
     term = vocabulary.column("term").to_numpy().view(np.uint64)
     order = np.argsort(term)
-    term, df = term[order], vocabulary.column("df").to_numpy()[order]
-    idf = np.log((1 + n) / (1 + df)) + 1
-    small = spark.createDataFrame(vocabulary.select(["term"])) if len(term) else terms.select("term").limit(0)
-    found = terms.join(F.broadcast(small), "term").groupBy("doc_id", "term").agg(F.max("tf").alias("tf")).toArrow()
-    t = np.searchsorted(term, found.column("term").to_numpy().view(np.uint64))
-    e = np.searchsorted(doc, found.column("doc_id").to_numpy())
+    term = term[order]
+    a, held = (vocabulary.column(c).to_numpy()[order].astype(float) for c in ("a", "held"))
+    rare, idf = 0.0, np.zeros(0)
+    if len(term):
+        counts = every.select("text").mapInArrow(partial(_documents_with, terms=term), "t bigint, n bigint")
+        counts = counts.groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # one row per word of the examples
+        t, df = counts.column("t").to_numpy(), counts.column("n").to_numpy()
+        every_n, number = int(df[t < 0].sum()), np.zeros(len(term))
+        number[t[t >= 0]] = df[t >= 0]
+        differs = _differs(a, held, float(total["pos"]), float(total["n"]))
+        idf = (np.log((1 + every_n) / (1 + number)) + 1) * (1 + np.maximum(differs - 2 * np.log(len(term)), 0))
+        rare = float(np.log((1 + every_n) / 2) + 1)
+        del counts, t, df
+    found = terms.groupBy("doc_id", "term").agg(F.max("tf").cast("int").alias("tf")).toArrow()  # words of the examples
+    t = np.searchsorted(term, found.column("term").to_numpy().view(np.uint64)).astype(np.int32)
+    e = np.searchsorted(doc, found.column("doc_id").to_numpy()).astype(np.int32)
     w = (1 + np.log(found.column("tf").to_numpy())) * idf[t]
+    del found
     w = w / np.sqrt(np.bincount(e, w * w, minlength=n))[e]
     # examples that share their strongest term stand together, so that block maxima are tight
     strongest = np.full(n, -1)
@@ -184,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     doc, label, e = doc[order], label[order], place[e]
     o = np.lexsort((e, t))
     t, e, w = t[o], e[o], w[o]
-    index = BlockMaxIndex(term, idf, np.searchsorted(t, np.arange(len(term) + 1)), e, w, doc, label)
+    index = BlockMaxIndex(term, idf, np.searchsorted(t, np.arange(len(term) + 1)), e, w, doc, label, rare)
     has = np.zeros(n, bool)
     has[e] = True
     index.unknown = float((label[~has].sum() + index.base) / ((~has).sum() + 1))
@@ -227,7 +261,7 @@ def toxicity(docs: DataFrame, index: BlockMaxIndex, k: int = NEIGHBOURS, id_col:
     """One row per document: doc_id, score (probability of label 1), evidence (nearest examples).
 
     Null, empty and other texts without an indexed term score the share of label 1 among such examples (0 with
-    no examples at all).  The index has at most max_examples * max_terms postings, whatever the input's size.
+    no examples at all).
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(partial(_score, index=index, k=k), SCORED)
