@@ -131,6 +131,35 @@ def test_views_exchange_pseudo_labels(monkeypatch):
     assert apart[0] == 0 and apart[1] == len(unseen)
 
 
+def test_pool_is_every_unlabelled_document(spark, frame, monkeypatch):
+    """Passes over the table count and add up what a plain version does, for all documents outside of the labelled sample."""
+    rows = [(i, f"good{i % 5} fine words here {i}" if i % 2 else f"BAD{i % 5} $$$ 12{i} stuff") for i in range(3000)] + [(None, "good1"), (None, "")]
+    docs, seen = frame(rows).repartition(5), []
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 200)], "d bigint, y int")
+    plain = ct._Documents.__init__
+    monkeypatch.setattr(ct._Documents, "__init__", lambda self, rows: (plain(self, rows), seen.append(self))[0])
+    monkeypatch.setattr(ct._Documents, "discard", lambda self: None)
+    model = ct.fit(docs, labels)
+    assert seen[0].size == 2802
+    text, meta, u = [], [], []
+    for r in seen[0].table.collect():
+        chunk = next(ct.chunks(pa.array([r.text])))
+        tf, tv, _, _ = ct._views(chunk, [[None], ["s"]])[0]
+        text.append((tf, tv))
+        meta.append((np.array(r.mf), np.ones(len(r.mf))))
+        u.append(r.u)
+    same = ct._Rows([linear.Sparse.from_rows(text), linear.Sparse.from_rows(meta)], (ct.DIMS, ct.META_DIMS))
+    same.u = np.array(u)
+    turns = [ct._Turn([model.text, model.meta])]
+    counts = seen[0].counted(turns)
+    assert abs(counts - same.counted(turns)).sum() <= 4 and counts.sum() > 2802
+    turns[0].picks = [[(-1, 0.0)] * 2] * 2
+    got, want = seen[0].sums(turns), same.sums(turns)
+    assert np.allclose(got.ends, want.ends, rtol=1e-3, atol=1e-2) and got.ends[..., 2].sum() > 2802
+    for v in (0, 1):
+        assert np.allclose(got.grad[v], want.grad[v], rtol=1e-3, atol=1e-2) and np.allclose(got.curve[v], want.curve[v], rtol=1e-3, atol=0.1)
+
+
 def test_quality_models_without_labels_or_with_one_class(spark, frame):
     odd = frame([(i, t) for i, t in enumerate(ODD_TEXTS)] + [(3, "x"), (None, "many words " * 30000)])
     for labels in ([], [(1, 1), (2, 1)], [(1, None)]):

@@ -4,11 +4,15 @@ The text view holds the words and byte trigrams of the content, hashed.  The met
 the page without reading its words: source, language, length, and the layout of its lines and words (line
 counts and lengths, shares of capitals, digits, separators and punctuation, variety of words), as one-hot steps.
 Each view has a logistic classifier.  Every round both are fitted on the labelled rows and the pseudo-labels they
-were given so far; then each labels the pool documents it is surest about, and these go to the other.  At the end each
+were given so far; then each labels the pool documents it is surest about, and these go to the other.  The pool is all
+documents outside of the labelled sample: each round a pass over it counts them by both views' logits, which
+gives the least logit of the surest share per view and label, and another adds up the gradients of those chosen so far
+(``_Sums``), per task and then up a tree.  The driver holds weights, sums and the labelled sample; with the sums goes a
+bound of the curvature of each weight, so that a fit may take many steps on them and still lower the loss over all rows.  At the end each
 view's scores are calibrated on labelled rows that none has learnt from, the calibrated logits of both
 are combined by a logistic model on the same rows, and all documents are scored in Arrow batches.
 
-Labelled rows and pool are samples of bounded size (``max_labelled``, ``max_pool``), chosen by hash of doc_id.
+Labelled rows are a sample of bounded size (``max_labelled``), chosen by hash of doc_id.
 """
 
 from __future__ import annotations
@@ -18,19 +22,22 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.exchange import discard, materialized
 from tidewater.llm.features import DIMS, char_grams, fresh, joined, kept_rows, sample_ids, share, word_grams
 from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid, spread
-from tidewater.llm.words import Chunk, chunks
+from tidewater.llm.words import U64, Chunk, chunks, grams, mix
 
 ROUNDS = 4
 SURE = 0.95  # probability from which a view hands a pseudo-label over
 SHARE_PER_ROUND = 0.1  # of the pool, at most, of each label and view
-LATER_STEPS = 30  # of a fit that goes on from the last round's
+STEPS = 120  # of each fit
 SCALE = 30.0
-LEAST_ROWS = 3  # sampled rows that hold a word or trigram of the model
+BINS, LEAST_LOGIT, MOST_LOGIT = 4096, float(np.log(SURE / (1 - SURE))), 35.0  # in which sure documents are counted
+FAN_IN = 16  # tasks whose sums meet in one of the next level
 META_DIMS = 1 << 12
 FIELDS = ("lang", "source")
 
@@ -115,67 +122,296 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*_inputs(docs, id_col, text_col))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_pool: int = 2000, rounds: int = ROUNDS,
-        id_col: str = "doc_id", text_col: str = "text") -> CoModel:
-    """Model of labels (doc_id, label 0/1; null is none); the pool are documents without a label.
+@dataclass
+class _Turn:
+    """Weights, intercept and calibration of both views at a round, and per view and label the least bin chosen with its share."""
+
+    models: list
+    picks: list = None
+
+
+def _bin(z: np.ndarray) -> np.ndarray:
+    """Bin of a logit; -1 for those that aren't sure."""
+    step = (np.minimum(z, MOST_LOGIT) - LEAST_LOGIT) * (BINS - 1) / (MOST_LOGIT - LEAST_LOGIT)
+    return np.where(z >= LEAST_LOGIT, step, -1).astype(np.int64)
+
+
+def _logits(turn: _Turn, raw: list) -> list:
+    return [curve[0] * r + curve[1] for (_, _, curve), r in zip(turn.models, raw)]
+
+
+def _given(turns: list, raws: list, u: np.ndarray) -> np.ndarray:
+    """Pseudo-labels that each view was given, nan for none; u: places in 0..1 that tell equal logits apart."""
+    target = np.full((2, len(u)), np.nan)
+    for number, (turn, raw) in enumerate(zip(turns, raws)):
+        if turn.picks is None:
+            break
+        place = (u + 0.618 * number) % 1
+        for v, z in enumerate(_logits(turn, raw)):
+            open_ = np.isnan(target[1 - v])
+            for value, (least, part) in zip((0.0, 1.0), turn.picks[v]):
+                b = _bin(z if value else -z)
+                target[1 - v][open_ & ((b > least) | ((b == least) & (place < part)))] = value
+    return target
+
+
+def _counted(turns: list, raws: list, u: np.ndarray) -> np.ndarray:
+    """(view, label, bin): sure documents by the last turn's logits, of those whose other view has no label yet."""
+    target, out = _given(turns, raws, u), np.zeros((2, 2, BINS), np.int64)
+    for v, z in enumerate(_logits(turns[-1], raws[-1])):
+        open_ = np.isnan(target[1 - v])
+        for value in (0, 1):
+            b = _bin(z if value else -z)[open_]
+            out[v, value] = np.bincount(b[b >= 0], minlength=BINS)
+    return out
+
+
+def _pick(count: np.ndarray, most: int) -> tuple[int, float]:
+    """(bin, share of it) from which on about `most` documents are; all higher bins are whole."""
+    above = np.cumsum(count[::-1])[::-1]
+    if above[0] <= most:
+        return -1, 0.0
+    least = int(np.flatnonzero(above > most)[-1])
+    return least, float((most - (above[least] - count[least])) / count[least])
+
+
+class _Sums:
+    """Of pseudo-labelled documents, per view and label: gradient and curvature bound of each weight, and their number.
+
+    As (sum of x_j d_j)**2 <= (sum of |x_j|) * (sum of |x_j| d_j**2), each weight's share of the curvature is |x_j| times the
+    length of x, over 4; the intercept is a feature of value 1.
+    """
+
+    def __init__(self, dims: tuple[int, int]):
+        self.grad, self.curve = ([np.zeros((2, d)) for d in dims] for _ in range(2))
+        self.ends = np.zeros((2, 2, 3))  # of the intercept: gradient, curvature; number of documents
+
+    def add(self, v: int, y: np.ndarray, r: np.ndarray, length: np.ndarray):
+        for value in (0, 1):
+            at = y == value
+            self.ends[v, value] += r[at].sum(), (length[at] + 1).sum() / 4, at.sum()
+
+    def spread(self, v: int, feature: np.ndarray, value: np.ndarray, y: np.ndarray, r: np.ndarray, length: np.ndarray):
+        """One entry per feature of a document: its value, and the document's label, residual and length."""
+        d = self.grad[v].shape[1]
+        at = feature + d * y.astype(np.int64)
+        self.grad[v] += np.bincount(at, value * r, minlength=2 * d).reshape(2, d)
+        self.curve[v] += np.bincount(at, value * (length + 1) / 4, minlength=2 * d).reshape(2, d)
+
+    def packed(self) -> tuple[bytes, bytes]:
+        flat = np.concatenate([x.ravel() for x in (*self.grad, *self.curve)]).astype(np.float32)
+        return flat.tobytes(), self.ends.tobytes()
+
+
+def _sums_of(packed, dims) -> _Sums:
+    """Of packed sums, added up."""
+    out = _Sums(dims)
+    for flat, ends in packed:
+        flat, at = np.frombuffer(flat, np.float32), 0
+        for x in (*out.grad, *out.curve):
+            x += flat[at : at + x.size].reshape(x.shape)
+            at += x.size
+        out.ends += np.frombuffer(ends, float).reshape(2, 2, 3)
+    return out
+
+
+class _Rows:
+    """A pool in memory: rows of the text view and of the metadata view."""
+
+    def __init__(self, x: list, dims: tuple[int, int]):
+        self.x, self.dims, self.size = x, dims, len(x[0])
+        self.u = np.arange(self.size) * 0.7548776662 % 1
+
+    def _raws(self, turns):
+        return [[x.dot(w) + b for x, (w, b, _) in zip(self.x, t.models)] for t in turns]
+
+    def counted(self, turns: list) -> np.ndarray:
+        return _counted(turns, self._raws(turns), self.u)
+
+    def sums(self, turns: list) -> _Sums:
+        raws, out = self._raws(turns), _Sums(self.dims)
+        for v, y in enumerate(_given(turns, raws, self.u)):
+            x, r = self.x[v], sigmoid(raws[-1][v]) - y
+            size = np.diff(x.at)
+            length = np.bincount(np.repeat(np.arange(len(x)), size), np.abs(x.value), minlength=len(x))
+            has = ~np.isnan(y)
+            out.add(v, y[has], r[has], length[has])
+            each = np.repeat(has, size)
+            out.spread(v, x.feature[each], x.value[each], *(np.repeat(c, size)[each] for c in (y, r, length)))
+        return out
+
+
+def _with_meta(batches):
+    """(text, place, metadata features) of pool documents."""
+    for batch in batches:
+        fields = [batch.column(2 + j).to_pylist() for j in range(len(FIELDS))]
+        for chunk in chunks(batch.column(0)):
+            n = chunk.last - chunk.first
+            mf = [_meta(chunk, i, [(k, c[chunk.first + i]) for k, c in zip(FIELDS, fields)])[0].astype(np.int32) for i in range(n)]
+            yield pa.record_batch([batch.column(0).slice(chunk.first, n), batch.column(1).slice(chunk.first, n),
+                                   pa.array(mf, pa.list_(pa.int32()))], names=["text", "u", "mf"])
+
+
+class _View:
+    """Features of a chunk of pool documents, each occurrence on its own."""
+
+    def __init__(self, chunk: Chunk, meta: pa.Array):
+        n, starts = chunk.last - chunk.first, chunk.text_starts
+        self.n, tri = n, char_grams(chunk, 3)
+        inside = np.ones(len(tri), bool)
+        for back in (1, 2):  # trigrams across the end of a text
+            ends = starts[1:] - back
+            inside[ends[(ends >= 0) & (ends < len(tri))]] = False
+        text = np.repeat(np.arange(n), np.diff(starts))[: len(tri)]
+        words = (mix(grams(chunk.hashes, 1) + U64(1)) & U64(DIMS - 1)).astype(np.int32)
+        self.parts = [(tri[inside], text[inside]), (words, np.repeat(np.arange(n), np.diff(chunk.bounds)))]
+        meta = meta.slice(chunk.first, n)
+        self.meta = np.asarray(meta.flatten()), np.repeat(np.arange(n), np.diff(np.asarray(meta.offsets)))
+
+    def share(self, own: np.ndarray) -> np.ndarray:
+        """Value of one occurrence, per document."""
+        return SCALE / np.maximum(np.bincount(own, minlength=self.n), 1)
+
+    def raws(self, turns: list) -> list:
+        out = []
+        for turn in turns:
+            (w, b, _), (wm, bm, _) = turn.models
+            text = b + sum(np.bincount(own, w[f], minlength=self.n) * self.share(own) for f, own in self.parts)
+            out.append([text, bm + np.bincount(self.meta[1], wm[self.meta[0]], minlength=self.n)])
+        return out
+
+    def add(self, sums: _Sums, turns: list, u: np.ndarray):
+        raws = self.raws(turns)
+        for v, y in enumerate(_given(turns, raws, u)):
+            has, r = ~np.isnan(y), sigmoid(raws[-1][v]) - y
+            parts = [self.meta] if v else self.parts
+            values = [np.ones(self.n) if v else self.share(own) for _, own in parts]
+            length = sum(x * np.bincount(own, minlength=self.n) for x, (_, own) in zip(values, parts))
+            sums.add(v, y[has], r[has], length[has])
+            for x, (f, own) in zip(values, parts):
+                at = has[own]
+                own = own[at]
+                sums.spread(v, f[at], x[own], y[own], r[own], length[own])
+
+
+def _pool_pass(batches, turns, summed):
+    """One row per task: counts of sure documents, or sums over those chosen."""
+    counts, sums = np.zeros((2, 2, BINS), np.int64), _Sums((DIMS, META_DIMS)) if summed else None
+    for batch in batches:
+        u, meta = batch.column(1).to_numpy(), batch.column(2)
+        for chunk in chunks(batch.column(0)):
+            view, places = _View(chunk, meta), u[chunk.first : chunk.last]
+            if summed:
+                view.add(sums, turns, places)
+            else:
+                counts += _counted(turns, view.raws(turns), places)
+    task = TaskContext.get().partitionId()
+    if summed:
+        flat, ends = sums.packed()
+        yield pa.record_batch([pa.array([task], pa.int64()), pa.array([flat], pa.binary()), pa.array([ends], pa.binary())],
+                              names=["task", "flat", "ends"])
+    else:
+        at = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(counts.ravel()[at], pa.int64())], names=["bin", "n"])
+
+
+_SUMS = "task bigint, flat binary, ends binary"
+
+
+def _meet(key, table):
+    rows = zip(table.column("flat").to_pylist(), table.column("ends").to_pylist())
+    flat, ends = _sums_of(rows, (DIMS, META_DIMS)).packed()
+    return pa.table({"task": pa.array([key[0].as_py()], pa.int64()), "flat": pa.array([flat], pa.binary()),
+                     "ends": pa.array([ends], pa.binary())})
+
+
+class _Documents:
+    """The pool as a table, read once for each count and each sum."""
+
+    def __init__(self, rows: DataFrame):
+        place = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
+        table = rows.select("text", place, *FIELDS).mapInArrow(_with_meta, "text string, u double, mf array<int>")
+        self.table = materialized(rows.sparkSession, table, "pool")
+        self.size, self.dims = self.table.count(), (DIMS, META_DIMS)
+
+    def counted(self, turns: list) -> np.ndarray:
+        got = self.table.mapInArrow(partial(_pool_pass, turns=turns, summed=False), "bin bigint, n bigint")
+        out = np.zeros(2 * 2 * BINS, np.int64)
+        for b, n in got.groupBy("bin").agg(F.sum("n")).collect():  # at most 4 * BINS rows
+            out[b] = n
+        return out.reshape(2, 2, BINS)
+
+    def sums(self, turns: list) -> _Sums:
+        got = self.table.mapInArrow(partial(_pool_pass, turns=turns, summed=True), _SUMS)
+        for _ in range(2):
+            got = got.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("task").applyInArrow(_meet, _SUMS)
+        return _sums_of(((r.flat, r.ends) for r in got.toLocalIterator()), self.dims)
+
+    def discard(self):
+        discard(self.table)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, rounds: int = ROUNDS, id_col: str = "doc_id",
+        text_col: str = "text") -> CoModel:
+    """Model of labels (doc_id, label 0/1; null is none); the pool are all documents outside of the labelled sample.
 
     With one class only, or no labels, the model gives the smoothed share of label 1 for all.
     """
     rows = _prepared(docs, id_col, text_col)
     known = labels.toDF("doc_id", "label").dropna().groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
-    sample = sample_ids(known, max_labelled)
-    pool = sample_ids(rows.select("doc_id").join(known, "doc_id", "left_anti").dropna(), max_pool)
-    chosen = sample.union(pool.withColumn("label", F.lit(None).cast("int")))  # at most max_labelled + max_pool rows
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", *FIELDS)
-    got = rows.mapInArrow(_sampled, "doc_id bigint, label int, tf array<int>, tv array<float>, mf array<int>, mv array<float>")
+    chosen = materialized(docs.sparkSession, sample_ids(known, max_labelled), "labelled")  # at most max_labelled rows
+    got = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", *FIELDS)
+    got = got.mapInArrow(_sampled, "doc_id bigint, label int, tf array<int>, tv array<float>, mf array<int>, mv array<float>")
     got = got.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     label = got["label"].to_numpy(zero_copy_only=False).astype(float)
-    x = [Sparse.from_arrow(got["tf"], got["tv"]).common(LEAST_ROWS, DIMS), Sparse.from_arrow(got["mf"], got["mv"])]
+    x = [(Sparse.from_arrow(got["tf"], got["tv"]), np.arange(DIMS)), Sparse.from_arrow(got["mf"], got["mv"])]
     del got  # the fit needs the room
     pa.default_memory_pool().release_unused()
-    return co_train(x, label, rounds)
+    if not 0 < label.sum() < len(label):
+        return co_train(x, label, 0)
+    pool = _Documents(rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti"))
+    model = co_train(x, label, rounds, pool)
+    pool.discard()
+    return model
+
 
+def co_train(x: list, label: np.ndarray, rounds: int, pool=None) -> CoModel:
+    """x: the text view's rows with their features' names, and the metadata view's rows; label: 0 or 1.
 
-def co_train(x: list, label: np.ndarray, rounds: int) -> CoModel:
-    """x: the text view's rows with their features' names, and the metadata view's rows; label: 0, 1 or nan for the pool."""
+    Without a pool, it is the rows whose label is nan.
+    """
     has = ~np.isnan(label)
     pos, n = float(np.nansum(label)), int(has.sum())
     if not 0 < pos < n:
         flat = float(np.log((pos + 1) / (n - pos + 1)))
         return CoModel((np.zeros(DIMS, np.float32), 0.0, (0.0, flat)), (np.zeros(META_DIMS, np.float32), 0.0, (0.0, flat)),
                        (0.5, 0.5, 0.0))
-    held = np.zeros(len(label), bool)
-    held[np.flatnonzero(has)[4::5]] = True  # rows are in doc_id order
-    if len(set(label[held])) < 2 or len(set(label[has & ~held])) < 2:
-        held = has.copy()
-        learn = has
-    else:
-        learn = has & ~held
-    target = [np.where(learn, label, np.nan) for _ in x]
     (text, names), meta = x
     x, dims = [text, meta], (len(names), META_DIMS)
-    fitted = [None, None]
-    for turn in range(rounds + 1):
-        for v in (0, 1):
-            use = ~np.isnan(target[v])
-            y = np.where(use, target[v], 0)
-            each = use * np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (use - y).sum()))
-            again = {"start": fitted[v], "rounds": LATER_STEPS, "rate": 0.2} if turn else {}
-            fitted[v] = fit_logistic(x[v], y, each, dims[v], **again)
-        if turn == rounds:
-            break
-        given = [t.copy() for t in target]
+    if pool is None:
+        pool = _Rows([v.rows(~has) for v in x], dims)
+        x, label = [v.rows(has) for v in x], label[has]
+    held = np.zeros(len(label), bool)
+    held[4::5] = True  # rows are in doc_id order
+    if len(set(label[held])) < 2 or len(set(label[~held])) < 2:
+        held = np.ones(len(label), bool)
+        learn = held
+    else:
+        learn = ~held
+    fitted = [fit_logistic(x[v], label, _weights(learn, label), dims[v], rounds=STEPS) for v in (0, 1)]
+    turns = []
+    for _ in range(rounds):
+        models = []
+        for v, (w, b) in enumerate(fitted):
+            models.append((w, b, platt((x[v].dot(w) + b)[learn], label[learn])))
+        turns.append(_Turn(models))
+        count, most = pool.counted(turns), max(1, int(SHARE_PER_ROUND * pool.size))
+        turns[-1].picks = [[_pick(count[v, value], most) for value in (0, 1)] for v in (0, 1)]
+        sums = pool.sums(turns)
         for v in (0, 1):
-            score = x[v].dot(fitted[v][0]) + fitted[v][1]
-            curve = platt(score[learn], label[learn])
-            p = sigmoid(curve[0] * score + curve[1])
-            open_ = np.isnan(target[1 - v]) & ~has
-            most = max(1, int(SHARE_PER_ROUND * (~has).sum()))
-            for value, sure in ((1.0, p), (0.0, 1 - p)):
-                at = np.flatnonzero(open_ & (sure >= SURE))
-                at = at[np.argsort(-sure[at], kind="stable")][:most]
-                given[1 - v][at] = value
-        target = given
+            each, scale = _weights(learn, label, sums.ends[v, :, 2])
+            far = [scale @ sums.grad[v], scale @ sums.curve[v], *(scale @ sums.ends[v, :, :2]), float(scale @ sums.ends[v, :, 2])]
+            fitted[v] = fit_logistic(x[v], label, each, dims[v], start=fitted[v], rounds=STEPS, rate=0.2, far=far)
     logits = []
     for v in (0, 1):
         score = x[v].dot(fitted[v][0]) + fitted[v][1]
@@ -188,6 +424,14 @@ def co_train(x: list, label: np.ndarray, rounds: int) -> CoModel:
     return CoModel((spread(w0, names, DIMS), b0, curve), fitted[1], (float(w[0]), float(w[1]), b))
 
 
+def _weights(learn: np.ndarray, label: np.ndarray, given: np.ndarray | None = None):
+    """Weights of the labelled rows, so that both labels weigh the same; with those given to the pool, also theirs per label."""
+    n = np.array([(learn & (label == value)).sum() for value in (0, 1)]) + (0 if given is None else given)
+    scale = 0.5 / np.maximum(n, 1)
+    each = learn * np.where(label == 1, scale[1], scale[0])
+    return each if given is None else (each, scale)
+
+
 SCORED = "doc_id bigint, text_score double, meta_score double, score double, kept boolean"
 
 

@@ -61,6 +61,12 @@ class Sparse:
     def __len__(self):
         return len(self.at) - 1
 
+    def rows(self, keep: np.ndarray) -> Sparse:
+        """Those rows that keep marks."""
+        size = np.diff(self.at)
+        each = np.repeat(keep, size)
+        return Sparse(np.r_[0, np.cumsum(size[keep])], self.feature[each], self.value[each])
+
     def common(self, least: int, dims: int) -> tuple[Sparse, np.ndarray]:
         """(rows, names): only features that `least` rows or more hold, as others can't carry over to other rows,
         numbered anew; names gives the old numbers."""
@@ -106,18 +112,23 @@ def spread(w: np.ndarray, names: np.ndarray, dims: int) -> np.ndarray:
 
 
 def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, l2: float = 1e-5, rounds: int = 80,
-                 rate: float = 0.5, start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
+                 rate: float = 0.5, start: tuple[np.ndarray, float] | None = None, far: list | None = None) -> tuple[np.ndarray, float]:
     """(weights, intercept) by full-batch Adam: no order of rows, no random numbers. Rows of weight 0 don't count.
 
-    start: a fit of similar rows to go on from.
+    start: a fit of similar rows to go on from.  far: of rows that are elsewhere, at start: gradient and curvature of the
+    weights, of the intercept, and the rows' weight.
     """
     w, b = (start[0].copy(), start[1]) if start else (np.zeros(dims, np.float32), 0.0)
     m, v, mb, vb = np.zeros(dims), np.zeros(dims), 0.0, 0.0
-    weight = weight / max(weight.sum(), 1e-12)
+    total = max(weight.sum() + (far[4] if far else 0.0), 1e-12)
+    weight = weight / total
     y = np.where(weight > 0, y, 0)
     for i in range(1, rounds + 1):
         g = weight * (sigmoid(x.dot(w) + b) - y)
         gw, gb = x.back(g, dims) + l2 * w, g.sum()
+        if far:
+            gw += (far[0] + far[1] * (w - start[0])) / total
+            gb += (far[2] + far[3] * (b - start[1])) / total
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = rate / (1 + i / 40)
