@@ -1,12 +1,12 @@
-"""Removal of repeated passages by relative Lempel-Ziv parsing against the corpus.
+"""Removal of repeated passages by relative factors against the corpus.
 
 The reference is the whole input.  Its index maps every window of `window` words to the place where that
 word sequence starts first (least doc_id, text hash and position), split by hash into blocks of bounded
-size; each run of documents looks up its windows in every block that may hold them.  A document is then
-parsed greedily: a factor begins at the first window that has an earlier source and goes on as long as the
-source goes on in step; where it breaks, the windows across the boundary are looked up anew and may begin
-the next factor, from another source.  Factors are at least one window long, so they are the duplicate
-spans, and every window with an earlier source lies in one: nothing is hidden by greediness.
+size; each run of documents looks up its windows in every block that may hold them.  Factors are read off the
+windows found: neighbours whose sources go on in step are one factor, and where the source changes another
+begins.  Nothing is looked up anew or extended beyond that, so a factor may end where a longer match in one reference goes
+on.  Factors are at least one window long, so they are the duplicate spans, and every window with an earlier source
+lies in one.
 
 Windows travel as blobs (``exchange.py``).  A task first resolves repeats among its own rows and deals out
 one posting per distinct window, so a passage held by a third of all documents sends one row per task run.
