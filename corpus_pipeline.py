@@ -71,7 +71,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_classifier", quality_classifier), ("toxicity", toxicity_filter),
           ("ngram_jaccard_join", near_duplicates), ("substring_dedup", substring_dedup_stage), ("best_fit_packing", pack)]
 
-#: classifiers, components and packing aren't expressible in SQL; the tests hold the stages against brute force
+#: classifiers, components and packing aren't expressible in SQL; the tests hold the join and substring dedup against brute force
 ORACLE_SQL = None
 
 
