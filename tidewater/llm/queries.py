@@ -9,8 +9,12 @@ from tidewater.llm.best_fit import best_fit_packing
 from tidewater.llm.bpe import decode, encode
 from tidewater.llm.co_training import fit as fit_quality, quality_classifier
 from tidewater.llm.fingerprints import edited_fingerprints
+from tidewater.llm.first_fit import first_fit_packing
 from tidewater.llm.jaccard_join import jaccard_components
+from tidewater.llm.merkle import merkle_manifest
+from tidewater.llm.oracles import MANIFEST, VARIANTS
 from tidewater.llm.quality_rules import fit as fit_rules, quality_rules
+from tidewater.llm.spelling import spelling_variants
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.token_output import packed_tokens
 from tidewater.llm.toxicity import fit as fit_toxicity, toxicity
@@ -26,7 +30,7 @@ def tokenizer_path(name: str) -> str:
 #: labelled documents that a model may learn from; the others are held out
 LEARN = "crc32(cast(doc_id as string)) % 5 <> 0"
 
-SQL: dict[str, str] = {"op1_url_filter": URL_SQL}
+SQL: dict[str, str] = {"op1_url_filter": URL_SQL, "op11_merkle_manifest": MANIFEST, "op12_spelling_variants": VARIANTS}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +89,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_fit_packing(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_toxicity, op4_quality_classifier, op5_bpe, op6_substring_dedup, op7_ngram_jaccard_join,
-    op8_quality_rules, op9_token_output, op10_fingerprints)}
+    op8_quality_rules, op9_token_output, op10_fingerprints, op11_merkle_manifest, op12_spelling_variants, op13_first_fit_packing)}
