@@ -187,6 +187,13 @@ def _unique_failures(df: DataFrame, cols: list[str], how: str) -> DataFrame:
         F.lit(",".join(cols)).alias("column"), F.lit("unique").alias("check"), "failures")
 
 
+def report_rules(comp: Compiled) -> list[tuple[str, str, Column]]:
+    """(column, check, failures) of every row and aggregate check, failures being an aggregate."""
+    rules = [(c, k, F.count_if(~ok)) for c, k, ok in comp.row_rules]
+    rules += [(c, k, F.when(F.coalesce(ok, F.lit(True)), 0).otherwise(1)) for c, k, ok in comp.agg_rules]
+    return [(c, k, e.cast("bigint")) for c, k, e in rules]
+
+
 def report(contract: Contract, df: DataFrame, index_column: str | None = None,
            compiled: Compiled | None = None) -> DataFrame:
     """One row per check: (column, check, failures). Lazy."""
@@ -195,10 +202,9 @@ def report(contract: Contract, df: DataFrame, index_column: str | None = None,
     parts: list[DataFrame] = []
     if comp.structural:
         parts.append(spark.createDataFrame([(c, k, int(n)) for c, k, n in comp.structural], REPORT_SCHEMA))
-    rules = [(c, k, F.count_if(~ok)) for c, k, ok in comp.row_rules]
-    rules += [(c, k, F.when(F.coalesce(ok, F.lit(True)), 0).otherwise(1)) for c, k, ok in comp.agg_rules]
+    rules = report_rules(comp)
     if rules:
-        agg = comp.df.agg(*[e.cast("bigint").alias(f"_r{i}") for i, (_, _, e) in enumerate(rules)])
+        agg = comp.df.agg(*[e.alias(f"_r{i}") for i, (_, _, e) in enumerate(rules)])
         stacked = ", ".join(f"'{_q(c)}', '{_q(k)}', _r{i}" for i, (c, k, _) in enumerate(rules))
         parts.append(agg.selectExpr(f"stack({len(rules)}, {stacked}) AS (column, check, failures)"))
     for cols in comp.unique_sets:
@@ -348,12 +354,30 @@ def validate(contract: Contract, df: DataFrame, mode: str = "raise", index_colum
     valid = flagged.where(ok).select(*keep)
     if mode == "drop":
         return valid
-    orig = [F.coalesce(F.col(f"`_orig_{c}`").cast("string"), F.col(f"`{c}`").cast("string")).alias(c)
-            if f"_orig_{c}" in flagged.columns else F.col(f"`{c}`") for c in _final_columns(comp)]
-    bad = flagged.where(~ok).select(*orig, reasons.alias("_reasons"))
+    bad = flagged.where(~ok).select(*_as_found(comp, flagged), reasons.alias("_reasons"))
     return valid, bad
 
 
+def _as_found(comp: Compiled, flagged: DataFrame) -> list[Column]:
+    """The columns of a quarantined row: those that were cast as the text they came with."""
+    return [F.coalesce(F.col(f"`_orig_{c}`").cast("string"), F.col(f"`{c}`").cast("string")).alias(c)
+            if f"_orig_{c}" in flagged.columns else F.col(f"`{c}`") for c in _final_columns(comp)]
+
+
+def row_verdicts(contract: Contract, df: DataFrame) -> tuple[DataFrame, Compiled]:
+    """df with `_ok` (it passes all row checks) and `_reasons` (the failed ones, null if none); also for streams."""
+    comp = compile_contract(contract, df)
+    _raise_on_structural(comp)
+    flagged, ok, reasons = _row_flags(contract, comp, None, True)
+    return flagged.withColumns({"_ok": ok, "_reasons": F.when(~ok, reasons)}), comp
+
+
+def split_verdicts(rows: DataFrame, comp: Compiled) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of rows with `_ok` and `_reasons`."""
+    valid = rows.where("_ok").select(*[F.col(f"`{c}`") for c in _final_columns(comp)])
+    return valid, rows.where("NOT _ok").select(*_as_found(comp, rows), "_reasons")
+
+
 def validated_write(df: DataFrame, contract: Contract, write, **kw):
     """Write only when the contract passes (K14). ``write`` gets the validated frame.
 

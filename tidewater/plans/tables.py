@@ -14,8 +14,9 @@ from tidewater.sinks.topics import JSON_OPTIONS, json_value, write_topic
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.operators.decode import decode_json
 from tidewater.streaming.ingest import DISCARD, IngestSpec, run_ingest
-from tidewater.streaming.runner import query_id, run_available, write_batch
-from tidewater.streaming.validate import validate_stream as run_validate_stream
+from tidewater.streaming.clock import clock_windows, settled
+from tidewater.streaming.runner import at_rest, input_read, query_id, run_available, run_until_rest, write_batch
+from tidewater.streaming.validate import report_stream, reports, validate_stream as run_validate_stream
 from tidewater.streaming.windows import tumble_sum_stream as tumble_stream
 
 SPLIT_TS = "2024-01-15 00:00:00"
@@ -196,6 +197,59 @@ def tumble_sum_stream(spark, sf):
     return run_available(sales)
 
 
+@plan("tumble_clock_stream", "W1 A7 F9 K6", """
+SELECT event_type, time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) * 0.85 AS DOUBLE) AS window_sales
+FROM events GROUP BY 1, 2
+""")
+def tumble_clock_stream(spark, sf):
+    """All windows of the event stream, those still open when the input ends too: they close by the clock.
+
+    The query is stopped in the middle of a window and goes on from its checkpoint with the rest of the events.
+    """
+    topic = TopicSpec("events", path=scratch_path(spark, "topic-events"))
+    out, ckpt = scratch_path(spark, "clock"), scratch_path(spark, "ckpt-clock")
+    ev, middle = table(spark, sf, "events"), F.col("ts") < F.lit("2024-01-15 00:00:30").cast("timestamp_ntz")
+    for load, done in ((ev.where(middle), input_read), (ev.where(~middle), at_rest)):
+        write_topic(event_records(load, topic.name), topic)
+        windows = clock_windows(_events_stream(spark, topic), "ts", "event_type", "value", "60 seconds", grace_s=4)
+        closed = run_until_rest(windows, out, ckpt, done=done)
+    return settled(closed, ["event_type"], "0.85")
+
+
+STREAM_REPORT_CONTRACT = Contract(name="events_report", columns={
+    "event_type": Column("str", [Check.unique_values_eq(["click", "error", "purchase", "signup", "view"]),
+                                 Check.custom(lambda c: F.avg((c == "error").cast("int")) < 0.1, "few_errors", aggregate=True)]),
+    "value": Column("float64", [Check.le(400.0), Check.custom(lambda c: F.max(c) < 1000.0, "max_below_1000", aggregate=True)]),
+    "user_id": Column("int64", Check.custom(lambda c: F.count_if(c % 2 == 0) > F.count_if(c % 2 == 1), "mostly_even", aggregate=True)),
+})
+
+
+@plan("stream_report", "V23 V12 V13", """
+WITH loads AS (SELECT unnest([1, 2, 3]) AS load, [TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-22', TIMESTAMP '9999-01-01'] AS ends),
+seen AS (SELECT load, e.* FROM loads JOIN events e ON e.ts < ends[load])
+SELECT CAST(load - 1 AS BIGINT) AS batch_id, r[1] AS "column", r[2] AS "check", CAST(r[3] AS BIGINT) AS failures FROM (
+  SELECT load, unnest([
+    ['event_type', 'not_nullable', count_if(event_type IS NULL)::VARCHAR], ['value', 'not_nullable', count_if(value IS NULL)::VARCHAR],
+    ['user_id', 'not_nullable', count_if(user_id IS NULL)::VARCHAR], ['value', 'less_than_or_equal_to', count_if(value > 400)::VARCHAR],
+    ['event_type', 'unique_values_eq', CASE WHEN list_sort(list(DISTINCT event_type)) = ['click', 'error', 'purchase', 'signup', 'view'] THEN '0' ELSE '1' END],
+    ['event_type', 'few_errors', CASE WHEN avg((event_type = 'error')::INT) < 0.1 THEN '0' ELSE '1' END],
+    ['value', 'max_below_1000', CASE WHEN max(value) < 1000 THEN '0' ELSE '1' END],
+    ['user_id', 'mostly_even', CASE WHEN count_if(user_id % 2 = 0) > count_if(user_id % 2 = 1) THEN '0' ELSE '1' END]]) AS r
+  FROM seen GROUP BY load)
+""")
+def stream_report(spark, sf):
+    """The report of row and aggregate checks after each of three loads, each on all events up to it."""
+    topic = TopicSpec("events", path=scratch_path(spark, "topic-events"))
+    out, ckpt = scratch_path(spark, "report"), scratch_path(spark, "ckpt-report")
+    ev, begin = table(spark, sf, "events"), "0001-01-01"
+    for end in ("2024-01-08", "2024-01-22", "9999-01-01"):
+        write_topic(event_records(ev.where(f"ts >= timestamp_ntz'{begin}' AND ts < timestamp_ntz'{end}'"), topic.name), topic)
+        report_stream(_events_stream(spark, topic), STREAM_REPORT_CONTRACT, out, ckpt).awaitTermination()
+        begin = end
+    return reports(spark, out, ckpt).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 STREAM_CONTRACT = Contract(name="events_stream", columns={
     "event_id": Column("int64", unique=True),
     "user_id": Column("int64", Check.ge(0)),

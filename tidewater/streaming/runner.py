@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,60 @@ def write_batch(batch: DataFrame, path: str, query: str, batch_id: int, fmt: str
     batch.write.mode("overwrite").format(fmt).save(f"{path}/query_id={query}/batch_id={batch_id}")
 
 
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which keyed processors need; a checkpoint remembers that."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def input_read(progress: dict) -> bool:
+    return not progress["numInputRows"]
+
+
+def at_rest(progress: dict) -> bool:
+    """A micro-batch without input that left no state: everything that came was read, and every timer has fired."""
+    return input_read(progress) and not any(o["numRowsTotal"] for o in progress["stateOperators"])
+
+
+def run_until_rest(stream: DataFrame, path: str | None = None, checkpoint: str | None = None, every: str = "1 second",
+                   timeout_s: int | None = None, done: Callable[[dict], bool] = at_rest) -> DataFrame:
+    """Run a stream with timers until its input is read and its state has emptied by the clock; a batch read of the result.
+
+    Spark goes on with micro-batches for ever where timers follow the clock, under ``availableNow`` too, so the query
+    is stopped from here, once ``done`` holds for the progress of two micro-batches in a row.  ``done=input_read`` leaves what is still
+    open to the next start on the checkpoint.
+    """
+    spark = stream.sparkSession
+    path = path or scratch_path(spark, "stream-out")
+    checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
+    with keyed_state(spark):
+        q = (stream.writeStream.format("parquet").outputMode("append").option("path", path)
+             .option("checkpointLocation", checkpoint).trigger(processingTime=every).start())
+    end, first = None if timeout_s is None else time.monotonic() + timeout_s, None
+    while q.isActive:
+        progress = q.lastProgress
+        if progress and not done(progress):
+            first = None
+        elif progress and first is None:
+            first = progress["batchId"]
+        elif progress and progress["batchId"] > first:
+            break
+        if end is not None and time.monotonic() > end:
+            q.stop()
+            raise TimeoutError("the stream did not come to rest")
+        q.awaitTermination(0.2)
+    if q.exception():
+        raise q.exception()
+    q.stop()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def run_available(stream: DataFrame, path: str | None = None, checkpoint: str | None = None,
                   fmt: str = "parquet", output_mode: str = "append", partition_by: list[str] | None = None,
                   keys: list[str] | None = None, timeout_s: int | None = None) -> DataFrame:
