@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import wire_body
 from tidewater.operators import timebuckets as tb
 from tidewater.operators.decode import conform_json, decode_json, json_topic_table, with_wire_header
+from tidewater.operators.resolution import decode_by_writer
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
 from tidewater.sinks.topics import json_value, to_topic, write_topic
@@ -131,6 +134,68 @@ def registry_lookup(spark, sf):
                       F.octet_length(wire_body("value")).cast("bigint").alias("body_bytes"))
 
 
+def _event_schema(*fields, **extra):
+    return json.dumps({"type": "record", "name": "event", "fields": [dict(zip(("name", "type"), f[:2]), **(f[2] if f[2:] else {})) for f in fields], **extra})
+
+
+def _kind(*symbols, **extra):
+    return {"type": "enum", "name": "kind", "symbols": [*symbols], **extra}
+
+
+#: three versions of the event record, by schema id: other names, types, unions and fields
+EVENT_VERSIONS = {
+    21: _event_schema(("event_id", "int"), ("type", _kind("click", "error")), ("value", "int"), ("props", "string")),
+    22: _event_schema(("event_id", "long"), ("event_type", _kind("view", "purchase")), ("value", ["null", "float"]), ("user_id", ["null", "int"])),
+    23: _event_schema(("event_id", "long"), ("event_type", _kind("signup")), ("value", "double"), ("user_id", ["null", "int", "string"]),
+                      ("steps", {"type": "array", "items": "int"})),
+}
+EVENT_READER = _event_schema(
+    ("id", "long", {"aliases": ["event_id"]}),
+    ("event_type", _kind("click", "error", "signup", "view", "unlisted", default="unlisted"), {"aliases": ["type"]}), ("value", ["null", "double"]),
+    ("user_id", ["null", "long", "string"], {"default": None}), ("steps", {"type": "array", "items": "double"}, {"default": [0.5]}),
+    ("source", "string", {"default": "web"}))
+
+
+@plan("decode_versions", "S11 T1 T4 T10 G3", """
+SELECT CAST(event_id AS VARCHAR) AS key, CAST(CASE WHEN event_id % 50 = 0 THEN 99 WHEN event_type IN ('click', 'error') THEN 21
+         WHEN event_type = 'signup' THEN 23 ELSE 22 END AS INTEGER) AS schema_id,
+       CASE WHEN event_id % 50 = 0 THEN 'unknown schema id' WHEN event_id % 50 = 1 THEN 'malformed' END AS reason,
+       CASE WHEN ok THEN event_id END AS id, CASE WHEN ok AND event_type = 'purchase' THEN 'unlisted' WHEN ok THEN event_type END AS event_type,
+       CASE WHEN NOT ok OR (event_type = 'view' AND event_id % 7 = 0) THEN NULL WHEN event_type IN ('click', 'error') THEN CAST(floor(value) AS DOUBLE)
+            WHEN event_type = 'signup' THEN round(value, 2) ELSE CAST(floor(value) AS DOUBLE) + 0.5 END AS value,
+       CASE WHEN ok AND (event_type = 'view' OR event_type = 'purchase' OR (event_type = 'signup' AND event_id % 2 = 0)) THEN user_id END AS user_long,
+       CASE WHEN ok AND event_type = 'signup' AND event_id % 2 = 1 THEN 'u' || user_id END AS user_string,
+       CASE WHEN ok AND event_type = 'signup' THEN CAST(event_id % 3 + 2 AS DOUBLE) WHEN ok THEN 0.5 END AS steps_sum,
+       CASE WHEN ok THEN 'web' END AS source
+FROM (SELECT *, event_id % 50 > 1 AS ok FROM events)
+""")
+def decode_versions(spark, sf):
+    """A topic of three schema versions, each record read with its writer's schema as the reader's record.
+
+    The reader's enum lacks purchases, so its default symbol stands for them."""
+    ev = table(spark, sf, "events")
+    kind, whole = F.col("event_type"), F.floor("value").cast("int")
+    v1 = F.struct("event_id", kind.alias("type"), whole.alias("value"), "props")
+    v2 = F.struct("event_id", kind.alias("event_type"), F.when(~((kind == "view") & (F.col("event_id") % 7 == 0)), whole + 0.5).alias("value"), "user_id")
+    odd = F.col("event_id") % 2 == 1
+    members = F.struct(F.when(~odd, F.col("user_id")).alias("member0"), F.when(odd, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("member1"))
+    v3 = F.struct("event_id", "event_type", F.round("value", 2).alias("value"), members.alias("user_id"),
+                  F.array((F.col("event_id") % 3).cast("int"), F.lit(2)).alias("steps"))
+    version = F.when(kind.isin("click", "error"), 21).when(kind == "signup", 23).otherwise(22)
+    text = F.when(version == 21, F.to_json(v1)).when(version == 22, F.to_json(v2)).otherwise(F.to_json(v3))
+    text = F.when(F.col("event_id") % 50 == 1, F.substring(text, 1, 12)).otherwise(text)
+    schema_id = F.when(F.col("event_id") % 50 == 0, 99).otherwise(version)
+    header = F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(schema_id), 8, "0")))
+    spec = events_topic(spark, sf, F.concat(header, text.cast("binary")), "events-versions")
+    registry = registry_table(spark, [("events-versions-value", i, i, text) for i, text in EVENT_VERSIONS.items()] + [("other", 1, 99, "{}")])
+    records = read_topic(spark, spec).withColumn("key", F.col("key").cast("string"))
+    good, bad = decode_by_writer(records, registry, EVENT_READER, "events-versions-value", ["key"])
+    steps = F.aggregate("steps", F.lit(0.0), lambda a, x: a + x)
+    out = good.select("key", "schema_id", F.lit(None).cast("string").alias("reason"), "id", "event_type", "value",
+                      F.col("user_id.member0").alias("user_long"), F.col("user_id.member1").alias("user_string"), steps.alias("steps_sum"), "source")
+    return out.unionByName(bad.select("key", "schema_id", "reason"), allowMissingColumns=True)
+
+
 SALES_DDL = "event_type string, window_end timestamp_ntz, window_sales double"
 
 
