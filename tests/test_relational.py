@@ -1,6 +1,12 @@
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import (ELEMENT, convert_json, ddl_for, infer_json_types, json_tables,
+import json
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tidewater.operators import relational as rel
+from tidewater.operators.relational import (ELEMENT, convert_json, convert_objects, ddl_for, infer_json_types, infer_object_types, json_tables,
                                             relationalize, resolve_choices)
 
 NESTED = """
@@ -98,3 +104,88 @@ def test_names_that_meet_are_told_apart(spark):
     df = spark.createDataFrame([('{"a_b": 1, "a": {"b": 2}, "A_B": 3}',)], ["j"])
     out = convert_json(df, "j", resolve_choices(infer_json_types(df, "j")))
     assert len({c.lower() for c in out.columns}) == 3 and sorted(out.first()) == [1, 2, 3]
+
+
+VALUES = st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-2**70, 2**70), st.floats(allow_nan=False, allow_infinity=False), st.text(max_size=3)),
+                      lambda x: st.one_of(st.lists(x, max_size=3), st.dictionaries(st.sampled_from(["a", "b", "0", ""]), x, max_size=3)), max_leaves=12)
+
+
+def kinds_of(v, path=()):
+    """{path: kinds} by plain recursion."""
+    kind = ("object" if isinstance(v, dict) else "array" if isinstance(v, list) else "bool" if isinstance(v, bool) else None if v is None
+            else "float" if isinstance(v, float) or (isinstance(v, int) and not -2**63 <= v < 2**63) else "int" if isinstance(v, int) else "str")
+    out = {path: {kind} - {None}}
+    for key, x in v.items() if isinstance(v, dict) else [(ELEMENT, x) for x in v] if isinstance(v, list) else []:
+        for p, k in kinds_of(x, (*path, key)).items():
+            out.setdefault(p, set()).update(k)
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(VALUES, max_size=6), st.randoms())
+def test_kinds_merge_in_any_order(docs, draw):
+    want = {}
+    for d in docs:
+        for p, k in kinds_of(d).items():
+            want.setdefault(p, set()).update(k)
+    trees = []
+    for part in (docs[: len(docs) // 2], docs[len(docs) // 2 :]):
+        tree = rel._Kinds()
+        draw.shuffle(part)
+        for d in part:
+            tree.add(json.loads(json.dumps(d)))
+        trees.append(tree)
+    got = {}
+    for tree in trees:
+        for p, bits in tree.rows():
+            got[p] = got.get(p, 0) | bits
+    got = {p: {k for k, bit in rel._BITS.items() if bits & bit} for p, bits in got.items()}
+    assert {p: k for p, k in got.items() if p} == {p: k for p, k in want.items() if p}
+
+
+def jobs(spark, f):
+    sc = spark.sparkContext
+    sc.setJobGroup("counted", "")
+    try:
+        return f(), len(sc.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_objects_are_inferred_together(spark):
+    rows = [("x", '{"a": 1, "b": {"c": "t"}}'), ("x", '{"a": 2.5, "l": [{"n": 1}, {"n": "s"}]}'), ("y", '{"a": "s"}'), ("y", "{broken"), ("y", '{"a": 1, "a": 2}'),
+            (None, '{"a": true} trailing'), ("z", "[1, [2.0]]"), ("z", "7"), ("e", ""), ("e", None), ("n", ' \n{"deep": ' + "[" * 900 + "]" * 900 + "}")]
+    df = spark.createDataFrame(rows, "o string, j string").repartition(4)
+    types, n = jobs(spark, lambda: infer_object_types(df, "j", "o"))
+    assert types.pop("n").keys() >= {("deep",)}
+    assert types == {"x": {("a",): {"int", "float"}, ("b", "c"): {"str"}, ("l",): {"array"}, ("l", ELEMENT, "n"): {"int", "str"}}, "y": {("a",): {"str"}},
+                     None: {("a",): {"bool"}}, "z": {(): {"array"}, (ELEMENT,): {"int", "array"}, (ELEMENT, ELEMENT): {"float"}}}
+    flat = spark.createDataFrame([(o, '{"a": 1}') for o, _ in rows], "o string, j string").repartition(4)
+    assert n == jobs(spark, lambda: infer_object_types(flat, "j", "o"))[1]  # no job per level
+    assert infer_object_types(df.limit(0), "j", "o") == {} and infer_json_types(df.limit(0), "j") == {}
+
+
+def test_keys_that_are_data_are_named(spark):
+    df = spark.range(500).selectExpr("concat('{\"id', id, '\": {\"v\": 1}}') AS j")
+    with pytest.raises(ValueError, match="more than 300 paths.*id9"):
+        infer_json_types(df, "j", most_paths=300)
+    assert len(infer_json_types(df, "j")) == 500
+
+
+def test_tasks_hold_few_paths(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(rel, "_HELD_PATHS", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(["o"] * 50), pa.array([json.dumps({f"k{i}": i}) for i in range(50)])], names=["object", "text"])
+    parts = list(rel._task_kinds([batch]))
+    assert len(parts) >= 5 and {json.loads(p)[0] for t in parts for p in t.column(1).to_pylist() if p != "[]"} == {f"k{i}" for i in range(50)}
+
+
+def test_columns_of_several_objects(spark):
+    rows = [("x", 1, '{"a": 1, "only": "x", "m": 1}'), ("x", 2, '{"a": null, "m": "t"}'), ("y", 3, '{"a": "s", "m": 2}'), (None, 4, '{"a": 2.5}'), ("x", 5, "{broken")]
+    df = spark.createDataFrame(rows, "o string, id int, j string")
+    out = convert_objects(df, "j", "o", infer_object_types(df, "j", "o"), keep=["id"])
+    assert out.columns == ["id", "a_int", "a_float", "a_str", "m_int", "m_str", "only"]
+    got = {r.id: tuple(r)[1:] for r in out.collect()}
+    assert got == {1: (1, None, None, 1, None, "x"), 2: (None, None, None, None, "t", None), 3: (None, None, "s", 2, None, None),
+                   4: (None, 2.5, None, None, None, None), 5: (None,) * 6}

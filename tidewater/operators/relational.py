@@ -9,6 +9,10 @@ shuffle; persist the input first if many tables are written from it.
 
 from __future__ import annotations
 
+import json
+import sys
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,28 +113,105 @@ def _kind(v: Column) -> Column:
             .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "float").otherwise("str"))
 
 
-def infer_json_types(df: DataFrame, col: str) -> dict[Path, set[str]]:
-    """Per path, the set of JSON kinds seen (int, float, str, bool, array); objects are only their fields.
-
-    One aggregate per nesting level: the fields of objects and the elements of arrays are exploded and their paths
-    and kinds made distinct on the cluster. The driver receives one row per path and kind, which is the schema
-    that any columns made from it have anyway.
+# Bit of each kind in a path's set of kinds; a JSON null has none.
+_BITS = {"object": 1, "array": 2, "int": 4, "float": 8, "str": 16, "bool": 32}
+MOST_PATHS = 20_000  # paths of all objects that the driver takes
+_HELD_PATHS = 50_000  # paths that a task holds before it hands them on
+
+
+class _Kinds:
+    """The kinds seen at a path, and the paths below it; two of them merge path by path, in any order."""
+
+    __slots__ = ("bits", "fields", "element")
+
+    def __init__(self):
+        self.bits, self.fields, self.element = 0, {}, None
+
+    def add(self, v) -> int:
+        """Take in a parsed JSON value; returns the number of new paths."""
+        if isinstance(v, dict):
+            self.bits |= 1
+            new = 0
+            for key, x in v.items():
+                child = self.fields.get(key)
+                if child is None:
+                    child = self.fields[key] = _Kinds()
+                    new += 1
+                new += child.add(x)
+            return new
+        if isinstance(v, list):
+            self.bits |= 2
+            new = 0
+            for x in v:
+                if self.element is None:
+                    self.element = _Kinds()
+                    new += 1
+                new += self.element.add(x)
+            return new
+        if isinstance(v, bool):
+            self.bits |= 32
+        elif isinstance(v, int):
+            self.bits |= 4 if -(1 << 63) <= v < 1 << 63 else 8
+        elif isinstance(v, float):
+            self.bits |= 8
+        elif v is not None:
+            self.bits |= 16
+        return 0
+
+    def rows(self, path: tuple = ()):
+        yield path, self.bits
+        for key, child in self.fields.items():
+            yield from child.rows((*path, key))
+        if self.element is not None:
+            yield from self.element.rows((*path, ELEMENT))
+
+
+def _task_kinds(batches):
+    """(object, path as JSON, bits) of a task's documents."""
+    sys.setrecursionlimit(10_000)  # a document may nest as deeply as Spark's parser lets it, 1,000 levels
+    read, seen, held = json.JSONDecoder().raw_decode, {}, 0
+
+    def rows():
+        out = [(name, json.dumps(path), bits) for name, kinds in seen.items() for path, bits in kinds.rows()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int32()))],
+                                          names=["object", "path", "bits"])
+
+    for batch in batches:
+        for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            kinds = seen.get(name)
+            if kinds is None:
+                kinds = seen[name] = _Kinds()
+                held += 1
+            held += kinds.add(read(text.as_py().lstrip(" \t\r\n"))[0])
+            if held >= _HELD_PATHS:
+                yield rows()
+                seen, held = {}, 0
+    if seen:
+        yield rows()
+
+
+def infer_object_types(df: DataFrame, col: str, object_col: str | None = None, most_paths: int = MOST_PATHS) -> dict[str | None, dict[Path, set[str]]]:
+    """{object: {path: JSON kinds seen there}} of a text column: int, float, str, bool, array; objects are only their fields.
+
+    One job: each task folds its documents into a tree of paths and kinds, the cluster merges the trees' rows by path, and the
+    driver receives one row per object and path, which is the schema that any columns made from it have anyway.
+    Documents whose keys are data have as many paths as keys; beyond ``most_paths`` of them this raises, naming
+    some, instead of filling the driver.  Text that is no JSON is left out.
     """
-    spark = df.sparkSession
-    level = df.select(F.array().cast(_PATHS).alias("p"), F.try_parse_json(F.col(col)).alias("v"))
-    kinds: dict[Path, set[str]] = {}
-    while True:
-        level = spark.sql(
-            "SELECT concat(p, array(named_struct('element', e.key IS NULL, 'key', coalesce(e.key, '')))) AS p, e.value AS v "
-            "FROM {src}, LATERAL variant_explode(v) AS e", src=level)
-        seen = level.select("p", _kind(F.col("v")).alias("kind")).distinct().collect()
-        for row in seen:
-            path = tuple(ELEMENT if s["element"] else s["key"] for s in row["p"])
-            kinds.setdefault(path, set()).update({row["kind"]} - {None})
-        nested = {r["kind"] for r in seen} & {"object", "array"}
-        if not nested:
-            break
-        level = level.where(_kind(F.col("v")).isin(*nested))
+    name = F.lit(None).cast("string") if object_col is None else F.col(object_col).cast("string")
+    texts = df.where(F.try_parse_json(F.col(col)).isNotNull()).select(name.alias("object"), F.col(col).cast("string").alias("text"))
+    merged = texts.mapInArrow(_task_kinds, "object string, path string, bits int").groupBy("object", "path").agg(F.bit_or("bits").alias("bits"))
+    rows = merged.limit(most_paths + 1).collect()
+    if len(rows) > most_paths:
+        raise ValueError(f"more than {most_paths} paths: some keys must be data, such as {sorted(r['path'] for r in rows)[-3:]}")
+    found: dict[str | None, dict[Path, set[str]]] = {}
+    for r in rows:
+        found.setdefault(r["object"], {})[tuple(json.loads(r["path"]))] = {k for k, bit in _BITS.items() if r["bits"] & bit}
+    return {o: _column_paths(kinds) for o, kinds in found.items()}
+
+
+def _column_paths(kinds: dict[Path, set[str]]) -> dict[Path, set[str]]:
+    kinds = {p: k for p, k in kinds.items() if p}
     if any(p[0] is ELEMENT for p in kinds):
         kinds[()] = {"array"}  # documents that are arrays themselves
     # an object is its fields, unless it never has any
@@ -138,6 +219,11 @@ def infer_json_types(df: DataFrame, col: str) -> dict[Path, set[str]]:
     return {p: k - {"object"} for p, k in kinds.items() if not (k <= {"object"} and (p in parents or "object" in k))}
 
 
+def infer_json_types(df: DataFrame, col: str, most_paths: int = MOST_PATHS) -> dict[Path, set[str]]:
+    """Per path, the set of JSON kinds seen in all documents; see ``infer_object_types``."""
+    return infer_object_types(df, col, most_paths=most_paths).get(None, {})
+
+
 def choice_label(kinds: set[str]) -> str:
     return "c-" + "-".join(sorted(kinds)) if len(kinds) > 1 else next(iter(kinds), "void")
 
@@ -193,6 +279,44 @@ def convert_json(df: DataFrame, col: str, resolved: dict[Path, list[tuple[str, s
     return _typed(df.select(*keep, F.try_parse_json(F.col(col)).alias("_v")), resolved, keep)
 
 
+def convert_objects(df: DataFrame, col: str, object_col: str, types: dict[str | None, dict[Path, set[str]]], keep: list[str] | None = None,
+                    rules: dict | None = None, sep: str = "_") -> DataFrame:
+    """Typed columns out of the JSON texts of several objects, each by its own types, in one scan.
+
+    A path has one column for all objects that agree on its type; where they don't, a column per kind, named
+    ``{path}_{kind}`` as an unresolved choice is.  Rows of an object without a path have null there.
+    """
+    resolved = {o: resolve_choices(t, rules, sep) for o, t in types.items()}
+    wanted: dict[Path, dict[tuple[str, str], list]] = {}
+    for o, paths in resolved.items():
+        for path, outs in paths.items():
+            for name, typ, kind in outs:
+                wanted.setdefault(path, {}).setdefault((typ, kind), []).append((o, name, len(outs) == 1))
+    taken: set[str] = set()
+    cols = []
+    for path in sorted(wanted):
+        alike = {typ for typ, _ in wanted[path]}
+        split = len(alike) > 1 or any(not alone for users in wanted[path].values() for _, _, alone in users)
+        for (typ, kind), users in sorted(wanted[path].items()):
+            name, n = sep.join(path) + (f"{sep}{kind}" if split else ""), 1
+            while name.lower() in taken:
+                n, name = n + 1, f"{name}{sep}{n + 1}"
+            taken.add(name.lower())
+            where = json_path(list(path))
+            value, own = F.try_variant_get(F.col("_v"), where, typ), _kind(F.try_variant_get(F.col("_v"), where, "variant")) == kind
+            alone, shared = [[o for o, _, a in users if a is flag] for flag in (True, False)]
+            by = F.when(_is_any(object_col, alone), value) if alone else F.when(F.lit(False), value)
+            cols.append((by.when(_is_any(object_col, shared) & own, value) if shared else by).alias(name))
+    parsed = df.select("*", F.try_parse_json(F.col(col)).alias("_v"))
+    return parsed.select(*[F.col(f"`{k}`") for k in keep or []], *cols)
+
+
+def _is_any(column: str, names: list[str | None]) -> Column:
+    known = [n for n in names if n is not None]
+    out = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return out | F.col(column).isNull() if None in names else out
+
+
 def json_tables(df: DataFrame, col: str, key: str | list[str], name: str, sep: str = "_", rules: dict | None = None,
                 types: dict[Path, set[str]] | None = None) -> dict[str, DataFrame]:
     """Raw JSON documents as linked tables: ``{name: documents, name_list: its elements, ...}``.

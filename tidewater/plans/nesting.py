@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import (convert_json, infer_json_types, json_tables, relationalize,
+from tidewater.operators.relational import (convert_json, convert_objects, infer_json_types, infer_object_types, json_tables, relationalize,
                                             resolve_choices)
 from tidewater.plans.registry import plan, table
+from tidewater.session import scratch_path
+from tidewater.sources.files import read_objects
 
 LINE_FIELDS = ["l_linenumber", "l_partkey", "l_quantity", "l_suppkey", "l_extendedprice", "l_discount",
                "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -91,6 +93,31 @@ def choice_types(spark, sf):
     return convert_json(docs, "body", resolved, keep=["event_id"])
 
 
+@plan("object_choice_types", "R3 R4 S9", """
+SELECT event_type AS object, event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS meta_type,
+       CASE WHEN event_type = 'error' THEN CAST(floor(value) AS BIGINT) END AS amount_int,
+       CASE WHEN event_type = 'view' AND event_id % 2 = 0 THEN CAST(floor(value) AS DOUBLE)
+            WHEN event_type <> 'error' THEN CAST(round(value, 2) AS DOUBLE) END AS amount_float,
+       CASE WHEN event_type <> 'signup' AND NOT (event_type = 'click' AND event_id % 2 = 1) THEN user_id END AS uid_int,
+       CASE WHEN event_type = 'signup' OR (event_type = 'click' AND event_id % 2 = 1) THEN 'u' || user_id END AS uid_str
+FROM events
+""")
+def object_choice_types(spark, sf):
+    """A folder of one object per event type: the types of all objects from one job, their columns from one scan."""
+    ev, path = table(spark, sf, "events"), scratch_path(spark, "objects")
+    kind, odd = F.col("event_type"), F.col("event_id") % 2 == 1
+    whole = (kind == "error") | ((kind == "view") & ~odd)
+    amount = F.when(whole, F.floor("value").cast("bigint").cast("string")).otherwise(F.format_string("%.2f", "value"))
+    named = (kind == "signup") | ((kind == "click") & odd)
+    uid = F.when(named, F.concat(F.lit('"u'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    body = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "k": '), F.get_json_object("props", "$.k"),
+                    F.lit(', "amount": '), amount, F.lit(', "uid": '), uid, F.lit(', "meta": {"type": "'), kind, F.lit('"}}'))
+    ev.select(kind.alias("object"), body.alias("body")).write.partitionBy("object").text(path)
+    docs = read_objects(spark, path, "text", schema="body string", object_from="dir")
+    types = infer_object_types(docs, "body", "object")
+    return convert_objects(docs, "body", "object", types, keep=["object"])
+
+
 @plan("json_objects", "R2 R5 R6 S8", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 """)
