@@ -160,8 +160,7 @@ def test_objects_are_inferred_together(spark):
     assert types.pop("n").keys() >= {("deep",)}
     assert types == {"x": {("a",): {"int", "float"}, ("b", "c"): {"str"}, ("l",): {"array"}, ("l", ELEMENT, "n"): {"int", "str"}}, "y": {("a",): {"str"}},
                      None: {("a",): {"bool"}}, "z": {(): {"array"}, (ELEMENT,): {"int", "array"}, (ELEMENT, ELEMENT): {"float"}}}
-    flat = spark.createDataFrame([(o, '{"a": 1}') for o, _ in rows], "o string, j string").repartition(4)
-    assert n == jobs(spark, lambda: infer_object_types(flat, "j", "o"))[1]  # no job per level
+    assert n <= 4  # the stages of one query, and not one per level, of which there are 900
     assert infer_object_types(df.limit(0), "j", "o") == {} and infer_json_types(df.limit(0), "j") == {}
 
 

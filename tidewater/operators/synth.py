@@ -9,18 +9,21 @@ after a lost executor (``rand``/``uuid`` would not be).
 from __future__ import annotations
 
 import datetime as dt
-import string
 import hashlib
+import re
+import string
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.contracts.checks import ALIASES
+from tidewater.contracts.checks import ALIASES, Check
 from tidewater.contracts.schema import Contract, spark_type
 from tidewater.functions.avro_types import (collapsed_union_type, named_types, non_null_branches,
                                             parse_avro, resolve)
+from tidewater.operators.patterns import Language, language, string_column
 
 # Generator ranges and sizes.
 INT_RANGE = (0, 2**31 - 1)
@@ -278,11 +281,66 @@ def _within(rid: Column, last: int, name: str) -> Column:
     return F.when((rid >= 0) & (rid <= last), rid).otherwise(stop.cast("bigint"))
 
 
+PATTERNS = ("str_matches", "str_contains")
+
+
+def _excluded(spec) -> list:
+    out = []
+    for c in spec.checks:
+        name = ALIASES.get(c.name, c.name)
+        out += list(c.args) if name == "notin" else [c.args] if name == "not_equal_to" else []
+    return out
+
+
+def _text_language(spec) -> Language:
+    """The strings that a text column's checks allow."""
+    args: dict[str, list] = {}
+    for c in spec.checks:
+        args.setdefault(ALIASES.get(c.name, c.name), []).append(c.args)
+    if any(len(args.get(k, [])) > 1 for k in ("str_startswith", "str_endswith")):
+        raise NotImplementedError("two prefixes or suffixes")
+    low = [a["min_value"] for a in args.get("str_length", []) if a.get("min_value") is not None]
+    high = [a["max_value"] for a in args.get("str_length", []) if a.get("max_value") is not None]
+    return language(args.get("str_matches", []), args.get("str_contains", []), (args.get("str_startswith") or [""])[0], (args.get("str_endswith") or [""])[0],
+                    [str(v) for v in _excluded(spec)], max(low, default=1), min(high, default=None))
+
+
+def _passes(spec, v) -> bool:
+    """Whether a listed value passes the column's other checks."""
+    lo, hi, lo_open, hi_open = _bounds(spec.checks)
+    if not isinstance(v, str):
+        return (lo is None or (v > lo if lo_open else v >= lo)) and (hi is None or (v < hi if hi_open else v <= hi))
+    tests = {"str_startswith": v.startswith, "str_endswith": v.endswith, "str_matches": lambda p: re.match(p, v, re.A), "str_contains": lambda p: re.search(p, v, re.A),
+             "str_length": lambda a: (a.get("min_value") or 0) <= len(v) and (a.get("max_value") is None or len(v) <= a["max_value"])}
+    return all(tests[c.name](c.args) for c in spec.checks if c.name in tests)
+
+
+def _around(g: _Gen, lo: int, hi: int, out: list[int], name: str, unique: bool) -> Column:
+    """An integer of lo..hi that isn't in out: the j-th of those left, by stepping over each one left out."""
+    gone = sorted({v for v in out if lo <= v <= hi})
+    last = hi - lo - len(gone)
+    if last < 0:
+        raise ValueError(f"column {name!r}: no value satisfies the checks")
+    v = F.lit(lo) + (_within(g.rid, last, name) if unique else g.int_in(0, last, name, []))
+    for x in gone:
+        v = v + F.when(v >= x, 1).otherwise(0)
+    return v
+
+
 def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
     checks = {ALIASES.get(c.name, c.name): c for c in spec.checks}
+    out = _excluded(spec)
+    for one in ("equal_to", "unique_values_eq"):
+        if one in checks and "isin" not in checks:
+            args = checks[one].args
+            checks["isin"] = Check.isin([args] if one == "equal_to" else args)
     if "isin" in checks:
-        vals = list(checks["isin"].args)
-        if spec.unique:
+        vals = [v for v in checks["isin"].args if v not in out and _passes(spec, v)]
+        if not vals:
+            raise ValueError(f"column {name!r}: no value satisfies the checks")
+        if "unique_values_eq" in checks and not spec.unique:
+            pick = F.pmod(g.rid, F.lit(len(vals)))  # every value stands in as many rows as there are values
+        elif spec.unique:
             pick = _within(g.rid, len(vals) - 1, name)
         else:
             pick = F.pmod(g.h(name, []), F.lit(len(vals)))
@@ -293,6 +351,9 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
         if lo is not None and not float(lo).is_integer():
             lo_i = int(float(lo)) + 1
         hi_i = int(hi) - (1 if hi_open and float(hi).is_integer() else 0) if hi is not None else lo_i + 999
+        if out:
+            top = 2**63 - 1 - lo_i if spec.unique and hi is None else hi_i
+            return _around(g, lo_i, top, [int(v) for v in out], name, spec.unique).cast(dtype)
         if spec.unique:
             return (F.lit(lo_i) + (g.rid if hi is None else _within(g.rid, hi_i - lo_i, name))).cast(dtype)
         return g.int_in(lo_i, hi_i, name, []).cast(dtype)
@@ -300,20 +361,35 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
         lo_f = float(lo) if lo is not None else 0.0
         hi_f = float(hi) if hi is not None else lo_f + 1000.0
         span = hi_f - lo_f
-        u = g.unit(name, [])
-        if lo_open or hi_open:
-            u = F.lit(0.001) + u * F.lit(0.998)
-        return (F.lit(lo_f) + u * F.lit(span)).cast(dtype)
+
+        def drawn(path):
+            u = g.unit(path, [])
+            if lo_open or hi_open:
+                u = F.lit(0.001) + u * F.lit(0.998)
+            return (F.lit(lo_f) + u * F.lit(span)).cast(dtype)
+
+        value = drawn(name)
+        for k in range(4 if out else 0):  # a draw that is left out is drawn again
+            value = F.when(value.isin([float(v) for v in out]), drawn(f"{name}#{k}")).otherwise(value)
+        return value
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         lo_t = dt.datetime.fromisoformat(str(lo)) if lo is not None else dt.datetime(2020, 1, 1)
         hi_t = dt.datetime.fromisoformat(str(hi)) if hi is not None else lo_t + dt.timedelta(days=365)
         secs = int((hi_t - lo_t).total_seconds()) - (1 if hi_open else 0)
-        off = g.int_in(1 if lo_open else 0, max(secs, 0), name, [])
+        gone = [(dt.datetime.fromisoformat(str(v)) - lo_t).total_seconds() for v in out]
+        off = _around(g, 1 if lo_open else 0, max(secs, 0), [int(x) for x in gone if x.is_integer()], name, False)
         base = F.lit(lo_t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
         return F.timestamp_add("SECOND", off, base).cast(dtype)
     if isinstance(dtype, T.BooleanType):
+        left = [v for v in (False, True) if v not in out]
+        if len(left) == 1:
+            return F.lit(left[0])
         return g.h(name, []).bitwiseAND(F.lit(1)) == 1
     # strings
+    if out or any(k in checks for k in PATTERNS):
+        words = _text_language(spec)
+        key = _within(g.rid, words.total - 1 if words.total < 1 << 62 else (1 << 62) - 1, name) if spec.unique else g.h(name, [])
+        return string_column(words, spec.unique)(key)
     prefix = checks["str_startswith"].args if "str_startswith" in checks else ""
     suffix = checks["str_endswith"].args if "str_endswith" in checks else ""
     length = checks.get("str_length")
@@ -327,24 +403,52 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
     else:
         n = g.int_in(body_min, body_max, name + "#len", [])
         body = g.chars(STRING_LETTERS, n, name, [], max_len=body_max)
-    if any(k in checks for k in ("str_matches", "str_contains", "notin")):
-        raise NotImplementedError(f"cannot synthesize {name}: pattern checks need an isin list")
     return F.concat(F.lit(prefix), body, F.lit(suffix))
 
 
+class _Fields:
+    """Accessor handed to frame-wide checks: ``cols.x`` / ``cols["x"]`` is a field of one drawn row."""
+
+    def __init__(self, row: Column):
+        self._row = row
+
+    def __getattr__(self, name: str) -> Column:
+        return self._row.getField(name)
+
+    __getitem__ = __getattr__
+
+
 def synthesize_contract(spark: SparkSession, contract: Contract, n: int | None = None, seed: int = 0,
-                        ids: DataFrame | None = None, id_col: str = "id") -> DataFrame:
-    """Rows that satisfy the contract's column checks (bounds, isin, prefixes,
-    lengths, unique). Custom and dataframe-wide checks are not inverted."""
+                        ids: DataFrame | None = None, id_col: str = "id", attempts: int = 12) -> DataFrame:
+    """Rows that satisfy the contract: bounds, lists, values left out, affixes, lengths, patterns, unique columns, and
+    checks that are functions of a column or of the row.
+
+    Pattern columns are drawn from the automaton of all their rules (``operators.patterns``).  A row that a function rejects is drawn
+    again, up to ``attempts`` times, each draw a hash of its id and the attempt; if none passes, the query fails.
+    Unique columns are functions of the id alone. Checks over all rows (aggregates) aren't inverted, but for
+    ``unique_values_eq``, whose values take turns.
+    """
     base = _ids(spark, n, ids, id_col)
-    g = _Gen(seed, F.col("_id"), 0, 0.0, False, {})
-    cols = []
-    for name, spec in contract.columns.items():
-        if spec.regex:
-            continue
-        dtype = spark_type(contract.dtype or spec.dtype) or T.StringType()
-        cols.append(_contract_column(g, name, spec, dtype).alias(name))
-    return base.select(*cols)
+    specs = {name: spec for name, spec in contract.columns.items() if not spec.regex}
+
+    def row(attempt: int) -> Column:
+        g = _Gen(seed if not attempt else seed + 1_000_003 * attempt, F.col("_id"), 0, 0.0, False, {})
+        return F.struct(*[_contract_column(g, name, spec, spark_type(contract.dtype or spec.dtype) or T.StringType()).alias(name)
+                          for name, spec in specs.items()])
+
+    own = [(name, c) for name, spec in specs.items() for c in spec.checks if c.fn is not None and not c.is_aggregate]
+    whole = [c for c in contract.checks if c.fn is not None and not c.is_aggregate]
+    if not own and not whole:
+        return base.select(row(0).alias("_row")).select("_row.*")
+
+    def passes(r: Column) -> Column:
+        tests = [F.coalesce(c.fn(r.getField(name)), F.lit(True)) for name, c in own] + [F.coalesce(c.fn(_Fields(r)), F.lit(True)) for c in whole]
+        return reduce(Column.__and__, tests)
+
+    tried = [F.get(F.filter(F.array(row(k)), passes), F.lit(0)) for k in range(attempts)]
+    stop = F.raise_error(F.lit(f"no row passes the checks in {attempts} attempts"))
+    found = F.coalesce(*tried, F.when(F.lit(True), stop).cast(base.select(row(0).alias("r")).schema["r"].dataType))
+    return base.select(F.explode(F.array(found)).alias("_row")).select("_row.*")
 
 
 # ---------------------------------------------------------------- fixed generators

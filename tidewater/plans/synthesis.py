@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidewater.contracts import ContractModel, Field, typed
+from tidewater.contracts import Check, Column, Contract, ContractModel, Field, typed, validate
 from tidewater.operators.decode import conform_json
 from tidewater.operators.synth import PEOPLE_SCHEMA, conforms, fake_people, pageviews, synthesize, synthesize_contract
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
@@ -98,6 +98,29 @@ def synth_contract(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+PATTERN_CONTRACT = Contract(name="accounts", columns={
+    "account": Column("str", [Check.str_matches(r"[A-Z]{3}-\d{6}$"), Check.notin(["AAA-000000"])], unique=True),
+    "mail": Column("str", [Check.str_matches(r"[a-z]+(\.[a-z]+)?@"), Check.str_contains(r"@(example|test)\.(org|net)$"), Check.str_length(12, 30)]),
+    "level": Column("int64", [Check.in_range(0, 9), Check.notin([4, 7])]),
+    "limit": Column("int64", Check.in_range(0, 9)),
+}, checks=[Check.custom(lambda cols: cols.level <= cols.limit, "level_within_limit")])
+
+
+@plan("synth_patterns", "G6 V12 V13", """
+SELECT r[1] AS "column", r[2] AS "check", CAST(0 AS BIGINT) AS failures, n AS "rows" FROM (SELECT count(*) AS n FROM customer), (SELECT unnest([
+  ['account', 'not_nullable'], ['account', 'str_matches'], ['account', 'notin'], ['account', 'unique'], ['mail', 'not_nullable'], ['mail', 'str_matches'],
+  ['mail', 'str_contains'], ['mail', 'str_length'], ['level', 'not_nullable'], ['level', 'in_range'], ['level', 'notin'], ['limit', 'not_nullable'],
+  ['limit', 'in_range'], ['<dataframe>', 'level_within_limit']]) AS r)
+""")
+def synth_patterns(spark, sf):
+    """Rows for patterns, excluded values and a check of the whole row, one per customer, held against their own contract."""
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    path = scratch_path(spark, "accounts")
+    synthesize_contract(spark, PATTERN_CONTRACT, ids=ids, seed=11).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return validate(PATTERN_CONTRACT, rows, "report").withColumn("rows", F.lit(rows.count()).cast("bigint"))
+
+
 @plan("pageviews", "G7 K9 T4 F13", """
 SELECT CAST('10' || CAST(event_id AS VARCHAR) AS BIGINT) AS viewtime, 'User_' || CAST(event_id AS VARCHAR) AS userid,
        'Page_' || CAST(event_id AS VARCHAR) AS pageid, 'Address_' || CAST(event_id AS VARCHAR) AS address,
