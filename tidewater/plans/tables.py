@@ -9,7 +9,8 @@ from tidewater.contracts import Check, Column, Contract, guarded_write
 from tidewater.plans.registry import plan, table
 from tidewater.plans.topics import EVENT_COLS, EVENTS_DDL, SOURCE_SQL, event_records
 from tidewater.session import scratch_path
-from tidewater.sinks.tables import TableSpec, append_stream, hourly_files, latest_stream, newest_per_key
+from tidewater.sinks.rolling import folder_files, roll_hours
+from tidewater.sinks.tables import TableSpec, append_stream, hourly_files, hourly_files_stream, latest_stream, newest_per_key
 from tidewater.sinks.topics import JSON_OPTIONS, json_value, write_topic
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.operators.decode import decode_json
@@ -164,6 +165,31 @@ def hourly_files_plan(spark, sf):
     return spark.read.schema(EVENTS_DDL + ", hour string").options(**JSON_OPTIONS).json(path)
 
 
+@plan("rolled_hours", "K11 K13 W5", """
+WITH e AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-05 07:00:00' + INTERVAL (event_id % 3600) SECOND ELSE ts END AS moved FROM events)
+SELECT strftime(moved, '%Y-%m-%d--%H') AS hour, count(*) AS "rows", CAST(sum(event_id) AS BIGINT) AS ids, TRUE AS files_fit, TRUE AS as_few_as_fit
+FROM e GROUP BY 1
+""")
+def rolled_hours(spark, sf):
+    """Three triggers' small files per hour, rolled into files of 64 KiB; one hour holds a third of all events."""
+    topic = TopicSpec("events", path=scratch_path(spark, "topic-events"))
+    landing, out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "rolled"), scratch_path(spark, "ckpt-landing")
+    hot = F.timestamp_add("SECOND", F.col("event_id") % 3600, F.lit("2024-01-05 07:00:00").cast("timestamp_ntz"))
+    ev = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("ts")))
+    for load in range(3):
+        write_topic(event_records(ev.where(F.expr("event_id % 9 div 3") == load), topic.name), topic)
+        hourly_files_stream(_events_stream(spark, topic).coalesce(2), landing, "ts", ckpt, available_now=True).awaitTermination()
+    target = 64 << 10
+    roll_hours(spark, landing, out, "ts", EVENTS_DDL, idle_s=0.0, target_bytes=target)
+    rows = spark.read.schema(f"{EVENTS_DDL}, hour string, part int").options(**JSON_OPTIONS).json(out)
+    rows = rows.groupBy("hour").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
+    files = folder_files(spark, out).where("path LIKE '%/part=%'").groupBy("hour").agg(
+        F.max("bytes").alias("most"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    longest = 1024  # bytes, more than any event's line
+    return rows.join(files, "hour").select("hour", "rows", "ids", (F.col("most") <= target + longest).alias("files_fit"),
+                                           (F.col("files") <= F.ceil(F.col("bytes") / target)).alias("as_few_as_fit"))
+
+
 ORDERS_WRITE_CONTRACT = Contract(name="orders_out", columns={
     "o_orderkey": Column("int64", Check.ge(0), unique=True),
     "o_totalprice": Column("float64", Check.gt(0.0)),
