@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewater.operators.decode import decode_json
@@ -9,6 +11,7 @@ from tidewater.operators.relational import relationalize
 from tidewater.plans.registry import plan, table
 from tidewater.plans.topics import EVENT_COLS, EVENTS_DDL, event_records
 from tidewater.session import scratch_path
+from tidewater.sinks.catalog import back_fill, create_table, evolve_table, insert_rows
 from tidewater.sinks.files import write_tables
 from tidewater.sinks.tables import read_topic_table
 from tidewater.sinks.topics import JSON_OPTIONS, write_topic
@@ -56,13 +59,24 @@ def avro_files(spark, sf):
 
 
 @plan("schema_listing", "C4 C1", """
-SELECT name, type FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('user_id', 'bigint'), ('event_type', 'string'),
-  ('value', 'double'), ('props', 'string')) t(name, type)
+SELECT name, type, CAST(nulls AS BIGINT) AS nulls, "distinct" FROM (VALUES
+  ('event_id', 'bigint', (SELECT count_if(event_id IS NULL) FROM events), (SELECT count(DISTINCT event_id) FROM events)),
+  ('ts', 'timestamp_ntz', (SELECT count_if(ts IS NULL) FROM events), (SELECT count(DISTINCT ts) FROM events)),
+  ('user_id', 'bigint', (SELECT count_if(user_id IS NULL) FROM events), (SELECT count(DISTINCT user_id) FROM events)),
+  ('event_type', 'string', (SELECT count_if(event_type IS NULL) FROM events), (SELECT count(DISTINCT event_type) FROM events)),
+  ('value', 'double', (SELECT count_if(value IS NULL) FROM events), (SELECT count(DISTINCT value) FROM events)),
+  ('props', 'string', (SELECT count_if(props IS NULL) FROM events), (SELECT count(DISTINCT props) FROM events))) t(name, type, nulls, "distinct")
 """)
 def schema_listing(spark, sf):
-    """The schema of a registered view, as SQL lists it."""
-    table(spark, sf, "events").createOrReplaceTempView("events_listed")
-    return spark.sql("DESCRIBE TABLE events_listed").select(F.col("col_name").alias("name"), F.col("data_type").alias("type"))
+    """The schema of a registered view as SQL lists it, with each column's nulls and distinct values over all rows."""
+    ev = table(spark, sf, "events")
+    ev.createOrReplaceTempView("events_listed")
+    listed = [(r["col_name"], r["data_type"]) for r in spark.sql("DESCRIBE TABLE events_listed").collect()]  # the schema, not rows
+    # a row per column and value group: one shuffle for all columns, combined on the map side
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(c).cast("string").alias("v")) for c, t in listed]))
+    groups = ev.select(cells.alias("c")).groupBy("c.name", "c.type", "c.v").agg(F.count(F.lit(1)).alias("n"))
+    return groups.groupBy("name", "type").agg(F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+                                              F.count("v").alias("distinct"))
 
 
 @plan("lake_sql", "S6 T6 C1 F2", """
@@ -93,6 +107,40 @@ def sql_table_insert(spark, sf):
     return spark.table(name)
 
 
+VIEW_V1 = {"type": "record", "name": "pageviews", "fields": [
+    {"name": "viewtime", "type": "long"}, {"name": "userid", "type": "string"}, {"name": "pageid", "type": "string"}]}
+VIEW_V2 = dict(VIEW_V1, fields=VIEW_V1["fields"] + [
+    {"name": "address", "type": "string", "default": "null"}, {"name": "added_column", "type": "string", "default": "null"},
+    {"name": "added_column2", "type": "int", "default": 42}, {"name": "note", "type": ["null", "string"], "default": None}])
+
+
+@plan("table_evolution", "T4 C2 C3 K4", """
+SELECT event_id AS viewtime, CASE WHEN day(ts) = 3 THEN 'corrected' ELSE 'User_' || user_id END AS userid, 'Page_' || event_type AS pageid,
+       CASE WHEN day(ts) > 15 THEN 'Address_' || user_id ELSE 'null' END AS address, 'null' AS added_column,
+       CASE WHEN day(ts) = 3 THEN 7 ELSE 42 END AS added_column2, CAST(NULL AS VARCHAR) AS note, strftime(ts, '%Y-%m-%d') AS day FROM events
+""")
+def table_evolution(spark, sf):
+    """A catalog table written before and after its schema grew, then one day of it computed anew.
+
+    Old files answer the new columns with the defaults; later rows of the old producer take them too."""
+    name = f"evolving_{uuid.uuid4().hex[:10]}"
+    ev = table(spark, sf, "events")
+    rows = ev.select(F.col("event_id").alias("viewtime"), F.concat(F.lit("User_"), "user_id").alias("userid"),
+                     F.concat(F.lit("Page_"), "event_type").alias("pageid"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    late = F.dayofmonth("day") > 15
+    create_table(spark, name, VIEW_V1, ("day",), "day string", location=scratch_path(spark, "evolving"))
+    insert_rows(rows.where(~late & (F.col("viewtime") % 2 == 0)), name)
+    evolve_table(spark, name, VIEW_V2)
+    insert_rows(rows.where(~late & (F.col("viewtime") % 2 == 1)), name)
+    insert_rows(rows.where(late).withColumn("address", F.regexp_replace("userid", "^User", "Address")), name)
+    third = rows.where(F.dayofmonth("day") == 3)
+    back_fill(third.withColumns({"userid": F.lit("corrected"), "added_column2": F.lit(7)}), name)
+    path = scratch_path(spark, "evolved")
+    spark.table(name).write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
 @plan("topic_roundtrip_stream", "W2 S4 K8 W1", """
 SELECT event_type, time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end,
        CAST(sum(CAST(value AS DECIMAL(18,2))) * 0.85 AS DOUBLE) AS window_sales
