@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 from pyspark.sql import types as T
@@ -122,6 +123,44 @@ def record_schema(schema) -> T.StructType:
     return out
 
 
+def legal_name(name: str) -> str:
+    """A name that the Avro specification allows: letters, digits and underscores, not starting with a digit."""
+    out = re.sub(r"[^A-Za-z0-9_]", "_", name)
+    return out if re.match(r"[A-Za-z_]", out) else f"_{out}"
+
+
+def legal_names(schema) -> Any:
+    """The schema with legal field names at every level, as container files need them; types and order stay.
+
+    Raises if two fields of a record would then share a name."""
+    s = parse_avro(schema)
+    if isinstance(s, list):
+        return [legal_names(b) for b in s]
+    if not isinstance(s, dict):
+        return s
+    out = dict(s)
+    if s["type"] == "record":
+        out["fields"] = [dict(f, name=legal_name(f["name"]), type=legal_names(f["type"])) for f in s["fields"]]
+        names = [f["name"].lower() for f in out["fields"]]
+        if len(set(names)) < len(names):
+            raise ValueError(f"record {s['name']} has fields whose names differ only in characters that Avro doesn't allow")
+    for part in ("items", "values"):
+        if part in s:
+            out[part] = legal_names(s[part])
+    return out
+
+
+def loose(dtype: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every level, as columns made by expressions have it."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, loose(f.dataType)) for f in dtype])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(loose(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(T.StringType(), loose(dtype.valueType))
+    return dtype
+
+
 def field_defaults(schema) -> dict[str, Any]:
     """Declared defaults of the top-level fields (used for reader-schema fill)."""
     s = parse_avro(schema)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import sys
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,14 @@ def _walk(prefix: str, expr: Column, dtype: T.DataType, sep: str, scalars: list,
         scalars.append((prefix, expr))
 
 
+def _place(name: str, keys: list[str], sep: str) -> str:
+    """The index or key column of a list; one directly inside another list gets a number."""
+    n, unique = 1, name
+    while unique in keys:
+        n, unique = n + 1, f"{name}{sep}{n + 1}"
+    return unique
+
+
 def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.DataType]], table: str,
           out: dict[str, DataFrame], sep: str, keep_empty: bool, strip: str = "") -> None:
     scalars: list = []
@@ -45,13 +54,13 @@ def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.
         short = name[len(strip):] if strip and name.startswith(strip) else name
         child = f"{table}{sep}{short}"
         if isinstance(dtype, T.ArrayType):
-            idx = f"{short}{sep}index"
+            idx = _place(f"{short}{sep}index", keys, sep)
             gen = F.posexplode_outer(expr) if keep_empty else F.posexplode(expr)
             exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_elem"))
             _emit(exploded, keys + [idx], [(short, F.col("_elem"), dtype.elementType)], child, out, sep,
                   keep_empty, short + sep)
         else:
-            idx = f"{short}{sep}key"
+            idx = _place(f"{short}{sep}key", keys, sep)
             gen = F.explode_outer(expr) if keep_empty else F.explode(expr)
             exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_val"))
             _emit(exploded, keys + [idx], [(short, F.col("_val"), dtype.valueType)], child, out, sep,
@@ -77,6 +86,69 @@ def relationalize(df: DataFrame, key: str | list[str], name: str, sep: str = "_"
     return out
 
 
+CHUNK = 10_000  # elements of a list that one group collects
+_MAP_PARTS = 16
+
+
+def nest(tables: dict[str, DataFrame], schema: T.StructType, key: str | list[str], name: str, sep: str = "_", chunk: int = CHUNK) -> DataFrame:
+    """The nested frame that ``relationalize`` split into these tables; ``schema`` is its schema, ``key`` its (not null) key.
+
+    Built bottom-up, a level at a time. A list is collected in groups of ``chunk`` neighbours by their index, then its
+    groups, already in arrays, are put in order: a parent with very many elements is assembled by many tasks, and only its
+    finished array, which is one value of the result, is one task's. Maps go by hashes of their keys.
+    A list without rows is null, as null and empty lists look the same in the tables; so is a struct whose fields are all null.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def value(path: str, dtype: T.DataType) -> Column:
+        if not isinstance(dtype, T.StructType):
+            return F.col(f"`{path}`")
+        parts = [(f.name, value(f"{path}{sep}{f.name}", f.dataType)) for f in dtype]
+        return F.when(reduce(Column.__or__, [p.isNotNull() for _, p in parts]), F.struct(*[p.alias(n) for n, p in parts]))
+
+    def build(keys: list[str], columns: list[tuple[str, T.DataType]], table: str, strip: str) -> DataFrame:
+        scalars: list = []
+        nested: list = []
+        for path, dtype in columns:
+            _walk(path, _Typed(dtype), dtype, sep, scalars, nested)
+        frame = tables[table]
+        for path, _, dtype in nested:
+            short = path[len(strip):] if strip and path.startswith(strip) else path
+            frame = frame.join(collected(keys, short, dtype, f"{table}{sep}{short}").withColumnRenamed("_list", path), keys, "left")
+        return frame.select(*[F.col(f"`{k}`") for k in keys], *[value(path, dtype).alias(path) for path, dtype in columns])
+
+    def collected(keys: list[str], short: str, dtype: T.DataType, table: str) -> DataFrame:
+        is_list = isinstance(dtype, T.ArrayType)
+        index = _place(f"{short}{sep}{'index' if is_list else 'key'}", keys, sep)
+        rows = build([*keys, index], [(short, dtype.elementType if is_list else dtype.valueType)], table, short + sep).where(F.col(f"`{index}`").isNotNull())
+        at = F.floor(F.col(f"`{index}`") / chunk) if is_list else F.pmod(F.xxhash64(f"`{index}`"), F.lit(_MAP_PARTS))
+        own = [F.col(f"`{k}`") for k in keys]
+        groups = rows.groupBy(*own, at.alias("_part")).agg(F.collect_list(F.struct(F.col(f"`{index}`").alias("i"), F.col(f"`{short}`").alias("v"))).alias("_some"))
+        parts = groups.groupBy(*own).agg(F.collect_list(F.struct(F.col("_part").alias("i"), _by_index("_some").alias("v"))).alias("_parts"))
+        entries = F.flatten(F.transform(_by_index("_parts"), lambda p: p["v"]))
+        whole = F.transform(entries, lambda e: e["v"]) if is_list else F.map_from_entries(entries)
+        return parts.select(*own, whole.alias("_list"))
+
+    columns = [(f.name, f.dataType) for f in schema if f.name not in keys]
+    out = build(keys, columns, name, "")
+    return out.select(*[F.col(f"`{f.name}`") for f in schema])
+
+
+class _Typed:
+    """Stands for a column where only its type is walked."""
+
+    def __init__(self, dtype: T.DataType):
+        self.dtype = dtype
+
+    def getField(self, name: str) -> _Typed:
+        return _Typed(self.dtype[name].dataType)
+
+
+def _by_index(column: str) -> Column:
+    """Entries (i, v) in the order of i, whatever v is; maps have no order, so only i is compared."""
+    return F.array_sort(column, lambda a, b: F.when(a["i"] < b["i"], -1).when(a["i"] > b["i"], 1).otherwise(0))
+
+
 # Spark simple type name -> SQL DDL type.
 _DDL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "SMALLINT",
               "double": "DOUBLE PRECISION", "float": "REAL", "string": "VARCHAR", "boolean": "BOOLEAN",

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.avro_types import (PRIMITIVES, collapsed_union_type, named_types, non_null_branches, parse_avro, record_schema, resolve,
-                                            to_spark)
+from tidewater.functions.avro_types import (PRIMITIVES, collapsed_union_type, loose, named_types, non_null_branches, parse_avro, record_schema,
+                                            resolve, to_spark)
 from tidewater.operators.decode import split_wire
 
 # Writer type -> the reader types that it is promoted to.
@@ -28,17 +28,6 @@ class ResolutionError(ValueError):
     """No value of the writer's schema can be read with the reader's."""
 
 
-def loose(dtype: T.DataType) -> T.DataType:
-    """The type with nulls allowed at every level, as columns made by expressions have it."""
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, loose(f.dataType)) for f in dtype])
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(loose(dtype.elementType))
-    if isinstance(dtype, T.MapType):
-        return T.MapType(T.StringType(), loose(dtype.valueType))
-    return dtype
-
-
 class _Resolver:
     def __init__(self, writer, reader):
         self.w_named, self.r_named = named_types(writer), named_types(reader)

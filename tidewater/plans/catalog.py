@@ -15,8 +15,9 @@ from tidewater.sinks.catalog import back_fill, create_table, evolve_table, inser
 from tidewater.sinks.files import write_tables
 from tidewater.sinks.tables import read_topic_table
 from tidewater.sinks.topics import JSON_OPTIONS, write_topic
-from tidewater.sources.files import read_avro_files, read_objects, write_avro_files
+from tidewater.sources.files import read_avro_files, read_objects, stream_avro_files, write_avro_files
 from tidewater.sources.topics import TopicSpec, read_topic
+from tidewater.streaming.runner import run_available
 from tidewater.streaming.windows import stream_to_topic, tumble_sum_stream
 
 
@@ -58,6 +59,29 @@ def avro_files(spark, sf):
     return read_avro_files(spark, path, reader)
 
 
+@plan("avro_stream", "S12 T4 K6", """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 2 = 0 THEN value ELSE CAST(floor(value) AS DOUBLE) END AS value,
+       CASE WHEN event_id % 2 = 0 THEN 'new' ELSE 'web' END AS source FROM events
+""")
+def avro_stream(spark, sf):
+    """Avro container files as a stream: the query goes on from its checkpoint after the writers' schema has changed.
+
+    The first writer had a whole-number value and no source; the second one's fields stand in another order."""
+    path, out, ckpt = scratch_path(spark, "avro-landing"), scratch_path(spark, "avro-out"), scratch_path(spark, "ckpt-avro")
+    def schema(*fields):
+        return {"type": "record", "name": "event", "fields": [{"name": n, "type": t, **(x[0] if x else {})} for n, t, *x in fields]}
+    first = schema(("event_id", "long"), ("user_id", "int"), ("event_type", "string"), ("value", "long"))
+    second = schema(("source", "string"), ("value", "double"), ("event_type", "string"), ("event_id", "long"), ("user_id", "long"))
+    reader = schema(("event_id", "long"), ("user_id", "long"), ("event_type", "string"), ("value", "double"), ("source", "string", {"default": "web"}))
+    ev, odd = table(spark, sf, "events"), F.col("event_id") % 2 == 1
+    loads = [(first, ev.where(odd).withColumns({"user_id": F.col("user_id").cast("int"), "value": F.floor("value").cast("bigint")})),
+             (second, ev.where(~odd).withColumn("source", F.lit("new")))]
+    for writer, rows in loads:
+        write_avro_files(rows.select(*[f["name"] for f in writer["fields"]]), path, writer, mode="append")
+        done = run_available(stream_avro_files(spark, path, reader), out, ckpt)
+    return done
+
+
 @plan("schema_listing", "C4 C1", """
 SELECT name, type, CAST(nulls AS BIGINT) AS nulls, "distinct" FROM (VALUES
   ('event_id', 'bigint', (SELECT count_if(event_id IS NULL) FROM events), (SELECT count(DISTINCT event_id) FROM events)),

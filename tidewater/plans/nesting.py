@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.operators.relational import (convert_json, convert_objects, infer_json_types, infer_object_types, json_tables, relationalize,
+from tidewater.functions.indexing import with_row_index
+from tidewater.operators.relational import (convert_json, convert_objects, infer_json_types, infer_object_types, json_tables, nest, relationalize,
                                             resolve_choices)
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
@@ -54,6 +56,30 @@ def relationalize_items(spark, sf):
     return relationalize(nested_orders(spark, sf), "o_orderkey", "orders")["orders_items"]
 
 
+@plan("nested_again", "R1 F12 U2", f"""
+WITH hot AS (SELECT min(o_orderkey) AS k FROM orders),
+lines AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN k ELSE l_orderkey END AS o_orderkey, l_orderkey AS l_from, {', '.join(LINE_FIELDS)} FROM lineitem, hot),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_from, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS i FROM lines)
+SELECT o.o_orderkey, o.o_custkey, CAST(n.i AS INTEGER) AS items_index, {', '.join(f'n.{c} AS items_{c}' for c in LINE_FIELDS)}
+FROM orders o LEFT JOIN numbered n USING (o_orderkey)
+""")
+def nested_again(spark, sf):
+    """Linked tables nested into one and split again: the same rows, one order holding a third of all lines."""
+    li, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    hot = orders.agg(F.min("o_orderkey")).first()[0]  # one number
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(hot)).otherwise(F.col("l_orderkey"))
+    lines = li.select(key.alias("o_orderkey"), F.col("l_orderkey").alias("l_from"), *LINE_FIELDS)
+    order = ["l_from", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    items = with_row_index(lines, "items_index", order, ["o_orderkey"])
+    items = items.select("o_orderkey", F.col("items_index").cast("int"), *[F.col(c).alias(f"items_{c}") for c in LINE_FIELDS])
+    element = T.StructType([T.StructField(c, lines.schema[c].dataType) for c in LINE_FIELDS])
+    schema = T.StructType([*orders.schema, T.StructField("items", T.ArrayType(element))])
+    path = scratch_path(spark, "nested")
+    nest({"orders": orders, "orders_items": items}, schema, "o_orderkey", "orders", chunk=1000).write.parquet(path)
+    again = relationalize(spark.read.parquet(path), "o_orderkey", "orders")
+    return again["orders_items"].join(again["orders"], "o_orderkey")
+
+
 @plan("relationalize_turns", "R1 F12", """
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS turns_index,
        turn AS turns_turn, role AS turns_role, text AS turns_text

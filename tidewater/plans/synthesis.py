@@ -12,9 +12,11 @@ from tidewater.operators.synth import PEOPLE_SCHEMA, conforms, fake_people, page
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS, PAGEVIEWS_SCHEMA
 from tidewater.plans.registry import plan, table
 from tidewater.session import scratch_path
+from tidewater.sources.files import read_avro_files, write_avro_files
 from tidewater.sinks.topics import hashed_uuid, json_value, to_topic, write_topic
 from tidewater.sources.topics import TopicSpec, read_topic
 from tidewater.functions.avro_types import field_defaults, named_types
+from tidewater.functions.canonical import differences
 
 
 _SYNTH_SQL = "\nUNION ALL ".join(
@@ -62,6 +64,24 @@ def synth_qualified(spark, sf):
     return rows.select(F.explode(F.json_object_keys(text)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
+@plan("avro_round_trip", "G9 G3 G5 S12 K13", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS \"schema\", count(*) AS \"rows\", CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS gained FROM customer" for name in AVRO_SCHEMAS))
+def avro_round_trip(spark, sf):
+    """Rows of each schema through Avro container files: how many come back otherwise than they went, by value."""
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    out = None
+    for name, schema in AVRO_SCHEMAS.items():
+        path = scratch_path(spark, "avro")
+        rows = synthesize(spark, schema, ids=ids, seed=7, null_fraction=0.2)
+        write_avro_files(rows, path, schema)
+        back = read_avro_files(spark, path, schema)
+        wrong = differences(rows, back).agg(F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).alias("lost"),
+                                            F.coalesce(F.sum(F.greatest(-F.col("n"), F.lit(0))), F.lit(0)).alias("gained"))
+        one = wrong.select(F.lit(name).alias("schema"), F.lit(back.count()).cast("bigint").alias("rows"), "lost", "gained")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 class CityModel(ContractModel):
     """The same contract, declared class-style (validated on construction by ``typed``)."""
     state: str = Field(isin=["FL", "CA"])
