@@ -90,9 +90,77 @@ description: null
 """
 
 # The writer's contract is the reader's with one more column.
-WRITER_YAML = Contract.from_yaml(READER_YAML).add_columns({"tenure_percentage": Column(
-    "float", [Check("greater_than_or_equal_to", 0.0), Check("less_than_or_equal_to", 100.0)], title="tenure_percentage",
-    description="Percentage of the persons tenure at the company")}).to_yaml()
+WRITER_YAML = """\
+schema_type: dataframe
+version: 0.18.0
+columns:
+  name:
+    title: name
+    description: 'Name of the person'
+    dtype: string
+    nullable: false
+    checks:
+      isin: ['Alice', 'Bob', 'Charlie', 'Dennis', 'Edith']
+    unique: true
+    coerce: false
+    required: true
+    regex: false
+  age:
+    title: age
+    description: 'Age of the person'
+    dtype: int16
+    nullable: false
+    checks:
+      greater_than_or_equal_to: 18.0
+    unique: false
+    coerce: false
+    required: true
+    regex: false
+  tenure:
+    title: company_tenure
+    description: 'Number of years the person has worked at the company'
+    dtype: int16
+    nullable: false
+    checks: null
+    unique: false
+    coerce: false
+    required: true
+    regex: false
+  tenure_percentage:
+    title: tenure_percentage
+    description: 'Percentage of the persons tenure at the company'
+    dtype: float
+    nullable: false
+    checks:
+      greater_than_or_equal_to: 0.0
+      less_than_or_equal_to: 100.0
+    unique: false
+    coerce: false
+    required: true
+    regex: false
+checks: null
+index:
+  - title: null
+    description: null
+    dtype: int64
+    nullable: false
+    checks:
+      greater_than_or_equal_to: 0.0
+    name: null
+    unique: false
+    coerce: false
+dtype: null
+coerce: true
+strict: false
+name: null
+ordered: false
+unique: null
+report_duplicates: all
+unique_column_names: false
+add_missing_columns: false
+title: null
+description: null
+"""
 
 # Fixed values.
 CITIES_YAML = """\

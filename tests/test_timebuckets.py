@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import epoch_ms_to_timestamp, render_row, split_path, strip_suffix
@@ -101,3 +102,10 @@ def test_calendar_of_observed_keys(spark):
     assert got[1].asDict().keys() == {"day", "a", "b", "odd key"}
     assert (got[1]["a"], got[1]["b"], got[1]["odd key"], got[2]["odd key"]) == (1, 1, None, 1)
     assert tb.burst_calendar(df, "k", "ts", min_events=1).columns == ["day", "a", "b", "odd key"]
+
+
+def test_too_many_keys_are_no_columns(spark):
+    df = spark.range(30).selectExpr("id % 20 AS k")
+    assert tb.observed_keys(df, "k", 20) == list(range(20))
+    with pytest.raises(ValueError, match="more than 19"):
+        tb.observed_keys(df, "k", 19)

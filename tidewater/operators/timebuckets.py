@@ -73,9 +73,17 @@ def daily_sum(df: DataFrame, key: str, ts: str, value: str, width: str = "1 day"
             .select(key, F.col("_w.start").alias("day"), value))
 
 
-def observed_keys(df: DataFrame, key: str) -> list:
-    """The distinct non-null values of a key, in order: one job, and as many values as a pivot has columns."""
-    return [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).collect()]
+MOST_KEYS = 2_000  # columns that a pivot may have
+
+
+def observed_keys(df: DataFrame, key: str, most: int = MOST_KEYS) -> list:
+    """The distinct non-null values of a key, in order: one job, and as many values as a pivot has columns.
+
+    More than ``most`` raise, instead of filling the driver and making a column of each: such keys want rows."""
+    found = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{key!r} has more than {most} values; name the keys that should be columns, or use daily_sum")
+    return sorted(found)
 
 
 def calendar(df: DataFrame, key: str, ts: str, value: str, keys: list[str] | None = None,

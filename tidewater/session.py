@@ -58,7 +58,7 @@ def _checkpoint_base(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/NFS) for this cluster")
     key = id(sc)
     if key not in _LOCAL_SCRATCH:
