@@ -1,4 +1,7 @@
+import collections
 import random
+import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -224,3 +227,77 @@ def test_logistic_fit_and_platt():
     label = (rng.random(2000) < linear.sigmoid(2 * score - 1)).astype(int)
     a, c = linear.platt(score, label)
     assert abs(a - 2) < 0.3 and abs(c + 1) < 0.3
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-/:-@\[-`{-\x7f]+", brute.ascii_lower(text or ""))
+
+
+def test_toxicity_from_texts_to_scores(spark, frame, small_rows):
+    """Counts over all documents, weights, lengths, neighbours and votes against plain dictionaries."""
+    texts = dict(small_rows) | {9001: "", 9002: None, 9003: "only unheard words zzq zzr", 9004: "<|...|>"}
+    ids = sorted(texts)
+    labelled = {i: int(n % 4 == 0) for n, i in enumerate(ids[:90])}
+    for i, y in labelled.items():
+        texts[i] = (texts[i] or "") + (" venom bane" if y else " balm") + f" w{i % 7}"
+    docs = frame(sorted(texts.items()))
+    index = tx.fit(docs, spark.createDataFrame(sorted(labelled.items()), "d bigint, y int"))
+    tf = {i: collections.Counter(plain_words(t)) for i, t in texts.items()}
+    holders = collections.Counter(w for c in tf.values() for w in c)
+    vocabulary = {w for i in labelled for w in tf[i]}
+
+    # copies of a text, by its least shingle, count once for the labels' factor
+    packed = {r.doc_id: r.origin for r in spark.createDataFrame([(i, texts[i], 0) for i in labelled], "doc_id bigint, text string, label int").mapInArrow(
+        tx._terms_of, tx.EXAMPLES).collect()}
+    groups = {}
+    for i in labelled:
+        groups.setdefault(packed[i], []).append(i)
+    m, pos = len(groups), sum(any(labelled[i] for i in g) for g in groups.values())
+    held = collections.Counter(w for g in groups.values() for w in {w for i in g for w in tf[i]})
+    ones = collections.Counter(w for g in groups.values() for w in {w for i in g if labelled[i] for w in tf[i]})
+    weight = {}
+    for w in vocabulary:
+        off = max(abs(ones[w] - held[w] * pos / m) - 0.5, 0)
+        chi = off**2 * m**3 / (held[w] * max(m - held[w], 1) * pos * (m - pos))
+        weight[w] = (np.log((1 + len(texts)) / (1 + holders[w])) + 1) * (1 + max(chi - 2 * np.log(len(vocabulary)), 0))
+    rare = np.log((1 + len(texts)) / 2) + 1
+
+    def vector(i):
+        v = {w: (1 + np.log(n)) * weight.get(w, rare) for w, n in tf[i].items()}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()}
+
+    vectors = {i: vector(i) for i in texts}
+    assert len(index.terms) == len(vocabulary) and len(index.doc) == len(labelled)
+    for r in tx.toxicity(docs, index).collect():
+        cosines = {e: sum(x * vectors[e].get(w, 0) for w, x in vectors[r.doc_id].items() if w in vocabulary) for e in labelled}
+        best = sorted((-round(c, 5), e) for e, c in cosines.items() if c > 1e-6)
+        if not set(tf[r.doc_id]) & vocabulary:
+            assert r.score == index.unknown and r.evidence == []
+            continue
+        assert [round(x.cosine, 4) for x in r.evidence] == pytest.approx([-c for c, _ in best[: tx.EVIDENCE]], abs=2e-4)
+        kth = -best[min(tx.NEIGHBOURS, len(best)) - 1][0]
+        if any(abs(-c - kth) < 3e-5 for c, _ in best[tx.NEIGHBOURS : tx.NEIGHBOURS + 1]):
+            continue  # a tie of the k-th to within rounding
+        near = [(1 / (1.05 - min(-c, 1)), labelled[e]) for c, e in best[: tx.NEIGHBOURS]]
+        base = sum(labelled.values()) / len(labelled)
+        share = (sum(a * y for a, y in near) + base) / (sum(a for a, _ in near) + 1)
+        assert r.score == pytest.approx(float(linear.sigmoid(index.curve[0] * tx._logit(share) + index.curve[1])), abs=1e-3)
+
+
+def test_toxicity_examples_are_bounded_by_words(spark, frame):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(10))) for i in range(40)]
+    index = tx.fit(frame(rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "d bigint, y int"), max_words=205)
+    assert len(index.doc) == 20 and len(index.terms) == 200
+    assert sorted(index.doc.tolist()) == sorted(tx.fit(frame(rows), spark.createDataFrame([(i, i % 2) for i in range(40)], "d bigint, y int"), max_examples=20).doc.tolist())
+
+
+def test_toxicity_query_holds_out_rows_without_id(spark, frame, tmp_path):
+    from tidewater.llm.queries import op3_toxicity
+
+    docs = frame([(i, f"some words {i} {'venom' if i % 2 else 'balm'}") for i in range(40)] + [(None, "venom"), (None, None)])
+    docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 0, i % 2) for i in range(40)] + [(None, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    got = op3_toxicity(spark, f"file://{tmp_path}").collect()
+    assert len(got) == 42 and [r.held_out for r in got if r.doc_id is None] == [True, True]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in got if r.doc_id is not None)

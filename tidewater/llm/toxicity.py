@@ -1,8 +1,8 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact cosine of weighted TF-IDF vectors over a block-max inverted index.
 
-The examples are a sample of labelled rows of bounded size (``max_examples``, by hash of doc_id); every word
+The examples are a sample of labelled rows of bounded size (``max_examples`` and ``max_words``, by hash of doc_id); every word
 of theirs is a term.  Example and query vectors are (1 + ln tf) * idf * (1 + excess), at length one.  idf is taken from
-all documents; excess is the chi-squared, with Yates' correction, by which a word differs between the labels, above 2 ln(terms),
+all documents; the factor of the labels is no part of plain TF-IDF, whose neighbours share a subject rather than a label; excess is the chi-squared, with Yates' correction, by which a word differs between the labels, above 2 ln(terms),
 which is about the most that chance brings about among so many words; where examples with the
 same least shingle count once, so that the words of one much copied text don't pass for a pattern.  A query's
 other words lengthen its vector as words that no other document has.  The index keeps each term's postings by example;
@@ -22,6 +22,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ class BlockMaxIndex:
         heavy = np.flatnonzero(held * HEAVY > n)
         self.heavy_row = np.full(len(self.terms), -1, np.int32)
         self.heavy_row[heavy] = np.arange(len(heavy))
-        self.dense = np.zeros((len(heavy), -(-max(1, n) // BLOCK) * BLOCK))
+        self.dense = np.zeros((len(heavy), -(-max(1, n) // BLOCK) * BLOCK), np.float32)
         for row, t in enumerate(heavy):
             self.dense[row, self.example[self.at[t] : self.at[t + 1]]] = self.weight[self.at[t] : self.at[t + 1]]
         self.block_max = self.dense.reshape(len(heavy), self.dense.shape[1] // BLOCK, BLOCK).max(axis=2)
@@ -123,38 +124,78 @@ def _logit(p):
     return np.log(p / (1 - p)) if 0 < p < 1 else np.sign(p - 0.5) * 20.0
 
 
+EXAMPLES = "doc_id bigint, label int, origin bigint, n bigint, terms binary, tf binary"
+_EXAMPLES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("origin", pa.int64()), ("n", pa.int64()), ("terms", pa.binary()), ("tf", pa.binary())])
+
+
 def _terms_of(batches):
-    """(doc_id, label, origin, term, tf) of labelled texts; origin: the least shingle, mostly the same for near copies."""
+    """A row per labelled text, its distinct words and their counts packed; origin: the least shingle, mostly the same for near copies."""
     for batch in batches:
-        ids, labels = batch.column(0), batch.column(2)
+        ids, labels = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for chunk in chunks(batch.column(1), lower=True, alnum=True):
-            rows, terms, tfs, origin = [], [], [], []
+            rows = []
             for i in range(chunk.last - chunk.first):
                 t, tf = np.unique(chunk.words(i), return_counts=True)
                 g = grams(chunk.words(i), min(5, max(1, int(tf.sum()))))
-                origin.append(np.full(len(t), g.min() if len(g) else 0, np.uint64))
-                rows.append(np.full(len(t), chunk.first + i))
-                terms.append(t)
-                tfs.append(tf)
-            at = pa.array(np.concatenate(rows))
-            yield pa.record_batch([ids.take(at), labels.take(at), pa.array(np.concatenate(origin).view(np.int64)),
-                                   pa.array(np.concatenate(terms).view(np.int64)), pa.array(np.concatenate(tfs))],
-                                  names=["doc_id", "label", "origin", "term", "tf"])
+                origin = int(g.min().astype(np.uint64).view(np.int64)) if len(g) else 0
+                rows.append((ids[chunk.first + i], labels[chunk.first + i], origin, len(t), t.astype("<u8").tobytes(), tf.astype("<u4").tobytes()))
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _EXAMPLES)], schema=_EXAMPLES)
+
+
+COUNTED = 1 << 16  # terms whose counts travel as one row
+
+
+def _blobs(count):
+    return [(i // COUNTED, count[i : i + COUNTED].astype("<i8").tobytes()) for i in range(0, len(count), COUNTED)]
 
 
 def _documents_with(batches, terms):
-    """(number of the term, texts of the task that hold it); number -1: all texts."""
-    count, texts = np.zeros(len(terms), np.int64), 0
+    """(bucket, how many texts of the task hold each of its terms); the last count of all is the number of texts."""
+    count = np.zeros(len(terms) + 1, np.int64)
     for batch in batches:
-        texts += batch.num_rows
+        count[-1] += batch.num_rows
         for chunk in chunks(batch.column(0), lower=True, alnum=True):
             t = np.minimum(np.searchsorted(terms, chunk.hashes), len(terms) - 1)
             has = terms[t] == chunk.hashes
             text = np.repeat(np.arange(chunk.last - chunk.first), np.diff(chunk.bounds))
             held = np.unique(text[has] * len(terms) + t[has]) % len(terms)
-            count += np.bincount(held, minlength=len(terms))
-    at = np.flatnonzero(count)
-    yield pa.record_batch([pa.array(np.r_[-1, at], pa.int64()), pa.array(np.r_[texts, count[at]], pa.int64())], names=["t", "n"])
+            count[:-1] += np.bincount(held, minlength=len(terms))
+    rows = [(b, TaskContext.get().partitionId() % TREE, c) for b, c in _blobs(count)]
+    yield _counts(rows)
+
+
+TREE = 64  # sums of a bucket that are added up before the last ones are
+COUNTS = "bucket int, branch int, counts binary"
+
+
+def _counts(rows):
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "branch", "counts"])
+
+
+def _added(batches):
+    """Rows sorted by bucket, each bucket's counts added up as they are read."""
+    bucket, total = None, None
+    for batch in batches:
+        for b, c in zip(batch.column(0).to_pylist(), batch.column(2)):
+            c = np.frombuffer(c.as_buffer(), "<i8")
+            if b == bucket:
+                total = total + c
+            else:
+                if bucket is not None:
+                    yield _counts([(bucket, 0, total.tobytes())])
+                bucket, total = b, c
+    if bucket is not None:
+        yield _counts([(bucket, 0, total.tobytes())])
+
+
+def _document_counts(every: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
+    """(texts that hold each term, all texts): counted in tasks, added up over two levels."""
+    counts = every.select("text").mapInArrow(partial(_documents_with, terms=terms), COUNTS)
+    for keys in (["bucket", "branch"], ["bucket"]):
+        counts = counts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_added, COUNTS)
+    rows = counts.toArrow().sort_by("bucket")  # eight bytes per term of the examples
+    total = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<i8")
+    return (total[:-1], int(total[-1])) if len(total) else (np.zeros(len(terms), np.int64), 0)
 
 
 def _differs(a: np.ndarray, held: np.ndarray, pos: float, m: float) -> np.ndarray:
@@ -165,59 +206,57 @@ def _differs(a: np.ndarray, held: np.ndarray, pos: float, m: float) -> np.ndarra
     return off**2 * m**3 / (held * np.maximum(m - held, 1) * pos * (m - pos))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, k: int = NEIGHBOURS, id_col: str = "doc_id",
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_words: int = 8_000_000, k: int = NEIGHBOURS, id_col: str = "doc_id",
         text_col: str = "text") -> BlockMaxIndex:
-    """Index over at most max_examples labelled documents; labels: (doc_id, label), null labels count as none.
+    """Index over at most max_examples labelled documents, of at most max_words distinct words each added up; labels: (doc_id,
+    label), null labels count as none.  The documents are those of least hash of doc_id.
 
-    A doc_id labelled more than once counts once, with its largest label.  Every word of the examples is a term, so the
-    index is as large as their texts.
+    A doc_id labelled more than once counts once, with its largest label; of rows of one doc_id the one of the most
+    words is its example.  Every word of the examples is a term.
     """
     spark = docs.sparkSession
     sample = labels.toDF("doc_id", "label").dropna().groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
     every = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = every.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # at most max_examples rows
-    terms = materialized(spark, rows.mapInArrow(_terms_of, "doc_id bigint, label int, origin bigint, term bigint, tf bigint"), "terms")
-    examples = rows.select("doc_id", "label").distinct().toArrow()  # at most max_examples rows
-    doc, label = examples.column("doc_id").to_numpy(), examples.column("label").to_numpy()
-    order = np.argsort(doc)
-    doc, label = doc[order], label[order]
-    n = len(doc)
-    each = terms.groupBy("origin", "term").agg(F.max("label").alias("label"))
-    total = each.groupBy("origin").agg(F.max("label").alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).first()
-    vocabulary = each.groupBy("term").agg(F.sum("label").alias("a"), F.count(F.lit(1)).alias("held")).toArrow()  # words of the examples
-    term = vocabulary.column("term").to_numpy().view(np.uint64)
-    order = np.argsort(term)
-    term = term[order]
-    a, held = (vocabulary.column(c).to_numpy()[order].astype(float) for c in ("a", "held"))
+    packed = materialized(spark, rows.mapInArrow(_terms_of, EXAMPLES), "examples")
+    by_hash = packed.groupBy("doc_id").agg(F.max("n").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # numbers of the sample
+    fits = np.cumsum(by_hash.column("n").to_numpy()) <= max_words
+    chosen = packed.join(F.broadcast(spark.createDataFrame(by_hash.filter(pa.array(fits)).select(["doc_id"]).to_pandas(), "doc_id bigint")), "doc_id")
+    best = F.max_by(F.struct("label", "origin", "terms", "tf"), F.struct("n", "origin")).alias("x")
+    found = chosen.groupBy("doc_id").agg(best).select("doc_id", "x.*").toArrow().sort_by("doc_id")  # bounded by max_words
+    doc, label = found.column("doc_id").to_numpy().copy(), found.column("label").to_numpy().astype(np.int64)
+    sizes = pc.divide(pc.binary_length(found.column("terms")), 8).to_numpy().astype(np.int64)
+    origin = np.unique(found.column("origin").to_numpy(), return_inverse=True)[1]
+    words = np.frombuffer(b"".join(found.column("terms").to_pylist()), "<u8")
+    tf = np.frombuffer(b"".join(found.column("tf").to_pylist()), "<u4")
+    del found
+    n, e = len(doc), np.repeat(np.arange(len(doc), dtype=np.int32), sizes)
+    term = np.unique(words)
+    t = np.searchsorted(term, words).astype(np.int32)
+    del words
     rare, idf = 0.0, np.zeros(0)
     if len(term):
-        counts = every.select("text").mapInArrow(partial(_documents_with, terms=term), "t bigint, n bigint")
-        counts = counts.groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # one row per word of the examples
-        t, df = counts.column("t").to_numpy(), counts.column("n").to_numpy()
-        every_n, number = int(df[t < 0].sum()), np.zeros(len(term))
-        number[t[t >= 0]] = df[t >= 0]
-        differs = _differs(a, held, float(total["pos"]), float(total["n"]))
+        number, every_n = _document_counts(every, term)
+        held, ones = _origins_with(t, origin[e], label[e], len(term))
+        with_terms = np.unique(origin[e])
+        positive = np.unique(origin[e][label[e] == 1])
+        differs = _differs(ones, held, float(len(positive)), float(len(with_terms)))
         idf = (np.log((1 + every_n) / (1 + number)) + 1) * (1 + np.maximum(differs - 2 * np.log(len(term)), 0))
         rare = float(np.log((1 + every_n) / 2) + 1)
-        del counts, t, df
-    found = terms.groupBy("doc_id", "term").agg(F.max("tf").cast("int").alias("tf")).toArrow()  # words of the examples
-    t = np.searchsorted(term, found.column("term").to_numpy().view(np.uint64)).astype(np.int32)
-    e = np.searchsorted(doc, found.column("doc_id").to_numpy()).astype(np.int32)
-    w = (1 + np.log(found.column("tf").to_numpy())) * idf[t]
-    del found
-    w = w / np.sqrt(np.bincount(e, w * w, minlength=n))[e]
+    w = ((1 + np.log(tf)) * idf[t]).astype(np.float32) if len(term) else np.zeros(0, np.float32)
+    w /= np.sqrt(np.bincount(e, w.astype(float) ** 2, minlength=n))[e].astype(np.float32)
     # examples that share their strongest term stand together, so that block maxima are tight
     strongest = np.full(n, -1)
     o = np.argsort(w, kind="stable")
     strongest[e[o]] = t[o]
-    place = np.empty(n, np.int64)
+    place = np.empty(n, np.int32)
     order = np.lexsort((doc, strongest))
-    place[order] = np.arange(n)
+    place[order] = np.arange(n, dtype=np.int32)
     doc, label, e = doc[order], label[order], place[e]
     o = np.lexsort((e, t))
     t, e, w = t[o], e[o], w[o]
+    del o
     index = BlockMaxIndex(term, idf, np.searchsorted(t, np.arange(len(term) + 1)), e, w, doc, label, rare)
     has = np.zeros(n, bool)
     has[e] = True
@@ -226,6 +265,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, k: int =
     return index
 
 
+def _origins_with(t: np.ndarray, origin: np.ndarray, label: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """(origins, origins with a label 1) that hold each term: copies of one text count once."""
+    def distinct(mask):
+        pairs = np.unique(origin[mask].astype(np.int64) * terms + t[mask])
+        return np.bincount(pairs % terms, minlength=terms).astype(float)
+
+    return distinct(slice(None)), distinct(label == 1)
+
+
 def _calibrate(index, t, e, w, rows, k, most=4000):
     """The curve from vote shares to probabilities, on `most` examples at most, each voted on without itself."""
     rows = rows[:: max(1, -(-len(rows) // most))]
