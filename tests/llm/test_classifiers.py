@@ -14,7 +14,7 @@ from tidewater.llm import co_training as ct, linear, quality_rules as qr, toxici
 from tidewater.llm.queries import LEARN
 
 TABLE = "/root/testdata/sf0.01"
-EMPTY = [(linear.Sparse.from_rows([]), np.zeros(0, int)), linear.Sparse.from_rows([])]
+EMPTY = [linear.Sparse.from_rows([]), linear.Sparse.from_rows([])]
 
 
 @pytest.fixture(scope="module")
@@ -127,7 +127,7 @@ def test_views_exchange_pseudo_labels(monkeypatch):
     truth = [i % 2 for i in range(500)]
     meta = [(np.array([y]), np.ones(1)) for y in truth]
     text = [(np.array([2 + 2 * (rng.randrange(8) if i >= 100 else 0) + y]), np.ones(1)) for i, y in enumerate(truth)]
-    x = [linear.Sparse.from_rows(text).common(1, ct.DIMS), linear.Sparse.from_rows(meta)]
+    x = [linear.Sparse.from_rows(text), linear.Sparse.from_rows(meta)]
     few, many = (ct.co_train(x, label, n) for n in (0, 3))
     unseen = [2 + 2 * g + y for g in range(1, 8) for y in (0, 1)]
     apart = [sum(abs(m.text[0][f]) > 1e-3 for f in unseen) for m in (few, many)]
@@ -185,7 +185,7 @@ def test_quality_rules_on_held_out_labels(table):
 def test_base_counts_match_brute_force(spark, frame, small_rows):
     rows = [(5000 + i, t) for i, t in enumerate(ODD_TEXTS)] + small_rows
     rows += [(9000, "l one\nl two\nl one\r\n\n \nl one\nl two"), (9001, "a b c d e " * 5), (9002, "é#*%  𝔸|<>&$ x " * 3), (9003, "same " * 30000)]
-    model = qr.fit_rows(linear.Sparse.from_rows([]), np.zeros(0, int), np.zeros(0))
+    model = qr.fit_rows(linear.Sparse.from_rows([]), np.zeros(0))
     got = {r.doc_id: r for r in qr.quality_rules(frame(rows), model).collect()}
     for i, t in rows:
         want, r = brute.base_counts(t), got[i]
@@ -301,3 +301,38 @@ def test_toxicity_query_holds_out_rows_without_id(spark, frame, tmp_path):
     got = op3_toxicity(spark, f"file://{tmp_path}").collect()
     assert len(got) == 42 and [r.held_out for r in got if r.doc_id is None] == [True, True]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in got if r.doc_id is not None)
+
+
+def test_range_sums():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 7):
+        values = rng.normal(size=n).astype(np.float32)
+        a = rng.integers(0, n + 1, 40)
+        b = np.minimum(a + rng.integers(0, 4, 40), n)
+        a, b = np.r_[a, 0, n], np.r_[b, n, n]
+        assert np.allclose(ct._range_sums(values, a, b), [values[i:j].sum() for i, j in zip(a, b)], atol=1e-6)
+
+
+def test_sums_meet_until_few_are_left(spark, frame, monkeypatch):
+    """Many tasks: the tree goes on level by level, and the sums are those of one task."""
+    docs = frame([(i, f"fine words {i}" if i % 2 else f"BAD $$ {i}") for i in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 60)], "d bigint, y int")
+    monkeypatch.setattr(ct, "FAN_IN", 2)
+    model = ct.fit(docs.coalesce(1), labels)
+    turns = [ct._Turn([model.text, model.meta], [[(-1, 0.0)] * 2] * 2)]
+    rows = ct._prepared(docs, "doc_id", "text")
+    one, many = ct._Documents(rows.coalesce(1)), ct._Documents(rows.repartition(9))
+    assert (one.tasks, many.tasks) == (1, 4) or many.tasks > 1
+    a, b = one.sums(turns), many.sums(turns)
+    assert np.allclose(a.ends, b.ends, rtol=1e-4) and np.allclose(a.grad[0], b.grad[0], rtol=1e-3, atol=1e-3)
+
+
+def test_sampled_rows_are_in_order_and_distinct(spark):
+    from tidewater.llm.features import sampled_rows
+
+    def row(i, y, f, v):
+        return i, y, np.array(f, np.int32).tobytes(), np.array(v, np.float32).tobytes()
+
+    df = spark.createDataFrame([row(3, 1, [1, 2], [0.5, 1.5]), row(1, 0, [], []), row(2, 1, [7], [2.0]), row(2, 1, [7], [2.0])], "doc_id long, label int, f binary, v binary")
+    label, (x,) = sampled_rows(df)
+    assert label.tolist() == [0, 1, 1] and x.at.tolist() == [0, 0, 1, 3] and x.feature.tolist() == [7, 1, 2] and x.value.tolist() == [2, 0.5, 1.5]

@@ -2,7 +2,8 @@
 
 The text view holds the words and byte trigrams of the content, hashed.  The metadata view holds what is known of
 the page without reading its words: source, language, length, and the layout of its lines and words (line
-counts and lengths, shares of capitals, digits, separators and punctuation, variety of words), as one-hot steps.
+counts and lengths, shares of capitals, digits, separators and punctuation), as one-hot steps: no feature depends on which words
+stand there.
 Each view has a logistic classifier.  Every round both are fitted on the labelled rows and the pseudo-labels they
 were given so far; then each labels the pool documents it is surest about, and these go to the other.  The pool is all
 documents outside of the labelled sample: each round a pass over it counts them by both views' logits, which
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.exchange import discard, materialized
-from tidewater.llm.features import DIMS, char_grams, fresh, joined, kept_rows, sample_ids, share, word_grams
-from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid, spread
+from tidewater.llm.features import DIMS, char_grams, fresh, joined, kept_rows, packed, sample_ids, sampled_rows, share, word_grams
+from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
 from tidewater.llm.words import U64, Chunk, chunks, grams, mix
 
 ROUNDS = 4
@@ -71,20 +72,19 @@ def _one_hot(name: str, value) -> int:
     return (h ^ h >> 15) % META_DIMS
 
 
-def _layout(data: np.ndarray, words: np.ndarray) -> list[tuple[str, int]]:
-    """Named steps of a text's layout."""
-    n, w = max(1, len(data)), max(1, len(words))
+def _layout(data: np.ndarray, words: int) -> list[tuple[str, int]]:
+    """Named steps of a text's layout; words: how many."""
+    n, w = max(1, len(data)), max(1, words)
     lines = int((data == 10).sum()) + 1
-    return [("bytes", _log_step(len(data))), ("words", _log_step(len(words))), ("lines", _log_step(lines)),
-            ("line", _log_step(len(words) / lines)), ("word", _log_step(len(data) / w)), ("upper", _step(_UPPER[data].sum() / n)),
+    return [("bytes", _log_step(len(data))), ("words", _log_step(words)), ("lines", _log_step(lines)),
+            ("line", _log_step(words / lines)), ("word", _log_step(len(data) / w)), ("upper", _step(_UPPER[data].sum() / n)),
             ("digit", _step(_DIGIT[data].sum() / n)), ("punct", _step(3 * _PUNCT[data].sum() / n, 24)),
-            ("bars", _step(5 * (data == 124).sum() / n)), ("variety", _step(len(np.unique(words)) / w)),
-            ("echo", _step((words[1:] == words[:-1]).sum() / w))]
+            ("bars", _step(5 * (data == 124).sum() / n))]
 
 
 def _meta(chunk: Chunk, i: int, fields: list[tuple[str, object]]) -> tuple[np.ndarray, np.ndarray]:
     data = chunk.data[chunk.text_starts[i] : chunk.text_starts[i + 1]]
-    f = np.unique([_one_hot(k, v) for k, v in [*_layout(data, chunk.words(i)), *fields]])
+    f = np.unique([_one_hot(k, v) for k, v in [*_layout(data, int(chunk.bounds[i + 1] - chunk.bounds[i])), *fields]])
     return f.astype(np.int64), np.ones(len(f))
 
 
@@ -104,12 +104,8 @@ def _sampled(batches):
         fields = [batch.column(3 + j).to_pylist() for j in range(len(FIELDS))]
         for chunk in chunks(batch.column(1)):
             rows = _views(chunk, fields)
-            ints, floats = pa.list_(pa.int32()), pa.list_(pa.float32())
-            yield pa.record_batch([
-                batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)),
-                *(pa.array([r[j].astype(np.float32 if j % 2 else np.int32) for r in rows], floats if j % 2 else ints)
-                  for j in range(4))],
-                names=["doc_id", "label", "tf", "tv", "mf", "mv"])
+            yield pa.record_batch([batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)), *packed(rows, 2)],
+                                  names=["doc_id", "label", "tf", "tv", "mf", "mv"])
 
 
 def _inputs(docs: DataFrame, id_col: str, text_col: str) -> list:
@@ -252,45 +248,57 @@ def _with_meta(batches):
                                    pa.array(mf, pa.list_(pa.int32()))], names=["text", "u", "mf"])
 
 
+def _range_sums(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of values[a[i]:b[i]] for each i."""
+    if not len(values):
+        return np.zeros(len(a))
+    at = np.empty(2 * len(a), np.int64)
+    at[0::2], at[1::2] = np.minimum(a, len(values) - 1), np.minimum(b, len(values) - 1)
+    out = np.add.reduceat(values, at, dtype=np.float64)[0::2]
+    last = (b == len(values)) & (a < b - 1)  # a range's end must be a place, so the last value is added apart
+    out[last] += values[-1]
+    out[a >= b] = 0.0
+    return out
+
+
 class _View:
-    """Features of a chunk of pool documents, each occurrence on its own."""
+    """Features of a chunk of pool documents, each occurrence on its own; those of a document stand together."""
 
     def __init__(self, chunk: Chunk, meta: pa.Array):
         n, starts = chunk.last - chunk.first, chunk.text_starts
         self.n, tri = n, char_grams(chunk, 3)
-        inside = np.ones(len(tri), bool)
-        for back in (1, 2):  # trigrams across the end of a text
-            ends = starts[1:] - back
-            inside[ends[(ends >= 0) & (ends < len(tri))]] = False
-        text = np.repeat(np.arange(n), np.diff(starts))[: len(tri)]
         words = (mix(grams(chunk.hashes, 1) + U64(1)) & U64(DIMS - 1)).astype(np.int32)
-        self.parts = [(tri[inside], text[inside]), (words, np.repeat(np.arange(n), np.diff(chunk.bounds)))]
+        ends = np.minimum(np.maximum(starts[1:] - 2, starts[:-1]), len(tri))  # no trigram goes across the end of a text
+        self.parts = [(tri, np.minimum(starts[:-1], len(tri)), ends), (words, chunk.bounds[:-1], chunk.bounds[1:])]
         meta = meta.slice(chunk.first, n)
-        self.meta = np.asarray(meta.flatten()), np.repeat(np.arange(n), np.diff(np.asarray(meta.offsets)))
+        edges = np.asarray(meta.offsets).astype(np.int64)
+        self.meta = np.asarray(meta.flatten()), edges[:-1] - edges[0], edges[1:] - edges[0]
 
-    def share(self, own: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def share(part) -> np.ndarray:
         """Value of one occurrence, per document."""
-        return SCALE / np.maximum(np.bincount(own, minlength=self.n), 1)
+        return SCALE / np.maximum(part[2] - part[1], 1)
 
     def raws(self, turns: list) -> list:
         out = []
         for turn in turns:
             (w, b, _), (wm, bm, _) = turn.models
-            text = b + sum(np.bincount(own, w[f], minlength=self.n) * self.share(own) for f, own in self.parts)
-            out.append([text, bm + np.bincount(self.meta[1], wm[self.meta[0]], minlength=self.n)])
+            text = b + sum(_range_sums(w.take(part[0]), *part[1:]) * self.share(part) for part in self.parts)
+            out.append([text, bm + _range_sums(wm.take(self.meta[0]), *self.meta[1:])])
         return out
 
     def add(self, sums: _Sums, turns: list, u: np.ndarray):
         raws = self.raws(turns)
         for v, y in enumerate(_given(turns, raws, u)):
-            has, r = ~np.isnan(y), sigmoid(raws[-1][v]) - y
+            has, r = np.flatnonzero(~np.isnan(y)), sigmoid(raws[-1][v]) - y
             parts = [self.meta] if v else self.parts
-            values = [np.ones(self.n) if v else self.share(own) for _, own in parts]
-            length = sum(x * np.bincount(own, minlength=self.n) for x, (_, own) in zip(values, parts))
+            values = [np.ones(self.n) if v else self.share(part) for part in parts]
+            length = sum(x * (part[2] - part[1]) for x, part in zip(values, parts))
             sums.add(v, y[has], r[has], length[has])
-            for x, (f, own) in zip(values, parts):
-                at = has[own]
-                own = own[at]
+            for x, (f, a, b) in zip(values, parts):
+                size = (b - a)[has]
+                own = np.repeat(has, size)
+                at = np.arange(size.sum()) + np.repeat(a[has] - np.cumsum(size) + size, size)
                 sums.spread(v, f[at], x[own], y[own], r[own], length[own])
 
 
@@ -332,7 +340,8 @@ class _Documents:
         place = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)).alias("u")
         table = rows.select("text", place, *FIELDS).mapInArrow(_with_meta, "text string, u double, mf array<int>")
         self.table = materialized(rows.sparkSession, table, "pool")
-        self.size, self.dims = self.table.count(), (DIMS, META_DIMS)
+        size = self.table.select(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.max("p").alias("p")).first()
+        self.size, self.tasks, self.dims = size["n"], (size["p"] or 0) + 1, (DIMS, META_DIMS)
 
     def counted(self, turns: list) -> np.ndarray:
         got = self.table.mapInArrow(partial(_pool_pass, turns=turns, summed=False), "bin bigint, n bigint")
@@ -343,8 +352,10 @@ class _Documents:
 
     def sums(self, turns: list) -> _Sums:
         got = self.table.mapInArrow(partial(_pool_pass, turns=turns, summed=True), _SUMS)
-        for _ in range(2):
+        tasks = self.tasks
+        while tasks > FAN_IN:  # a level of the tree at a time, until the driver has few sums to add
             got = got.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("task").applyInArrow(_meet, _SUMS)
+            tasks = -(-tasks // FAN_IN)
         return _sums_of(((r.flat, r.ends) for r in got.toLocalIterator()), self.dims)
 
     def discard(self):
@@ -361,12 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, rounds: in
     known = labels.toDF("doc_id", "label").dropna().groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     chosen = materialized(docs.sparkSession, sample_ids(known, max_labelled), "labelled")  # at most max_labelled rows
     got = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", *FIELDS)
-    got = got.mapInArrow(_sampled, "doc_id bigint, label int, tf array<int>, tv array<float>, mf array<int>, mv array<float>")
-    got = got.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-    label = got["label"].to_numpy(zero_copy_only=False).astype(float)
-    x = [(Sparse.from_arrow(got["tf"], got["tv"]), np.arange(DIMS)), Sparse.from_arrow(got["mf"], got["mv"])]
-    del got  # the fit needs the room
-    pa.default_memory_pool().release_unused()
+    label, x = sampled_rows(got.mapInArrow(_sampled, "doc_id bigint, label int, tf binary, tv binary, mf binary, mv binary"))
     if not 0 < label.sum() < len(label):
         return co_train(x, label, 0)
     pool = _Documents(rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti"))
@@ -376,7 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, rounds: in
 
 
 def co_train(x: list, label: np.ndarray, rounds: int, pool=None) -> CoModel:
-    """x: the text view's rows with their features' names, and the metadata view's rows; label: 0 or 1.
+    """x: the text view's rows and the metadata view's rows; label: 0 or 1.
 
     Without a pool, it is the rows whose label is nan.
     """
@@ -386,8 +392,7 @@ def co_train(x: list, label: np.ndarray, rounds: int, pool=None) -> CoModel:
         flat = float(np.log((pos + 1) / (n - pos + 1)))
         return CoModel((np.zeros(DIMS, np.float32), 0.0, (0.0, flat)), (np.zeros(META_DIMS, np.float32), 0.0, (0.0, flat)),
                        (0.5, 0.5, 0.0))
-    (text, names), meta = x
-    x, dims = [text, meta], (len(names), META_DIMS)
+    dims = (DIMS, META_DIMS)
     if pool is None:
         pool = _Rows([v.rows(~has) for v in x], dims)
         x, label = [v.rows(has) for v in x], label[has]
@@ -421,7 +426,7 @@ def co_train(x: list, label: np.ndarray, rounds: int, pool=None) -> CoModel:
     both = Sparse.from_rows([(np.array([0, 1]), np.array(z)) for z in np.c_[logits[0][held], logits[1][held]]])
     w, b = fit_logistic(both, label[held], np.ones(int(held.sum())), 2, l2=1e-3, rounds=200, rate=0.1)
     w0, b0, curve = fitted[0]
-    return CoModel((spread(w0, names, DIMS), b0, curve), fitted[1], (float(w[0]), float(w[1]), b))
+    return CoModel((w0, b0, curve), fitted[1], (float(w[0]), float(w[1]), b))
 
 
 def _weights(learn: np.ndarray, label: np.ndarray, given: np.ndarray | None = None):

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.linear import Sparse
 from tidewater.llm.words import BLOCK, U64, Chunk, grams, mix
 
 DIMS = 1 << 18
@@ -52,6 +53,22 @@ def sample_ids(ids: DataFrame, most: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def sampled_rows(rows: DataFrame) -> tuple[np.ndarray, list[Sparse]]:
+    """(labels, rows of each view) in doc_id order, of a bounded sample (doc_id, label, then features and values of each view, packed).
+
+    A partition at a time comes to the driver, so that its JVM never holds the sample."""
+    got = sorted(rows.dropDuplicates(["doc_id"]).toLocalIterator(), key=lambda r: r.doc_id)
+    label = np.array([r.label for r in got], float)
+    columns = [[r[j] for r in got] for j in range(2, len(rows.columns))]
+    del got
+    return label, [Sparse.from_bytes(f, v) for f, v in zip(columns[0::2], columns[1::2])]
+
+
+def packed(rows: list[tuple], views: int) -> list[pa.Array]:
+    """Columns of features and values of each view; rows: features and values, view by view."""
+    return [pa.array([r[j].astype(np.float32 if j % 2 else np.int32).tobytes() for r in rows], pa.binary()) for j in range(2 * views)]
+
+
 def fresh(columns: list[str], n: int) -> list[str]:
     """n column names that none of columns has."""
     taken, stem = {c.lower() for c in columns}, "_in"

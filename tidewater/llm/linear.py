@@ -52,11 +52,15 @@ class Sparse:
                       np.concatenate([np.asarray(v, np.float32) for _, v in rows] or [np.zeros(0, np.float32)]))
 
     @staticmethod
-    def from_arrow(features, values) -> Sparse:
-        """From two list columns of an Arrow table."""
-        features, values = features.combine_chunks(), values.combine_chunks()
-        return Sparse(np.asarray(features.offsets) - features.offsets[0].as_py() if len(features) else np.zeros(1),
-                      np.asarray(features.flatten()), np.asarray(values.flatten()))
+    def from_bytes(features: list[bytes], values: list[bytes]) -> Sparse:
+        """From int32 features and float32 values per row; the lists are emptied on the way, as they hold as much again."""
+        at = np.r_[0, np.cumsum([len(f) // 4 for f in features], dtype=np.int64)]
+        out = Sparse(at, np.empty(int(at[-1]), np.int32), np.empty(int(at[-1]), np.float32))
+        for i in range(len(at) - 1):
+            out.feature[at[i] : at[i + 1]] = np.frombuffer(features[i], np.int32)
+            out.value[at[i] : at[i + 1]] = np.frombuffer(values[i], np.float32)
+            features[i] = values[i] = None
+        return out
 
     def __len__(self):
         return len(self.at) - 1
@@ -67,16 +71,6 @@ class Sparse:
         each = np.repeat(keep, size)
         return Sparse(np.r_[0, np.cumsum(size[keep])], self.feature[each], self.value[each])
 
-    def common(self, least: int, dims: int) -> tuple[Sparse, np.ndarray]:
-        """(rows, names): only features that `least` rows or more hold, as others can't carry over to other rows,
-        numbered anew; names gives the old numbers."""
-        names = np.flatnonzero(np.bincount(self.feature, minlength=dims) >= least)
-        number = np.full(dims, -1, np.int32)
-        number[names] = np.arange(len(names))
-        new = number[self.feature]
-        keep = new >= 0
-        return Sparse(np.r_[0, np.cumsum(keep)][self.at], new[keep], self.value[keep]), names
-
     def _blocks(self):
         """(rows from, to) that hold about BLOCK features together, so that products need little room."""
         i = 0
@@ -104,14 +98,7 @@ class Sparse:
         return out
 
 
-def spread(w: np.ndarray, names: np.ndarray, dims: int) -> np.ndarray:
-    """Weights under the features' old numbers."""
-    out = np.zeros(dims, np.float32)
-    out[names] = w
-    return out
-
-
-def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, l2: float = 1e-5, rounds: int = 80,
+def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dims: int, l2: float = 1e-5, rounds: int = 120,
                  rate: float = 0.5, start: tuple[np.ndarray, float] | None = None, far: list | None = None) -> tuple[np.ndarray, float]:
     """(weights, intercept) by full-batch Adam: no order of rows, no random numbers. Rows of weight 0 don't count.
 

@@ -16,15 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.features import DIMS, char_grams, joined, sample_ids, share, word_grams
-from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid, spread
+from tidewater.llm.features import DIMS, char_grams, joined, packed, sample_ids, sampled_rows, share, word_grams
+from tidewater.llm.linear import Sparse, fit_logistic, platt, sigmoid
 from tidewater.llm.words import Chunk, chunks, grams
 
 CHARS, WORDS = (2, 3, 4), (1, 2)
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 THRESHOLD = 0.5
-LEAST_ROWS = 3  # sampled rows that hold a feature of the model
 SCALE = 30.0  # of shares, so that weights of ordinary size matter
 
 _SYMBOL = np.zeros(256, bool)
@@ -55,9 +54,7 @@ def _sampled_features(batches):
         for chunk in chunks(batch.column(1)):
             rows = _features(chunk)
             yield pa.record_batch([
-                batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)),
-                pa.array([f.astype(np.int32) for f, _ in rows], pa.list_(pa.int32())),
-                pa.array([v.astype(np.float32) for _, v in rows], pa.list_(pa.float32()))],
+                batch.column(0).slice(chunk.first, len(rows)), batch.column(2).slice(chunk.first, len(rows)), *packed(rows, 1)],
                 names=["doc_id", "label", "features", "values"])
 
 
@@ -71,16 +68,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 4000, id_col: st
         F.min("label").cast("int").alias("label")), max_examples)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # at most max_examples rows
-    got = rows.mapInArrow(_sampled_features, "doc_id bigint, label int, features array<int>, values array<float>")
-    got = got.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")  # at most max_examples rows
-    x, names = Sparse.from_arrow(got["features"], got["values"]).common(LEAST_ROWS, DIMS)
-    y = got["label"].to_numpy().astype(float)
-    del got  # the fit needs the room
-    pa.default_memory_pool().release_unused()
-    return fit_rows(x, names, y)
+    y, (x,) = sampled_rows(rows.mapInArrow(_sampled_features, "doc_id bigint, label int, features binary, values binary"))
+    return fit_rows(x, y)
 
 
-def fit_rows(x: Sparse, names: np.ndarray, y: np.ndarray) -> NgramModel:
+def fit_rows(x: Sparse, y: np.ndarray) -> NgramModel:
     pos = float(y.sum())
     if not 0 < pos < len(y):
         return NgramModel(np.zeros(DIMS, np.float32), 0.0, (0.0, float(np.log((pos + 1) / (len(y) - pos + 1)))))
@@ -89,8 +81,8 @@ def fit_rows(x: Sparse, names: np.ndarray, y: np.ndarray) -> NgramModel:
     if len(set(y[use])) < 2 or len(set(y[late])) < 2:
         use = late = np.ones(len(y), bool)
     each = use * np.where(y == 1, 0.5 / max(1, y[use].sum()), 0.5 / max(1, (1 - y[use]).sum()))
-    w, b = fit_logistic(x, y, each, len(names))
-    return NgramModel(spread(w, names, DIMS), b, platt((x.dot(w) + b)[late], y[late]))
+    w, b = fit_logistic(x, y, each, DIMS)
+    return NgramModel(w, b, platt((x.dot(w) + b)[late], y[late]))
 
 
 def _score_chunk(chunk: Chunk, model: NgramModel) -> np.ndarray:
