@@ -34,6 +34,8 @@ from tidewater.llm.words import chunks, grams
 BLOCK = 64
 NEIGHBOURS = 15
 HEAVY = 8  # a term is heavy when one example in so many holds it
+TERMS = 6  # heavy terms added between two looks at who can still be among the nearest
+FIRST = 128  # examples that are completed before the others, more than NEIGHBOURS
 EVIDENCE = 3  # nearest examples reported; votes use all
 
 
@@ -79,21 +81,35 @@ class BlockMaxIndex:
         """(examples, cosines) of the k nearest and all that tie with the k-th, best first; skip is left out."""
         n, row = len(self.doc), self.heavy_row[t]
         light = row < 0
-        size = self.at[t[light] + 1] - self.at[t[light]]
-        at = np.repeat(self.at[t[light]] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        score = np.bincount(self.example[at], np.repeat(w[light], size) * self.weight[at], minlength=n).astype(float)
+        first, last = self.at[t[light]], self.at[t[light] + 1]
+        parts = [(self.example[i:j], self.weight[i:j]) for i, j in zip(first.tolist(), last.tolist())]
+        if parts:
+            weight = np.concatenate([x for _, x in parts]) * np.repeat(w[light].astype(np.float32), last - first)
+            score = np.bincount(np.concatenate([x for x, _ in parts]), weight, minlength=n)
+        else:
+            score = np.zeros(n)
         if skip >= 0:
             score[skip] = -np.inf
-        row, w = row[~light], w[~light]
-        if len(row):
-            kth = np.partition(score, n - k)[n - k] if n > k else 0.0
-            bound = score + np.repeat(w @ self.block_max[row], BLOCK)[:n]
-            e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
-            rest = w @ self.dense[np.ix_(row, e)] if len(e) * 4 < n else (w @ self.dense[row])[e]
-            s = np.round(score[e] + rest, 6)
-        else:
-            e = np.flatnonzero(score > 0)
-            s = np.round(score[e], 6)
+        row, w = row[~light], w[~light].astype(np.float32)
+        # heavy terms by the most that they can add; rest[j]: what terms j and on can add within each block
+        most = w[:, None] * self.block_max[row]
+        by = np.argsort(-most.max(axis=1)) if len(row) else np.zeros(0, np.int64)
+        row, w = row[by], w[by]
+        rest = np.zeros((len(row) + 1, self.block_max.shape[1]))
+        rest[:-1] = np.cumsum(most[by][::-1], axis=0)[::-1]
+        bound, kth = score + np.repeat(rest[0], BLOCK)[:n], 0.0
+        if n > k:
+            # the examples of the largest bounds are completed first: their k-th best is a tight limit for all others
+            some = np.argpartition(bound, max(0, n - FIRST))[max(0, n - FIRST) :]
+            s = score[some] + w @ self.dense[np.ix_(row, some)]
+            kth = np.partition(s, len(s) - k)[len(s) - k]
+        e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
+        s = score[e]
+        for i in range(0, len(row), TERMS):  # some terms at a time, and on with those that can still reach the limit
+            s = s + w[i : i + TERMS] @ self.dense[np.ix_(row[i : i + TERMS], e)]
+            able = s + rest[min(i + TERMS, len(row))][e // BLOCK] >= kth - 1e-5
+            e, s = e[able], s[able]
+        s = np.round(s, 6)
         kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0.0
         keep = (s > 0) & (s >= kth)
         e, s = e[keep], s[keep]
@@ -238,47 +254,48 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
     rare, idf = 0.0, np.zeros(0)
     if len(term):
         number, every_n = _document_counts(every, term)
-        held, ones = _origins_with(t, origin[e], label[e], len(term))
-        with_terms = np.unique(origin[e])
-        positive = np.unique(origin[e][label[e] == 1])
-        differs = _differs(ones, held, float(len(positive)), float(len(with_terms)))
+        held = _origins_with(t, origin, sizes, np.ones(n, bool), len(term))
+        ones = _origins_with(t, origin, sizes, label == 1, len(term))
+        worded = sizes > 0
+        differs = _differs(ones, held, float(len(np.unique(origin[worded & (label == 1)]))), float(len(np.unique(origin[worded]))))
         idf = (np.log((1 + every_n) / (1 + number)) + 1) * (1 + np.maximum(differs - 2 * np.log(len(term)), 0))
         rare = float(np.log((1 + every_n) / 2) + 1)
     w = ((1 + np.log(tf)) * idf[t]).astype(np.float32) if len(term) else np.zeros(0, np.float32)
     w /= np.sqrt(np.bincount(e, w.astype(float) ** 2, minlength=n))[e].astype(np.float32)
     # examples that share their strongest term stand together, so that block maxima are tight
-    strongest = np.full(n, -1)
-    o = np.argsort(w, kind="stable")
-    strongest[e[o]] = t[o]
-    place = np.empty(n, np.int32)
+    begin = np.cumsum(sizes) - sizes
+    strongest = np.array([t[i + w[i : i + m].argmax()] if m else -1 for i, m in zip(begin.tolist(), sizes.tolist())], np.int64)
     order = np.lexsort((doc, strongest))
-    place[order] = np.arange(n, dtype=np.int32)
-    doc, label, e = doc[order], label[order], place[e]
-    o = np.lexsort((e, t))
+    doc, label = doc[order], label[order]
+    t, w = (np.concatenate([x[i : i + m] for i, m in zip(begin[order].tolist(), sizes[order].tolist())] or [x]) for x in (t, w))
+    e = np.repeat(np.arange(n, dtype=np.int32), sizes[order])
+    by_example = t, e, w
+    o = np.argsort(t, kind="stable")
     t, e, w = t[o], e[o], w[o]
     del o
     index = BlockMaxIndex(term, idf, np.searchsorted(t, np.arange(len(term) + 1)), e, w, doc, label, rare)
     has = np.zeros(n, bool)
     has[e] = True
     index.unknown = float((label[~has].sum() + index.base) / ((~has).sum() + 1))
-    _calibrate(index, t, e, w, np.flatnonzero(has), k)
+    _calibrate(index, *by_example, np.flatnonzero(has), k)
     return index
 
 
-def _origins_with(t: np.ndarray, origin: np.ndarray, label: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
-    """(origins, origins with a label 1) that hold each term: copies of one text count once."""
-    def distinct(mask):
-        pairs = np.unique(origin[mask].astype(np.int64) * terms + t[mask])
-        return np.bincount(pairs % terms, minlength=terms).astype(float)
-
-    return distinct(slice(None)), distinct(label == 1)
+def _origins_with(t: np.ndarray, origin: np.ndarray, sizes: np.ndarray, which: np.ndarray, terms: int) -> np.ndarray:
+    """How many origins of the marked examples hold each term: copies of one text count once."""
+    out, begin = np.zeros(terms), np.cumsum(sizes) - sizes
+    order = np.flatnonzero(which)
+    order = order[np.argsort(origin[order], kind="stable")]
+    edges = np.flatnonzero(np.diff(origin[order], prepend=-1))
+    for i, j in zip(edges.tolist(), np.r_[edges[1:], len(order)].tolist()):
+        parts = [t[begin[x] : begin[x] + sizes[x]] for x in order[i:j].tolist()]
+        out[parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))] += 1
+    return out
 
 
 def _calibrate(index, t, e, w, rows, k, most=4000):
-    """The curve from vote shares to probabilities, on `most` examples at most, each voted on without itself."""
+    """The curve from vote shares to probabilities, on `most` examples at most, each voted on without itself; t, e, w stand by example."""
     rows = rows[:: max(1, -(-len(rows) // most))]
-    o = np.lexsort((t, e))
-    t, e, w = t[o], e[o], w[o]
     share, y = [], []
     for r in rows:
         i, j = np.searchsorted(e, (r, r + 1))
