@@ -180,3 +180,34 @@ def test_digest_query_columns(spark, library):
         ids = library[BYTES].encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+@pytest.mark.parametrize("kept", [1.0, 0.999, 0.7])
+def test_groups_stay_bounded_when_little_merges(kept):
+    """Items that hardly merge never meet in groups above the bound, and rounds end."""
+    left, groups, dealt, rounds = 10**9, 50_000, 0, 0
+    while groups > 1:
+        left = int(left * kept)
+        groups, dealt = bf._next_round(left, groups, dealt)
+        rounds += 1
+        assert rounds < 200
+        if not groups:
+            break
+        assert left / groups <= bf.GROUP_ITEMS * bf.FAN_IN / (bf.FAN_IN - 1)
+
+
+def test_barely_merging_documents(spark, monkeypatch):
+    """Nearly all pieces longer than half a sequence, in many small groups: all are placed, and short ones fill gaps."""
+    monkeypatch.setattr(bf, "GROUP_ITEMS", 10)
+    lengths = [60 + i % 30 for i in range(200)] + [20] * 30
+    got = bf.pack(spark.createDataFrame(list(enumerate(lengths)), "doc_id bigint, length bigint"), 100).collect()
+    used = sequences(got)
+    assert len(got) == 230 and all(sum(n for _, n in p) <= 100 for p in used.values()) and len(used) < 215
+
+
+def test_words_are_remembered_over_generations(monkeypatch, library):
+    monkeypatch.setattr(wt, "KNOWN_WORDS", 3)
+    t, texts = wt.WordTokenizer(WORDS), [f"common word{i} again{i % 3}" for i in range(12)]
+    for x in texts + texts:
+        assert np.frombuffer(t.encode([x])[0], "<u4").tolist() == library[WORDS].encode(x, add_special_tokens=False).ids
+        assert len(t.known) <= 3 and len(t.older) <= 6

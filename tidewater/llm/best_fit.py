@@ -24,6 +24,7 @@ CAPACITY = 2048
 END_ID = 0
 GROUP_ITEMS = 20_000  # items that one task packs at a time
 FAN_IN = 8  # groups that meet in one of the next round
+DEALS = 2  # times that underfull items are dealt anew when there can't be fewer groups
 NEARLY = 64  # a sequence is done when less than capacity / NEARLY is free
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -48,7 +49,6 @@ def _pieces(batches, path, capacity, end_id, with_ids):
             if with_ids:
                 cols, names = [*cols, pa.array(part, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
-    load.cache_clear()  # the worker goes on to other work; it needn't hold this task's words
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
@@ -112,6 +112,17 @@ def _pack(table, capacity):
         "done": pa.array(capacity - total < capacity / NEARLY)})
 
 
+def _next_round(left: int, groups: int, dealt: int) -> tuple[int, int]:
+    """(groups of the next round, times dealt anew at that number); no groups: underfull sequences stay as they are.
+
+    Groups are never fewer than hold GROUP_ITEMS each.  Where full groups hardly merge, their items are dealt to
+    others a few times, as new neighbours may fit."""
+    fewer = max(1, -(-left // GROUP_ITEMS), -(-groups // FAN_IN))
+    if 10 * fewer <= 9 * groups or (fewer < groups and groups <= FAN_IN):
+        return fewer, 0
+    return (groups, dealt + 1) if dealt < DEALS else (0, dealt)
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces and, for each, sequence_id and offset: its sequence and its place there, without gaps from 0.
 
@@ -123,7 +134,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     groups = max(1, -(-left // GROUP_ITEMS))
     items = pieces.select(F.pmod(F.xxhash64("_uid"), F.lit(groups)).alias("grp"), F.col("length").cast("bigint").alias("load"),
                           F.array("_uid").alias("uids"), F.array(F.lit(0).cast("bigint")).alias("offsets"))
-    done = None
+    done, dealt = None, 0
     while left:
         packed = materialized(spark, items.groupBy("grp").applyInArrow(partial(_pack, capacity=capacity), f"{ITEMS}, done boolean"),
                               "packed")
@@ -134,11 +145,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if groups == 1 or left == before:
             done = done.union(packed.where("not done"))
             break
-        fewer = max(1, -(-left // GROUP_ITEMS), -(-groups // FAN_IN))
-        if fewer >= groups:
-            fewer = max(1, groups - 1)
-        items = items.withColumn("grp", F.floor(F.col("grp") * fewer / groups))
-        groups = fewer
+        fewer, dealt = _next_round(left, groups, dealt)
+        if not fewer:
+            done = done.union(packed.where("not done"))
+            break
+        if fewer < groups:
+            group = F.floor(F.col("grp") * fewer / groups)
+        else:
+            group = F.pmod(F.xxhash64(F.element_at("uids", 1), F.lit(dealt)), F.lit(groups))
+        items, groups = items.withColumn("grp", group), fewer
     if done is None:
         return pieces.drop("_uid").withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
     placed = done.select(F.array_min("uids").alias("sequence_id"), F.explode(F.arrays_zip("uids", "offsets")).alias("p"))

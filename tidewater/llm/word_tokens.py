@@ -9,7 +9,7 @@ import numpy as np
 
 from tidewater.llm.bpe import LETTERS, NUMBERS, SPACES, STRANGE, byte_symbols
 
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 200_000  # words of each of the two generations that a worker remembers, from one task to the next
 #: the file's own cut of texts, which it normalizes first; without look-around, so a word alone is cut the same
 WORD_PATTERN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 NORMALIZERS, CUTTERS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
@@ -38,6 +38,7 @@ class WordTokenizer:
         self.by_word = kinds == [NORMALIZERS, CUTTERS]
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.symbols = {b: c for c, b in byte_symbols().items()}
 
     def _word(self, word: str) -> bytes:
@@ -45,6 +46,18 @@ class WordTokenizer:
         tokens = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))
         return np.array([t.id for t in tokens], "<u4").tobytes()
 
+    def _ids(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of distinct words.  Words of the last generation that are met again move on; the others go with it."""
+        known, older = self.known, self.older
+        out = {w: known.get(w) or older.get(w) for w in words}
+        for w, ids in out.items():
+            if ids is None:
+                out[w] = self._word(w)
+        known.update(out)
+        if len(known) > KNOWN_WORDS:
+            self.older, self.known = known if len(known) <= 2 * KNOWN_WORDS else out, {}
+        return out
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
@@ -61,13 +74,7 @@ class WordTokenizer:
         whole = [i for i, words in cut.items() if words is None]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
             out[i] = ids
-        wanted = set().union(*(words for words in cut.values() if words))
-        new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(wanted)
-        self.known.update(zip(new, map(self._word, new)))
-        get = self.known.__getitem__
+        get = self._ids(set().union(*(words for words in cut.values() if words))).__getitem__
         for i, words in cut.items():
             if words:
                 out[i] = b"".join(map(get, words))
