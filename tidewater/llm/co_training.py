@@ -57,14 +57,6 @@ _UPPER[65:91] = _DIGIT[48:58] = True
 _PUNCT[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
 
 
-def _step(x: float, steps: int = 12) -> int:
-    return int(min(steps, max(0, round(x * steps))))
-
-
-def _log_step(x: float) -> int:
-    return int(round(2 * np.log2(1 + max(0.0, x))))
-
-
 def _one_hot(name: str, value) -> int:
     h = 2166136261
     for c in f"{name}={value}".encode():
@@ -72,30 +64,65 @@ def _one_hot(name: str, value) -> int:
     return (h ^ h >> 15) % META_DIMS
 
 
-def _layout(data: np.ndarray, words: int) -> list[tuple[str, int]]:
-    """Named steps of a text's layout; words: how many."""
-    n, w = max(1, len(data)), max(1, words)
-    lines = int((data == 10).sum()) + 1
-    return [("bytes", _log_step(len(data))), ("words", _log_step(words)), ("lines", _log_step(lines)),
-            ("line", _log_step(words / lines)), ("word", _log_step(len(data) / w)), ("upper", _step(_UPPER[data].sum() / n)),
-            ("digit", _step(_DIGIT[data].sum() / n)), ("punct", _step(3 * _PUNCT[data].sum() / n, 24)),
-            ("bars", _step(5 * (data == 124).sum() / n))]
+def _steps(x: np.ndarray, steps: int = 12) -> np.ndarray:
+    return np.clip(np.round(x * steps), 0, steps).astype(np.int64)
+
+
+def _log_steps(x: np.ndarray) -> np.ndarray:
+    return np.round(2 * np.log2(1 + np.maximum(0.0, x))).astype(np.int64)
+
+
+#: features of each layout step; logarithms of counts stay below 128
+_LAYOUT = ("bytes", "words", "lines", "line", "word", "upper", "digit", "punct", "bars")
+_PLACES = np.array([[_one_hot(name, k) for k in range(128)] for name in _LAYOUT])
+
 
+def _layout(chunk: Chunk) -> np.ndarray:
+    """Steps of each text's layout, a column per name."""
+    a, b = chunk.text_starts[:-1], chunk.text_starts[1:]
+    size, words = b - a, np.diff(chunk.bounds)
+    upper, digit, punct = (_range_sums(m[chunk.data], a, b) for m in (_UPPER, _DIGIT, _PUNCT))
+    lines, bars = (_range_sums(chunk.data == c, a, b) for c in (10, 124))
+    n, w, lines = np.maximum(1, size), np.maximum(1, words), lines + 1
+    return np.stack([_log_steps(size), _log_steps(words), _log_steps(lines), _log_steps(words / lines), _log_steps(size / w), _steps(upper / n),
+                     _steps(digit / n), _steps(3 * punct / n, 24), _steps(5 * bars / n)], axis=1)
 
-def _meta(chunk: Chunk, i: int, fields: list[tuple[str, object]]) -> tuple[np.ndarray, np.ndarray]:
-    data = chunk.data[chunk.text_starts[i] : chunk.text_starts[i + 1]]
-    f = np.unique([_one_hot(k, v) for k, v in [*_layout(data, int(chunk.bounds[i + 1] - chunk.bounds[i])), *fields]])
-    return f.astype(np.int64), np.ones(len(f))
+
+def _metas(chunk: Chunk, fields: list[list]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, edges) of the metadata view: those of text i of the chunk are at edges[i]:edges[i + 1], each once."""
+    n, known = chunk.last - chunk.first, {}
+    found = [_PLACES[np.arange(len(_LAYOUT)), np.minimum(_layout(chunk), 127)]]
+    for name, column in zip(FIELDS, fields):
+        values = column[chunk.first : chunk.last]
+        for v in set(values):
+            known[name, v] = _one_hot(name, v)
+        found.append(np.array([known[name, v] for v in values], np.int64).reshape(n, 1))
+    f = np.sort(np.concatenate(found, axis=1), axis=1)
+    once = np.c_[np.ones(n, bool), f[:, 1:] != f[:, :-1]]
+    return f[once].astype(np.int32), np.r_[0, np.cumsum(once.sum(axis=1))]
+
+
+def _range_sums(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of values[a[i]:b[i]] for each i."""
+    if not len(values):
+        return np.zeros(len(a))
+    at = np.empty(2 * len(a), np.int64)
+    at[0::2], at[1::2] = np.minimum(a, len(values) - 1), np.minimum(b, len(values) - 1)
+    out = np.add.reduceat(values, at, dtype=np.float64)[0::2]
+    last = (b == len(values)) & (a < b - 1)  # a range's end must be a place, so the last value is added apart
+    out[last] += values[-1]
+    out[a >= b] = 0.0
+    return out
 
 
 def _views(chunk: Chunk, fields: list[list]) -> list[tuple]:
     """Of each text of a chunk: text features and values, metadata features and values."""
-    tri, out = char_grams(chunk, 3), []
+    tri, out, (mf, edges) = char_grams(chunk, 3), [], _metas(chunk, fields)
     for i in range(chunk.last - chunk.first):
         a, b = chunk.text_starts[i], chunk.text_starts[i + 1]
         text = joined([share(tri[a : max(a, b - 2)], SCALE), share(word_grams(chunk, i, 1), SCALE)])
-        row = [(name, column[chunk.first + i]) for name, column in zip(FIELDS, fields)]
-        out.append((*text, *_meta(chunk, i, row)))
+        own = mf[edges[i] : edges[i + 1]]
+        out.append((*text, own, np.ones(len(own))))
     return out
 
 
@@ -243,36 +270,21 @@ def _with_meta(batches):
         fields = [batch.column(2 + j).to_pylist() for j in range(len(FIELDS))]
         for chunk in chunks(batch.column(0)):
             n = chunk.last - chunk.first
-            mf = [_meta(chunk, i, [(k, c[chunk.first + i]) for k, c in zip(FIELDS, fields)])[0].astype(np.int32) for i in range(n)]
+            mf, edges = _metas(chunk, fields)
             yield pa.record_batch([batch.column(0).slice(chunk.first, n), batch.column(1).slice(chunk.first, n),
-                                   pa.array(mf, pa.list_(pa.int32()))], names=["text", "u", "mf"])
-
-
-def _range_sums(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sum of values[a[i]:b[i]] for each i."""
-    if not len(values):
-        return np.zeros(len(a))
-    at = np.empty(2 * len(a), np.int64)
-    at[0::2], at[1::2] = np.minimum(a, len(values) - 1), np.minimum(b, len(values) - 1)
-    out = np.add.reduceat(values, at, dtype=np.float64)[0::2]
-    last = (b == len(values)) & (a < b - 1)  # a range's end must be a place, so the last value is added apart
-    out[last] += values[-1]
-    out[a >= b] = 0.0
-    return out
+                                   pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(mf))], names=["text", "u", "mf"])
 
 
 class _View:
     """Features of a chunk of pool documents, each occurrence on its own; those of a document stand together."""
 
-    def __init__(self, chunk: Chunk, meta: pa.Array):
+    def __init__(self, chunk: Chunk, features: np.ndarray, edges: np.ndarray):
         n, starts = chunk.last - chunk.first, chunk.text_starts
         self.n, tri = n, char_grams(chunk, 3)
         words = (mix(grams(chunk.hashes, 1) + U64(1)) & U64(DIMS - 1)).astype(np.int32)
         ends = np.minimum(np.maximum(starts[1:] - 2, starts[:-1]), len(tri))  # no trigram goes across the end of a text
         self.parts = [(tri, np.minimum(starts[:-1], len(tri)), ends), (words, chunk.bounds[:-1], chunk.bounds[1:])]
-        meta = meta.slice(chunk.first, n)
-        edges = np.asarray(meta.offsets).astype(np.int64)
-        self.meta = np.asarray(meta.flatten()), edges[:-1] - edges[0], edges[1:] - edges[0]
+        self.meta = features, edges[:-1], edges[1:]
 
     @staticmethod
     def share(part) -> np.ndarray:
@@ -308,7 +320,9 @@ def _pool_pass(batches, turns, summed):
     for batch in batches:
         u, meta = batch.column(1).to_numpy(), batch.column(2)
         for chunk in chunks(batch.column(0)):
-            view, places = _View(chunk, meta), u[chunk.first : chunk.last]
+            own = meta.slice(chunk.first, chunk.last - chunk.first)
+            edges = np.asarray(own.offsets).astype(np.int64)
+            view, places = _View(chunk, np.asarray(own.flatten()), edges - edges[0]), u[chunk.first : chunk.last]
             if summed:
                 view.add(sums, turns, places)
             else:
@@ -352,10 +366,10 @@ class _Documents:
 
     def sums(self, turns: list) -> _Sums:
         got = self.table.mapInArrow(partial(_pool_pass, turns=turns, summed=True), _SUMS)
-        tasks = self.tasks
-        while tasks > FAN_IN:  # a level of the tree at a time, until the driver has few sums to add
+        tasks, levels = self.tasks, 0
+        while tasks > FAN_IN or not levels:  # a level of the tree at a time, until the driver has few sums to add
             got = got.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("task").applyInArrow(_meet, _SUMS)
-            tasks = -(-tasks // FAN_IN)
+            tasks, levels = -(-tasks // FAN_IN), levels + 1
         return _sums_of(((r.flat, r.ends) for r in got.toLocalIterator()), self.dims)
 
     def discard(self):
@@ -444,21 +458,8 @@ def _score(batches, model, threshold):
     for batch in batches:
         fields = [batch.column(2 + j).to_pylist() for j in range(len(FIELDS))]
         for chunk in chunks(batch.column(1)):
-            n, logits = chunk.last - chunk.first, np.zeros((2, chunk.last - chunk.first))
-            starts, tri = chunk.text_starts, char_grams(chunk, 3)
-            w, b, curve = model.text
-            sums = np.r_[0.0, np.cumsum(w[tri], dtype=np.float64)]
-            lo, hi = np.minimum(starts[:-1], len(tri)), np.minimum(np.maximum(starts[1:] - 2, starts[:-1]), len(tri))
-            raw = b + SCALE * (sums[hi] - sums[lo]) / np.maximum(hi - lo, 1)
-            for i in range(n):
-                f = word_grams(chunk, i, 1)
-                if len(f):
-                    raw[i] += SCALE * w[f].mean(dtype=np.float64)
-            logits[0] = curve[0] * raw + curve[1]
-            w, b, curve = model.meta
-            for i in range(n):
-                f, _ = _meta(chunk, i, [(name, column[chunk.first + i]) for name, column in zip(FIELDS, fields)])
-                logits[1, i] = curve[0] * (b + w[f].sum(dtype=np.float64)) + curve[1]
+            n, turn = chunk.last - chunk.first, _Turn([model.text, model.meta])
+            logits = np.array(_logits(turn, _View(chunk, *_metas(chunk, fields)).raws([turn])[0]))
             logits = np.clip(logits, -12, 12)
             score = sigmoid(model.mixture[0] * logits[0] + model.mixture[1] * logits[1] + model.mixture[2])
             yield pa.record_batch([batch.column(0).slice(chunk.first, n).cast(pa.int64()), pa.array(sigmoid(logits[0])),
