@@ -50,6 +50,22 @@ def synth_rows(spark, sf):
     return out
 
 
+@plan("synth_json", "G1 G2 G3 G5", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS \"schema\", count(*) AS \"rows\", TRUE AS all_written FROM orders" for name in AVRO_SCHEMAS))
+def synth_json(spark, sf):
+    """One generated record per order id for each of the eight schemas, rendered as JSON: generation alone."""
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")).repartition(2 * spark.sparkContext.defaultParallelism)
+    parts = []
+    for name, schema in AVRO_SCHEMAS.items():
+        rows = synthesize(spark, schema, ids=ids, seed=42)
+        size = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])))
+        parts.append(rows.agg(F.lit(name).alias("schema"), F.count(F.lit(1)).alias("rows"), (F.min(size) > 2).alias("all_written")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @plan("synth_qualified", "G4 G1", """
 SELECT name, n FROM (VALUES ('com.example.address'), ('age')) t(name) CROSS JOIN (SELECT count(*) AS n FROM orders)
 """)
