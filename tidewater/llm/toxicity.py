@@ -33,8 +33,9 @@ from tidewater.llm.words import chunks, grams
 
 BLOCK = 64
 NEIGHBOURS = 15
-HEAVY = 8  # a term is heavy when one example in so many holds it
-TERMS = 6  # heavy terms added between two looks at who can still be among the nearest
+HEAVY = 16  # a term is heavy when one example in so many holds it
+TERMS = 12  # heavy terms added between two looks at who can still be among the nearest
+FEW = 16  # the others' terms are left out once one example in so many can still be among them
 FIRST = 128  # examples that are completed before the others, more than NEIGHBOURS
 EVIDENCE = 3  # nearest examples reported; votes use all
 
@@ -97,18 +98,21 @@ class BlockMaxIndex:
         row, w = row[by], w[by]
         rest = np.zeros((len(row) + 1, self.block_max.shape[1]))
         rest[:-1] = np.cumsum(most[by][::-1], axis=0)[::-1]
-        bound, kth = score + np.repeat(rest[0], BLOCK)[:n], 0.0
-        if n > k:
-            # the examples of the largest bounds are completed first: their k-th best is a tight limit for all others
-            some = np.argpartition(bound, max(0, n - FIRST))[max(0, n - FIRST) :]
-            s = score[some] + w @ self.dense[np.ix_(row, some)]
-            kth = np.partition(s, len(s) - k)[len(s) - k]
-        e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
-        s = score[e]
-        for i in range(0, len(row), TERMS):  # some terms at a time, and on with those that can still reach the limit
-            s = s + w[i : i + TERMS] @ self.dense[np.ix_(row[i : i + TERMS], e)]
-            able = s + rest[min(i + TERMS, len(row))][e // BLOCK] >= kth - 1e-5
-            e, s = e[able], s[able]
+        kth, i, e, s = 0.0, 0, np.zeros(0, np.int64), score
+        while True:
+            bound = s + np.repeat(rest[i], BLOCK)[:n]
+            if n > k:
+                # examples of the largest bounds are completed first: their k-th best is a limit for all others
+                some = np.argpartition(bound, max(0, n - FIRST))[max(0, n - FIRST) :]
+                best = s[some] + w[i:] @ self.dense[np.ix_(row[i:], some)]
+                kth = max(kth, np.partition(best, len(best) - k)[len(best) - k])
+            e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
+            if i == len(row) or len(e) * FEW < n:
+                s = s[e] + w[i:] @ self.dense[np.ix_(row[i:], e)]
+                break
+            # too many are in reach: the next terms, those that can add most, go to all examples
+            s = s + w[i : i + TERMS] @ self.dense[row[i : i + TERMS], :n]
+            i = min(i + TERMS, len(row))
         s = np.round(s, 6)
         kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0.0
         keep = (s > 0) & (s >= kth)
