@@ -68,6 +68,15 @@ class BlockMaxIndex:
         self.base = float(self.label.mean()) if len(self.label) else 0.0
         self.known = {}
 
+    def __getstate__(self):
+        """What can't be made again from the postings: the index travels to every executor, and lies on its disk."""
+        own = ("terms", "idf", "at", "example", "weight", "doc", "label", "rare", "curve", "unknown")
+        return {name: getattr(self, name) for name in own}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
+
     def vector(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, weights) of a text's words."""
         if not len(self.terms) or not len(hashes):
@@ -277,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
     o = np.argsort(t, kind="stable")
     t, e, w = t[o], e[o], w[o]
     del o
-    index = BlockMaxIndex(term, idf, np.searchsorted(t, np.arange(len(term) + 1)), e, w, doc, label, rare)
+    at = np.searchsorted(t, np.arange(len(term) + 1)).astype(np.int32)
+    index = BlockMaxIndex(term, idf.astype(np.float32), at, e.astype(np.uint16) if n < 1 << 16 else e, w, doc, label, rare)
     has = np.zeros(n, bool)
     has[e] = True
     index.unknown = float((label[~has].sum() + index.base) / ((~has).sum() + 1))
