@@ -15,6 +15,9 @@ logistic curve fitted on the examples' own votes, each without itself.
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 from dataclasses import dataclass
 from functools import partial
 from hashlib import blake2b
@@ -34,9 +37,8 @@ from tidewater.llm.words import chunks, grams
 BLOCK = 64
 NEIGHBOURS = 15
 HEAVY = 16  # a term is heavy when one example in so many holds it
-TERMS = 12  # heavy terms added between two looks at who can still be among the nearest
-FEW = 16  # the others' terms are left out once one example in so many can still be among them
-FIRST = 128  # examples that are completed before the others, more than NEIGHBOURS
+TOGETHER = 64  # texts whose heavy terms are added up at once
+KNOWN = 20_000  # texts whose result a task remembers
 EVIDENCE = 3  # nearest examples reported; votes use all
 
 
@@ -87,66 +89,91 @@ class BlockMaxIndex:
         w = (1 + np.log(tf)) * np.where(has, self.idf[t], self.rare)
         return t[has], w[has] / np.sqrt((w * w).sum()) if has.any() else w[has]
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest and all that tie with the k-th, best first; skip is left out."""
-        n, row = len(self.doc), self.heavy_row[t]
-        light = row < 0
-        first, last = self.at[t[light]], self.at[t[light] + 1]
+    def _light(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the light terms of a vector add to each example's cosine."""
+        first, last = self.at[t], self.at[t + 1]
         parts = [(self.example[i:j], self.weight[i:j]) for i, j in zip(first.tolist(), last.tolist())]
-        if parts:
-            weight = np.concatenate([x for _, x in parts]) * np.repeat(w[light].astype(np.float32), last - first)
-            score = np.bincount(np.concatenate([x for x, _ in parts]), weight, minlength=n)
+        if not parts:
+            return np.zeros(len(self.doc))
+        weight = np.concatenate([x for _, x in parts]) * np.repeat(w.astype(np.float32), last - first)
+        return np.bincount(np.concatenate([x for x, _ in parts]), weight, minlength=len(self.doc))
+
+    def nearest_of(self, vectors: list, k: int, skip: list | None = None) -> list:
+        """Of each vector (term numbers, weights): (examples, cosines) of the k nearest and all that tie with the k-th, best
+        first; skip: an example to leave out, per vector.
+
+        A block of examples is completed by the heavy terms if its bound, from the block maxima, reaches the k-th best of any
+        of the vectors, which are taken together so that a block's rows are read once for all of them.
+        """
+        n, blocks = len(self.doc), self.block_max.shape[1]
+        score, weight = np.full((len(vectors), blocks * BLOCK), -np.inf), np.zeros((len(vectors), len(self.dense)), np.float32)
+        for i, (t, w) in enumerate(vectors):
+            row = self.heavy_row[t]
+            score[i, :n] = self._light(t[row < 0], w[row < 0])
+            weight[i, row[row >= 0]] = w[row >= 0]
+            if skip:
+                score[i, skip[i]] = -np.inf
+        best = score.reshape(len(vectors), blocks, BLOCK).max(axis=2)
+        bound = best + weight @ self.block_max
+        reach = np.flatnonzero(((bound > 0) & (bound >= _kth(best, k)[:, None] - 1e-5)).any(axis=0))
+        example = np.arange(blocks * BLOCK)
+        if 2 * len(reach) >= blocks:
+            score += weight @ self.dense
         else:
-            score = np.zeros(n)
-        if skip >= 0:
-            score[skip] = -np.inf
-        row, w = row[~light], w[~light].astype(np.float32)
-        # heavy terms by the most that they can add; rest[j]: what terms j and on can add within each block
-        most = w[:, None] * self.block_max[row]
-        by = np.argsort(-most.max(axis=1)) if len(row) else np.zeros(0, np.int64)
-        row, w = row[by], w[by]
-        rest = np.zeros((len(row) + 1, self.block_max.shape[1]))
-        rest[:-1] = np.cumsum(most[by][::-1], axis=0)[::-1]
-        kth, i, e, s = 0.0, 0, np.zeros(0, np.int64), score
-        while True:
-            bound = s + np.repeat(rest[i], BLOCK)[:n]
-            if n > k:
-                # examples of the largest bounds are completed first: their k-th best is a limit for all others
-                some = np.argpartition(bound, max(0, n - FIRST))[max(0, n - FIRST) :]
-                best = s[some] + w[i:] @ self.dense[np.ix_(row[i:], some)]
-                kth = max(kth, np.partition(best, len(best) - k)[len(best) - k])
-            e = np.flatnonzero((bound > 0) & (bound >= kth - 1e-5))
-            if i == len(row) or len(e) * FEW < n:
-                s = s[e] + w[i:] @ self.dense[np.ix_(row[i:], e)]
-                break
-            # too many are in reach: the next terms, those that can add most, go to all examples
-            s = s + w[i : i + TERMS] @ self.dense[row[i : i + TERMS], :n]
-            i = min(i + TERMS, len(row))
-        s = np.round(s, 6)
-        kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0.0
-        keep = (s > 0) & (s >= kth)
-        e, s = e[keep], s[keep]
-        order = np.lexsort((e, -s))
-        return e[order], s[order]
+            example = example.reshape(blocks, BLOCK)[reach].ravel()
+            dense = self.dense.reshape(len(self.dense), blocks, BLOCK)[:, reach].reshape(len(self.dense), len(example))
+            score = score.reshape(len(vectors), blocks, BLOCK)[:, reach].reshape(len(vectors), len(example)) + weight @ dense
+        out, least = [], _kth(score.reshape(len(vectors), len(example) // BLOCK, BLOCK).max(axis=2), k)
+        for s, low in zip(score, least):
+            near = np.flatnonzero((s > 0) & (s >= low - 1e-6))
+            e, c = example[near], np.round(s[near], 6)
+            keep = (c > 0) & (c >= (np.partition(c, len(c) - k)[len(c) - k] if len(c) > k else 0.0))
+            e, c = e[keep], c[keep]
+            order = np.lexsort((e, -c))
+            out.append((e[order], c[order]))
+        return out
+
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """nearest_of one vector."""
+        return self.nearest_of([(t, w)], k, None if skip is None else [skip])[0]
 
     def vote(self, e: np.ndarray, s: np.ndarray) -> float:
         """Share of label 1, by closeness; the base rate counts as a distant neighbour."""
         near = 1 / (1.05 - np.minimum(s, 1))
         return float(((near * self.label[e]).sum() + self.base) / (near.sum() + 1))
 
-    def score(self, hashes: np.ndarray, k: int) -> tuple[float, list]:
-        key = blake2b(hashes, digest_size=16).digest()
-        if key not in self.known:
-            t, w = self.vector(hashes)
-            if not len(t):
-                return self.unknown, []
-            if len(self.known) > 20000:
-                self.known.clear()
-            e, s = self.nearest(t, w, k)
-            p = float(sigmoid(self.curve[0] * _logit(self.vote(e, s)) + self.curve[1])) if len(e) else self.unknown
-            self.known[key] = p, [(int(self.doc[x]), int(self.label[x]), float(c)) for x, c in
-                                  zip(e[:EVIDENCE], s[:EVIDENCE])]
-        return self.known[key]
+    def scores(self, texts: list[np.ndarray], k: int) -> list[tuple[float, list]]:
+        """(probability, evidence) of texts given by their words; equal texts are looked up once."""
+        keys = [blake2b(x, digest_size=16).digest() for x in texts]
+        if len(self.known) > KNOWN:
+            self.known = {}
+        known = {key: self.known[key] for key in keys if key in self.known}
+        new = {key: self.vector(x) for key, x in zip(keys, texts) if key not in known}
+        known |= {key: (self.unknown, []) for key, (t, _) in new.items() if not len(t)}
+        todo = [key for key in new if key not in known]
+        for i in range(0, len(todo), TOGETHER):
+            some = todo[i : i + TOGETHER]
+            for key, (e, s) in zip(some, self.nearest_of([new[x] for x in some], k)):
+                p = float(sigmoid(self.curve[0] * _logit(self.vote(e, s)) + self.curve[1])) if len(e) else self.unknown
+                known[key] = p, [(int(self.doc[x]), int(self.label[x]), float(c)) for x, c in zip(e[:EVIDENCE], s[:EVIDENCE])]
+        self.known |= known
+        return [known[key] for key in keys]
+
+
+def _kth(best: np.ndarray, k: int) -> np.ndarray:
+    """A limit that k examples reach, per row: the k-th largest of their blocks' best, or none where blocks are too few."""
+    m = best.shape[1]
+    return np.maximum(np.partition(best, m - k, axis=1)[:, m - k], 0) if m >= k else np.zeros(len(best))
+
+
+def _one_thread() -> None:
+    """A task has one core: numpy's products, which would start a thread per core of the machine, get by with the task's own."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                return
 
 
 def _logit(p):
@@ -311,12 +338,14 @@ def _calibrate(index, t, e, w, rows, k, most=4000):
     """The curve from vote shares to probabilities, on `most` examples at most, each voted on without itself; t, e, w stand by example."""
     rows = rows[:: max(1, -(-len(rows) // most))]
     share, y = [], []
-    for r in rows:
-        i, j = np.searchsorted(e, (r, r + 1))
-        found, s = index.nearest(t[i:j], w[i:j], k, skip=int(r))
-        if len(found):
-            share.append(_logit(index.vote(found, s)))
-            y.append(index.label[r])
+    for start in range(0, len(rows), TOGETHER):
+        some = rows[start : start + TOGETHER]
+        spans = [(*np.searchsorted(e, (r, r + 1)),) for r in some]
+        found = index.nearest_of([(t[i:j], w[i:j]) for i, j in spans], k, some.tolist())
+        for r, (near, s) in zip(some, found):
+            if len(near):
+                share.append(_logit(index.vote(near, s)))
+                y.append(index.label[r])
     if len(set(y)) == 2:
         index.curve = platt(np.array(share), np.array(y))
 
@@ -326,9 +355,10 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), (
 
 
 def _score(batches, index, k):
+    _one_thread()
     for batch in batches:
         for chunk in chunks(batch.column(1), lower=True, alnum=True):
-            got = [index.score(chunk.words(i), k) for i in range(chunk.last - chunk.first)]
+            got = index.scores([chunk.words(i) for i in range(chunk.last - chunk.first)], k)
             yield pa.record_batch([
                 batch.column(0).slice(chunk.first, len(got)).cast(pa.int64()), pa.array([p for p, _ in got], pa.float64()),
                 pa.array([[{"doc_id": a, "label": b, "cosine": c} for a, b, c in x] for _, x in got], _EVIDENCE)],
