@@ -287,6 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
     words = np.frombuffer(b"".join(found.column("terms").to_pylist()), "<u8")
     tf = np.frombuffer(b"".join(found.column("tf").to_pylist()), "<u4")
     del found
+    pa.default_memory_pool().release_unused()
     n, e = len(doc), np.repeat(np.arange(len(doc), dtype=np.int32), sizes)
     term = np.unique(words)
     t = np.searchsorted(term, words).astype(np.int32)
@@ -336,6 +337,7 @@ def _origins_with(t: np.ndarray, origin: np.ndarray, sizes: np.ndarray, which: n
 
 def _calibrate(index, t, e, w, rows, k, most=4000):
     """The curve from vote shares to probabilities, on `most` examples at most, each voted on without itself; t, e, w stand by example."""
+    _one_thread()  # the driver's memory is bounded, and each thread of a product would take some
     rows = rows[:: max(1, -(-len(rows) // most))]
     share, y = [], []
     for start in range(0, len(rows), TOGETHER):
