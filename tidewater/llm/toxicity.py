@@ -288,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
     tf = np.frombuffer(b"".join(found.column("tf").to_pylist()), "<u4")
     del found
     pa.default_memory_pool().release_unused()
-    n, e = len(doc), np.repeat(np.arange(len(doc), dtype=np.int32), sizes)
+    n = len(doc)
     term = np.unique(words)
     t = np.searchsorted(term, words).astype(np.int32)
     del words
@@ -301,10 +301,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
         differs = _differs(ones, held, float(len(np.unique(origin[worded & (label == 1)]))), float(len(np.unique(origin[worded]))))
         idf = (np.log((1 + every_n) / (1 + number)) + 1) * (1 + np.maximum(differs - 2 * np.log(len(term)), 0))
         rare = float(np.log((1 + every_n) / 2) + 1)
-    w = ((1 + np.log(tf)) * idf[t]).astype(np.float32) if len(term) else np.zeros(0, np.float32)
-    w /= np.sqrt(np.bincount(e, w.astype(float) ** 2, minlength=n))[e].astype(np.float32)
+    # in single precision and in place: the driver holds each number of the sample's words few times over
+    idf, begin = idf.astype(np.float32), np.cumsum(sizes) - sizes
+    w = (1 + np.log(np.arange(1, 2 + int(tf.max(initial=1))))).astype(np.float32)[tf - 1]
+    del tf
+    w *= idf[t] if len(term) else 1
+    for i, m in zip(begin.tolist(), sizes.tolist()):
+        w[i : i + m] /= np.sqrt(np.dot(w[i : i + m], w[i : i + m])) if m else 1
     # examples that share their strongest term stand together, so that block maxima are tight
-    begin = np.cumsum(sizes) - sizes
     strongest = np.array([t[i + w[i : i + m].argmax()] if m else -1 for i, m in zip(begin.tolist(), sizes.tolist())], np.int64)
     order = np.lexsort((doc, strongest))
     doc, label = doc[order], label[order]
@@ -315,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_word
     t, e, w = t[o], e[o], w[o]
     del o
     at = np.searchsorted(t, np.arange(len(term) + 1)).astype(np.int32)
-    index = BlockMaxIndex(term, idf.astype(np.float32), at, e.astype(np.uint16) if n < 1 << 16 else e, w, doc, label, rare)
+    index = BlockMaxIndex(term, idf, at, e.astype(np.uint16) if n < 1 << 16 else e, w, doc, label, rare)
     has = np.zeros(n, bool)
     has[e] = True
     index.unknown = float((label[~has].sum() + index.base) / ((~has).sum() + 1))
