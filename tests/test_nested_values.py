@@ -108,3 +108,40 @@ def test_nesting_tables_without_children_and_empty(spark):
     assert nest(relationalize(df.limit(0), "id", "t"), df.schema, "id", "t").collect() == []
     two = spark.createDataFrame([(1, "a", [1, 2]), (1, "b", [3])], "x int, y string, l array<int>")
     assert sorted(nest(relationalize(two, ["x", "y"], "t"), two.schema, ["x", "y"], "t").collect()) == sorted(two.collect())
+
+
+@pytest.mark.parametrize("chunk", [2, 10_000])
+def test_long_lists_in_pieces(spark, chunk):
+    df = spark.createDataFrame(nested_rows(), NESTED)
+    tables = relationalize(df, "id", "t")
+    pieces = nest(tables, df.schema, "id", "t", chunk=chunk, piece="piece")
+    assert pieces.columns == [*df.columns, "piece"]
+    assert max(len(r[c] or []) for r in pieces.collect() for c in ("tags", "items", "grid")) <= chunk
+    again = relationalize(pieces, "id", "t", piece="piece")
+    assert again.keys() == tables.keys()
+    for name, table in tables.items():
+        assert again[name].schema.simpleString() == table.schema.simpleString()
+        assert differences(again[name], table).count() == 0, name
+
+
+def test_pieces_of_a_hot_parent(spark):
+    """Two lists of other lengths, one behind a gap and of a repeated parent; a null key and rows of no parent."""
+    parents = spark.createDataFrame([(0, "a"), (1, "b"), (1, "b"), (2, "c"), (None, "d")], "k long, note string")
+    xs = spark.range(3000).selectExpr("cast(0 as long) AS k", "cast(id as int) AS xs_index", "id AS xs")
+    xs = xs.unionByName(spark.createDataFrame([(1, 500, 7), (1, 500, 7), (1, 900, 8), (9, 0, 1)], "k long, xs_index int, xs long")).repartition(7)
+    ys = spark.range(100).selectExpr("id % 2 AS k", "cast(id div 2 as int) AS s_ys_index", "cast(id as string) AS s_ys")
+    schema = spark.createDataFrame([], "k long, xs array<bigint>, note string, s struct<ys: array<string>>").schema
+    tables = {"t": parents, "t_xs": xs, "t_s_ys": ys}
+    pieces = nest(tables, schema, "k", "t", chunk=64, piece="p")
+    assert max(len(r.xs or []) for r in pieces.collect()) == 64
+    got, want = (relationalize(f, "k", "t", **kw) for f, kw in ((pieces, {"piece": "p"}), (nest(tables, schema, "k", "t", chunk=64), {})))
+    for name in want:
+        assert differences(got[name], want[name]).count() == 0, name
+
+
+def test_nested_again_has_no_long_list(spark, monkeypatch):
+    from tidewater.plans import nesting
+    held = []
+    monkeypatch.setattr(nesting, "relationalize", lambda df, *a, **kw: held.append(df) or relationalize(df, *a, **kw))
+    nesting.nested_again(spark, "/root/testdata/sf0.001")
+    assert held[0].agg(F.max(F.size("items"))).first()[0] <= 1000

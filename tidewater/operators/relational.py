@@ -14,7 +14,7 @@ import sys
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,13 +42,14 @@ def _place(name: str, keys: list[str], sep: str) -> str:
 
 
 def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.DataType]], table: str,
-          out: dict[str, DataFrame], sep: str, keep_empty: bool, strip: str = "") -> None:
+          out: dict[str, DataFrame], sep: str, keep_empty: bool, strip: str = "", piece: str | None = None) -> None:
     scalars: list = []
     nested: list = []
     for name, expr, dtype in columns:
         _walk(name, expr, dtype, sep, scalars, nested)
-    out[table] = frame.select(*[F.col(k) for k in keys], *[e.alias(n) for n, e in scalars])
-    for name, expr, dtype in nested:
+    own = frame if piece is None else frame.where(F.col(f"`{piece}`")["number"] == 0)
+    out[table] = own.select(*[F.col(k) for k in keys], *[e.alias(n) for n, e in scalars])
+    for at, (name, expr, dtype) in enumerate(nested):
         # Inside a child table, names carry the list's prefix; child tables and
         # their index columns are named by the nested list's own path.
         short = name[len(strip):] if strip and name.startswith(strip) else name
@@ -56,33 +57,47 @@ def _emit(frame: DataFrame, keys: list[str], columns: list[tuple[str, Column, T.
         if isinstance(dtype, T.ArrayType):
             idx = _place(f"{short}{sep}index", keys, sep)
             gen = F.posexplode_outer(expr) if keep_empty else F.posexplode(expr)
-            exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_elem"))
+            exploded = _counted_on(frame.select(*_key_columns(keys, piece), gen.alias(idx, "_elem")), keys, idx, "_elem", piece, at)
             _emit(exploded, keys + [idx], [(short, F.col("_elem"), dtype.elementType)], child, out, sep,
                   keep_empty, short + sep)
         else:
             idx = _place(f"{short}{sep}key", keys, sep)
             gen = F.explode_outer(expr) if keep_empty else F.explode(expr)
-            exploded = frame.select(*[F.col(k) for k in keys], gen.alias(idx, "_val"))
+            exploded = _counted_on(frame.select(*_key_columns(keys, piece), gen.alias(idx, "_val")), keys, idx, "_val", piece, None)
             _emit(exploded, keys + [idx], [(short, F.col("_val"), dtype.valueType)], child, out, sep,
                   keep_empty, short + sep)
 
 
+def _key_columns(keys: list[str], piece: str | None) -> list[Column]:
+    return [F.col(k) for k in keys] + ([] if piece is None else [F.col(f"`{piece}`").alias("_piece")])
+
+
+def _counted_on(exploded: DataFrame, keys: list[str], idx: str, value: str, piece: str | None, at: int | None) -> DataFrame:
+    """The elements of a list that lies in pieces, with their positions in the whole list; a map's keys stay as they are."""
+    if piece is None:
+        return exploded
+    some = exploded.where((F.col("_piece")["number"] == 0) | F.col(f"`{idx}`").isNotNull())  # only the first piece stands for an empty list
+    place = F.col(f"`{idx}`") if at is None else (F.col(f"`{idx}`") + F.col("_piece")["before"][at]).cast("int")
+    return some.select(*[F.col(k) for k in keys], place.alias(idx), value)
+
+
 def relationalize(df: DataFrame, key: str | list[str], name: str, sep: str = "_",
-                  keep_empty: bool = True, materialize: bool = False) -> dict[str, DataFrame]:
+                  keep_empty: bool = True, materialize: bool = False, piece: str | None = None) -> dict[str, DataFrame]:
     """Split a nested frame into ``{name: parent, name_list: child, ...}``.
 
     ``keep_empty`` keeps one all-null child row for a null or empty list (as an
     outer explode does); ``False`` drops those rows. ``materialize`` writes the
     nested input once (reliable checkpoint) so writing several output tables does
-    not recompute it (e.g. a join or grouping that built the nesting).
+    not recompute it (e.g. a join or grouping that built the nesting). ``piece`` names
+    the column of a frame in which ``nest`` left long lists in pieces.
     """
     if materialize and not df.isStreaming:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in keys]
+    cols = [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in keys and f.name != piece]
     out: dict[str, DataFrame] = {}
-    _emit(df, keys, cols, name, out, sep, keep_empty)
+    _emit(df, keys, cols, name, out, sep, keep_empty, piece=piece)
     return out
 
 
@@ -90,13 +105,19 @@ CHUNK = 10_000  # elements of a list that one group collects
 _MAP_PARTS = 16
 
 
-def nest(tables: dict[str, DataFrame], schema: T.StructType, key: str | list[str], name: str, sep: str = "_", chunk: int = CHUNK) -> DataFrame:
+def nest(tables: dict[str, DataFrame], schema: T.StructType, key: str | list[str], name: str, sep: str = "_", chunk: int = CHUNK,
+         piece: str | None = None) -> DataFrame:
     """The nested frame that ``relationalize`` split into these tables; ``schema`` is its schema, ``key`` its (not null) key.
 
     Built bottom-up, a level at a time. A list is collected in groups of ``chunk`` neighbours by their index, then its
     groups, already in arrays, are put in order: a parent with very many elements is assembled by many tasks, and only its
     finished array, which is one value of the result, is one task's. Maps go by hashes of their keys.
     A list without rows is null, as null and empty lists look the same in the tables; so is a struct whose fields are all null.
+
+    A record is one value of one task, at most 2 GB of it. With ``piece`` a record whose own lists have more than ``chunk`` elements is
+    several rows instead, and no task holds more than a group: each row has one group of every list, the first one also all the
+    rest, and the column ``piece`` says which row it is (``number``) and how many elements of each list lie in the rows ``before``.
+    Maps, and lists within a list's elements, stay whole. ``relationalize`` with the same ``piece`` reads it.
     """
     keys = [key] if isinstance(key, str) else list(key)
 
@@ -112,26 +133,67 @@ def nest(tables: dict[str, DataFrame], schema: T.StructType, key: str | list[str
         for path, dtype in columns:
             _walk(path, _Typed(dtype), dtype, sep, scalars, nested)
         frame = tables[table]
+        if piece is not None and table == name:
+            return in_pieces(frame, keys, columns, [p for p, _ in scalars], [(p, dtype) for p, _, dtype in nested])
         for path, _, dtype in nested:
             short = path[len(strip):] if strip and path.startswith(strip) else path
             frame = frame.join(collected(keys, short, dtype, f"{table}{sep}{short}").withColumnRenamed("_list", path), keys, "left")
         return frame.select(*[F.col(f"`{k}`") for k in keys], *[value(path, dtype).alias(path) for path, dtype in columns])
 
-    def collected(keys: list[str], short: str, dtype: T.DataType, table: str) -> DataFrame:
+    def in_pieces(frame: DataFrame, keys: list[str], columns: list[tuple[str, T.DataType]], scalars: list[str],
+                  nested: list[tuple[str, T.DataType]]) -> DataFrame:
+        own, number = [F.col(f"`{k}`") for k in keys], F.col("_number")
+        w = Window.partitionBy(*own).orderBy("_part")  # of rows without elements: one per group
+        lists, wholes, most = [], [], []
+        for i, (path, dtype) in enumerate(nested):
+            if isinstance(dtype, T.MapType):
+                wholes.append((path, collected(keys, path, dtype, f"{name}{sep}{path}").withColumnRenamed("_list", path)))
+                continue
+            rows, index, at = elements(keys, path, dtype, f"{name}{sep}{path}")
+            sizes = rows.groupBy(*own, at.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+            before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            places = sizes.select(*own, (F.row_number().over(w) - 1).alias("_number"), F.col("_part").alias(f"_part{i}"), before.alias(f"_before{i}"))
+            most.append(places.groupBy(*own).agg(F.max("_number").alias(f"_most{i}")))
+            lists.append((path, i, places, grouped(rows, keys, path, index, at).withColumnRenamed("_part", f"_part{i}")))
+        for m in most:
+            frame = frame.join(m, keys, "left")
+        last = F.greatest(F.lit(0), F.lit(0), *[F.col(m.columns[-1]) for m in most])
+        frame = frame.withColumn("_number", F.explode(F.sequence(F.lit(0), last)))
+        for path, whole in wholes:
+            frame = frame.join(whole, keys, "left")
+        frame = frame.withColumns({p: F.when(number == 0, F.col(f"`{p}`")) for p in [*scalars, *[p for p, _ in wholes]]})
+        for path, i, places, groups in lists:
+            frame = frame.join(places, [*keys, "_number"], "left")
+            some = groups.select(*own, f"_part{i}", F.transform(_by_index("_some"), lambda e: e["v"]).alias(path))
+            frame = frame.join(some, [*keys, f"_part{i}"], "left")
+        counts = {i: F.coalesce(F.col(f"_before{i}"), F.lit(0).cast("bigint")) for _, i, _, _ in lists}
+        before = F.array(*[counts.get(i, F.lit(0).cast("bigint")) for i in range(len(nested))]).cast("array<bigint>")
+        return frame.select(*own, *[value(path, dtype).alias(path) for path, dtype in columns],
+                            F.struct(number.alias("number"), before.alias("before")).alias(piece))
+
+    def elements(keys: list[str], short: str, dtype: T.DataType, table: str) -> tuple[DataFrame, str, Column]:
+        """Rows of a list or map (keys, place, value), the column of their place and the group each one goes to."""
         is_list = isinstance(dtype, T.ArrayType)
         index = _place(f"{short}{sep}{'index' if is_list else 'key'}", keys, sep)
         rows = build([*keys, index], [(short, dtype.elementType if is_list else dtype.valueType)], table, short + sep).where(F.col(f"`{index}`").isNotNull())
         at = F.floor(F.col(f"`{index}`") / chunk) if is_list else F.pmod(F.xxhash64(f"`{index}`"), F.lit(_MAP_PARTS))
-        own = [F.col(f"`{k}`") for k in keys]
-        groups = rows.groupBy(*own, at.alias("_part")).agg(F.collect_list(F.struct(F.col(f"`{index}`").alias("i"), F.col(f"`{short}`").alias("v"))).alias("_some"))
-        parts = groups.groupBy(*own).agg(F.collect_list(F.struct(F.col("_part").alias("i"), _by_index("_some").alias("v"))).alias("_parts"))
+        return rows, index, at
+
+    def grouped(rows: DataFrame, keys: list[str], short: str, index: str, at: Column) -> DataFrame:
+        entry = F.struct(F.col(f"`{index}`").alias("i"), F.col(f"`{short}`").alias("v"))
+        return rows.groupBy(*[F.col(f"`{k}`") for k in keys], at.alias("_part")).agg(F.collect_list(entry).alias("_some"))
+
+    def collected(keys: list[str], short: str, dtype: T.DataType, table: str) -> DataFrame:
+        own, is_list = [F.col(f"`{k}`") for k in keys], isinstance(dtype, T.ArrayType)
+        rows, index, at = elements(keys, short, dtype, table)
+        parts = grouped(rows, keys, short, index, at).groupBy(*own).agg(F.collect_list(F.struct(F.col("_part").alias("i"), _by_index("_some").alias("v"))).alias("_parts"))
         entries = F.flatten(F.transform(_by_index("_parts"), lambda p: p["v"]))
         whole = F.transform(entries, lambda e: e["v"]) if is_list else F.map_from_entries(entries)
         return parts.select(*own, whole.alias("_list"))
 
     columns = [(f.name, f.dataType) for f in schema if f.name not in keys]
     out = build(keys, columns, name, "")
-    return out.select(*[F.col(f"`{f.name}`") for f in schema])
+    return out.select(*[F.col(f"`{f.name}`") for f in schema], *([] if piece is None else [F.col(f"`{piece}`")]))
 
 
 class _Typed:
