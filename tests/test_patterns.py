@@ -113,3 +113,20 @@ def test_exhausted_choices_fail(spark):
     for column in (Column("int64", [Check.in_range(1, 2), Check.notin([1, 2])]), Column("str", [Check.isin(["a"]), Check.ne("a")])):
         with pytest.raises(ValueError, match="no value"):
             synthesize_contract(spark, Contract(columns={"a": column}), n=2)
+
+
+def test_rows_rejected_by_chance_are_drawn_on(spark):
+    """A row in ten passes, so a dozen draws leave one row in four without any; ids repeat and may be null."""
+    rare = Contract(columns={
+        "code": Column("str", Check.str_matches(r"[A-Z]{2}\d{3}$"), unique=True),
+        "mail": Column("str", [Check.str_matches(r"[a-z]{1,4}@x$")]),
+        "at": Column("datetime64[ns]", Check.in_range("2024-01-01 00:00:00", "2024-01-01 00:00:05")),
+        "n": Column("int64", [Check.in_range(0, 20), Check.notin([4])]),
+    }, checks=[Check.custom(lambda cols: cols.n < 2, "small"), Check.custom(lambda cols: F.length(cols.mail) > 3, "long")])
+    ids = spark.range(500).union(spark.range(5)).repartition(3)
+    rows = synthesize_contract(spark, rare, ids=ids, seed=5).cache()
+    assert rows.count() == 505 and rows.distinct().count() == 500
+    assert rows.where("n >= 2 OR length(mail) <= 3 OR NOT mail RLIKE '^[a-z]{1,4}@x$' OR NOT code RLIKE '^[A-Z]{2}[0-9]{3}$'").count() == 0
+    assert rows.select("mail").distinct().count() > 300
+    again = synthesize_contract(spark, rare, ids=ids.coalesce(1), seed=5)
+    assert again.exceptAll(rows).count() == 0

@@ -12,6 +12,7 @@ import datetime as dt
 import hashlib
 import re
 import string
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -23,7 +24,7 @@ from tidewater.contracts.checks import ALIASES, Check
 from tidewater.contracts.schema import Contract, spark_type
 from tidewater.functions.avro_types import (collapsed_union_type, named_types, non_null_branches,
                                             parse_avro, resolve)
-from tidewater.operators.patterns import Language, language, string_column
+from tidewater.operators.patterns import Language, language, string_arrays, string_column
 
 # Generator ranges and sizes.
 INT_RANGE = (0, 2**31 - 1)
@@ -44,8 +45,8 @@ _PER_HASH = 10   # 36**10 < 2**53: ten digits per hash
 
 class _Gen:
     def __init__(self, seed: int, rid: Column, base_ms: int, null_fraction: float, qualify_names: bool,
-                 named: dict):
-        self.seed, self.rid, self.base_ms = seed, rid, base_ms
+                 named: dict, attempt: Column | None = None):
+        self.seed, self.rid, self.base_ms, self.attempt = seed, rid, base_ms, [] if attempt is None else [attempt]
         self.null_fraction, self.qualify, self.named = null_fraction, qualify_names, named
 
     def h(self, path: str, extra: list) -> Column:
@@ -53,7 +54,7 @@ class _Gen:
         # so each leaf hashes only longs.
         digest = hashlib.blake2b(f"{self.seed}|{path}".encode(), digest_size=8).digest()
         salt = int.from_bytes(digest, "big", signed=True)
-        return F.xxhash64(F.lit(salt), self.rid, *extra).bitwiseAND(F.lit(_POS))
+        return F.xxhash64(F.lit(salt), self.rid, *extra, *self.attempt).bitwiseAND(F.lit(_POS))
 
     def unit(self, path: str, extra: list) -> Column:
         return self.h(path, extra).bitwiseAND(F.lit(_FRAC - 1)).cast("double") / F.lit(float(_FRAC))
@@ -282,6 +283,7 @@ def _within(rid: Column, last: int, name: str) -> Column:
 
 
 PATTERNS = ("str_matches", "str_contains")
+MORE_ATTEMPTS = (50, 500)  # draws for the rows that are rejected again and again, then for those rejected in all of these, too
 
 
 def _excluded(spec) -> list:
@@ -327,6 +329,18 @@ def _around(g: _Gen, lo: int, hi: int, out: list[int], name: str, unique: bool)
     return v
 
 
+def _drawn_by_automaton(spec, dtype: T.DataType) -> bool:
+    """Whether a column's texts come out of ``operators.patterns``."""
+    names = {ALIASES.get(c.name, c.name) for c in spec.checks}
+    if isinstance(dtype, (T.IntegralType, T.DoubleType, T.FloatType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)):
+        return False
+    return not names & {"isin", "equal_to", "unique_values_eq"} and bool(_excluded(spec) or names & set(PATTERNS))
+
+
+def _text_key(g: _Gen, name: str, spec, words: Language) -> Column:
+    return _within(g.rid, min(words.total, 1 << 62) - 1, name) if spec.unique else g.h(name, [])
+
+
 def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
     checks = {ALIASES.get(c.name, c.name): c for c in spec.checks}
     out = _excluded(spec)
@@ -386,10 +400,9 @@ def _contract_column(g: _Gen, name: str, spec, dtype: T.DataType) -> Column:
             return F.lit(left[0])
         return g.h(name, []).bitwiseAND(F.lit(1)) == 1
     # strings
-    if out or any(k in checks for k in PATTERNS):
+    if _drawn_by_automaton(spec, dtype):
         words = _text_language(spec)
-        key = _within(g.rid, words.total - 1 if words.total < 1 << 62 else (1 << 62) - 1, name) if spec.unique else g.h(name, [])
-        return string_column(words, spec.unique)(key)
+        return string_column(words, spec.unique)(_text_key(g, name, spec, words))
     prefix = checks["str_startswith"].args if "str_startswith" in checks else ""
     suffix = checks["str_endswith"].args if "str_endswith" in checks else ""
     length = checks.get("str_length")
@@ -424,7 +437,8 @@ def synthesize_contract(spark: SparkSession, contract: Contract, n: int | None =
     checks that are functions of a column or of the row.
 
     Pattern columns are drawn from the automaton of all their rules (``operators.patterns``).  A row that a function rejects is drawn
-    again, up to ``attempts`` times, each draw a hash of its id and the attempt; if none passes, the query fails.
+    again, up to ``attempts`` times, each draw a hash of its id and the attempt.  Of many rows some are rejected that often by
+    chance: only these are drawn ``MORE_ATTEMPTS`` times more; if none passes then, the query fails.
     Unique columns are functions of the id alone. Checks over all rows (aggregates) aren't inverted, but for
     ``unique_values_eq``, whose values take turns.
     """
@@ -446,9 +460,36 @@ def synthesize_contract(spark: SparkSession, contract: Contract, n: int | None =
         return reduce(Column.__and__, tests)
 
     tried = [F.get(F.filter(F.array(row(k)), passes), F.lit(0)) for k in range(attempts)]
-    stop = F.raise_error(F.lit(f"no row passes the checks in {attempts} attempts"))
-    found = F.coalesce(*tried, F.when(F.lit(True), stop).cast(base.select(row(0).alias("r")).schema["r"].dataType))
-    return base.select(F.explode(F.array(found)).alias("_row")).select("_row.*")
+    rows = base.select("_id", F.explode(F.array(F.coalesce(*tried))).alias("_row"))  # exploded, so that it is worked out once
+    kind, done = rows.schema["_row"].dataType, 0
+    for more in MORE_ATTEMPTS:
+        rows, done = _drawn_more(rows, specs, contract, kind, passes, seed, done, more), done + more
+    stop = F.raise_error(F.lit(f"no row passes the checks in {attempts + done} attempts")).cast(kind)
+    return rows.select(F.explode(F.array(F.coalesce("_row", stop))).alias("_row")).select("_row.*")
+
+
+def _drawn_more(rows: DataFrame, specs: dict, contract: Contract, kind: T.StructType, passes: Callable[[Column], Column], seed: int, done: int,
+                more: int) -> DataFrame:
+    """Rows (_id, _row) with the first passing one of ``more`` further draws where _row is null; the others cost nothing more."""
+    tries = F.when(F.col("_row").isNull(), F.sequence(F.lit(done), F.lit(done + more - 1))).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("_tries", tries)
+
+    def gen(attempt: Column | None) -> _Gen:
+        return _Gen(seed, F.col("_id"), 0, 0.0, False, {}, attempt)
+
+    # texts of patterns are drawn outside the lambda: all of a row's tries in one array
+    texts = {n: (s, _text_language(s)) for n, s in specs.items() if _drawn_by_automaton(s, kind[n].dataType)}
+    strings = [string_arrays(words, s.unique)(F.transform("_tries", lambda a: _text_key(gen(a), n, s, words))).alias(f"_text{i}")
+               for i, (n, (s, words)) in enumerate(texts.items())]
+    rows = rows.select("_id", "_row", "_tries", *strings)
+    place = {n: i for i, n in enumerate(texts)}
+
+    def row(attempt: Column) -> Column:
+        return F.struct(*[(F.get(F.col(f"_text{place[n]}"), attempt - done) if n in place else _contract_column(gen(attempt), n, s, kind[n].dataType)).alias(n)
+                          for n, s in specs.items()])
+
+    found = F.get(F.filter(F.transform("_tries", row), passes), F.lit(0))
+    return rows.select("_id", F.explode(F.array(F.coalesce("_row", found.cast(kind)))).alias("_row"))
 
 
 # ---------------------------------------------------------------- fixed generators

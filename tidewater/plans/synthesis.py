@@ -150,7 +150,7 @@ SELECT r[1] AS "column", r[2] AS "check", CAST(0 AS BIGINT) AS failures, n AS "r
 """)
 def synth_patterns(spark, sf):
     """Rows for patterns, excluded values and a check of the whole row, one per customer, held against their own contract."""
-    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")).repartition(2 * spark.sparkContext.defaultParallelism)  # texts cost far more than ids
     path = scratch_path(spark, "accounts")
     synthesize_contract(spark, PATTERN_CONTRACT, ids=ids, seed=11).write.parquet(path)
     rows = spark.read.parquet(path)
