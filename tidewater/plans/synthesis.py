@@ -84,7 +84,8 @@ def synth_qualified(spark, sf):
     f"SELECT '{name}' AS \"schema\", count(*) AS \"rows\", CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS gained FROM customer" for name in AVRO_SCHEMAS))
 def avro_round_trip(spark, sf):
     """Rows of each schema through Avro container files: how many come back otherwise than they went, by value."""
-    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    # a small file's rows are one task's, and each costs far more than its id: they go round all cores
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")).repartition(2 * spark.sparkContext.defaultParallelism)
     out = None
     for name, schema in AVRO_SCHEMAS.items():
         path = scratch_path(spark, "avro")
