@@ -119,3 +119,16 @@ def test_fixed_bytes_use_the_whole_alphabet(spark):
     rows = [bytes(r["f"]).decode() for r in synthesize(spark, schema, n=400, seed=1).collect()]
     assert all(len(x) == 16 for x in rows) and set("".join(rows)) == set(string.ascii_letters + string.digits)
     assert len(set(rows)) == 400
+
+
+def test_avro_round_trip_spreads_the_rows_of_a_small_file(spark, monkeypatch):
+    from tidewater.plans import synthesis
+    tasks, write = [], synthesis.write_avro_files
+
+    def counted(rows, *args, **kw):
+        tasks.append(rows.rdd.getNumPartitions())
+        write(rows, *args, **kw)
+
+    monkeypatch.setattr(synthesis, "write_avro_files", counted)
+    assert all(r.lost == 0 and r.gained == 0 for r in synthesis.avro_round_trip(spark, "/root/testdata/sf0.001").collect())
+    assert len(tasks) == 8 and min(tasks) > 1
