@@ -172,6 +172,59 @@ def test_duplicates_of_a_group(values, how):
     assert got == {r.n: many and (how == "all" or r.o is None or r.o != best) for r in rows}
 
 
+class Handle:
+    """State of one bucket, and how often it was asked for something."""
+
+    def __init__(self):
+        self.values, self.calls = [], 0
+
+    def getListState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.values))
+
+    def appendValue(self, value):
+        self.calls += 1
+        self.values.append(value)
+
+
+def test_state_is_asked_for_once_a_bucket():
+    """However many keys a bucket has, a micro-batch reads its state once and appends to it once; a hot key's rows aren't held."""
+    p = _Accepted("all", None, None, ["k", "x", "_ok", "_duplicate", "_seen"], ["k", "x"])
+    handle, made = Handle(), Row("k", "x", "_ok", "_key_bucket")
+    p.init(handle)
+    rows = [made(f"a\n{i}", 0.5, i != 7, 3) for i in range(1000)] + [made(None, 0.0, True, 3), made(None, -0.0, True, 3), made("n", float("nan"), True, 3)]
+    got = list(p.handleInputRows((3,), iter(rows), None))
+    assert handle.calls == 2 and len(handle.values) == 1
+    assert Counter((r["_duplicate"], r["_seen"]) for r in got) == {(False, False): 1001, (True, False): 2}
+    assert {r.k for r in got if r["_duplicate"]} == {None} and "_key_bucket" not in got[0]
+    again = {(r.k, str(r.x)): r["_seen"] for r in p.handleInputRows((3,), iter(rows[:10] + rows[-1:]), None)}
+    assert again == {(f"a\n{i}", "0.5"): i != 7 for i in range(10)} | {("n", "nan"): True}
+    left = iter([made("hot", 1.0, True, 3)] * 3)
+    marked = p.handleInputRows((3,), left, None)
+    next(marked)
+    assert len(list(left)) == 1  # handed on at the second row
+
+
+def test_keys_of_any_type(spark):
+    """A key of many types is refused in the second batch, with a negative zero, and by a query that starts from the table."""
+    path, cells = scratch_path(spark, "typed"), {
+        "b": ("binary", "cast('x' as binary)"), "f": ("double", "0.0D"), "s": ("struct<x:int,y:double>", "named_struct('x', 1, 'y', 2.5D)"),
+        "t": ("timestamp", "timestamp'2024-01-01 00:00:00.000001'"), "d": ("decimal(10,2)", "1.5")}
+    schema = ", ".join(f"{c} {kind}" for c, (kind, _) in cells.items())
+    contract = Contract(columns={c: Column(required=False) for c in cells}, unique=list(cells))
+    valid, bad, ckpt = places(spark)
+    for f in ("0.0D", "-0.0D"):
+        spark.range(1).select(*[F.expr(f if c == "f" else v).cast(kind).alias(c) for c, (kind, v) in cells.items()]).write.mode("append").parquet(path)
+        validate_stream(spark.readStream.schema(schema).parquet(path), contract, valid, bad, ckpt).awaitTermination()
+    assert (spark.read.parquet(valid).count(), spark.read.parquet(bad).count()) == (1, 1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    validate_stream(stream, contract, valid, bad, scratch_path(spark, "ckpt")).awaitTermination()
+    assert (spark.read.parquet(valid).count(), spark.read.parquet(bad).count()) == (1, 3)
+
+
 def test_keys_are_forgotten_after_their_time(spark, source):
     add, stream = source
     add([(7, None, "x", 1.0)])
