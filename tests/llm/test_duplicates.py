@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -122,3 +124,18 @@ def test_blobs_round_trip():
     raw = exchange.low_bytes(h, 7).ravel()
     assert (exchange.from_low_bytes(raw, 7, 3) & np.uint64(2**56 - 1) == h & np.uint64(2**56 - 1)).all()
     assert (exchange.bucket_of(h, 10) == [5, 0, 0]).all()
+
+
+def test_a_bucket_of_shingles_is_small():
+    """Counting a bucket's shingles takes a task less than 64 MB of Python memory, however many postings there are in all."""
+    rng, n = np.random.default_rng(1), 3_000_000
+    sh, sig = np.repeat(rng.integers(0, 2**64, n // 2, np.uint64), 2), rng.integers(1, 2**64, n, np.uint64)
+    mine = exchange.bucket_of(sh, exchange.buckets_for(n, jj.HELD)) == 0
+    held = exchange.dealt(np.zeros(mine.sum(), np.int32), jj.POSTING, exchange.low_bytes(sh[mine], jj.KEPT), sig[mine])
+    table = pa.Table.from_batches([held])
+    tracemalloc.start()
+    out = jj._count((pa.scalar(jj.POSTING), pa.scalar(0)), table, 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20
+    assert len(exchange.column(out, "a", np.uint64)) == mine.sum()

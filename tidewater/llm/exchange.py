@@ -24,8 +24,8 @@ GROUP_WORDS = 500_000  # words that a task holds before it deals them out
 BUCKET_POSTINGS = 1_500_000  # postings that a bucket's task holds, about
 
 
-def buckets_for(postings: int) -> int:
-    return max(1, -(-postings // BUCKET_POSTINGS))
+def buckets_for(postings: int, most: int = BUCKET_POSTINGS) -> int:
+    return max(1, -(-postings // most))
 
 
 def materialized(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

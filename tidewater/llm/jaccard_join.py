@@ -41,6 +41,7 @@ BLOCK_SETS = 200  # of a cluster, that meet another block at a time
 COLUMNS = 4096  # of the matrix product at a time
 KEPT = 7  # bytes of a shingle hash that travel; its bucket stands for the eighth
 POSTING, HEADER, HEAVY = 0, 1, 2
+HELD = 500_000  # postings that a bucket's task holds, about; a home's holds twice as many, with lists for their sets
 
 
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -153,7 +154,7 @@ def linkable_sets(docs: DataFrame, scanned: DataFrame, k: int, num: int, den: in
     totals = scanned.where("kind = 0").agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     heavy, heavy_df = heavy_table(scanned.where(f"kind = {HEAVY}").select(F.col("sig").alias("key"), F.col("n").alias("count")),
                                   totals["docs"], totals["n"])
-    buckets = buckets_for(totals["n"])
+    buckets = buckets_for(totals["n"], HELD)
     homes = -(-buckets // 2)
     rows = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blobs = rows.mapInArrow(partial(_deal, k=k, heavy=heavy, buckets=buckets, homes=homes), BLOB)
