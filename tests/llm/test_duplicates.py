@@ -1,13 +1,16 @@
 import random
+import time
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.conftest import ODD_TEXTS
 from tidewater.llm import exchange, heavy, jaccard_join as jj, substring_dedup as sd
+from tidewater.llm.exchange import SHUFFLES_GO, materialized
 
 
 def near_copies(seed, groups=4, copies=25, length=60, passage=()):
@@ -139,3 +142,19 @@ def test_a_bucket_of_shingles_is_small():
     tracemalloc.stop()
     assert most < 64 << 20
     assert len(exchange.column(out, "a", np.uint64)) == mine.sum()
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before, setting = _shuffle_files(spark), spark.conf.get(SHUFFLES_GO, None)
+    df = spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n"))
+    out = materialized(spark, df, "counts")
+    end = time.monotonic() + 10  # files are removed beside the session
+    while _shuffle_files(spark) - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert out.agg(F.sum("n")).first()[0] == 20_000 and spark.conf.get(SHUFFLES_GO, None) == setting

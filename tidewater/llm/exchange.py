@@ -8,6 +8,7 @@ all rows are found beforehand (``heavy.py``) and never dealt out.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,28 @@ def buckets_for(postings: int, most: int = BUCKET_POSTINGS) -> int:
     return max(1, -(-postings // most))
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def set_conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for what runs inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialized(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: survives lost executors, computed once."""
+    """Written to the shared folder and read back: survives lost executors, computed once.
+
+    The write's shuffle files go when it ends: nothing reads them again, and else they stay until the driver collects its garbage.
+    """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with set_conf(spark, SHUFFLES_GO, "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
