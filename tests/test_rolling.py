@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.plans import tables
 from tidewater.session import scratch_path
 from tidewater.sinks import rolling
 from tidewater.sinks.rolling import folder_files, idle_hours, roll_hours, sized_hours
@@ -90,3 +91,15 @@ def test_idle_hours_are_rolled_once_and_again_after_new_rows(spark):
     got = spark.read.schema(schema).json(out).select("id", "ts", "note")
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
     assert all(n <= 700 for n in parts(spark, out).values())
+
+
+def test_a_hot_hour_lands_from_many_tasks(spark, tmp_path, monkeypatch):
+    ts = F.timestamp_add("MINUTE", F.col("event_id") * 37 % 2400, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    spark.range(2000).withColumnRenamed("id", "event_id").select(
+        "event_id", ts.alias("ts"), F.col("event_id").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.5).alias("value"),
+        F.lit("{}").alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    landed = []
+    monkeypatch.setattr(tables, "roll_hours", lambda s, landing, *a, **k: landed.append(landing) or roll_hours(s, landing, *a, **k))
+    got = tables.rolled_hours(spark, str(tmp_path)).collect()
+    assert folder_files(spark, landed[0]).where("hour = '2024-01-05--07'").count() > 3 * 2  # three loads, which two tasks each wrote before
+    assert sum(r.rows for r in got) == 2000 and sum(r.ids for r in got) == sum(range(2000))

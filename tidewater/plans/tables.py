@@ -176,9 +176,10 @@ def rolled_hours(spark, sf):
     landing, out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "rolled"), scratch_path(spark, "ckpt-landing")
     hot = F.timestamp_add("SECOND", F.col("event_id") % 3600, F.lit("2024-01-05 07:00:00").cast("timestamp_ntz"))
     ev = table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 3 == 0, hot).otherwise(F.col("ts")))
+    tasks = 2 * spark.sparkContext.defaultParallelism  # by time: an hour is one or two tasks', the hot one many's
     for load in range(3):
         write_topic(event_records(ev.where(F.expr("event_id % 9 div 3") == load), topic.name), topic)
-        hourly_files_stream(_events_stream(spark, topic).coalesce(2), landing, "ts", ckpt, available_now=True).awaitTermination()
+        hourly_files_stream(_events_stream(spark, topic).repartitionByRange(tasks, "ts"), landing, "ts", ckpt, available_now=True).awaitTermination()
     target = 64 << 10
     roll_hours(spark, landing, out, "ts", EVENTS_DDL, idle_s=0.0, target_bytes=target)
     rows = spark.read.schema(f"{EVENTS_DDL}, hour string, part int").options(**JSON_OPTIONS).json(out)
