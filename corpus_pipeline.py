@@ -19,6 +19,21 @@ from tidewater.llm.queries import LEARN, tokenizer_path
 from tidewater.llm.substring_dedup import substring_dedup, text_hash
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _in_small_batches(stage):
+    """The stage with texts on their way to Python 8 MB at a time: a batch lies in the JVM and, with the one before, in Python, for each core.
+
+    The setting stays, as a stage's frame is worked out after the stage returns it.
+    """
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH, "8m")
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where(LEARN).select("doc_id", column)
 
@@ -68,8 +83,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, tokenizer_path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_classifier", quality_classifier), ("toxicity", toxicity_filter),
-          ("ngram_jaccard_join", near_duplicates), ("substring_dedup", substring_dedup_stage), ("best_fit_packing", pack)]
+STAGES = [(name, _in_small_batches(stage)) for name, stage in (
+    ("quality_classifier", quality_classifier), ("toxicity", toxicity_filter), ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", substring_dedup_stage), ("best_fit_packing", pack))]
 
 #: classifiers, components and packing aren't expressible in SQL; the tests hold the join and substring dedup against brute force
 ORACLE_SQL = None

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,14 @@ def test_texts_of_null_and_repeated_ids(spark, frame):
 def test_texts_of_one_id_have_several_homes():
     tags = np.arange(100, dtype=np.uint64) * np.uint64(12345678901)
     assert len(set(sd._homes_of(np.full(100, sd.LAST), tags, 8).tolist())) == 8
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([[batch.nbytes]], names=["n"])
+
+    docs = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    stage = cp._in_small_batches(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n bigint"))
+    n = [r.n for r in stage(spark, docs, "").collect()]
+    assert sum(n) > 40_000_000 and max(n) < 20 << 20
