@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contracts import Check, Column, Contract, validate
 from tidewater.functions.avro_types import record_schema
-from tidewater.operators.synth import (DOUBLE_RANGE, fake_people, pageviews, synthesize,
+from tidewater.operators.synth import (_Gen, DOUBLE_RANGE, fake_people, pageviews, synthesize,
                                        synthesize_contract)
 from tidewater.plans.avro_fixtures import AVRO_SCHEMAS
 from tidewater.session import scratch_path
@@ -132,3 +132,30 @@ def test_avro_round_trip_spreads_the_rows_of_a_small_file(spark, monkeypatch):
     monkeypatch.setattr(synthesis, "write_avro_files", counted)
     assert all(r.lost == 0 and r.gained == 0 for r in synthesis.avro_round_trip(spark, "/root/testdata/sf0.001").collect())
     assert len(tasks) == 8 and min(tasks) > 1
+
+
+def _written(alphabet, h, n):
+    """n letters of the number h: leading digit first."""
+    r, out = h % len(alphabet) ** 10, ""
+    for _ in range(10):
+        r, d = divmod(r, len(alphabet))
+        out = alphabet[d] + out
+    return out[:n]
+
+
+@pytest.mark.parametrize("alphabet", ["abcdef", "ab", "abcdefghijklmnopqrstuvwxyz0123456789"])
+def test_texts_are_the_digits_of_their_hash(spark, alphabet):
+    g = _Gen(5, F.col("id"), 0, 0.0, False, {})
+    hashes = [g.h("p", [F.lit(j)]).alias(f"h{j}") for j in range(2)]
+    rows = spark.range(-20, 80).select(*hashes, g.chars(alphabet, 10, "p", []).alias("a"), g.chars(alphabet, 13, "p", []).alias("b"),
+                                       g.chars(alphabet, F.pmod("id", F.lit(21)), "p", [], max_len=20).alias("c"), F.pmod("id", F.lit(21)).alias("n")).collect()
+    for r in rows:
+        text = _written(alphabet, r.h0, 10) + _written(alphabet, r.h1, 10)
+        assert (r.a, r.b, r.c) == (text[:10], text[:13], text[: r.n])
+
+
+def test_generated_code_does_not_grow_with_nesting(spark):
+    """Elements written out place by place made a method of some hundred thousand characters, which the JIT refuses."""
+    rows = synthesize(spark, AVRO_SCHEMAS["deeply-nested-map-array"], ids=spark.range(5), seed=1)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") < 12

@@ -13,7 +13,8 @@ import hashlib
 import re
 import string
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
+from itertools import product
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,18 @@ ALPHANUMERIC = string.ascii_letters + string.digits
 
 _POS = (1 << 63) - 1
 _FRAC = 1 << 53
-_DIGITS36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_MOST_DIGITS = 36
 _PER_HASH = 10   # 36**10 < 2**53: ten digits per hash
+_TABLE_TEXTS = 1 << 13  # at most, of a table of texts
+
+
+@lru_cache(None)
+def _texts_of(alphabet: str) -> tuple[int, bytes]:
+    """(k, all texts of k letters, in the order of the numbers they stand for, one after the other)"""
+    k = 1
+    while len(alphabet) > 1 and len(alphabet) ** (k + 1) <= _TABLE_TEXTS and k < _PER_HASH:
+        k += 1
+    return k, "".join(map("".join, product(alphabet, repeat=k))).encode()
 
 
 class _Gen:
@@ -66,26 +77,35 @@ class _Gen:
         return F.lit(lo) + F.pmod(self.h(path, extra), F.lit(span))
 
     def chars(self, alphabet: str, n: int | Column, path: str, extra: list, max_len: int | None = None) -> Column:
-        """``n`` characters of ``alphabet``: each hash gives ten places of numbers below len(alphabet).
+        """``n`` characters of an ASCII ``alphabet``: each hash gives ten places of numbers below len(alphabet).
 
-        Up to 36 symbols these are digits of one number, by ``conv``, mapped onto the alphabet with ``translate``:
-        a few expression nodes per string, which keeps nested schemas inside one compiled method. A larger
-        alphabet is indexed by each number.
+        Up to 36 symbols these are digits of one number, the first one leading, and some digits together are a place in a
+        table of all their texts; a larger alphabet is indexed by each number, the last one leading.  Tables are binary, whose
+        parts are found without counting characters.
         """
         base = len(alphabet)
         total = n if isinstance(n, int) else int(max_len)
         pieces = []
         for j in range((total + _PER_HASH - 1) // _PER_HASH):
-            r = F.pmod(self.h(path, extra + [F.lit(j)]), F.lit(base ** _PER_HASH))
-            if base <= len(_DIGITS36):
-                pieces.append(F.translate(F.lpad(F.conv(r.cast("string"), 10, base), _PER_HASH, "0"), _DIGITS36[:base], alphabet))
+            h = self.h(path, extra + [F.lit(j)])
+            if base <= _MOST_DIGITS:
+                each, table = _texts_of(alphabet)
+                left = _PER_HASH
+                while left:
+                    left -= (k := left % each or each)
+                    number = F.pmod(F.call_function("div", h, F.lit(base ** left)) if left else h, F.lit(base ** k))
+                    pieces.append(F.substring(F.lit(table), (number * each + (each - k + 1)).cast("int"), F.lit(k)))
             else:
-                places = [F.pmod(F.floor(r / F.lit(base ** i)) if i else r, F.lit(base)) for i in range(_PER_HASH)]
-                pieces.append(F.concat(*[F.substring(F.lit(alphabet), (p + 1).cast("int"), F.lit(1)) for p in places]))
+                r = F.pmod(h, F.lit(base ** _PER_HASH))
+                wanted = min(_PER_HASH, total - j * _PER_HASH)
+                places = [F.pmod(F.floor(r / F.lit(base ** i)) if i else r, F.lit(base)) for i in range(wanted)]
+                pieces += [F.substring(F.lit(alphabet.encode()), (p + 1).cast("int"), F.lit(1)) for p in places]
         if not pieces:
             return F.lit("")
-        text = pieces[0] if len(pieces) == 1 else F.concat(*pieces)
-        return F.substring(text, 1, total) if isinstance(n, int) else F.substring(text, 1, n.cast("int"))
+        text = F.concat(*pieces).cast("string")
+        if isinstance(n, int):
+            return text if total % _PER_HASH == 0 or base > _MOST_DIGITS else F.substring(text, 1, total)
+        return F.substring(text, 1, n.cast("int"))
 
     def uuid(self, path: str, extra: list) -> Column:
         hx = F.sha2(F.concat_ws("|", F.lit(str(self.seed)), F.lit(path), self.rid.cast("string"),
@@ -118,6 +138,11 @@ class _Gen:
         raise ValueError(f"unsupported Avro type {t!r}")
 
     def gen(self, s, path: str, extra: list, namespace: str | None = None) -> Column:
+        """A value of the schema.
+
+        An element of an array or map is written once, as a function of its place: written out place by place, nested ones grow
+        to methods that the JIT refuses, which then run as bytecode.
+        """
         s = resolve(parse_avro(s), self.named)
         if isinstance(s, list):
             branches = non_null_branches(s)
@@ -157,14 +182,12 @@ class _Gen:
         if t == "array":
             lo, hi = ARRAY_LENGTH
             n = self.int_in(lo, hi, path + "#len", extra)
-            # The longest array, sliced: no lambda, so it stays in generated code.
-            items = [self.gen(s["items"], path + "[]", extra + [F.lit(i)], namespace) for i in range(hi)]
-            return F.slice(F.array(*items), 1, n.cast("int"))
+            places = F.slice(F.array(*[F.lit(i) for i in range(hi)]), 1, n.cast("int"))
+            return F.transform(places, lambda i: self.gen(s["items"], path + "[]", extra + [i], namespace))
         if t == "map":
-            kv = []
-            for i in range(MAP_SIZE):
-                kv += [F.lit(f"key{i}"), self.gen(s["values"], path + "{}", extra + [F.lit(i)], namespace)]
-            return F.create_map(*kv)
+            keys, places = ([F.lit(x) for x in xs] for xs in ([f"key{i}" for i in range(MAP_SIZE)], range(MAP_SIZE)))
+            values = F.transform(F.array(*places), lambda i: self.gen(s["values"], path + "{}", extra + [i], namespace))
+            return F.map_from_arrays(F.array(*keys), values)
         if t == "enum":
             syms = s["symbols"]
             return F.element_at(F.array(*[F.lit(x) for x in syms]),
