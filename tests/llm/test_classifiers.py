@@ -336,3 +336,18 @@ def test_sampled_rows_are_in_order_and_distinct(spark):
     df = spark.createDataFrame([row(3, 1, [1, 2], [0.5, 1.5]), row(1, 0, [], []), row(2, 1, [7], [2.0]), row(2, 1, [7], [2.0])], "doc_id long, label int, f binary, v binary")
     label, (x,) = sampled_rows(df)
     assert label.tolist() == [0, 1, 1] and x.at.tolist() == [0, 0, 1, 3] and x.feature.tolist() == [7, 1, 2] and x.value.tolist() == [2, 0.5, 1.5]
+
+
+def test_toxicity_examples_come_a_partition_at_a_time(spark, frame, monkeypatch):
+    """The words of the examples are nothing that the driver's JVM holds whole, and each example's products stand side by side."""
+    whole, frames = [], type(spark.range(1))
+    to_arrow = frames.toArrow
+    monkeypatch.setattr(frames, "toArrow", lambda df: whole.extend(df.columns) or to_arrow(df))
+    docs = [(i, f"w{i % 7} some words {i} " * 4) for i in range(60)] + [(7, "w0 a second text of one id " * 9), (61, ""), (62, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(63)], "doc_id bigint, label int")
+    index = tx.fit(frame(docs), labels)
+    assert "terms" not in whole
+    assert sorted(index.doc.tolist()) == [*range(60), 61, 62]
+    assert index.dense.T.flags.c_contiguous
+    none = tx.fit(frame([(1, ""), (2, None)]), labels)
+    assert len(none.terms) == 0 and none.doc.tolist() == [1, 2]
