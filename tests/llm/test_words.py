@@ -4,6 +4,7 @@ from hypothesis import given, settings, strategies as st
 
 from tests.llm import brute
 from tidewater.llm import words as W
+from tidewater.llm.features import char_grams
 
 
 def hashes(texts, **kw):
@@ -51,3 +52,17 @@ def test_grams_agree_for_equal_runs():
         assert len(g) == len(h) - k + 1 and g[0] == g[22] and len(np.unique(g)) > 1
     assert len(W.grams(h, 99)) == 0
     assert len(W.shingle_set(h[:3], 5)) == 1 and len(W.shingle_set(h[:0], 5)) == 0
+
+
+def test_hashes_do_not_depend_on_the_block_they_are_made_in():
+    """Texts longer than a block, and words and trigrams across its edge, hash as they do on their own."""
+    words = [f"w{i:03d}" * (1 + i % 3) for i in range(500)]
+    text = " ".join(words[i * 7 % 500] for i in range(W.NEAR // 3))
+    assert len(text) > 2 * W.NEAR
+    (whole,) = W.chunks(pa.array([text]))
+    (alone,) = W.chunks(pa.array(words))
+    known = dict(zip(words, alone.hashes))
+    assert [known[w] for w in text.split(" ")] == whole.hashes.tolist()
+    tri, data = char_grams(whole, 3), text.encode()
+    code = [(int.from_bytes(data[i : i + 3], "little") + (3 << 60)) * 0x9E3779B97F4A7C15 % 2**64 >> 46 for i in range(len(data) - 2)]
+    assert tri.tolist() == code

@@ -280,8 +280,8 @@ class _View:
 
     def __init__(self, chunk: Chunk, features: np.ndarray, edges: np.ndarray):
         n, starts = chunk.last - chunk.first, chunk.text_starts
-        self.n, tri = n, char_grams(chunk, 3)
-        words = (mix(grams(chunk.hashes, 1) + U64(1)) & U64(DIMS - 1)).astype(np.int32)
+        self.n, tri = n, char_grams(chunk, 3).astype(np.intp)  # as places, which every turn's weights are taken by
+        words = (mix(grams(chunk.hashes, 1) + U64(1)) & U64(DIMS - 1)).astype(np.intp)
         ends = np.minimum(np.maximum(starts[1:] - 2, starts[:-1]), len(tri))  # no trigram goes across the end of a text
         self.parts = [(tri, np.minimum(starts[:-1], len(tri)), ends), (words, chunk.bounds[:-1], chunk.bounds[1:])]
         self.meta = features, edges[:-1], edges[1:]

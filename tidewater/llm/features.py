@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.linear import Sparse
-from tidewater.llm.words import BLOCK, U64, Chunk, grams, mix
+from tidewater.llm.words import NEAR, U64, Chunk, grams, mix
 
 DIMS = 1 << 18
 _N = U64(DIMS - 1)
@@ -20,14 +20,16 @@ def char_grams(chunk: Chunk, n: int) -> np.ndarray:
     """Feature of the n bytes from each byte of the chunk on; those across text ends are the caller's to leave out."""
     m = len(chunk.data) - n + 1
     out = np.empty(max(m, 0), np.int32)
-    for start in range(0, m, BLOCK):
-        d = chunk.data[start : start + BLOCK + n - 1].astype(np.uint64)
+    for start in range(0, m, NEAR):
+        d = chunk.data[start : start + NEAR + n - 1].astype(np.uint64)
         k = len(d) - n + 1
-        code = d[:k].copy()
+        code, shifted = d[:k].copy(), np.empty(k, np.uint64)
         for j in range(1, n):
-            code |= d[j : j + k] << U64(8 * j)
+            code |= np.left_shift(d[j : j + k], U64(8 * j), out=shifted)
         code += U64(n << 60)
-        out[start : start + k] = ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - 18)).astype(np.int32)
+        code *= U64(0x9E3779B97F4A7C15)
+        code >>= U64(64 - 18)
+        out[start : start + k] = code
     return out
 
 

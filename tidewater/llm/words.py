@@ -40,6 +40,7 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 BLOCK = CHUNK_BYTES  # bytes hashed at a time, so that a very long text needs no more room than a chunk
+NEAR = 1 << 14  # bytes taken through several steps at a time, as their numbers then stay in a core's cache
 _UP, _DOWN = _powers(BLOCK + 1, BASE), _powers(BLOCK + 1, pow(BASE, -1, 2**64))
 
 
@@ -59,7 +60,11 @@ def _prefixes(codes: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray
     for start in range(0, max(len(data), 1), BLOCK):
         block = data[start : start + BLOCK]
         total = np.zeros(len(block) + 1, U64)
-        np.cumsum(codes[block] * _UP[: len(block)], out=total[1:])
+        for i in range(0, len(block), NEAR):
+            part = codes.take(block[i : i + NEAR])
+            part *= _UP[i : i + len(part)]
+            part[:1] += total[i : i + 1]
+            np.cumsum(part, out=total[i + 1 : i + 1 + len(part)])
         scale, last = pow(BASE, start, 2**64), start + len(block) == len(data)
         for i, j in halves:
             lo, hi = np.searchsorted(at[i:j], [start, start + len(block) + last]) + i
